@@ -1,0 +1,217 @@
+"""run_batch: command lines -> loaded targets, rejects and ledger rows.
+
+    A1/F1 lines -> B1 B2 (B3) -> C1 C2 (B5 names) -> C5 replay guard
+      -> E5 claim (OPERATING) -> A7 sizes -> per family: A4..A6 scan, B8 B9,
+      D6 admission, C6 fan-out -> E1/E2 targets, E3 rejects -> E4 final rows
+
+One Spark job set per registry family (a handful per batch; each needs its
+own schema), never one per file.  Order on finish: data, rejects, ledger.
+A replayed batch rewrites its own partitions only and skips tasks the ledger
+already shows finished, so a crash anywhere leaves no duplicates.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import dataclass, field
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyload.functions.ddl import declared_schema
+from tallyload.functions.naming import UNSPLIT_PERIOD, normalize_path, period_of
+from tallyload.functions.states import ERROR, FINISHED, OPERATING, SUCCESSFUL
+from tallyload.operators.commands import classify_commands, last_command_per_file, PARSED_COLUMNS
+from tallyload.operators.conform import conform, reject_limit, split_rejects
+from tallyload.operators.ledger import (
+    ledger_append,
+    ledger_latest,
+    ledger_rows,
+    read_ledger,
+    replay_guard,
+)
+from tallyload.operators.registry import commands_unregistered, registry_resolve
+from tallyload.operators.sizing import bounded_broadcast
+from tallyload.operators.targets import append_load, reject_sink
+from tallyload.sources.datafiles import data_scan, file_inventory
+from tallyload.sources.profiles import PROFILES, LoadProfile
+
+CLAIM_STEP, FINAL_STEP = 1, 2
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Where a deployment keeps its tables (a shared file system on a cluster)."""
+
+    root: str
+
+    @property
+    def targets(self) -> str:
+        return f"{self.root}/targets"
+
+    def target(self, family: str) -> str:
+        return f"{self.targets}/{family}"
+
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/rejects"
+
+    @property
+    def command_rejects(self) -> str:
+        return f"{self.root}/command_rejects"
+
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/ledger"
+
+
+@dataclass
+class BatchResult:
+    batch_id: int
+    families: list[str] = field(default_factory=list)
+    layout: Layout | None = None
+
+    def ledger(self, spark: SparkSession) -> DataFrame:
+        return read_ledger(spark, self.layout.ledger).filter(F.col("batch_id") == self.batch_id)
+
+
+def _profile_for(profile, event_type: int, family: str) -> LoadProfile:
+    if isinstance(profile, LoadProfile):
+        return profile
+    if isinstance(profile, str):
+        return PROFILES[profile]
+    if isinstance(profile, dict):
+        p = profile.get(event_type, profile.get(family, "quoted"))
+        return PROFILES[p] if isinstance(p, str) else p
+    raise TypeError("profile must be a LoadProfile, a profile name or a dict")
+
+
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+def run_batch(
+    spark: SparkSession,
+    lines: DataFrame,
+    registry: DataFrame,
+    layout: Layout,
+    batch_id: int,
+    profile="quoted",
+    keep: str = "all",
+    parse_options: dict | None = None,
+) -> BatchResult:
+    """Load one batch of command lines (``cmd_file, line_pos, raw``)."""
+    gen_time = _now()
+    classified = classify_commands(lines, **(parse_options or {})).persist(StorageLevel.MEMORY_AND_DISK)
+    bad_cmds = classified.filter(F.col("reason").isNotNull()).select(
+        "cmd_file", "line_pos", "raw", "reason", F.lit(batch_id).cast("bigint").alias("batch_id")
+    )
+    reject_sink(bad_cmds, layout.command_rejects)
+    cmds = classified.filter(F.col("reason").isNull()).select(*PARSED_COLUMNS)
+    if keep == "last":
+        cmds = last_command_per_file(cmds)
+    elif keep != "all":
+        raise ValueError("keep must be 'all' or 'last'")
+
+    ledger = read_ledger(spark, layout.ledger)
+    done = ledger_latest(ledger).filter(F.col("state").isin(*FINISHED)).select("task_key")
+    # materialised reliably: the ledger listing read here is rewritten below on a replay
+    cmds = replay_guard(cmds, done, "task_key").checkpoint(eager=True)
+    classified.unpersist()
+    return load_tasks(spark, cmds, registry, layout, batch_id, profile, gen_time)
+
+
+def load_tasks(
+    spark: SparkSession,
+    cmds: DataFrame,
+    registry: DataFrame,
+    layout: Layout,
+    batch_id: int,
+    profile="quoted",
+    gen_time: dt.datetime | None = None,
+) -> BatchResult:
+    """Claim, load and record tasks (``task_key, event_type, data_path, content_ts``, ...).
+
+    A ``dest_table`` already on a task (ledger-born tasks) is kept as given.
+    """
+    gen_time = gen_time or _now()
+    given_dest = "dest_table" in cmds.columns
+    if given_dest:
+        cmds = cmds.withColumnRenamed("dest_table", "_given_dest")
+    resolved = registry_resolve(cmds, registry).withColumn(
+        "period", F.coalesce(period_of("split_mode", "content_ts"), F.lit(UNSPLIT_PERIOD))
+    )
+    if given_dest:
+        resolved = resolved.withColumn("dest_table", F.coalesce("_given_dest", "dest_table")).drop("_given_dest")
+    inv = file_inventory(resolved, "data_path").withColumnRenamed("path", "data_path")
+    tasks = resolved.join(inv, "data_path", "left")
+    if "task_id" not in tasks.columns:
+        tasks = tasks.withColumn("task_id", F.col("task_key"))
+    tasks = tasks.persist(StorageLevel.MEMORY_AND_DISK)
+    unregistered = commands_unregistered(cmds, registry)
+    if "task_id" not in unregistered.columns:
+        unregistered = unregistered.withColumn("task_id", F.col("task_key"))
+
+    claim = ledger_rows(tasks, batch_id, CLAIM_STEP, state=OPERATING, gen_time=gen_time, exec_start=gen_time)
+    ledger_append(claim, layout.ledger)
+
+    finals = [
+        ledger_rows(unregistered, batch_id, FINAL_STEP,
+                    state=ERROR, state_info="unregistered event type", gen_time=gen_time),
+        ledger_rows(tasks.filter(~F.col("file_exists")), batch_id, FINAL_STEP, state=ERROR,
+                    state_info="data file missing", gen_time=gen_time, exec_start=gen_time, exec_end=gen_time),
+    ]
+    present = tasks.filter(F.col("file_exists"))
+    families = [
+        (r["family"], r["columns"], r["event_type"])
+        for r in present.select("family", "columns", "event_type").distinct().collect()
+    ]
+    done_families = []
+    for family, columns, event_type in sorted(families, key=lambda x: (x[0], x[2])):
+        start = _now()
+        prof = _profile_for(profile, event_type, family)
+        schema = declared_schema(columns)
+        fam_tasks = present.filter((F.col("family") == family) & (F.col("event_type") == event_type))
+        paths = sorted(r["data_path"] for r in fam_tasks.select("data_path").distinct().collect())
+        rows = conform(data_scan(spark, paths, schema, prof), schema).persist(StorageLevel.MEMORY_AND_DISK)
+        stats = reject_limit(rows, prof.reject_limit)
+        task_cols = ["task_key", "dest_table", "period"]
+        fam_norm = fam_tasks.withColumn("_file", normalize_path(F.col("data_path")))
+        task_table = fam_norm.join(stats, "_file", "left").select(
+            "_file", *task_cols, F.coalesce("admitted", F.lit(True)).alias("admitted")
+        )
+        task_table = bounded_broadcast(task_table)
+        good, bad = split_rejects(rows, schema)
+        good = good.join(task_table.filter("admitted"), "_file").drop("admitted", "_file")
+        append_load(good.withColumn("batch_id", F.lit(batch_id).cast("bigint")), layout.target(family))
+        bad = bad.join(task_table, "_file").select(
+            "task_key", F.col("_file").alias("data_path"), "dest_table", "raw", "reason",
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
+        )
+        reject_sink(bad, layout.rejects)
+        end = _now()
+        outcome = fam_norm.join(stats, "_file", "left").select(
+            *fam_tasks.columns,
+            F.coalesce("rows", F.lit(0)).alias("_rows"),
+            F.coalesce("rejects", F.lit(0)).alias("_rejects"),
+            F.coalesce("admitted", F.lit(True)).alias("_ok"),
+        )
+        info = F.when(
+            F.col("_ok"),
+            F.format_string("loaded %d rows, %d rejected", F.col("_rows") - F.col("_rejects"), F.col("_rejects")),
+        ).otherwise(F.format_string("reject limit %d exceeded: %d rejected", F.lit(prof.reject_limit or 0),
+                                    F.col("_rejects")))
+        finals.append(
+            ledger_rows(outcome, batch_id, FINAL_STEP,
+                        state=F.when(F.col("_ok"), F.lit(SUCCESSFUL)).otherwise(F.lit(ERROR)),
+                        state_info=info, gen_time=gen_time, exec_start=start, exec_end=end)
+        )
+        rows.unpersist()
+        done_families.append(family)
+    final = finals[0]
+    for f in finals[1:]:
+        final = final.unionByName(f)
+    ledger_append(final, layout.ledger)
+    tasks.unpersist()
+    return BatchResult(batch_id, done_families, layout)
