@@ -24,7 +24,7 @@ def _col(c) -> Column:
 def content_timestamp(c, twelve_as_midnight: bool = False, fraction: str = "millis") -> Column:
     s = _col(c)
     part = lambda i: F.regexp_extract(s, _PATTERN, i)
-    hour = part(4).cast("int")
+    hour = part(4).try_cast("int")
     if twelve_as_midnight:
         hour = F.when(hour == 12, F.lit(0)).otherwise(hour)
     text = F.concat_ws(

@@ -42,7 +42,12 @@ def split_rejects(conformed: DataFrame, schema: DeclaredSchema) -> tuple[DataFra
 
 
 def reject_limit(conformed: DataFrame, limit: int | None, file_col: str = "_file") -> DataFrame:
-    """Per file: ``rows``, ``rejects`` and ``admitted`` (rejects within the limit)."""
+    """Per file: ``rows``, ``rejects`` and ``admitted`` (rejects within the limit).
+
+    ``conformed`` must be materialised (persisted or staged) first: counted
+    straight from a CSV scan, Spark would parse only the columns the count
+    needs and could miss a bad field elsewhere in the row.
+    """
     stats = conformed.groupBy(file_col).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_reason").isNotNull()).alias("rejects")
     )

@@ -10,13 +10,15 @@ without reading any file in one task: lines keep their position (split offset,
 row order inside the split), each split counts its record ends locally, a
 prefix sum over the (few) splits of a file gives each split its first record
 number, and lines are then grouped by (file, record number).  For ``multiline``
-a line ends a record when the running count of quote characters from the start
-of the file is even; each split computes its counts for both possible starting
-parities, so the one cross-split pass over split totals settles both at once.
+a line ends a record when it ends outside a quoted field; each line's effect
+on that state is computed for both possible start states, so one pass over the
+split totals settles every split's start state (see ``_start_states``).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,50 +56,94 @@ def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def _line_maps(profile: LoadProfile):
+    """Per-line quote-state map as two flags: does the line end inside a
+    quoted field when it starts outside (``_eo``) / inside (``_ei``)?"""
+    q, d = re.escape(profile.quote), re.escape(profile.delimiter)
+    if profile.layout == "continued":
+        # every line is a constant map: the record goes on unless the last
+        # non-blank character is the quote
+        goes_on = ~F.rtrim(F.col("value")).endswith(profile.quote)
+        return goes_on, goes_on
+    body = f"(?:[^{q}]|{q}{q})*+"  # inside quotes: any char or a doubled quote
+    field = f"(?:{q}{body}{q}[^{d}]*+|[^{q}{d}][^{d}]*+|)"
+    open_tail = f"{q}{body}$"
+    ends_in_from_out = F.col("value").rlike(f"^(?:{field}{d})*+{open_tail}")
+    ends_in_from_in = F.col("value").rlike(f"^{body}$") | F.col("value").rlike(
+        f"^{body}{q}[^{d}]*+(?:{d}{field})*+{d}{open_tail}"
+    )
+    return ends_in_from_out, ends_in_from_in
+
+
+def _start_states(df: DataFrame, part: list[str], order: str) -> DataFrame:
+    """Quote state at the start of each row for either start state of its group.
+
+    ``_eo``/``_ei`` give each row's map on {0 outside, 1 inside}: identity,
+    flip, or constant.  The state before row k is fixed by the last constant
+    row before it plus the parity of flips since then; without one it is the
+    group's start state plus the parity of all earlier flips.  Adds
+    ``_s0``/``_s1`` (group starts outside / inside).
+    """
+    w = Window.partitionBy(*part).orderBy(order)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    const = F.col("_eo") == F.col("_ei")
+    flip = (F.col("_eo") & ~F.col("_ei")).cast("int")
+    df = df.withColumn("_fb", F.coalesce(F.sum(flip).over(before), F.lit(0)))
+    df = df.withColumn(
+        "_lc", F.max(F.when(const, F.struct(F.col(order), F.col("_eo").cast("int").alias("v"),
+                                            F.col("_fb").alias("f")))).over(before)
+    )
+    fixed = (F.col("_lc.v") + F.col("_fb") - F.col("_lc.f")) % 2
+    return df.withColumn("_s0", F.when(F.col("_lc").isNull(), F.col("_fb") % 2).otherwise(fixed)).withColumn(
+        "_s1", F.when(F.col("_lc").isNull(), (F.col("_fb") + 1) % 2).otherwise(fixed)
+    ).drop("_fb", "_lc")
+
+
+def _end(state: str):
+    """End state (0/1) of a row entered in ``state``."""
+    return F.when(F.col(state) == 0, F.col("_eo")).otherwise(F.col("_ei")).cast("int")
+
+
 def assemble_records(spark: SparkSession, paths: list[str], profile: LoadProfile) -> DataFrame:
-    """Glue physical lines into logical records: ``_file, _rec, _record``."""
-    quote = profile.quote
+    """Glue physical lines into logical records: ``_file, _rec, _record``.
+
+    A record ends at a line that ends outside quotes (``multiline``) or that
+    ends in the quote character (``continued``).  Work is per split, plus
+    one pass over the per-split summary table; no file is read whole.
+    """
     lines = spark.read.format("text").load(paths).select(
         normalize_path(F.col("_metadata.file_path"), decode=True).alias("_file"),
         F.col("_metadata.file_block_start").alias("_bs"),
         F.monotonically_increasing_id().alias("_mid"),
         F.col("value"),
     )
-    in_split = Window.partitionBy("_file", "_bs").orderBy("_mid")
-    upto = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = in_split.rowsBetween(Window.unboundedPreceding, -1)
-    if profile.layout == "continued":
-        # a record goes on while the line's last non-blank character is not the quote
-        q = F.lit(0)
-        end = F.rtrim(F.col("value")).endswith(quote).cast("int")
-        marked = lines.withColumn("_q", q).withColumn("_t0", end).withColumn("_t1", end)
-        joiner = ""
-    else:
-        # a line ends a record when the quotes seen so far in the file are balanced
-        q = F.length("value") - F.length(F.replace(F.col("value"), F.lit(quote), F.lit("")))
-        marked = lines.withColumn("_q", q).withColumn("_cq", F.sum("_q").over(upto))
-        marked = marked.withColumn("_t0", (F.col("_cq") % 2 == 0).cast("int")).withColumn(
-            "_t1", (F.col("_cq") % 2 == 1).cast("int")
-        ).drop("_cq")
-        joiner = "\n"
-    marked = marked.withColumn("_b0", F.coalesce(F.sum("_t0").over(before), F.lit(0))).withColumn(
+    eo, ei = _line_maps(profile)
+    lines = _start_states(lines.withColumn("_eo", eo).withColumn("_ei", ei), ["_file", "_bs"], "_mid")
+    # does the line end a record, for either start state of its split?
+    lines = lines.withColumn("_t0", (_end("_s0") == 0).cast("int")).withColumn("_t1", (_end("_s1") == 0).cast("int"))
+    before = Window.partitionBy("_file", "_bs").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumn("_b0", F.coalesce(F.sum("_t0").over(before), F.lit(0))).withColumn(
         "_b1", F.coalesce(F.sum("_t1").over(before), F.lit(0))
     )
-    # one row per split: quote total and record ends for either starting parity
-    splits = marked.groupBy("_file", "_bs").agg(
-        F.sum("_q").alias("_qs"), F.sum("_t0").alias("_n0"), F.sum("_t1").alias("_n1")
+    # one row per split: its own map (end state for either start) and record-end counts
+    splits = lines.groupBy("_file", "_bs").agg(
+        F.max_by(_end("_s0"), "_mid").cast("boolean").alias("_eo"),
+        F.max_by(_end("_s1"), "_mid").cast("boolean").alias("_ei"),
+        F.sum("_t0").alias("_n0"),
+        F.sum("_t1").alias("_n1"),
     )
+    splits = _start_states(splits, ["_file"], "_bs").withColumn("_p", F.col("_s0"))  # files start outside
     earlier = Window.partitionBy("_file").orderBy("_bs").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_p", F.coalesce(F.sum("_qs").over(earlier), F.lit(0)) % 2)
     splits = splits.withColumn("_n", F.when(F.col("_p") == 0, F.col("_n0")).otherwise(F.col("_n1")))
     splits = splits.withColumn("_off", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).select(
         "_file", "_bs", "_p", "_off"
     )
-    numbered = marked.join(splits, ["_file", "_bs"]).select(
+    numbered = lines.join(splits, ["_file", "_bs"]).select(
         "_file",
         (F.col("_off") + F.when(F.col("_p") == 0, F.col("_b0")).otherwise(F.col("_b1"))).alias("_rec"),
         F.struct("_bs", "_mid", "value").alias("_line"),
     )
+    joiner = "" if profile.layout == "continued" else "\n"
     records = numbered.groupBy("_file", "_rec").agg(F.sort_array(F.collect_list("_line")).alias("_parts"))
     return records.select(
         "_file", "_rec", F.array_join(F.transform("_parts", lambda x: x["value"]), joiner).alias("_record")
