@@ -39,6 +39,31 @@ def append_load(good_rows: DataFrame, target_path: str) -> None:
     _overwrite_partitions(good_rows, target_path, ["period", "batch_id"])
 
 
+TARGET_EXTRA_COLUMNS = "task_key bigint, dest_table string, period string, batch_id bigint"
+
+
+def read_target(spark, target_path: str, columns: str | None = None) -> DataFrame:
+    """A family's target with ``period`` as text (partition discovery would
+    otherwise read ``202401`` back as a number).
+
+    A target that has no rows yet (nothing written, or every file rejected)
+    reads as an empty frame with the declared ``columns``, when given.
+    """
+    try:
+        df = spark.read.parquet(target_path)
+    except Exception as e:
+        if columns is None or not any(k in str(e) for k in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND")):
+            raise
+        from tallyload.functions.ddl import declared_schema
+
+        fields = declared_schema(columns).read.fields
+        extra = spark.createDataFrame([], TARGET_EXTRA_COLUMNS).schema.fields
+        from pyspark.sql import types as T
+
+        return spark.createDataFrame([], T.StructType(list(fields) + list(extra)))
+    return df.withColumn("period", F.col("period").cast("string"))
+
+
 def reject_sink(bad_rows: DataFrame, path: str) -> None:
     """Rejected rows (file, raw text, reason, task) by batch."""
     _overwrite_partitions(bad_rows, path, ["batch_id"])

@@ -26,6 +26,7 @@ from tallyload.operators import (
     load_metrics,
     period_tables_missing,
     queue_depth,
+    read_target,
     registry_active,
     registry_diff,
     registry_resolve,
@@ -180,12 +181,12 @@ def _orders_totals(targets: DataFrame) -> DataFrame:
 
 def q_load_orders(spark, d):
     layout = _load_orders_root(spark, d)
-    return _orders_totals(spark.read.parquet(layout.target("orders")))
+    return _orders_totals(read_target(spark, layout.target("orders")))
 
 
 def q_split_rejects(spark, d):
     layout = _load_orders_root(spark, d, corrupt=True, profile="external")
-    good = spark.read.parquet(layout.target("orders")).groupBy(F.col("period").cast("int").alias("y")).agg(
+    good = read_target(spark, layout.target("orders")).groupBy(F.col("period").cast("int").alias("y")).agg(
         F.count(F.lit(1)).alias("good")
     )
     bad = spark.read.parquet(layout.rejects).groupBy(
@@ -201,7 +202,7 @@ def _load_documents(spark, d, profile):
     layout = Layout(f"{root}/warehouse")
     lines = command_scan(spark, cmd_root, name_regex=S.STAGED_COMMAND_REGEX)
     run_batch(spark, lines, S.documents_registry(spark), layout, batch_id=0, profile=profile)
-    return spark.read.parquet(layout.target("documents"))
+    return read_target(spark, layout.target("documents"))
 
 
 def q_load_multiline(spark, d):
@@ -221,7 +222,7 @@ def q_stream_load_orders(spark, d):
     lines = stream_commands(spark, cmd_root, name_regex=S.STAGED_COMMAND_REGEX, max_files_per_trigger=2)
     q = stream_load(lines, lambda: S.orders_registry(spark), layout, f"{root}/checkpoint", available_now=True)
     q.awaitTermination()
-    return _orders_totals(spark.read.parquet(layout.target("orders")))
+    return _orders_totals(read_target(spark, layout.target("orders")))
 
 
 def q_file_inventory(spark, d):

@@ -13,6 +13,9 @@ already shows finished, so a crash anywhere leaves no duplicates.
 from __future__ import annotations
 
 import datetime as dt
+import os
+import sys
+import time
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -32,12 +35,26 @@ from tallyload.operators.ledger import (
     replay_guard,
 )
 from tallyload.operators.registry import commands_unregistered, registry_resolve
-from tallyload.operators.sizing import bounded_broadcast
+from tallyload.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS
 from tallyload.operators.targets import append_load, reject_sink
 from tallyload.sources.datafiles import data_scan, file_inventory
 from tallyload.sources.profiles import PROFILES, LoadProfile
 
 CLAIM_STEP, FINAL_STEP = 1, 2
+_TRACE = os.environ.get("TALLYLOAD_TRACE") == "1"
+
+
+class _Clock:
+    """Step timings on stderr when TALLYLOAD_TRACE=1."""
+
+    def __init__(self):
+        self.t = time.perf_counter()
+
+    def lap(self, what: str) -> None:
+        if _TRACE:
+            now = time.perf_counter()
+            print(f"[tallyload] {what}: {now - self.t:.2f}s", file=sys.stderr, flush=True)
+            self.t = now
 
 
 @dataclass(frozen=True)
@@ -100,14 +117,23 @@ def run_batch(
     profile="quoted",
     keep: str = "all",
     parse_options: dict | None = None,
+    guard_scope: str = "all",
 ) -> BatchResult:
-    """Load one batch of command lines (``cmd_file, line_pos, raw``)."""
+    """Load one batch of command lines (``cmd_file, line_pos, raw``).
+
+    ``guard_scope``: ``"all"`` skips tasks finished in any earlier batch (reads
+    the whole ledger); ``"batch"`` only looks at this batch id's ledger
+    partitions (partition-pruned) -- enough for a stream, whose source hands
+    each command file to exactly one batch, and it does not grow with history.
+    """
     gen_time = _now()
+    clock = _Clock()
     classified = classify_commands(lines, **(parse_options or {})).persist(StorageLevel.MEMORY_AND_DISK)
     bad_cmds = classified.filter(F.col("reason").isNotNull()).select(
         "cmd_file", "line_pos", "raw", "reason", F.lit(batch_id).cast("bigint").alias("batch_id")
     )
     reject_sink(bad_cmds, layout.command_rejects)
+    clock.lap("parse + command rejects")
     cmds = classified.filter(F.col("reason").isNull()).select(*PARSED_COLUMNS)
     if keep == "last":
         cmds = last_command_per_file(cmds)
@@ -115,10 +141,15 @@ def run_batch(
         raise ValueError("keep must be 'all' or 'last'")
 
     ledger = read_ledger(spark, layout.ledger)
+    if guard_scope == "batch":
+        ledger = ledger.filter(F.col("batch_id") == batch_id)
+    elif guard_scope != "all":
+        raise ValueError("guard_scope must be 'all' or 'batch'")
     done = ledger_latest(ledger).filter(F.col("state").isin(*FINISHED)).select("task_key")
     # materialised reliably: the ledger listing read here is rewritten below on a replay
     cmds = replay_guard(cmds, done, "task_key").checkpoint(eager=True)
     classified.unpersist()
+    clock.lap("replay guard")
     return load_tasks(spark, cmds, registry, layout, batch_id, profile, gen_time)
 
 
@@ -136,6 +167,7 @@ def load_tasks(
     A ``dest_table`` already on a task (ledger-born tasks) is kept as given.
     """
     gen_time = gen_time or _now()
+    clock = _Clock()
     given_dest = "dest_table" in cmds.columns
     if given_dest:
         cmds = cmds.withColumnRenamed("dest_table", "_given_dest")
@@ -155,6 +187,7 @@ def load_tasks(
 
     claim = ledger_rows(tasks, batch_id, CLAIM_STEP, state=OPERATING, gen_time=gen_time, exec_start=gen_time)
     ledger_append(claim, layout.ledger)
+    clock.lap("resolve + inventory + claim")
 
     finals = [
         ledger_rows(unregistered, batch_id, FINAL_STEP,
@@ -167,13 +200,17 @@ def load_tasks(
         (r["family"], r["columns"], r["event_type"])
         for r in present.select("family", "columns", "event_type").distinct().collect()
     ]
+    clock.lap("families")
     done_families = []
     for family, columns, event_type in sorted(families, key=lambda x: (x[0], x[2])):
         start = _now()
         prof = _profile_for(profile, event_type, family)
         schema = declared_schema(columns)
         fam_tasks = present.filter((F.col("family") == family) & (F.col("event_type") == event_type))
-        paths = sorted(r["data_path"] for r in fam_tasks.select("data_path").distinct().collect())
+        per_path = fam_tasks.groupBy("data_path").count().collect()  # one row per file of this batch
+        paths = sorted(r["data_path"] for r in per_path)
+        n_tasks = sum(r["count"] for r in per_path)
+        clock.lap(f"{family}: paths")
         rows = conform(data_scan(spark, paths, schema, prof), schema).persist(StorageLevel.MEMORY_AND_DISK)
         stats = reject_limit(rows, prof.reject_limit)
         task_cols = ["task_key", "dest_table", "period"]
@@ -181,15 +218,17 @@ def load_tasks(
         task_table = fam_norm.join(stats, "_file", "left").select(
             "_file", *task_cols, F.coalesce("admitted", F.lit(True)).alias("admitted")
         )
-        task_table = bounded_broadcast(task_table)
+        task_table = F.broadcast(task_table) if n_tasks <= DEFAULT_MAX_BROADCAST_ROWS else task_table
         good, bad = split_rejects(rows, schema)
         good = good.join(task_table.filter("admitted"), "_file").drop("admitted", "_file")
         append_load(good.withColumn("batch_id", F.lit(batch_id).cast("bigint")), layout.target(family))
+        clock.lap(f"{family}: stats + targets")
         bad = bad.join(task_table, "_file").select(
             "task_key", F.col("_file").alias("data_path"), "dest_table", "raw", "reason",
             F.lit(batch_id).cast("bigint").alias("batch_id"),
         )
         reject_sink(bad, layout.rejects)
+        clock.lap(f"{family}: rejects")
         end = _now()
         outcome = fam_norm.join(stats, "_file", "left").select(
             *fam_tasks.columns,
@@ -213,5 +252,6 @@ def load_tasks(
     for f in finals[1:]:
         final = final.unionByName(f)
     ledger_append(final, layout.ledger)
+    clock.lap("final ledger rows")
     tasks.unpersist()
     return BatchResult(batch_id, done_families, layout)

@@ -65,11 +65,13 @@ def _line_maps(profile: LoadProfile):
         # non-blank character is the quote
         goes_on = ~F.rtrim(F.col("value")).endswith(profile.quote)
         return goes_on, goes_on
-    body = f"(?:[^{q}]|{q}{q})*+"  # inside quotes: any char or a doubled quote
+    body = f"[^{q}]*+(?:{q}{q}[^{q}]*+)*+"  # inside quotes: plain runs and doubled quotes
     field = f"(?:{q}{body}{q}[^{d}]*+|[^{q}{d}][^{d}]*+|)"
     open_tail = f"{q}{body}$"
-    ends_in_from_out = F.col("value").rlike(f"^(?:{field}{d})*+{open_tail}")
-    ends_in_from_in = F.col("value").rlike(f"^{body}$") | F.col("value").rlike(
+    v = F.col("value")
+    has_quote = v.contains(profile.quote)  # a line without one keeps the state as it is
+    ends_in_from_out = has_quote & v.rlike(f"^(?:{field}{d})*+{open_tail}")
+    ends_in_from_in = ~has_quote | v.rlike(f"^{body}$") | v.rlike(
         f"^{body}{q}[^{d}]*+(?:{d}{field})*+{d}{open_tail}"
     )
     return ends_in_from_out, ends_in_from_in

@@ -83,7 +83,8 @@ def stream_load(
         spark = batch.sparkSession
         positioned = with_line_positions(batch.withColumn("_mid", F.monotonically_increasing_id()))
         run_batch(spark, positioned.select("cmd_file", "line_pos", "raw"), registry_loader(), layout,
-                  batch_base + epoch, profile=profile, keep=keep, parse_options=parse_options)
+                  batch_base + epoch, profile=profile, keep=keep, parse_options=parse_options,
+                  guard_scope="batch")
 
     w = lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, processing_time).start()
@@ -124,8 +125,16 @@ def orphaned_tasks(spark: SparkSession, layout: Layout) -> DataFrame:
     return ledger_latest(read_ledger(spark, layout.ledger)).filter(F.col("state") == OPERATING)
 
 
-def recover(spark: SparkSession, layout: Layout, registry: DataFrame, batch_id: int, profile="quoted"):
-    """redo orphaned tasks under a new batch id."""
+def recover(spark: SparkSession, layout: Layout, registry: DataFrame, batch_id: int | None = None,
+            profile="quoted"):
+    """redo orphaned tasks under a new batch id.
+
+    The id defaults to one past the highest in the ledger, so the redo's
+    versions are newer than the orphaned claims.
+    """
+    if batch_id is None:
+        top = read_ledger(spark, layout.ledger).agg(F.max("batch_id")).first()[0]
+        batch_id = (top or 0) + 1
     tasks = orphaned_tasks(spark, layout).select(
         "task_key", "task_id", "event_type", "content_ts", "data_path", "dest_table", "cmd_file"
     ).checkpoint(eager=True)

@@ -1,0 +1,112 @@
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import write
+from tallyload.operators import ledger_latest, read_ledger, read_target
+from tallyload.operators.ledger import ledger_append, ledger_rows
+from tallyload.plans import scenario as S
+from tallyload.plans.pipeline import Layout, run_batch
+from tallyload.sources.commands import command_scan
+from tallyload.streaming import orphaned_tasks, recover, stream_commands, stream_ledger_poll, stream_load
+
+REG = [(1, "people", "id int not null, name varchar(5), ts timestamp", "60", 2, 1), (2, "off", "a int", "", 0, 0)]
+
+
+def setup_files(tmp):
+    a = write(f"{tmp}/data/a.csv", "1,ann,2024-01-01 00:00:00\n2,bob,2024-01-02 00:00:00\nx,bad,zz\n")
+    b = write(f"{tmp}/data/b.csv", "3,cy,2024-02-01 00:00:00\n4,toolongname,2024-02-01 00:00:00\n")
+    write(f"{tmp}/cmds/1.cmd", f"s,1,{a},2024-01-05 10:00:00.0,t,60\ns,1,{b},2024-02-05 10:00:00.0,t,60\n")
+    write(f"{tmp}/cmds/2.cmd", f"s,1,{tmp}/data/missing.csv,2024-01-05 10:00:00.0,t,60\ns,2,{a},2024-01-05 10:00:00.0,t,60\n"
+          "s,1,/x.csv,never,t,60\n")
+    return a, b
+
+
+def latest_states(spark, layout):
+    latest = ledger_latest(read_ledger(spark, layout.ledger))
+    return {(os.path.basename(r["data_path"]), r["event_type"]): (r["state"], r["state_info"]) for r in latest.collect()}
+
+
+def test_round_trip_and_rerun(spark, tmp):
+    setup_files(tmp)
+    layout = Layout(f"{tmp}/wh")
+    reg = spark.createDataFrame(REG, "event_type int, base string, columns string, cycle string, partgranularity int, state int")
+    for _ in range(2):  # the same batch twice leaves one copy
+        run_batch(spark, command_scan(spark, f"{tmp}/cmds"), reg, layout, batch_id=7)
+    t = read_target(spark, layout.target("people_60"))
+    got = sorted((r["id"], r["dest_table"], r["period"]) for r in t.collect())
+    assert got == [(1, "people_60_202401", "202401"), (2, "people_60_202401", "202401"), (3, "people_60_202402", "202402")]
+    rejects = sorted(r["reason"] for r in spark.read.parquet(layout.rejects).collect())
+    assert rejects == ["malformed", "too_long:name"]
+    states = latest_states(spark, layout)
+    assert states[("a.csv", 1)] == (3, "loaded 2 rows, 1 rejected")
+    assert states[("missing.csv", 1)] == (2, "data file missing")
+    assert states[("a.csv", 2)] == (2, "unregistered event type")
+    bad_cmds = spark.read.parquet(layout.command_rejects).collect()
+    assert [r["reason"] for r in bad_cmds] == ["bad_timestamp"]
+    # one latest row per task, every command in exactly one outcome
+    assert len(states) == 4 and len(read_ledger(spark, layout.ledger).select("task_key").distinct().collect()) == 4
+
+
+def test_reject_limit_fails_whole_file(spark, tmp):
+    setup_files(tmp)
+    layout = Layout(f"{tmp}/wh")
+    reg = spark.createDataFrame(REG, "event_type int, base string, columns string, cycle string, partgranularity int, state int")
+    from tallyload.sources.profiles import PROFILES
+
+    run_batch(spark, command_scan(spark, f"{tmp}/cmds"), reg, layout, 0, profile=PROFILES["external"].with_limit(0))
+    t = read_target(spark, layout.target("people_60"), REG[0][2]).collect()
+    assert t == []  # both files have one reject, over a limit of 0
+    states = latest_states(spark, layout)
+    assert states[("a.csv", 1)][0] == 2 and "reject limit" in states[("a.csv", 1)][1]
+
+
+def test_keep_last(spark, tmp):
+    setup_files(tmp)
+    layout = Layout(f"{tmp}/wh")
+    reg = spark.createDataFrame(REG, "event_type int, base string, columns string, cycle string, partgranularity int, state int")
+    run_batch(spark, command_scan(spark, f"{tmp}/cmds"), reg, layout, 0, keep="last")
+    states = latest_states(spark, layout)
+    assert set(states) == {("b.csv", 1), ("a.csv", 2)}
+
+
+def test_stream_restart_reads_only_new_files(spark, tmp):
+    a, b = setup_files(tmp)
+    layout = Layout(f"{tmp}/wh")
+    reg = spark.createDataFrame(REG, "event_type int, base string, columns string, cycle string, partgranularity int, state int")
+
+    def run():
+        lines = stream_commands(spark, f"{tmp}/cmds", max_files_per_trigger=1)
+        stream_load(lines, lambda: reg, layout, f"{tmp}/ckpt", available_now=True).awaitTermination()
+
+    run()
+    n1 = read_target(spark, layout.target("people_60")).count()
+    run()  # nothing new: no change
+    assert read_target(spark, layout.target("people_60")).count() == n1 == 3
+    write(f"{tmp}/cmds/3.cmd", f"s,1,{a},2024-03-05 10:00:00.0,t,60\n")
+    run()
+    t = read_target(spark, layout.target("people_60"))
+    assert t.count() == 5 and t.filter(F.col("period") == "202403").count() == 2
+
+
+def test_ledger_poll_and_recover(spark, tmp):
+    a, b = setup_files(tmp)
+    layout = Layout(f"{tmp}/wh")
+    reg = spark.createDataFrame(REG, "event_type int, base string, columns string, cycle string, partgranularity int, state int")
+    tasks = spark.createDataFrame(
+        [(101, 1, a, "people_60_manual"), (102, 1, b, "people_60_manual")],
+        "task_key long, event_type int, data_path string, dest_table string",
+    ).withColumn("content_ts", F.lit("2024-04-01 00:00:00").cast("timestamp")).withColumn("task_id", F.col("task_key"))
+    ledger_append(ledger_rows(tasks, -1, 0, state=0), layout.ledger)  # another system adds NEW rows
+    q = stream_ledger_poll(spark, layout, lambda: reg, f"{tmp}/ckpt", available_now=True)
+    q.awaitTermination()
+    t = read_target(spark, layout.target("people_60"))
+    assert sorted(r["dest_table"] for r in t.collect()) == ["people_60_manual"] * 3  # name kept from the ledger row
+    states = {r["task_key"]: r["state"] for r in ledger_latest(read_ledger(spark, layout.ledger)).collect()}
+    assert states == {101: 3, 102: 3}
+    # a crash after the claim: OPERATING rows are redone by recover()
+    crashed = tasks.withColumn("task_key", F.col("task_key") + 100)
+    ledger_append(ledger_rows(crashed, -2, 1, state=1), layout.ledger)
+    assert orphaned_tasks(spark, layout).count() == 2
+    recover(spark, layout, reg)
+    assert orphaned_tasks(spark, layout).count() == 0
