@@ -52,19 +52,19 @@ def main() -> None:
         return Layout(f"{root}/{name}/run{run_no[0]}")
 
     def p1():
-        run_batch(spark, command_scan(spark, li_cmds, S.STAGED_COMMAND_REGEX), B.lineitem_registry(spark),
+        run_batch(spark, command_scan(spark, li_cmds, S.STAGED_COMMAND_REGEX, positions=False), B.lineitem_registry(spark),
                   fresh("p1"), 0, profile="quoted")
 
     def p2():
-        cmds = command_parse(command_scan(spark, ev_cmds, S.STAGED_COMMAND_REGEX), fraction="decimal")
+        cmds = command_parse(command_scan(spark, ev_cmds, S.STAGED_COMMAND_REGEX, positions=False), fraction="decimal")
         registry_resolve(cmds, S.events_registry(spark, SF_DIR)).write.format("noop").mode("overwrite").save()
 
     def p3():
-        run_batch(spark, command_scan(spark, li_bad_cmds, S.STAGED_COMMAND_REGEX), B.lineitem_registry(spark),
+        run_batch(spark, command_scan(spark, li_bad_cmds, S.STAGED_COMMAND_REGEX, positions=False), B.lineitem_registry(spark),
                   fresh("p3"), 0, profile="external")
 
     def p4():
-        run_batch(spark, command_scan(spark, doc_cmds, S.STAGED_COMMAND_REGEX), S.documents_registry(spark),
+        run_batch(spark, command_scan(spark, doc_cmds, S.STAGED_COMMAND_REGEX, positions=False), S.documents_registry(spark),
                   fresh("p4"), 0, profile="continued")
 
     def p5():

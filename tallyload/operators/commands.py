@@ -34,7 +34,12 @@ def classify_commands(
     twelve_as_midnight: bool = False,
     fraction: str = "millis",
 ) -> DataFrame:
-    """All lines with parsed fields and ``reason`` (NULL when the line is good)."""
+    """All lines with parsed fields and ``reason`` (NULL when the line is good).
+
+    ``lines`` has ``cmd_file, line_pos, raw``, or ``cmd_file, _bs, _mid, raw``
+    straight from a scan: then every line is parsed in its scan task and
+    ``line_pos`` is added last (it needs a per-split window).
+    """
     d = re.escape(delimiter)
     text = F.regexp_replace(F.translate(F.col("raw"), '"', ""), f"(?:{d})+$", "")
     fields = F.split(text, d)
@@ -54,8 +59,12 @@ def classify_commands(
         .when(F.col("event_type").isNull(), F.lit(BAD_EVENT_TYPE))
         .when(F.col("content_ts").isNull(), F.lit(BAD_TIMESTAMP))
     )
-    key = F.xxhash64("cmd_file", "line_pos", "raw")
-    return df.withColumn("reason", reason).withColumn("task_key", key).drop("_f", "_n")
+    df = df.withColumn("reason", reason).drop("_f", "_n")
+    if "line_pos" not in df.columns:
+        from tallyload.sources.commands import with_line_positions
+
+        df = with_line_positions(df)
+    return df.withColumn("task_key", F.xxhash64("cmd_file", "line_pos", "raw"))
 
 
 def command_parse(lines: DataFrame, **kw) -> DataFrame:

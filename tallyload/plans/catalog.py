@@ -168,7 +168,7 @@ def _load_orders_root(spark, d, corrupt=False, profile="quoted"):
     root = scratch_dir(spark, "orders")
     cmd_root = S.stage_orders(spark, d, root, corrupt=corrupt)
     layout = Layout(f"{root}/warehouse")
-    lines = command_scan(spark, cmd_root, name_regex=S.STAGED_COMMAND_REGEX)
+    lines = command_scan(spark, cmd_root, name_regex=S.STAGED_COMMAND_REGEX, positions=False)
     run_batch(spark, lines, S.orders_registry(spark), layout, batch_id=0, profile=profile)
     return layout
 
@@ -200,7 +200,7 @@ def _load_documents(spark, d, profile):
     root = scratch_dir(spark, "documents")
     cmd_root = S.stage_documents(spark, d, root)
     layout = Layout(f"{root}/warehouse")
-    lines = command_scan(spark, cmd_root, name_regex=S.STAGED_COMMAND_REGEX)
+    lines = command_scan(spark, cmd_root, name_regex=S.STAGED_COMMAND_REGEX, positions=False)
     run_batch(spark, lines, S.documents_registry(spark), layout, batch_id=0, profile=profile)
     return read_target(spark, layout.target("documents"))
 
@@ -228,7 +228,7 @@ def q_stream_load_orders(spark, d):
 def q_file_inventory(spark, d):
     root = scratch_dir(spark, "inventory")
     cmd_root = S.stage_orders(spark, d, root)
-    parsed = command_parse(command_scan(spark, cmd_root, name_regex=S.STAGED_COMMAND_REGEX))
+    parsed = command_parse(command_scan(spark, cmd_root, name_regex=S.STAGED_COMMAND_REGEX, positions=False))
     announced = parsed.select("data_path").unionByName(
         parsed.select(F.concat("data_path", F.lit(".missing")).alias("data_path"))
     )

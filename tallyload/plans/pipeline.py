@@ -119,7 +119,8 @@ def run_batch(
     parse_options: dict | None = None,
     guard_scope: str = "all",
 ) -> BatchResult:
-    """Load one batch of command lines (``cmd_file, line_pos, raw``).
+    """Load one batch of command lines (``cmd_file, line_pos, raw``, or the
+    unnumbered ``cmd_file, _bs, _mid, raw`` of ``command_scan(positions=False)``).
 
     ``guard_scope``: ``"all"`` skips tasks finished in any earlier batch (reads
     the whole ledger); ``"batch"`` only looks at this batch id's ledger

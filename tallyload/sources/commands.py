@@ -26,21 +26,24 @@ def command_scan(
     root: str,
     name_regex: str = r".*\.cmd",
     glob_filter: str | None = None,
+    positions: bool = True,
 ) -> DataFrame:
     """Lines of the command files under ``root`` (recursive).
 
     A file is taken when its base name matches ``name_regex`` as a whole.
     ``glob_filter`` (a glob, e.g. ``*.cmd``) can prune the listing first.
-    Returns ``cmd_file, line_pos, raw``.
+    Returns ``cmd_file, line_pos, raw``; with ``positions=False`` the raw
+    ``_bs, _mid`` pair instead, so that per-line work can run in the scan
+    tasks and lines are numbered afterwards (``classify_commands`` does so).
     """
     reader = spark.read.format("text").option("recursiveFileLookup", "true")
     if glob_filter:
         reader = reader.option("pathGlobFilter", glob_filter)
     df = reader.load(root)
-    return scan_lines(df, name_regex)
+    return scan_lines(df, name_regex, positions)
 
 
-def scan_lines(text_df: DataFrame, name_regex: str | None = r".*\.cmd") -> DataFrame:
+def scan_lines(text_df: DataFrame, name_regex: str | None = r".*\.cmd", positions: bool = True) -> DataFrame:
     """Shape a text-source DataFrame (batch or micro-batch) into command lines."""
     df = text_df
     if name_regex:
@@ -51,4 +54,6 @@ def scan_lines(text_df: DataFrame, name_regex: str | None = r".*\.cmd") -> DataF
         F.monotonically_increasing_id().alias("_mid"),
         F.col("value").alias("raw"),
     )
+    if not positions:
+        return df
     return with_line_positions(df).select("cmd_file", "line_pos", "raw")

@@ -22,7 +22,6 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyload.functions.states import FINISHED, NEW, OPERATING
 from tallyload.operators.ledger import LEDGER_SCHEMA, ledger_latest, read_ledger, replay_guard
 from tallyload.plans.pipeline import Layout, load_tasks, run_batch
-from tallyload.sources.commands import with_line_positions
 
 # Batch ids of the ledger-poll stream start here, apart from the command stream's.
 LEDGER_POLL_BATCH_BASE = 1 << 40
@@ -81,8 +80,8 @@ def stream_load(
 
     def load(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        positioned = with_line_positions(batch.withColumn("_mid", F.monotonically_increasing_id()))
-        run_batch(spark, positioned.select("cmd_file", "line_pos", "raw"), registry_loader(), layout,
+        lines = batch.select("cmd_file", "_bs", F.monotonically_increasing_id().alias("_mid"), "raw")
+        run_batch(spark, lines, registry_loader(), layout,
                   batch_base + epoch, profile=profile, keep=keep, parse_options=parse_options,
                   guard_scope="batch")
 
