@@ -10,6 +10,7 @@ from tallyload.operators.conform import conform, load_fanout, reject_limit, spli
 from tallyload.operators.ledger import (
     assign_task_ids,
     decode_states,
+    latest_state,
     ledger_append,
     ledger_latest,
     ledger_rows,
@@ -40,7 +41,7 @@ from tallyload.operators.targets import (
 __all__ = [
     "append_load", "apply_retention", "assign_task_ids", "bounded_broadcast", "classify_commands",
     "command_parse", "command_rejects", "commands_unregistered", "conform", "decode_states",
-    "files_releasable", "last_command_per_file", "ledger_append", "ledger_latest", "ledger_rows",
+    "files_releasable", "last_command_per_file", "latest_state", "ledger_append", "ledger_latest", "ledger_rows",
     "ledger_scan", "load_fanout", "load_metrics", "period_tables_missing", "queue_depth", "read_ledger", "read_target",
     "registry_active", "registry_diff", "registry_resolve", "reject_limit", "reject_sink", "replay_guard",
     "retention_plan", "split_rejects", "state_summary",

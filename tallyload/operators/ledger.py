@@ -84,6 +84,12 @@ def ledger_latest(ledger: DataFrame, key="task_key", order="version") -> DataFra
     return ledger.groupBy(*keys).agg(F.max_by(F.struct(*cols), by).alias("_r")).select("_r.*")
 
 
+def latest_state(ledger: DataFrame, key: str = "task_key", order: str = "version") -> DataFrame:
+    """Current state per key only: ``max_by(state, version)`` reads three
+    columns and hash-aggregates (the full-row ``ledger_latest`` cannot)."""
+    return ledger.groupBy(key).agg(F.max_by("state", order).alias("state"))
+
+
 def ledger_scan(latest: DataFrame, state: int, columns: list[str] | None = None) -> DataFrame:
     """A2: current tasks in ``state``."""
     return latest.filter(F.col("state") == state).select(*(columns or SCAN_COLUMNS))

@@ -29,7 +29,7 @@ from tallyload.operators.commands import classify_commands, last_command_per_fil
 from tallyload.operators.conform import conform, reject_limit, split_rejects
 from tallyload.operators.ledger import (
     ledger_append,
-    ledger_latest,
+    latest_state,
     ledger_rows,
     read_ledger,
     replay_guard,
@@ -146,7 +146,7 @@ def run_batch(
         ledger = ledger.filter(F.col("batch_id") == batch_id)
     elif guard_scope != "all":
         raise ValueError("guard_scope must be 'all' or 'batch'")
-    done = ledger_latest(ledger).filter(F.col("state").isin(*FINISHED)).select("task_key")
+    done = latest_state(ledger).filter(F.col("state").isin(*FINISHED)).select("task_key")
     # materialised reliably: the ledger listing read here is rewritten below on a replay
     cmds = replay_guard(cmds, done, "task_key").checkpoint(eager=True)
     classified.unpersist()

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyload.functions.states import FINISHED, NEW, OPERATING
-from tallyload.operators.ledger import LEDGER_SCHEMA, ledger_latest, read_ledger, replay_guard
+from tallyload.operators.ledger import LEDGER_SCHEMA, latest_state, ledger_latest, read_ledger, replay_guard
 from tallyload.plans.pipeline import Layout, load_tasks, run_batch
 
 # Batch ids of the ledger-poll stream start here, apart from the command stream's.
@@ -111,7 +111,7 @@ def stream_ledger_poll(
         s = batch.sparkSession
         tasks = ledger_latest(batch.select("task_key", "task_id", "event_type", "content_ts", "data_path",
                                            "dest_table", "version"))
-        done = ledger_latest(read_ledger(s, layout.ledger)).filter(F.col("state").isin(*FINISHED, OPERATING))
+        done = latest_state(read_ledger(s, layout.ledger)).filter(F.col("state").isin(*FINISHED, OPERATING))
         tasks = replay_guard(tasks.drop("version"), done.select("task_key"), "task_key").checkpoint(eager=True)
         load_tasks(s, tasks, registry_loader(), layout, LEDGER_POLL_BATCH_BASE + epoch, profile=profile)
 
