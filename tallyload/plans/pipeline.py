@@ -129,7 +129,7 @@ def run_batch(
     """
     gen_time = _now()
     clock = _Clock()
-    classified = classify_commands(lines, **(parse_options or {})).persist(StorageLevel.MEMORY_AND_DISK)
+    classified = classify_commands(lines, **(parse_options or {})).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     bad_cmds = classified.filter(F.col("reason").isNotNull()).select(
         "cmd_file", "line_pos", "raw", "reason", F.lit(batch_id).cast("bigint").alias("batch_id")
     )
@@ -181,7 +181,7 @@ def load_tasks(
     tasks = resolved.join(inv, "data_path", "left")
     if "task_id" not in tasks.columns:
         tasks = tasks.withColumn("task_id", F.col("task_key"))
-    tasks = tasks.persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = tasks.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     unregistered = commands_unregistered(cmds, registry)
     if "task_id" not in unregistered.columns:
         unregistered = unregistered.withColumn("task_id", F.col("task_key"))
@@ -212,8 +212,10 @@ def load_tasks(
         paths = sorted(r["data_path"] for r in per_path)
         n_tasks = sum(r["count"] for r in per_path)
         clock.lap(f"{family}: paths")
-        rows = conform(data_scan(spark, paths, schema, prof), schema).persist(StorageLevel.MEMORY_AND_DISK)
-        stats = reject_limit(rows, prof.reject_limit)
+        rows = conform(data_scan(spark, paths, schema, prof), schema).persist(StorageLevel.MEMORY_AND_DISK_DESER)
+        # one row per file; checkpointed so the ledger rows written after
+        # ``rows`` is released do not recompute the scan
+        stats = reject_limit(rows, prof.reject_limit).checkpoint(eager=True)
         task_cols = ["task_key", "dest_table", "period"]
         fam_norm = fam_tasks.withColumn("_file", normalize_path(F.col("data_path")))
         task_table = fam_norm.join(stats, "_file", "left").select(
