@@ -25,6 +25,7 @@ from tallyload.operators.registry import (
     registry_active,
     registry_diff,
     registry_resolve,
+    registry_validate,
 )
 from tallyload.operators.sizing import bounded_broadcast
 from tallyload.operators.targets import (
@@ -43,6 +44,6 @@ __all__ = [
     "command_parse", "command_rejects", "commands_unregistered", "conform", "decode_states",
     "files_releasable", "last_command_per_file", "latest_state", "ledger_append", "ledger_latest", "ledger_rows",
     "ledger_scan", "load_fanout", "load_metrics", "period_tables_missing", "queue_depth", "read_ledger", "read_target",
-    "registry_active", "registry_diff", "registry_resolve", "reject_limit", "reject_sink", "replay_guard",
+    "registry_active", "registry_diff", "registry_resolve", "registry_validate", "reject_limit", "reject_sink", "replay_guard",
     "retention_plan", "split_rejects", "state_summary",
 ]

@@ -63,3 +63,26 @@ def registry_diff(fresh: DataFrame, known: DataFrame) -> DataFrame:
     o = o.withColumn("o_present", F.lit(True))
     j = n.join(o, "event_type", "full_outer")
     return j.select("event_type", change.alias("change"))
+
+
+def registry_validate(registry: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """Enabled rows whose column list Spark cannot read: ``event_type, valid, error``.
+
+    The registry is configuration (one row per event type); its rows are
+    parsed on the driver, where Spark's DDL reader lives.  A registry larger
+    than ``max_rows`` is refused rather than pulled in.
+    """
+    from tallyload.functions.ddl import declared_schema
+
+    active = registry_active(registry).select("event_type", "columns")
+    rows = active.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"registry has more than {max_rows} enabled rows")
+    out = []
+    for r in rows:
+        try:
+            declared_schema(r["columns"])
+            out.append((r["event_type"], True, None))
+        except Exception as e:  # reported, not raised
+            out.append((r["event_type"], False, str(e).strip().splitlines()[0][:500]))
+    return registry.sparkSession.createDataFrame(out, "event_type int, valid boolean, error string")

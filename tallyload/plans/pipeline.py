@@ -28,6 +28,7 @@ from tallyload.functions.states import ERROR, FINISHED, OPERATING, SUCCESSFUL
 from tallyload.operators.commands import classify_commands, last_command_per_file, PARSED_COLUMNS
 from tallyload.operators.conform import conform, reject_limit, split_rejects
 from tallyload.operators.ledger import (
+    assign_task_ids,
     ledger_append,
     latest_state,
     ledger_rows,
@@ -118,6 +119,7 @@ def run_batch(
     keep: str = "all",
     parse_options: dict | None = None,
     guard_scope: str = "all",
+    task_ids: str = "key",
 ) -> BatchResult:
     """Load one batch of command lines (``cmd_file, line_pos, raw``, or the
     unnumbered ``cmd_file, _bs, _mid, raw`` of ``command_scan(positions=False)``).
@@ -126,6 +128,10 @@ def run_batch(
     the whole ledger); ``"batch"`` only looks at this batch id's ledger
     partitions (partition-pruned) -- enough for a stream, whose source hands
     each command file to exactly one batch, and it does not grow with history.
+
+    ``task_ids``: ``"key"`` uses the task key as id; ``"sequence"`` numbers the
+    batch's tasks after the ledger's largest id in arrival order (file, line)
+    -- the reference's numbering; the key stays the identity on replays.
     """
     gen_time = _now()
     clock = _Clock()
@@ -149,6 +155,11 @@ def run_batch(
     done = latest_state(ledger).filter(F.col("state").isin(*FINISHED)).select("task_key")
     # materialised reliably: the ledger listing read here is rewritten below on a replay
     cmds = replay_guard(cmds, done, "task_key").checkpoint(eager=True)
+    if task_ids == "sequence":
+        top = read_ledger(spark, layout.ledger).agg(F.max("task_id"))
+        cmds = assign_task_ids(cmds, ["cmd_file", "line_pos"], top)
+    elif task_ids != "key":
+        raise ValueError("task_ids must be 'key' or 'sequence'")
     classified.unpersist()
     clock.lap("replay guard")
     return load_tasks(spark, cmds, registry, layout, batch_id, profile, gen_time)
@@ -206,8 +217,14 @@ def load_tasks(
     for family, columns, event_type in sorted(families, key=lambda x: (x[0], x[2])):
         start = _now()
         prof = _profile_for(profile, event_type, family)
-        schema = declared_schema(columns)
         fam_tasks = present.filter((F.col("family") == family) & (F.col("event_type") == event_type))
+        try:
+            schema = declared_schema(columns)
+        except Exception as e:  # a bad registry row fails its tasks, not the batch
+            msg = "invalid registry columns: " + str(e).strip().splitlines()[0][:400]
+            finals.append(ledger_rows(fam_tasks, batch_id, FINAL_STEP, state=ERROR, state_info=msg,
+                                      gen_time=gen_time, exec_start=start, exec_end=_now()))
+            continue
         per_path = fam_tasks.groupBy("data_path").count().collect()  # one row per file of this batch
         paths = sorted(r["data_path"] for r in per_path)
         n_tasks = sum(r["count"] for r in per_path)

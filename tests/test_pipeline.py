@@ -110,3 +110,19 @@ def test_ledger_poll_and_recover(spark, tmp):
     assert orphaned_tasks(spark, layout).count() == 2
     recover(spark, layout, reg)
     assert orphaned_tasks(spark, layout).count() == 0
+
+
+def test_bad_registry_row_and_sequence_ids(spark, tmp):
+    setup_files(tmp)
+    layout = Layout(f"{tmp}/wh")
+    bad = [(1, "people", "id int not null, name varchar(5), ts timestamp, oops notatype", "60", 2, 1)]
+    reg = spark.createDataFrame(bad, "event_type int, base string, columns string, cycle string, partgranularity int, state int")
+    from tallyload.operators import registry_validate
+
+    v = registry_validate(reg).collect()
+    assert v[0]["valid"] is False and v[0]["error"]
+    run_batch(spark, command_scan(spark, f"{tmp}/cmds"), reg, layout, 0, task_ids="sequence")
+    latest = ledger_latest(read_ledger(spark, layout.ledger)).collect()
+    by_file = {os.path.basename(r["data_path"]): r for r in latest if r["event_type"] == 1}
+    assert by_file["a.csv"]["state"] == 2 and by_file["a.csv"]["state_info"].startswith("invalid registry columns")
+    assert sorted(r["task_id"] for r in latest) == [1, 2, 3, 4]
