@@ -21,20 +21,25 @@ def registry_active(registry: DataFrame) -> DataFrame:
     return registry.filter(F.col("state") == 1).withColumn("split_mode", split_mode("partgranularity"))
 
 
-def registry_resolve(tasks: DataFrame, registry: DataFrame, ts_col: str = "content_ts") -> DataFrame:
-    """Tasks of registered types, with their target family and table name."""
+def registry_resolve(tasks: DataFrame, registry: DataFrame, ts_col: str = "content_ts",
+                     checked: bool = False) -> DataFrame:
+    """Tasks of registered types, with their target family and table name.
+
+    ``checked=True`` says the registry was already size-checked (and hinted)
+    by the caller, e.g. once per batch; otherwise it is checked here.
+    """
     reg = registry_active(registry).select(
         "event_type", "base", "cycle", "split_mode", "columns",
         family_name("base", "cycle").alias("family"),
     )
-    joined = tasks.join(bounded_broadcast(reg), "event_type", "inner")
+    joined = tasks.join(reg if checked else bounded_broadcast(reg), "event_type", "inner")
     return joined.withColumn("dest_table", dest_table_name("base", "cycle", "split_mode", ts_col))
 
 
-def commands_unregistered(tasks: DataFrame, registry: DataFrame) -> DataFrame:
+def commands_unregistered(tasks: DataFrame, registry: DataFrame, checked: bool = False) -> DataFrame:
     """Tasks whose event type has no enabled registry row."""
     reg = registry_active(registry).select("event_type")
-    return tasks.join(bounded_broadcast(reg), "event_type", "left_anti")
+    return tasks.join(reg if checked else bounded_broadcast(reg), "event_type", "left_anti")
 
 
 def registry_diff(fresh: DataFrame, known: DataFrame) -> DataFrame:

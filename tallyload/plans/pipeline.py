@@ -36,7 +36,7 @@ from tallyload.operators.ledger import (
     replay_guard,
 )
 from tallyload.operators.registry import commands_unregistered, registry_resolve
-from tallyload.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS
+from tallyload.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 from tallyload.operators.targets import append_load, reject_sink
 from tallyload.sources.datafiles import data_scan, file_inventory
 from tallyload.sources.profiles import PROFILES, LoadProfile
@@ -183,7 +183,8 @@ def load_tasks(
     given_dest = "dest_table" in cmds.columns
     if given_dest:
         cmds = cmds.withColumnRenamed("dest_table", "_given_dest")
-    resolved = registry_resolve(cmds, registry).withColumn(
+    registry = bounded_broadcast(registry)  # checked once for the whole batch
+    resolved = registry_resolve(cmds, registry, checked=True).withColumn(
         "period", F.coalesce(period_of("split_mode", "content_ts"), F.lit(UNSPLIT_PERIOD))
     )
     if given_dest:
@@ -193,7 +194,7 @@ def load_tasks(
     if "task_id" not in tasks.columns:
         tasks = tasks.withColumn("task_id", F.col("task_key"))
     tasks = tasks.persist(StorageLevel.MEMORY_AND_DISK_DESER)
-    unregistered = commands_unregistered(cmds, registry)
+    unregistered = commands_unregistered(cmds, registry, checked=True)
     if "task_id" not in unregistered.columns:
         unregistered = unregistered.withColumn("task_id", F.col("task_key"))
 
@@ -208,13 +209,12 @@ def load_tasks(
                     state_info="data file missing", gen_time=gen_time, exec_start=gen_time, exec_end=gen_time),
     ]
     present = tasks.filter(F.col("file_exists"))
-    families = [
-        (r["family"], r["columns"], r["event_type"])
-        for r in present.select("family", "columns", "event_type").distinct().collect()
-    ]
+    # one row per (family, file) of this batch: the families and each one's file list
+    files = present.groupBy("family", "columns", "event_type", "data_path").count().collect()
+    families = sorted({(r["family"], r["columns"], r["event_type"]) for r in files}, key=lambda x: (x[0], x[2]))
     clock.lap("families")
     done_families = []
-    for family, columns, event_type in sorted(families, key=lambda x: (x[0], x[2])):
+    for family, columns, event_type in families:
         start = _now()
         prof = _profile_for(profile, event_type, family)
         fam_tasks = present.filter((F.col("family") == family) & (F.col("event_type") == event_type))
@@ -225,7 +225,7 @@ def load_tasks(
             finals.append(ledger_rows(fam_tasks, batch_id, FINAL_STEP, state=ERROR, state_info=msg,
                                       gen_time=gen_time, exec_start=start, exec_end=_now()))
             continue
-        per_path = fam_tasks.groupBy("data_path").count().collect()  # one row per file of this batch
+        per_path = [r for r in files if (r["family"], r["event_type"]) == (family, event_type)]
         paths = sorted(r["data_path"] for r in per_path)
         n_tasks = sum(r["count"] for r in per_path)
         clock.lap(f"{family}: paths")

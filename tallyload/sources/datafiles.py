@@ -152,29 +152,51 @@ def assemble_records(spark: SparkSession, paths: list[str], profile: LoadProfile
     ).filter(F.col("_record") != "")
 
 
+def default_filesystem(spark: SparkSession) -> str:
+    """The file system a path without a scheme means to Spark (``fs.defaultFS``)."""
+    try:
+        fs = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+    except Exception:  # no JVM handle (e.g. a remote session): local files
+        fs = None
+    return fs or "file:///"
+
+
 def file_inventory(paths: DataFrame, path_col: str = "data_path") -> DataFrame:
     """``path, data_size, file_exists`` for each distinct announced path.
 
     Sizes are looked up on the executors, a batch of paths per task; a missing
-    path or anything that is not a regular file has size 0.
+    path or anything that is not a regular file has size 0.  A path without a
+    scheme is looked up on the session's default file system, as Spark would.
     """
+    default_fs = default_filesystem(paths.sparkSession).rstrip("/")
     distinct = paths.select(F.col(path_col).alias("path")).distinct()
 
     def stat(batches):
         import pyarrow.fs as pafs
 
         local = pafs.LocalFileSystem()
+        remote = {}
+
+        def locate(p):
+            if "://" not in p and not p.startswith("file:"):
+                p = p if default_fs.startswith("file:") else default_fs + "/" + p.lstrip("/")
+            if p.startswith("file:") or "://" not in p:
+                rel = p[5:] if p.startswith("file:") else p
+                return local, "/" + rel.lstrip("/")
+            scheme, rest = p.split("://", 1)
+            uri = ("s3" if scheme in ("s3a", "s3n") else scheme) + "://" + rest
+            base = uri.split("/", 3)
+            root = "/".join(base[:3])
+            if root not in remote:
+                remote[root] = pafs.FileSystem.from_uri(root)[0]
+            return remote[root], pafs.FileSystem.from_uri(uri)[1]
+
         for pdf in batches:
             sizes, exists = [], []
             for p in pdf["path"]:
                 size, ok = 0, False
                 try:
-                    if p.startswith("file:"):
-                        fs, rel = local, p[5:].replace("///", "/", 1) if p.startswith("file:///") else p[5:]
-                    elif "://" in p:
-                        fs, rel = pafs.FileSystem.from_uri(p)
-                    else:
-                        fs, rel = local, p
+                    fs, rel = locate(p)
                     info = fs.get_file_info(rel)
                     if info.type == pafs.FileType.File:
                         size, ok = int(info.size), True

@@ -158,3 +158,14 @@ def test_orders_round_trip_rows(spark, tmp):
     )
     assert got.count() == src.count()
     assert got.exceptAll(src).count() == 0 and src.exceptAll(got).count() == 0
+
+
+def test_file_inventory_forms(spark, tmp):
+    from tallyload.sources.datafiles import file_inventory
+
+    a = write(f"{tmp}/d/a b.csv", "12345")
+    os.makedirs(f"{tmp}/d/dir", exist_ok=True)
+    df = spark.createDataFrame([(a,), (f"file:{a}",), (f"{tmp}/d/none.csv",), (f"{tmp}/d/dir",)], "data_path string")
+    got = {r["path"]: (r["data_size"], r["file_exists"]) for r in file_inventory(df).collect()}
+    assert got[a] == (5, True) and got[f"file:{a}"] == (5, True)
+    assert got[f"{tmp}/d/none.csv"] == (0, False) and got[f"{tmp}/d/dir"] == (0, False)
