@@ -66,6 +66,17 @@ def ledger_append(rows: DataFrame, ledger_root: str) -> None:
 
 
 def read_ledger(spark: SparkSession, ledger_root: str) -> DataFrame:
+    """The ledger log; when a compaction snapshot exists, the snapshot plus
+    the log rows of later batches (same answer, less to read)."""
+    snap = latest_snapshot(spark, ledger_root)
+    if snap is not None:
+        path, upto = snap
+        log = _read_log(spark, ledger_root).filter(F.col("batch_id") > upto)
+        return spark.read.schema(LEDGER_SCHEMA).parquet(path).unionByName(log)
+    return _read_log(spark, ledger_root)
+
+
+def _read_log(spark: SparkSession, ledger_root: str) -> DataFrame:
     try:
         return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_root)
     except Exception as e:  # no ledger written yet
@@ -74,6 +85,48 @@ def read_ledger(spark: SparkSession, ledger_root: str) -> DataFrame:
         raise
 
 
+def _snapshot_root(ledger_root: str) -> str:
+    return ledger_root.rstrip("/") + "_snapshots"
+
+
+def latest_snapshot(spark: SparkSession, ledger_root: str):
+    """(path, upto_batch) of the newest complete snapshot, or None.
+
+    Lists the snapshot folders through Hadoop's FileSystem on the driver
+    (folder names and markers only), so it works on any cluster file system.
+    """
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(_snapshot_root(ledger_root))
+        fs = root.getFileSystem(conf)
+        if not fs.exists(root):
+            return None
+        best = None
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            done = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
+            if st.isDirectory() and name.startswith("upto=") and done:
+                n = int(name[5:])
+                if best is None or n > best[1]:
+                    best = (st.getPath().toString(), n)
+        return best
+    except Exception:  # no JVM handle: read the plain log
+        return None
+
+
+def compact_ledger(spark: SparkSession, ledger_root: str, upto_batch: int) -> str:
+    """Write the newest row of every task seen up to ``upto_batch`` as a
+    snapshot; later reads combine it with newer log rows only.
+
+    The log itself is left alone (removing old log partitions is a separate,
+    explicit housekeeping step).  Returns the snapshot folder.
+    """
+    path = f"{_snapshot_root(ledger_root)}/upto={upto_batch}"
+    upto = read_ledger(spark, ledger_root).filter(F.col("batch_id") <= upto_batch)
+    ledger_latest(upto).select(*LEDGER_COLUMNS).write.mode("overwrite").parquet(path)
+    return path
+
+
 def ledger_latest(ledger: DataFrame, key="task_key", order="version") -> DataFrame:
     """The newest row per key (``max_by`` is combined map-side, so a key
     with many versions does not gather in one task)."""
@@ -129,6 +182,7 @@ def load_metrics(ledger_latest_df: DataFrame, by=("dest_table",)) -> DataFrame:
         F.sum("data_size").cast("bigint").alias("bytes"),
         F.sum(secs).cast("bigint").alias("secs"),
         F.max(secs).cast("bigint").alias("max_secs"),
+        F.percentile_approx(secs, 0.95).cast("bigint").alias("p95_secs"),
     )
 
 

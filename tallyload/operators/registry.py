@@ -91,3 +91,12 @@ def registry_validate(registry: DataFrame, max_rows: int = 10_000) -> DataFrame:
         except Exception as e:  # reported, not raised
             out.append((r["event_type"], False, str(e).strip().splitlines()[0][:500]))
     return registry.sparkSession.createDataFrame(out, "event_type int, valid boolean, error string")
+
+
+def tables_needed_now(registry: DataFrame, now=None) -> DataFrame:
+    """B5's current-time twin: the target table each enabled registry row
+    writes to at ``now`` (default: the current timestamp) -- the input of the
+    periodic "which period tables are missing" report (C4)."""
+    ts = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    reg = registry_active(registry)
+    return reg.select("event_type", dest_table_name("base", "cycle", "split_mode", ts).alias("dest_table"))

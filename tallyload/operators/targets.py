@@ -64,6 +64,29 @@ def read_target(spark, target_path: str, columns: str | None = None) -> DataFram
     return df.withColumn("period", F.col("period").cast("string"))
 
 
+def existing_tables(spark, target_path: str) -> DataFrame:
+    """Target table names present in a family's target (distinct ``dest_table``)."""
+    try:
+        return spark.read.parquet(target_path).select("dest_table").distinct()
+    except Exception as e:
+        if any(k in str(e) for k in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND")):
+            return spark.createDataFrame([], "dest_table string")
+        raise
+
+
+def period_view(spark, target_path: str, family: str, dest_table: str, view_name: str | None = None) -> DataFrame:
+    """E2 on demand: one period table of a family as a (temporary) view.
+
+    The period is the part of ``dest_table`` after ``family_``, so the read
+    is pruned to that partition.
+    """
+    prefix = family + "_"
+    period = dest_table[len(prefix):] if dest_table.startswith(prefix) else "all"
+    df = read_target(spark, target_path).filter((F.col("period") == period) & (F.col("dest_table") == dest_table))
+    df.createOrReplaceTempView(view_name or dest_table)
+    return df
+
+
 def reject_sink(bad_rows: DataFrame, path: str) -> None:
     """Rejected rows (file, raw text, reason, task) by batch."""
     _overwrite_partitions(bad_rows, path, ["batch_id"])

@@ -142,6 +142,11 @@ def test_fanout_one_file_two_families(spark, tmp):
     n = read_target(spark, layout.target("names")).collect()
     assert sorted(r["name"] for r in p) == ["ann", "bob"] and {r["dest_table"] for r in p} == {"people_60_202401"}
     assert sorted(r["name"] for r in n) == ["ann", "bob"] and {r["dest_table"] for r in n} == {"names_2024"}
+    from tallyload.operators import existing_tables, period_view
+
+    period_view(spark, layout.target("names"), "names", "names_2024")
+    assert spark.sql("select count(*) as c from names_2024").first()["c"] == 2
+    assert [r["dest_table"] for r in existing_tables(spark, layout.target("names")).collect()] == ["names_2024"]
 
 
 def test_orders_round_trip_rows(spark, tmp):

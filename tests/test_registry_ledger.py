@@ -84,3 +84,25 @@ def test_fixture6_releasable_and_retention(spark):
     assert succ["b"] == ("keep", "in_use") and succ["d"] == ("keep", "in_use")
     both = plan("delete", "delete")
     assert both["c"] == ("delete", "released")
+
+
+def test_compaction_keeps_latest(spark, tmp_path):
+    from tallyload.operators.ledger import compact_ledger, ledger_append, ledger_rows, read_ledger
+
+    root = str(tmp_path / "ledger")
+    tasks = spark.createDataFrame([(k, 1, f"/d/{k}.csv") for k in range(20)], "task_key long, event_type int, data_path string")
+    for b in range(3):
+        ledger_append(ledger_rows(tasks.filter(F.col("task_key") % 3 >= b), b, 1, state=b + 1), root)
+    before = sorted((r["task_key"], r["state"], r["version"]) for r in ledger_latest(read_ledger(spark, root)).collect())
+    compact_ledger(spark, root, 1)
+    after_df = read_ledger(spark, root)
+    after = sorted((r["task_key"], r["state"], r["version"]) for r in ledger_latest(after_df).collect())
+    assert before == after and after_df.count() < 20 + 14 + 7
+
+
+def test_tables_needed_now(spark):
+    reg = spark.createDataFrame(REG, REGISTRY_SCHEMA)
+    from tallyload.operators import tables_needed_now
+
+    got = {r["event_type"]: r["dest_table"] for r in tables_needed_now(reg, dt.datetime(2024, 3, 9, 12)).collect()}
+    assert got == {1: "click_60_20240309", 3: "purchase_2024", 4: "signup_60", 5: "view"}
