@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tallyload.functions.naming import file_extension
 from tallyload.operators import (
     assign_task_ids,
+    compact_ledger,
     command_parse,
     command_rejects,
     commands_unregistered,
@@ -30,10 +31,13 @@ from tallyload.operators import (
     registry_active,
     registry_diff,
     registry_resolve,
+    registry_validate,
     replay_guard,
     retention_plan,
     state_summary,
+    tables_needed_now,
 )
+from tallyload.operators.ledger import ledger_append, ledger_rows, read_ledger
 from tallyload.plans import scenario as S
 from tallyload.plans.pipeline import Layout, run_batch
 from tallyload.session import scratch_dir
@@ -164,6 +168,45 @@ def q_file_extension(spark, d):
     return S.table(spark, d, "pages").select("page_id", file_extension("url").alias("extension"))
 
 
+def q_tables_needed_now(spark, d):
+    last = S.table(spark, d, "events").agg(F.max("ts")).first()[0]  # one scalar: "now" = last event
+    return tables_needed_now(S.events_registry(spark, d), now=last).select(
+        F.col("event_type").alias("eventtype"), "dest_table"
+    )
+
+
+def q_registry_validate(spark, d):
+    return registry_validate(S.events_registry(spark, d)).select(F.col("event_type").alias("eventtype"), "valid")
+
+
+def q_ledger_compacted(spark, d):
+    """E4 + E6 through real writes: the event ledger written as three batches
+    (one per transition), compacted up to batch 1, read back."""
+    root = scratch_dir(spark, "ledger") + "/ledger"
+    log = S.events_ledger(spark, d).withColumn("batch_id", F.col("step").cast("bigint"))
+    ledger_append(log, root)
+    compact_ledger(spark, root, 1)
+    latest = ledger_latest(read_ledger(spark, root))
+    return latest.select(F.col("task_id").alias("id"), "state")
+
+
+def q_stream_ledger_poll(spark, d):
+    """NEW rows put in the ledger by another system are claimed and loaded."""
+    from tallyload.streaming import stream_ledger_poll
+
+    root = scratch_dir(spark, "orders-poll")
+    cmd_root = S.stage_orders(spark, d, root)
+    layout = Layout(f"{root}/warehouse")
+    cmds = command_parse(command_scan(spark, cmd_root, name_regex=S.STAGED_COMMAND_REGEX, positions=False))
+    new = cmds.withColumn("task_id", F.col("task_key")).withColumn(
+        "dest_table", F.concat(F.lit("orders_"), F.date_format("content_ts", "yyyy"))
+    )
+    ledger_append(ledger_rows(new, -1, 0, state=0), layout.ledger)
+    q = stream_ledger_poll(spark, layout, lambda: S.orders_registry(spark), f"{root}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return _orders_totals(read_target(spark, layout.target("orders")))
+
+
 def _load_orders_root(spark, d, corrupt=False, profile="quoted"):
     root = scratch_dir(spark, "orders")
     cmd_root = S.stage_orders(spark, d, root, corrupt=corrupt)
@@ -264,6 +307,10 @@ QUERIES: dict[str, Query] = {
     "load_continued": q_load_continued,
     "stream_load_orders": q_stream_load_orders,
     "file_inventory": q_file_inventory,
+    "tables_needed_now": q_tables_needed_now,
+    "registry_validate": q_registry_validate,
+    "ledger_compacted": q_ledger_compacted,
+    "stream_ledger_poll": q_stream_ledger_poll,
 }
 
 # ---------------------------------------------------------------- oracle SQL
@@ -330,6 +377,10 @@ _ON_PREFIX = {
     "period_tables_missing": f"select distinct {_DEST} as dest_table from cmd k join reg r on k.eventtype = r.eventtype "
     f"where r.state = 1 except select distinct {_DEST} as dest_table from cmd k join reg r on k.eventtype = r.eventtype "
     "where r.state = 1 and k.state = 3 and k.content_ts < timestamp '2024-01-20 00:00:00'",
+    "tables_needed_now": f"select r.eventtype, {_DEST} as dest_table from reg r, "
+    "(select max(ts) as content_ts from events) k where r.state = 1",
+    "registry_validate": "select eventtype, true as valid from reg where state = 1",
+    "ledger_compacted": "select id, state from cmd",
     "retention_plan": "select path, case when sum(case when state in (0, 1) then 1 else 0 end) = 0 "
     "and sum(case when state = 3 then 0 else 1 end) = 0 then 'delete' else 'keep' end as action, "
     "case when sum(case when state in (0, 1) then 1 else 0 end) > 0 then 'in_use' "
@@ -348,6 +399,7 @@ ORACLE_SQL.update(
         "file_extension": r"select page_id, regexp_extract(url, '\.([^.]+)$', 1) as extension from pages",
         "load_orders": _ORDERS_TOTALS,
         "stream_load_orders": _ORDERS_TOTALS,
+        "stream_ledger_poll": _ORDERS_TOTALS,
         "split_rejects": "select cast(year(o_orderdate) as int) as y, count(*) filter (where o_orderkey % 97 <> 0) "
         "as good, count(*) filter (where o_orderkey % 97 = 0) as bad from orders group by 1",
         "load_multiline": "select doc_id, md5(text) as h from documents",
