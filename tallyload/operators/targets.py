@@ -88,8 +88,11 @@ def period_view(spark, target_path: str, family: str, dest_table: str, view_name
 
 
 def reject_sink(bad_rows: DataFrame, path: str) -> None:
-    """Rejected rows (file, raw text, reason, task) by batch."""
-    _overwrite_partitions(bad_rows, path, ["batch_id"])
+    """Rejected rows (file, raw text, reason, task) by batch, and by
+    family when the rows carry one (each family's write replaces only its
+    own partition of the batch)."""
+    parts = ["batch_id", "family"] if "family" in bad_rows.columns else ["batch_id"]
+    _overwrite_partitions(bad_rows, path, parts)
 
 
 def queue_depth(tasks: DataFrame) -> DataFrame:

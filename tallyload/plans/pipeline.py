@@ -214,59 +214,77 @@ def load_tasks(
     families = sorted({(r["family"], r["columns"], r["event_type"]) for r in files}, key=lambda x: (x[0], x[2]))
     clock.lap("families")
     done_families = []
+    members: dict[str, list[tuple[str, int]]] = {}
     for family, columns, event_type in families:
+        members.setdefault(family, []).append((columns, event_type))
+    # one target write and one reject write per family, whatever the number
+    # of event types feeding it (each write replaces its own partitions)
+    for family, types in sorted(members.items()):
         start = _now()
-        prof = _profile_for(profile, event_type, family)
-        fam_tasks = present.filter((F.col("family") == family) & (F.col("event_type") == event_type))
-        try:
-            schema = declared_schema(columns)
-        except Exception as e:  # a bad registry row fails its tasks, not the batch
-            msg = "invalid registry columns: " + str(e).strip().splitlines()[0][:400]
-            finals.append(ledger_rows(fam_tasks, batch_id, FINAL_STEP, state=ERROR, state_info=msg,
-                                      gen_time=gen_time, exec_start=start, exec_end=_now()))
-            continue
-        per_path = [r for r in files if (r["family"], r["event_type"]) == (family, event_type)]
-        paths = sorted(r["data_path"] for r in per_path)
-        n_tasks = sum(r["count"] for r in per_path)
-        clock.lap(f"{family}: paths")
-        rows = conform(data_scan(spark, paths, schema, prof), schema).persist(StorageLevel.MEMORY_AND_DISK_DESER)
-        # one row per file; checkpointed so the ledger rows written after
-        # ``rows`` is released do not recompute the scan
-        stats = reject_limit(rows, prof.reject_limit).checkpoint(eager=True)
-        task_cols = ["task_key", "dest_table", "period"]
-        fam_norm = fam_tasks.withColumn("_file", normalize_path(F.col("data_path")))
-        task_table = fam_norm.join(stats, "_file", "left").select(
-            "_file", *task_cols, F.coalesce("admitted", F.lit(True)).alias("admitted")
-        )
-        task_table = F.broadcast(task_table) if n_tasks <= DEFAULT_MAX_BROADCAST_ROWS else task_table
-        good, bad = split_rejects(rows, schema)
-        good = good.join(task_table.filter("admitted"), "_file").drop("admitted", "_file")
-        append_load(good.withColumn("batch_id", F.lit(batch_id).cast("bigint")), layout.target(family))
-        clock.lap(f"{family}: stats + targets")
-        bad = bad.join(task_table, "_file").select(
-            "task_key", F.col("_file").alias("data_path"), "dest_table", "raw", "reason",
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-        )
-        reject_sink(bad, layout.rejects)
-        clock.lap(f"{family}: rejects")
+        goods, bads, cached, outcomes = [], [], [], []
+        for columns, event_type in types:
+            prof = _profile_for(profile, event_type, family)
+            fam_tasks = present.filter((F.col("family") == family) & (F.col("event_type") == event_type))
+            try:
+                schema = declared_schema(columns)
+            except Exception as e:  # a bad registry row fails its tasks, not the batch
+                msg = "invalid registry columns: " + str(e).strip().splitlines()[0][:400]
+                finals.append(ledger_rows(fam_tasks, batch_id, FINAL_STEP, state=ERROR, state_info=msg,
+                                          gen_time=gen_time, exec_start=start, exec_end=_now()))
+                continue
+            per_path = [r for r in files if (r["family"], r["event_type"]) == (family, event_type)]
+            paths = sorted(r["data_path"] for r in per_path)
+            n_tasks = sum(r["count"] for r in per_path)
+            rows = conform(data_scan(spark, paths, schema, prof), schema).persist(StorageLevel.MEMORY_AND_DISK_DESER)
+            cached.append(rows)
+            # one row per file; checkpointed so the ledger rows written after
+            # ``rows`` is released do not recompute the scan
+            stats = reject_limit(rows, prof.reject_limit).checkpoint(eager=True)
+            task_cols = ["task_key", "dest_table", "period"]
+            fam_norm = fam_tasks.withColumn("_file", normalize_path(F.col("data_path")))
+            task_table = fam_norm.join(stats, "_file", "left").select(
+                "_file", *task_cols, F.coalesce("admitted", F.lit(True)).alias("admitted")
+            )
+            task_table = F.broadcast(task_table) if n_tasks <= DEFAULT_MAX_BROADCAST_ROWS else task_table
+            good, bad = split_rejects(rows, schema)
+            goods.append(good.join(task_table.filter("admitted"), "_file").drop("admitted", "_file"))
+            bads.append(bad.join(task_table, "_file").select(
+                "task_key", F.col("_file").alias("data_path"), "dest_table", "raw", "reason",
+            ))
+            outcome = fam_norm.join(stats, "_file", "left").select(
+                *fam_tasks.columns,
+                F.coalesce("rows", F.lit(0)).alias("_rows"),
+                F.coalesce("rejects", F.lit(0)).alias("_rejects"),
+                F.coalesce("admitted", F.lit(True)).alias("_ok"),
+            )
+            outcomes.append((outcome, prof))
+        clock.lap(f"{family}: scan + stats")
+        if goods:
+            good = goods[0]
+            for g in goods[1:]:
+                good = good.unionByName(g, allowMissingColumns=True)
+            append_load(good.withColumn("batch_id", F.lit(batch_id).cast("bigint")), layout.target(family))
+            bad = bads[0]
+            for b in bads[1:]:
+                bad = bad.unionByName(b)
+            reject_sink(bad.select("*", F.lit(batch_id).cast("bigint").alias("batch_id"),
+                                   F.lit(family).alias("family")), layout.rejects)
+            clock.lap(f"{family}: targets + rejects")
         end = _now()
-        outcome = fam_norm.join(stats, "_file", "left").select(
-            *fam_tasks.columns,
-            F.coalesce("rows", F.lit(0)).alias("_rows"),
-            F.coalesce("rejects", F.lit(0)).alias("_rejects"),
-            F.coalesce("admitted", F.lit(True)).alias("_ok"),
-        )
-        info = F.when(
-            F.col("_ok"),
-            F.format_string("loaded %d rows, %d rejected", F.col("_rows") - F.col("_rejects"), F.col("_rejects")),
-        ).otherwise(F.format_string("reject limit %d exceeded: %d rejected", F.lit(prof.reject_limit or 0),
-                                    F.col("_rejects")))
-        finals.append(
-            ledger_rows(outcome, batch_id, FINAL_STEP,
-                        state=F.when(F.col("_ok"), F.lit(SUCCESSFUL)).otherwise(F.lit(ERROR)),
-                        state_info=info, gen_time=gen_time, exec_start=start, exec_end=end)
-        )
-        rows.unpersist()
+        for outcome, prof in outcomes:
+            info = F.when(
+                F.col("_ok"),
+                F.format_string("loaded %d rows, %d rejected", F.col("_rows") - F.col("_rejects"),
+                                F.col("_rejects")),
+            ).otherwise(F.format_string("reject limit %d exceeded: %d rejected", F.lit(prof.reject_limit or 0),
+                                        F.col("_rejects")))
+            finals.append(
+                ledger_rows(outcome, batch_id, FINAL_STEP,
+                            state=F.when(F.col("_ok"), F.lit(SUCCESSFUL)).otherwise(F.lit(ERROR)),
+                            state_info=info, gen_time=gen_time, exec_start=start, exec_end=end)
+            )
+        for rows in cached:
+            rows.unpersist()
         done_families.append(family)
     final = finals[0]
     for f in finals[1:]:

@@ -174,3 +174,25 @@ def test_file_inventory_forms(spark, tmp):
     got = {r["path"]: (r["data_size"], r["file_exists"]) for r in file_inventory(df).collect()}
     assert got[a] == (5, True) and got[f"file:{a}"] == (5, True)
     assert got[f"{tmp}/d/none.csv"] == (0, False) and got[f"{tmp}/d/dir"] == (0, False)
+
+
+def test_two_families_and_shared_family_keep_all_rejects(spark, tmp):
+    a = write(f"{tmp}/data/a.csv", "1,ann,2024-01-01 00:00:00\nx,bad,zz\n")
+    b = write(f"{tmp}/data/b.csv", "2,bob\ny,bad\n")
+    c = write(f"{tmp}/data/c.csv", "3,cy,2024-01-01 00:00:00\nz,bad,zz\n")
+    write(f"{tmp}/cmds/x.cmd", f"s,1,{a},2024-01-05 10:00:00.0,t,60\ns,2,{b},2024-01-05 10:00:00.0,t,60\n"
+          f"s,3,{c},2024-01-05 10:00:00.0,t,60\n")
+    reg = spark.createDataFrame(
+        [(1, "people", "id int, name string, ts timestamp", "60", 2, 1),
+         (2, "pets", "id int, name string", "", 0, 1),
+         (3, "people", "id int, name string, ts timestamp", "60", 2, 1)],  # same family as type 1
+        "event_type int, base string, columns string, cycle string, partgranularity int, state int",
+    )
+    layout = Layout(f"{tmp}/wh")
+    for _ in range(2):
+        run_batch(spark, command_scan(spark, f"{tmp}/cmds"), reg, layout, 0)
+    rejects = spark.read.parquet(layout.rejects).collect()
+    assert sorted(r["raw"] for r in rejects) == ["x,bad,zz", "y,bad", "z,bad,zz"]
+    people = read_target(spark, layout.target("people_60")).collect()
+    assert sorted(r["name"] for r in people) == ["ann", "cy"]
+    assert [r["name"] for r in read_target(spark, layout.target("pets")).collect()] == ["bob"]
