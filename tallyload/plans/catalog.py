@@ -377,8 +377,9 @@ _ON_PREFIX = {
     "period_tables_missing": f"select distinct {_DEST} as dest_table from cmd k join reg r on k.eventtype = r.eventtype "
     f"where r.state = 1 except select distinct {_DEST} as dest_table from cmd k join reg r on k.eventtype = r.eventtype "
     "where r.state = 1 and k.state = 3 and k.content_ts < timestamp '2024-01-20 00:00:00'",
-    "tables_needed_now": f"select r.eventtype, {_DEST} as dest_table from reg r, "
-    "(select max(ts) as content_ts from events) k where r.state = 1",
+    "tables_needed_now": "select r.eventtype, "
+    + _DEST.replace("k.content_ts", "(select max(ts) from events)")
+    + " as dest_table from reg r where r.state = 1",
     "registry_validate": "select eventtype, true as valid from reg where state = 1",
     "ledger_compacted": "select id, state from cmd",
     "retention_plan": "select path, case when sum(case when state in (0, 1) then 1 else 0 end) = 0 "

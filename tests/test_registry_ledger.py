@@ -106,3 +106,17 @@ def test_tables_needed_now(spark):
 
     got = {r["event_type"]: r["dest_table"] for r in tables_needed_now(reg, dt.datetime(2024, 3, 9, 12)).collect()}
     assert got == {1: "click_60_20240309", 3: "purchase_2024", 4: "signup_60", 5: "view"}
+
+
+def test_apply_retention_only_when_confirmed(spark, tmp_path):
+    from tallyload.operators import apply_retention
+
+    a, b = tmp_path / "a.csv", tmp_path / "b.pipe4cep"
+    a.write_text("1\n")
+    b.write_text("2\n")
+    latest = spark.createDataFrame([(str(a), 3), (str(b), 2)], "data_path string, state int")
+    plan = retention_plan(latest, "delete", "none")
+    dry = apply_retention(plan).collect()
+    assert {r["removed"] for r in dry} == {False} and a.exists() and b.exists()
+    done = {r["path"]: r["removed"] for r in apply_retention(plan, confirm=True).collect()}
+    assert done == {str(a): True, str(b): True} and not a.exists() and not b.exists()
