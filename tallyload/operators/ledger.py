@@ -175,13 +175,14 @@ def assign_task_ids(pending: DataFrame, order_cols: list[str], start_after, id_c
 
 
 def load_metrics(ledger_latest_df: DataFrame, by=("dest_table",)) -> DataFrame:
-    """D3: loads, bytes and seconds per group for finished loads."""
+    """D3: loads, bytes and seconds (sum, max, mean, approximate p95) per group."""
     secs = F.unix_timestamp("exec_end") - F.unix_timestamp("exec_start")
     return ledger_latest_df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("loads"),
         F.sum("data_size").cast("bigint").alias("bytes"),
         F.sum(secs).cast("bigint").alias("secs"),
         F.max(secs).cast("bigint").alias("max_secs"),
+        F.avg(secs).alias("avg_secs"),
         F.percentile_approx(secs, 0.95).cast("bigint").alias("p95_secs"),
     )
 

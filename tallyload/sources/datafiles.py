@@ -41,6 +41,8 @@ def data_scan(spark: SparkSession, paths: list[str], schema: DeclaredSchema, pro
         return df.select(*[F.col(f"`{n}`") for n in schema.names], CORRUPT_COLUMN,
                          normalize_path(F.col("_metadata.file_path"), decode=True).alias("_file"))
     if profile.layout in ("continued", "multiline"):
+        if profile.encoding.replace("-", "").upper() != "UTF8":
+            raise ValueError(f"layout {profile.layout!r} reads UTF-8 text only, not {profile.encoding}")
         records = assemble_records(spark, paths, profile)
         opts = profile.csv_options()
         for k in ("header", "encoding"):
