@@ -23,8 +23,19 @@ from tallyload.functions.states import FINISHED, NEW, OPERATING
 from tallyload.operators.ledger import LEDGER_SCHEMA, latest_state, ledger_latest, read_ledger, replay_guard
 from tallyload.plans.pipeline import Layout, load_tasks, run_batch
 
-# Batch ids of the ledger-poll stream start here, apart from the command stream's.
+# Batch id ranges: command stream from 0, ledger-poll stream from 2**40,
+# recovery runs from 2**50 (so a redo is always newer than the claim it redoes).
 LEDGER_POLL_BATCH_BASE = 1 << 40
+RECOVERY_BATCH_BASE = 1 << 50
+
+
+def _maybe_compact(spark: SparkSession, layout: Layout, batch_id: int, epoch: int, every: int | None) -> None:
+    """Snapshot the ledger up to the previous batch every ``every`` batches,
+    so guards read a snapshot plus recent log rows instead of all history."""
+    if every and epoch > 0 and epoch % every == 0:
+        from tallyload.operators.ledger import compact_ledger
+
+        compact_ledger(spark, layout.ledger, batch_id - 1)
 
 
 def stream_commands(
@@ -75,8 +86,14 @@ def stream_load(
     available_now: bool = False,
     processing_time: str | None = "200 milliseconds",
     batch_base: int = 0,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
-    """F2 + F3: load every micro-batch of command lines."""
+    """F2 + F3: load every micro-batch of command lines.
+
+    The guard of each batch only reads its own ledger partitions; with
+    ``compact_every`` the ledger is also snapshotted every so many batches
+    for the monitoring reads.
+    """
 
     def load(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
@@ -84,6 +101,7 @@ def stream_load(
         run_batch(spark, lines, registry_loader(), layout,
                   batch_base + epoch, profile=profile, keep=keep, parse_options=parse_options,
                   guard_scope="batch")
+        _maybe_compact(spark, layout, batch_base + epoch, epoch, compact_every)
 
     w = lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, processing_time).start()
@@ -97,10 +115,13 @@ def stream_ledger_poll(
     profile="quoted",
     available_now: bool = False,
     processing_time: str | None = "10 seconds",
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """claim and load NEW tasks appended to the ledger by other writers.
 
-    Only one such query may run per ledger (claims are not arbitrated).
+    Only one such query may run per ledger (claims are not arbitrated).  Its
+    guard reads the whole ledger (a NEW row may be claimed in any earlier
+    batch); ``compact_every`` keeps that read to a snapshot plus recent rows.
     """
     new_rows = (
         spark.readStream.schema(LEDGER_SCHEMA).option("recursiveFileLookup", "false")
@@ -114,6 +135,7 @@ def stream_ledger_poll(
         done = latest_state(read_ledger(s, layout.ledger)).filter(F.col("state").isin(*FINISHED, OPERATING))
         tasks = replay_guard(tasks.drop("version"), done.select("task_key"), "task_key").checkpoint(eager=True)
         load_tasks(s, tasks, registry_loader(), layout, LEDGER_POLL_BATCH_BASE + epoch, profile=profile)
+        _maybe_compact(s, layout, LEDGER_POLL_BATCH_BASE + epoch, epoch, compact_every)
 
     w = new_rows.writeStream.foreachBatch(claim_and_load).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, processing_time).start()
@@ -128,12 +150,16 @@ def recover(spark: SparkSession, layout: Layout, registry: DataFrame, batch_id:
             profile="quoted"):
     """redo orphaned tasks under a new batch id.
 
-    The id defaults to one past the highest in the ledger, so the redo's
-    versions are newer than the orphaned claims.
+    The id defaults to the next free one in the recovery range, above every
+    stream's range, so the redo's versions are newer than the orphaned
+    claims and no stream batch can ever reuse it.  Meant for tasks whose own
+    batch will not be replayed (batch runs, ledger-born tasks); a stream
+    replays its open batch itself from its checkpoint.
     """
     if batch_id is None:
-        top = read_ledger(spark, layout.ledger).agg(F.max("batch_id")).first()[0]
-        batch_id = (top or 0) + 1
+        top = read_ledger(spark, layout.ledger).filter(F.col("batch_id") >= RECOVERY_BATCH_BASE).agg(
+            F.max("batch_id")).first()[0]
+        batch_id = RECOVERY_BATCH_BASE if top is None else top + 1
     tasks = orphaned_tasks(spark, layout).select(
         "task_key", "task_id", "event_type", "content_ts", "data_path", "dest_table", "cmd_file"
     ).checkpoint(eager=True)

@@ -77,7 +77,7 @@ def test_stream_restart_reads_only_new_files(spark, tmp):
 
     def run():
         lines = stream_commands(spark, f"{tmp}/cmds", max_files_per_trigger=1)
-        stream_load(lines, lambda: reg, layout, f"{tmp}/ckpt", available_now=True).awaitTermination()
+        stream_load(lines, lambda: reg, layout, f"{tmp}/ckpt", available_now=True, compact_every=1).awaitTermination()
 
     run()
     n1 = read_target(spark, layout.target("people_60")).count()
