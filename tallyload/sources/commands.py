@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyload.operators.sizing import bounded_broadcast
+
 
 def with_line_positions(lines: DataFrame, file_col: str = "cmd_file") -> DataFrame:
     """Add ``line_pos``: a position that orders the lines of one file.
@@ -14,11 +16,20 @@ def with_line_positions(lines: DataFrame, file_col: str = "cmd_file") -> DataFra
     scan, so consecutive within a split).  ``line_pos = split offset + line
     number inside the split`` is unique and increasing within a file (a line
     takes at least one byte), equals the 0-based line number when the file is
-    one split, and does not depend on how splits are packed into tasks.  The
-    window is per split, so no group is larger than one split.
+    one split, and does not depend on how splits are packed into tasks.
+
+    The lines themselves are not shuffled: the first row id of every split
+    (one row per split, reduced map-side) is joined back, broadcast when the
+    number of splits is within the broadcast bound.  Both sides read the same
+    files with the same split planning, so the row ids agree.
     """
-    w = Window.partitionBy(file_col, "_bs")
-    return lines.withColumn("line_pos", F.col("_bs") + F.col("_mid") - F.min("_mid").over(w)).drop("_bs", "_mid")
+    firsts = lines.groupBy(file_col, "_bs").agg(F.min("_mid").alias("_first"))
+    firsts = bounded_broadcast(firsts)
+    return (
+        lines.join(firsts, [file_col, "_bs"])
+        .withColumn("line_pos", F.col("_bs") + F.col("_mid") - F.col("_first"))
+        .drop("_bs", "_mid", "_first")
+    )
 
 
 def command_scan(

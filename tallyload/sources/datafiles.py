@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from tallyload.functions.ddl import CORRUPT_COLUMN, DeclaredSchema
 from tallyload.functions.naming import normalize_path
+from tallyload.operators.sizing import bounded_broadcast
 from tallyload.sources.profiles import LoadProfile
 
 
@@ -108,12 +109,133 @@ def _end(state: str):
     return F.when(F.col(state) == 0, F.col("_eo")).otherwise(F.col("_ei")).cast("int")
 
 
+def _states_before(start: int, eo, ei):
+    """numpy twin of ``_start_states`` for one run of lines in file order:
+    the quote state before each line when the run is entered in ``start``."""
+    import numpy as np
+
+    n = len(eo)
+    const = eo == ei
+    flip = (eo & ~ei).astype(np.int64)
+    flips_upto = np.cumsum(flip)
+    flips_before = flips_upto - flip
+    last_const_upto = np.maximum.accumulate(np.where(const, np.arange(n), -1))
+    last_const = np.empty(n, dtype=np.int64)
+    last_const[0] = -1
+    last_const[1:] = last_const_upto[:-1]
+    has = last_const >= 0
+    lc = np.where(has, last_const, 0)
+    fixed = (eo[lc].astype(np.int64) + flips_before - flips_upto[lc]) & 1
+    free = (start + flips_before) & 1
+    return np.where(has, fixed, free)
+
+
+def _runs(pdf):
+    """(start, stop) of each run of rows from one split, in the batch's order."""
+    import numpy as np
+
+    f, b = pdf["_file"].to_numpy(), pdf["_bs"].to_numpy()
+    starts = np.flatnonzero(np.r_[True, (f[1:] != f[:-1]) | (b[1:] != b[:-1])])
+    return zip(starts, np.r_[starts[1:], len(pdf)])
+
+
+def _split_summaries(batches):
+    """Pass 1 (map side): per split, the end state and the number of record
+    ends for either start state.  A split is read by one task, in order."""
+    import numpy as np
+    import pandas as pd
+
+    rows, cur, last_mid = [], None, None
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        mids = pdf["_mid"].to_numpy()
+        eo, ei = pdf["_eo"].to_numpy(dtype=bool), pdf["_ei"].to_numpy(dtype=bool)
+        for a, z in _runs(pdf):
+            key = (pdf["_file"].iat[a], int(pdf["_bs"].iat[a]))
+            if cur is None or (cur[0], cur[1]) != key:
+                if cur is not None:
+                    rows.append(cur)
+                cur, last_mid = [key[0], key[1], 0, 1, 0, 0], None
+            if (last_mid is not None and mids[a] <= last_mid) or np.any(np.diff(mids[a:z]) <= 0):
+                raise RuntimeError("lines of a split did not arrive in file order")
+            last_mid = mids[z - 1]
+            for v in (0, 1):
+                st = _states_before(cur[2 + v], eo[a:z], ei[a:z])
+                inside_after = np.where(st == 0, eo[a:z], ei[a:z])
+                cur[4 + v] += int((~inside_after).sum())
+                cur[2 + v] = int(inside_after[-1])
+    if cur is not None:
+        rows.append(cur)
+    yield pd.DataFrame(rows, columns=["_file", "_bs", "_end0", "_end1", "_n0", "_n1"])
+
+
+def _record_pieces(joiner: str):
+    """Pass 2 (map side): glue lines into records inside each split.
+
+    A record that starts and ends in the split comes out whole; the piece
+    before the split's first record end (when the record began earlier) and
+    the piece after its last one are emitted as parts to be joined by key.
+    """
+
+    def pieces(batches):
+        import numpy as np
+        import pandas as pd
+
+        out = {k: [] for k in ("_file", "_rec", "_bs", "_mid", "_text", "_whole")}
+        cur = None  # [file, bs, state, rec, parts, first_mid, starts_record]
+
+        def emit(c, whole):
+            out["_file"].append(c[0])
+            out["_rec"].append(c[3])
+            out["_bs"].append(c[1])
+            out["_mid"].append(c[5])
+            out["_text"].append(joiner.join(c[4]))
+            out["_whole"].append(whole)
+
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            mids = pdf["_mid"].to_numpy()
+            eo, ei = pdf["_eo"].to_numpy(dtype=bool), pdf["_ei"].to_numpy(dtype=bool)
+            values = pdf["value"].tolist()
+            for a, z in _runs(pdf):
+                key = (pdf["_file"].iat[a], int(pdf["_bs"].iat[a]))
+                if cur is None or (cur[0], cur[1]) != key:
+                    if cur is not None and cur[4]:
+                        emit(cur, False)  # open at the split's end
+                    cur = [key[0], key[1], int(pdf["_p"].iat[a]), int(pdf["_off"].iat[a]), [], None,
+                           bool(pdf["_fresh"].iat[a])]
+                st = _states_before(cur[2], eo[a:z], ei[a:z])
+                inside_after = np.where(st == 0, eo[a:z], ei[a:z])
+                prev = a
+                for t in np.flatnonzero(~inside_after) + a:
+                    if not cur[4]:
+                        cur[5] = int(mids[prev])
+                    cur[4].extend(values[prev:t + 1])
+                    emit(cur, cur[6])
+                    cur[3] += 1
+                    cur[4], cur[6] = [], True
+                    prev = t + 1
+                if prev < z:
+                    if not cur[4]:
+                        cur[5] = int(mids[prev])
+                    cur[4].extend(values[prev:z])
+                cur[2] = int(inside_after[-1])
+        if cur is not None and cur[4]:
+            emit(cur, False)
+        yield pd.DataFrame(out)
+
+    return pieces
+
+
 def assemble_records(spark: SparkSession, paths: list[str], profile: LoadProfile) -> DataFrame:
     """Glue physical lines into logical records: ``_file, _rec, _record``.
 
     A record ends at a line that ends outside quotes (``multiline``) or that
-    ends in the quote character (``continued``).  Work is per split, plus
-    one pass over the per-split summary table; no file is read whole.
+    ends in the quote character (``continued``).  Two map-side passes over
+    the scan and one window over the per-split table; only the pieces of
+    records that cross a split boundary are shuffled.
     """
     lines = spark.read.format("text").load(paths).select(
         normalize_path(F.col("_metadata.file_path"), decode=True).alias("_file"),
@@ -122,36 +244,39 @@ def assemble_records(spark: SparkSession, paths: list[str], profile: LoadProfile
         F.col("value"),
     )
     eo, ei = _line_maps(profile)
-    lines = _start_states(lines.withColumn("_eo", eo).withColumn("_ei", ei), ["_file", "_bs"], "_mid")
-    # does the line end a record, for either start state of its split?
-    lines = lines.withColumn("_t0", (_end("_s0") == 0).cast("int")).withColumn("_t1", (_end("_s1") == 0).cast("int"))
-    before = Window.partitionBy("_file", "_bs").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
-    lines = lines.withColumn("_b0", F.coalesce(F.sum("_t0").over(before), F.lit(0))).withColumn(
-        "_b1", F.coalesce(F.sum("_t1").over(before), F.lit(0))
+    lines = lines.withColumn("_eo", eo).withColumn("_ei", ei)
+    # pass 1: one row per split (tiny), then the file-order walk over splits
+    splits = lines.select("_file", "_bs", "_mid", "_eo", "_ei").mapInPandas(
+        _split_summaries, "_file string, _bs bigint, _end0 int, _end1 int, _n0 bigint, _n1 bigint"
     )
-    # one row per split: its own map (end state for either start) and record-end counts
-    splits = lines.groupBy("_file", "_bs").agg(
-        F.max_by(_end("_s0"), "_mid").cast("boolean").alias("_eo"),
-        F.max_by(_end("_s1"), "_mid").cast("boolean").alias("_ei"),
-        F.sum("_t0").alias("_n0"),
-        F.sum("_t1").alias("_n1"),
+    splits = splits.select(
+        "_file", "_bs", (F.col("_end0") == 1).alias("_eo"), (F.col("_end1") == 1).alias("_ei"), "_n0", "_n1"
     )
     splits = _start_states(splits, ["_file"], "_bs").withColumn("_p", F.col("_s0"))  # files start outside
     earlier = Window.partitionBy("_file").orderBy("_bs").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy("_file").orderBy("_bs")
     splits = splits.withColumn("_n", F.when(F.col("_p") == 0, F.col("_n0")).otherwise(F.col("_n1")))
-    splits = splits.withColumn("_off", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).select(
-        "_file", "_bs", "_p", "_off"
-    )
-    numbered = lines.join(splits, ["_file", "_bs"]).select(
-        "_file",
-        (F.col("_off") + F.when(F.col("_p") == 0, F.col("_b0")).otherwise(F.col("_b1"))).alias("_rec"),
-        F.struct("_bs", "_mid", "value").alias("_line"),
+    splits = splits.withColumn("_endp", F.when(F.col("_p") == 0, F.col("_eo")).otherwise(F.col("_ei")))
+    splits = splits.select(
+        "_file", "_bs", "_p",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"),
+        # does a record start at this split's first line?
+        F.coalesce(~F.lag("_endp").over(in_order), F.lit(True)).alias("_fresh"),
     )
+    # pass 2: the scan joined to its split's start (broadcast; order kept)
+    placed = lines.join(bounded_broadcast(splits), ["_file", "_bs"])
     joiner = "" if profile.layout == "continued" else "\n"
-    records = numbered.groupBy("_file", "_rec").agg(F.sort_array(F.collect_list("_line")).alias("_parts"))
-    return records.select(
-        "_file", "_rec", F.array_join(F.transform("_parts", lambda x: x["value"]), joiner).alias("_record")
-    ).filter(F.col("_record") != "")
+    pieces = placed.select("_file", "_bs", "_mid", "value", "_eo", "_ei", "_p", "_off", "_fresh").mapInPandas(
+        _record_pieces(joiner), "_file string, _rec bigint, _bs bigint, _mid bigint, _text string, _whole boolean"
+    )
+    whole = pieces.filter("_whole").select("_file", "_rec", F.col("_text").alias("_record"))
+    parts = pieces.filter(~F.col("_whole")).groupBy("_file", "_rec").agg(
+        F.sort_array(F.collect_list(F.struct("_bs", "_mid", "_text"))).alias("_parts")
+    )
+    joined = parts.select(
+        "_file", "_rec", F.array_join(F.transform("_parts", lambda x: x["_text"]), joiner).alias("_record")
+    )
+    return whole.unionByName(joined).filter(F.col("_record") != "")
 
 
 def default_filesystem(spark: SparkSession) -> str:
