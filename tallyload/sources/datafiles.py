@@ -6,13 +6,13 @@ path in the same plain form as an announced path).
 
 ``lines`` profiles use Spark's CSV reader, which splits files freely.  The
 ``continued`` and ``multiline`` layouts must glue physical lines into records
-without reading any file in one task: lines keep their position (split offset,
-row order inside the split), each split counts its record ends locally, a
-prefix sum over the (few) splits of a file gives each split its first record
-number, and lines are then grouped by (file, record number).  For ``multiline``
-a line ends a record when it ends outside a quoted field; each line's effect
-on that state is computed for both possible start states, so one pass over the
-split totals settles every split's start state (see ``_start_states``).
+without reading any file in one task and without shuffling the text.  Each
+line gets its effect on the "inside a quoted field" state (identity, flip or
+constant; regexes on the JVM side).  A split is read by one task in file
+order, so a map-side pass summarises every split for both start states; a
+window over that per-split table fixes each split's real start state and first
+record number; a second map-side pass then emits whole records, and only the
+pieces of records crossing a split boundary are grouped by key.
 """
 
 from __future__ import annotations
