@@ -104,13 +104,8 @@ def _start_states(df: DataFrame, part: list[str], order: str) -> DataFrame:
     ).drop("_fb", "_lc")
 
 
-def _end(state: str):
-    """End state (0/1) of a row entered in ``state``."""
-    return F.when(F.col(state) == 0, F.col("_eo")).otherwise(F.col("_ei")).cast("int")
-
-
 def _states_before(start: int, eo, ei):
-    """numpy twin of ``_start_states`` for one run of lines in file order:
+    """numpy form of ``_start_states`` for one run of lines in file order:
     the quote state before each line when the run is entered in ``start``."""
     import numpy as np
 
