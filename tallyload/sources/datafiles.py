@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from tallyload.functions.ddl import CORRUPT_COLUMN, DeclaredSchema
 from tallyload.functions.naming import normalize_path
-from tallyload.operators.sizing import bounded_broadcast
+from tallyload.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS
 from tallyload.sources.profiles import LoadProfile
 
 
@@ -178,7 +178,7 @@ def _record_pieces(joiner: str):
         import pandas as pd
 
         out = {k: [] for k in ("_file", "_rec", "_bs", "_mid", "_text", "_whole")}
-        cur = None  # [file, bs, state, rec, parts, first_mid, starts_record]
+        cur, last_mid = None, None  # cur: [file, bs, state, rec, parts, first_mid, starts_record]
 
         def emit(c, whole):
             out["_file"].append(c[0])
@@ -201,6 +201,10 @@ def _record_pieces(joiner: str):
                         emit(cur, False)  # open at the split's end
                     cur = [key[0], key[1], int(pdf["_p"].iat[a]), int(pdf["_off"].iat[a]), [], None,
                            bool(pdf["_fresh"].iat[a])]
+                    last_mid = None
+                if (last_mid is not None and mids[a] <= last_mid) or np.any(np.diff(mids[a:z]) <= 0):
+                    raise RuntimeError("lines of a split did not arrive in file order")
+                last_mid = mids[z - 1]
                 st = _states_before(cur[2], eo[a:z], ei[a:z])
                 inside_after = np.where(st == 0, eo[a:z], ei[a:z])
                 prev = a
@@ -258,8 +262,12 @@ def assemble_records(spark: SparkSession, paths: list[str], profile: LoadProfile
         # does a record start at this split's first line?
         F.coalesce(~F.lag("_endp").over(in_order), F.lit(True)).alias("_fresh"),
     )
-    # pass 2: the scan joined to its split's start (broadcast; order kept)
-    placed = lines.join(bounded_broadcast(splits), ["_file", "_bs"])
+    # pass 2: the scan joined to its split's start; a broadcast join keeps the
+    # scan's order, any other join needs the order restored per partition
+    if splits.limit(DEFAULT_MAX_BROADCAST_ROWS + 1).count() <= DEFAULT_MAX_BROADCAST_ROWS:
+        placed = lines.join(F.broadcast(splits), ["_file", "_bs"])
+    else:
+        placed = lines.join(splits, ["_file", "_bs"]).sortWithinPartitions("_file", "_bs", "_mid")
     joiner = "" if profile.layout == "continued" else "\n"
     pieces = placed.select("_file", "_bs", "_mid", "value", "_eo", "_ei", "_p", "_off", "_fresh").mapInPandas(
         _record_pieces(joiner), "_file string, _rec bigint, _bs bigint, _mid bigint, _text string, _whole boolean"
