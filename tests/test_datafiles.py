@@ -120,3 +120,19 @@ def test_fixture4_thirteen_columns(spark):
     assert len(s.names) == 13 and s.names[3] == "imsi"
     assert ("imsi", "max_length", 64) in [(r.column, r.kind, r.limit) for r in s.rules]
     assert sum(r.kind == "not_null" for r in s.rules) == 9
+
+
+def test_records_without_broadcast(spark, tmp, monkeypatch):
+    """The split table over the broadcast bound: order restored per partition."""
+    import tallyload.sources.datafiles as D
+
+    monkeypatch.setattr(D, "DEFAULT_MAX_BROADCAST_ROWS", 0)
+    body = "".join(f'"{i}","a\nb{i}","2024-01-03 00:00:00"\n' for i in range(300))
+    p = write(f"{tmp}/m.csv", body)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        good, bad = load(spark, p, "multiline")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert bad == [] and good == {i: f"a\nb{i}" for i in range(300)}
