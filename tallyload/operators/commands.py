@@ -60,6 +60,10 @@ def classify_commands(
         .when(F.col("content_ts").isNull(), F.lit(BAD_TIMESTAMP))
     )
     df = df.withColumn("reason", reason).drop("_f", "_n")
+    # A filter on ``reason`` would otherwise be pushed below this projection
+    # with the whole parse inlined into it, computing it twice; a predicate on
+    # a generator's output stays above the generator, so it is computed once.
+    df = df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
     if "line_pos" not in df.columns:
         from tallyload.sources.commands import with_line_positions
 
