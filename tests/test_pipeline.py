@@ -196,3 +196,30 @@ def test_two_families_and_shared_family_keep_all_rejects(spark, tmp):
     people = read_target(spark, layout.target("people_60")).collect()
     assert sorted(r["name"] for r in people) == ["ann", "cy"]
     assert [r["name"] for r in read_target(spark, layout.target("pets")).collect()] == ["bob"]
+
+
+def test_stream_clean_source_archive(spark, tmp):
+    """the source's own clean-up moves processed command files (best effort)."""
+    a, b = setup_files(tmp)
+    layout = Layout(f"{tmp}/wh")
+    reg = spark.createDataFrame(REG, "event_type int, base string, columns string, cycle string, partgranularity int, state int")
+    lines = stream_commands(spark, f"{tmp}/cmds", max_files_per_trigger=1, clean_source="archive",
+                            archive_dir=f"{tmp}/archive")
+    stream_load(lines, lambda: reg, layout, f"{tmp}/ckpt", available_now=True).awaitTermination()
+    assert read_target(spark, layout.target("people_60")).count() == 3
+    archived = [os.path.join(d, f) for d, _, fs in os.walk(f"{tmp}/archive") for f in fs if f.endswith(".cmd")]
+    left = [f for f in os.listdir(f"{tmp}/cmds") if f.endswith(".cmd")]
+    assert len(archived) + len(left) == 2  # every file is either still there or archived, never lost
+
+
+def test_glued_layouts_need_utf8(spark, tmp):
+    from tallyload.functions.ddl import declared_schema
+    from tallyload.sources.datafiles import data_scan
+    from tallyload.sources.profiles import PROFILES
+
+    p = write(f"{tmp}/d.csv", '"1","a"\n')
+    import pytest
+
+    with pytest.raises(ValueError):
+        data_scan(spark, [p], declared_schema("id int, t string"), PROFILES["continued"].__class__(
+            "x", layout="continued", encoding="GBK"))
