@@ -23,10 +23,12 @@ from tallyload.operators.ledger import (
 )
 from tallyload.operators.registry import (
     commands_unregistered,
+    effective_registry,
     registry_active,
     registry_diff,
     registry_resolve,
     registry_validate,
+    snapshot_registry,
     tables_needed_now,
 )
 from tallyload.operators.sizing import bounded_broadcast
@@ -45,9 +47,9 @@ from tallyload.operators.targets import (
 
 __all__ = [
     "append_load", "apply_retention", "assign_task_ids", "compact_ledger", "existing_tables", "bounded_broadcast", "classify_commands",
-    "command_parse", "command_rejects", "commands_unregistered", "conform", "decode_states",
+    "command_parse", "command_rejects", "commands_unregistered", "effective_registry", "conform", "decode_states",
     "files_releasable", "last_command_per_file", "latest_state", "ledger_append", "ledger_latest", "ledger_rows",
     "ledger_scan", "load_fanout", "load_metrics", "period_tables_missing", "period_view", "queue_depth", "read_ledger", "read_target",
     "registry_active", "registry_diff", "registry_resolve", "registry_validate", "reject_limit", "reject_sink", "replay_guard",
-    "retention_plan", "split_rejects", "state_summary", "tables_needed_now",
+    "retention_plan", "snapshot_registry", "split_rejects", "state_summary", "tables_needed_now",
 ]

@@ -100,3 +100,24 @@ def tables_needed_now(registry: DataFrame, now=None) -> DataFrame:
     ts = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     reg = registry_active(registry)
     return reg.select("event_type", dest_table_name("base", "cycle", "split_mode", ts).alias("dest_table"))
+
+
+def snapshot_registry(registry: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """A literal copy of a (small) registry, so a version in use stays as it
+    was even when its source table changes."""
+    rows = registry.select(*[c.split(" ")[0] for c in REGISTRY_SCHEMA.split(", ")]).limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"registry has more than {max_rows} rows")
+    return registry.sparkSession.createDataFrame(rows, REGISTRY_SCHEMA)
+
+
+def effective_registry(fresh: DataFrame, known: DataFrame | None) -> DataFrame:
+    """The registry to load with after a refresh: fresh rows whose column
+    lists Spark can read; where an enabled fresh row cannot be read, the
+    version in use (``known``) stays.  ``registry_validate`` reports them."""
+    checks = registry_validate(fresh)
+    bad = checks.filter(~F.col("valid")).select("event_type")
+    keep = fresh.join(bad, "event_type", "left_anti")
+    if known is None:
+        return keep
+    return keep.unionByName(known.join(bad, "event_type", "left_semi"))

@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyload.functions.states import FINISHED, NEW, OPERATING
 from tallyload.operators.ledger import LEDGER_SCHEMA, latest_state, ledger_latest, read_ledger, replay_guard
+from tallyload.operators.registry import effective_registry, snapshot_registry
 from tallyload.plans.pipeline import Layout, load_tasks, run_batch
 
 # Batch id ranges: command stream from 0, ledger-poll stream from 2**40,
@@ -95,10 +96,16 @@ def stream_load(
     for the monitoring reads.
     """
 
+    in_use = {"registry": None}
+
     def load(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         lines = batch.select("cmd_file", "_bs", F.monotonically_increasing_id().alias("_mid"), "raw")
-        run_batch(spark, lines, registry_loader(), layout,
+        # the registry is read again for every batch; a row that no longer
+        # parses keeps the version in use
+        registry = snapshot_registry(effective_registry(registry_loader(), in_use["registry"]))
+        in_use["registry"] = registry
+        run_batch(spark, lines, registry, layout,
                   batch_base + epoch, profile=profile, keep=keep, parse_options=parse_options,
                   guard_scope="batch")
         _maybe_compact(spark, layout, batch_base + epoch, epoch, compact_every)

@@ -120,3 +120,15 @@ def test_apply_retention_only_when_confirmed(spark, tmp_path):
     assert {r["removed"] for r in dry} == {False} and a.exists() and b.exists()
     done = {r["path"]: r["removed"] for r in apply_retention(plan, confirm=True).collect()}
     assert done == {str(a): True, str(b): True} and not a.exists() and not b.exists()
+
+
+def test_effective_registry_keeps_old_version(spark):
+    from tallyload.operators import effective_registry
+
+    known = spark.createDataFrame([(1, "click", "a int", "60", 1, 1), (3, "p", "a int", "0", 3, 1)], REGISTRY_SCHEMA)
+    fresh = spark.createDataFrame(
+        [(1, "click", "a int, b nosuchtype", "60", 1, 1), (3, "p", "a int, b int", "0", 3, 1), (4, "s", "x int", "", 0, 1)],
+        REGISTRY_SCHEMA,
+    )
+    got = {r["event_type"]: r["columns"] for r in effective_registry(fresh, known).collect()}
+    assert got == {1: "a int", 3: "a int, b int", 4: "x int"}
