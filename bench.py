@@ -26,7 +26,7 @@ from tallyload.operators import (  # noqa: E402
 )
 from tallyload.plans import bench_inputs as B  # noqa: E402
 from tallyload.plans import scenario as S  # noqa: E402
-from tallyload.plans.pipeline import Layout, run_batch  # noqa: E402
+from tallyload.plans.batch import Layout, run_batch  # noqa: E402
 from tallyload.session import get_session, scratch_dir  # noqa: E402
 from tallyload.sources.commands import command_scan  # noqa: E402
 from tallyload.streaming import stream_commands, stream_load  # noqa: E402

@@ -1,5 +1,5 @@
-"""Plans composed from the operators: the batch pipeline and the check catalog."""
+"""Plans composed from the operators: the batch loader and the check catalog."""
 
-from tallyload.plans.pipeline import BatchResult, Layout, load_tasks, run_batch
+from tallyload.plans.batch import BatchResult, Layout, load_tasks, run_batch
 
 __all__ = ["BatchResult", "Layout", "load_tasks", "run_batch"]

@@ -39,7 +39,7 @@ from tallyload.operators import (
 )
 from tallyload.operators.ledger import ledger_append, ledger_rows, read_ledger
 from tallyload.plans import scenario as S
-from tallyload.plans.pipeline import Layout, run_batch
+from tallyload.plans.batch import Layout, run_batch
 from tallyload.session import scratch_dir
 from tallyload.sources.commands import command_scan
 from tallyload.sources.datafiles import file_inventory

@@ -5,7 +5,7 @@
   event is a task that went through up to three transitions
   (NEW -> OPERATING -> ERROR/SUCCESSFUL; the final state is ``event_id % 4``).
 * ``orders`` / ``documents`` -> real CSV data files plus command files, written
-  below the shared scratch folder and loaded back through the pipeline.
+  below the shared scratch folder and loaded back through the batch loader.
 
 Everything grows with the source tables; nothing is sampled or capped.
 """

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyload.functions.states import FINISHED, NEW, OPERATING
 from tallyload.operators.ledger import LEDGER_SCHEMA, latest_state, ledger_latest, read_ledger, replay_guard
 from tallyload.operators.registry import effective_registry, snapshot_registry
-from tallyload.plans.pipeline import Layout, load_tasks, run_batch
+from tallyload.plans.batch import Layout, load_tasks, run_batch
 
 # Batch id ranges: command stream from 0, ledger-poll stream from 2**40,
 # recovery runs from 2**50 (so a redo is always newer than the claim it redoes).

@@ -6,7 +6,7 @@ from conftest import write
 from tallyload.operators import ledger_latest, read_ledger, read_target
 from tallyload.operators.ledger import ledger_append, ledger_rows
 from tallyload.plans import scenario as S
-from tallyload.plans.pipeline import Layout, run_batch
+from tallyload.plans.batch import Layout, run_batch
 from tallyload.sources.commands import command_scan
 from tallyload.streaming import orphaned_tasks, recover, stream_commands, stream_ledger_poll, stream_load
 
@@ -150,7 +150,7 @@ def test_fanout_one_file_two_families(spark, tmp):
 
 
 def test_orders_round_trip_rows(spark, tmp):
-    """Driver table -> CSV files + commands -> pipeline -> same rows as the source."""
+    """Driver table -> CSV files + commands -> batch loader -> same rows as the source."""
     sf = "/root/testdata/sf0.001"
     cmd_root = S.stage_orders(spark, sf, tmp)
     layout = Layout(f"{tmp}/wh")
