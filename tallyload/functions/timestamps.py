@@ -1,8 +1,10 @@
 """B4 content_timestamp: the announced content time of a data file.
 
 The command format is ``yyyy-MM-dd hh:mm:ss.S`` read leniently: one or two
-digits per field, hours 0-23 (optionally 12 read as 00, the 12-hour quirk),
-a mandatory fraction after the seconds, and any trailing text ignored.
+digits per field, out-of-range fields rolling over into the next unit (Feb 30
+is Mar 1, hour 25 is 01:00 next day), hours 13-23 as such (optionally 12 read
+as 00, the 12-hour quirk), a mandatory fraction after the seconds, and any
+trailing text ignored.
 ``fraction="millis"`` reads the fraction digits as a count of milliseconds
 (``.5`` is 5 ms, ``.179575`` is 179.575 s), which is how the writer of that
 pattern produces it; ``fraction="decimal"`` reads it as a decimal fraction of
@@ -23,23 +25,22 @@ def _col(c) -> Column:
 
 def content_timestamp(c, twelve_as_midnight: bool = False, fraction: str = "millis") -> Column:
     s = _col(c)
-    part = lambda i: F.regexp_extract(s, _PATTERN, i)
-    hour = part(4).try_cast("int")
+    part = lambda i: F.regexp_extract(s, _PATTERN, i).try_cast("int")
+    hour = part(4)
     if twelve_as_midnight:
         hour = F.when(hour == 12, F.lit(0)).otherwise(hour)
-    text = F.concat_ws(
-        " ",
-        F.concat_ws("-", part(1), part(2), part(3)),
-        F.concat_ws(":", hour.cast("string"), part(5), part(6)),
-    )
-    base = F.try_to_timestamp(text, F.lit("y-M-d H:m:s"))
-    frac = part(7)
+    # lenient like the reference: fields roll over (Feb 30 -> Mar 1, month 13
+    # -> January next year, hour 24 -> next day), so the time is built by
+    # adding months, days and seconds to the start of the year
+    day = F.date_add(F.add_months(F.make_date(part(1), F.lit(1), F.lit(1)), part(2) - 1), part(3) - 1)
+    secs = hour.cast("bigint") * 3600 + part(5).cast("bigint") * 60 + part(6).cast("bigint")
+    base_micros = F.unix_micros(day.cast("timestamp")) + secs * 1_000_000
+    frac = F.regexp_extract(s, _PATTERN, 7)
     if fraction == "millis":
-        millis = frac.try_cast("bigint")
-        ts = F.timestamp_millis(F.unix_millis(base) + millis)
+        extra = frac.try_cast("bigint") * 1000
     elif fraction == "decimal":
-        micros = F.rpad(F.substring(frac, 1, 6), 6, "0").cast("bigint")
-        ts = F.timestamp_micros(F.unix_micros(base) + micros)
+        extra = F.rpad(F.substring(frac, 1, 6), 6, "0").cast("bigint")
     else:
         raise ValueError(f"fraction must be 'millis' or 'decimal', not {fraction!r}")
-    return F.when(s.rlike(_PATTERN) & (hour <= 23) & (F.length(frac) <= 12), ts)
+    ok = s.rlike(_PATTERN) & (F.length(frac) <= 12) & (part(1) >= 1)  # year 0000 does not exist
+    return F.when(ok, F.timestamp_micros(base_micros + extra))

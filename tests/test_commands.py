@@ -114,3 +114,14 @@ def test_line_positions_survive_small_splits(spark, tmp):
     assert len({r["line_pos"] for r in rows}) == n
     last = last_command_per_file(command_parse(lines)).collect()
     assert last[0]["source_id"] == str(n - 1)
+
+
+def test_lenient_rollover(spark):
+    rows = [("2024-02-30 10:00:00.0",), ("2024-13-01 00:00:00.0",), ("2024-01-05 25:00:00.0",),
+            ("2024-1-5 3:4:5.6",), ("2024-00-10 00:00:00.0",), ("2024-01-05 03:45:00.0 trailing",)]
+    df = spark.createDataFrame(rows, "s string")
+    got = [r["t"] for r in df.select(content_timestamp("s").alias("t")).collect()]
+    assert got == [
+        dt.datetime(2024, 3, 1, 10), dt.datetime(2025, 1, 1), dt.datetime(2024, 1, 6, 1),
+        dt.datetime(2024, 1, 5, 3, 4, 5, 6000), dt.datetime(2023, 12, 10), dt.datetime(2024, 1, 5, 3, 45),
+    ]
