@@ -28,6 +28,17 @@ from tallyload.functions.naming import normalize_path
 from tallyload.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS
 from tallyload.sources.profiles import LoadProfile
 
+# The map-side functions below run in Python workers; shipping this module's
+# functions by value means executors need no copy of the package installed.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # older cloudpickle: the package must then be on the executors
+    pass
+
 
 def data_scan(spark: SparkSession, paths: list[str], schema: DeclaredSchema, profile: LoadProfile) -> DataFrame:
     if not paths:
