@@ -43,6 +43,7 @@ from tallyload.plans.batch import Layout, run_batch
 from tallyload.session import scratch_dir
 from tallyload.sources.commands import command_scan
 from tallyload.sources.datafiles import file_inventory
+from tallyload.sources.profiles import PROFILES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -239,6 +240,43 @@ def q_split_rejects(spark, d):
     return j.select("y", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("bad", F.lit(0)).alias("bad"))
 
 
+# reject limit of the D6 check: with one file per year some years stay
+# within it and some do not
+ORDERS_REJECT_LIMIT = 22
+
+
+def q_reject_limit_files(spark, d):
+    """D6 end to end: a file over the reject limit is ERROR and loads nothing."""
+    root = scratch_dir(spark, "orders-limit")
+    cmd_root = S.stage_orders(spark, d, root, corrupt=True, one_file_per_year=True)
+    layout = Layout(f"{root}/warehouse")
+    lines = command_scan(spark, cmd_root, name_regex=S.STAGED_COMMAND_REGEX, positions=False)
+    run_batch(spark, lines, S.orders_registry(spark), layout, batch_id=0,
+              profile=PROFILES["external"].with_limit(ORDERS_REJECT_LIMIT))
+    year = F.substring_index("dest_table", "_", -1).cast("int").alias("y")
+    states = ledger_latest(read_ledger(spark, layout.ledger)).select(year, "state")
+    loaded = read_target(spark, layout.target("orders"), S.ORDER_COLUMNS).groupBy(year).agg(
+        F.count(F.lit(1)).alias("loaded"))
+    rejected = spark.read.parquet(layout.rejects).groupBy(year).agg(F.count(F.lit(1)).alias("rejected"))
+    j = states.join(loaded, "y", "left").join(rejected, "y", "left")
+    return j.select("y", F.coalesce("loaded", F.lit(0)).alias("loaded"),
+                    F.coalesce("rejected", F.lit(0)).alias("rejected"), "state")
+
+
+def q_recover_orphans(spark, d):
+    """tasks claimed by a batch that crashed are redone by ``recover``."""
+    from tallyload.streaming import recover
+
+    root = scratch_dir(spark, "orders-recover")
+    cmd_root = S.stage_orders(spark, d, root)
+    layout = Layout(f"{root}/warehouse")
+    cmds = command_parse(command_scan(spark, cmd_root, name_regex=S.STAGED_COMMAND_REGEX, positions=False))
+    claimed = cmds.withColumn("task_id", F.col("task_key"))
+    ledger_append(ledger_rows(claimed, 0, 1, state=1), layout.ledger)  # claimed, then the crash
+    recover(spark, layout, S.orders_registry(spark))
+    return _orders_totals(read_target(spark, layout.target("orders")))
+
+
 def _load_documents(spark, d, profile):
     root = scratch_dir(spark, "documents")
     cmd_root = S.stage_documents(spark, d, root)
@@ -311,6 +349,8 @@ QUERIES: dict[str, Query] = {
     "registry_validate": q_registry_validate,
     "ledger_compacted": q_ledger_compacted,
     "stream_ledger_poll": q_stream_ledger_poll,
+    "reject_limit_files": q_reject_limit_files,
+    "recover_orphans": q_recover_orphans,
 }
 
 # ---------------------------------------------------------------- oracle SQL
@@ -401,6 +441,11 @@ ORACLE_SQL.update(
         "load_orders": _ORDERS_TOTALS,
         "stream_load_orders": _ORDERS_TOTALS,
         "stream_ledger_poll": _ORDERS_TOTALS,
+        "recover_orphans": _ORDERS_TOTALS,
+        "reject_limit_files": "with b as (select cast(year(o_orderdate) as int) as y, "
+        "count(*) filter (where o_orderkey % 97 <> 0) as good, count(*) filter (where o_orderkey % 97 = 0) as bad "
+        f"from orders group by 1) select y, case when bad <= {ORDERS_REJECT_LIMIT} then good else 0 end as loaded, "
+        f"bad as rejected, case when bad <= {ORDERS_REJECT_LIMIT} then 3 else 2 end as state from b",
         "split_rejects": "select cast(year(o_orderdate) as int) as y, count(*) filter (where o_orderkey % 97 <> 0) "
         "as good, count(*) filter (where o_orderkey % 97 = 0) as bad from orders group by 1",
         "load_multiline": "select doc_id, md5(text) as h from documents",

@@ -155,11 +155,14 @@ def _announce(spark: SparkSession, data_root: str, event_type: int, ts_expr) ->
     return files.select(raw.alias("raw"))
 
 
-def stage_orders(spark: SparkSession, sf_dir: str, root: str, corrupt: bool = False) -> str:
+def stage_orders(spark: SparkSession, sf_dir: str, root: str, corrupt: bool = False,
+                 one_file_per_year: bool = False) -> str:
     """``orders`` as CSV files by order year plus command files; returns the command folder.
 
     With ``corrupt``, orders whose key is a multiple of 97 get an ``x`` in
-    front of the key, so they fail the declared ``bigint``.
+    front of the key, so they fail the declared ``bigint``.  With
+    ``one_file_per_year`` each year is a single file (per-file rules then
+    act per year).
     """
     o = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey").cast("string")
@@ -170,6 +173,8 @@ def stage_orders(spark: SparkSession, sf_dir: str, root: str, corrupt: bool = Fa
         F.year("o_orderdate").alias("order_year"),
     )
     data_root = f"{root}/data/orders"
+    if one_file_per_year:
+        out = out.repartition("order_year")
     out.write.mode("overwrite").partitionBy("order_year").option("escape", '"').csv(data_root)
     ts = F.concat(F.col("order_year").cast("string"), F.lit("-01-01 00:00:00.0"))
     cmd_root = f"{root}/cmds/orders"
