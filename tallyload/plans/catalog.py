@@ -263,6 +263,17 @@ def q_reject_limit_files(spark, d):
                     F.coalesce("rejected", F.lit(0)).alias("rejected"), "state")
 
 
+def q_ledger_after_load(spark, d):
+    """E4 + E5: the ledger's final row for every loaded file (one per year)."""
+    root = scratch_dir(spark, "orders-ledger")
+    cmd_root = S.stage_orders(spark, d, root, one_file_per_year=True)
+    layout = Layout(f"{root}/warehouse")
+    lines = command_scan(spark, cmd_root, name_regex=S.STAGED_COMMAND_REGEX, positions=False)
+    run_batch(spark, lines, S.orders_registry(spark), layout, batch_id=0)
+    latest = decode_states(ledger_latest(read_ledger(spark, layout.ledger)))
+    return latest.select("dest_table", "state", "state_name", "state_info")
+
+
 def q_recover_orphans(spark, d):
     """tasks claimed by a batch that crashed are redone by ``recover``."""
     from tallyload.streaming import recover
@@ -351,6 +362,7 @@ QUERIES: dict[str, Query] = {
     "stream_ledger_poll": q_stream_ledger_poll,
     "reject_limit_files": q_reject_limit_files,
     "recover_orphans": q_recover_orphans,
+    "ledger_after_load": q_ledger_after_load,
 }
 
 # ---------------------------------------------------------------- oracle SQL
@@ -442,6 +454,9 @@ ORACLE_SQL.update(
         "stream_load_orders": _ORDERS_TOTALS,
         "stream_ledger_poll": _ORDERS_TOTALS,
         "recover_orphans": _ORDERS_TOTALS,
+        "ledger_after_load": "select concat('orders_', strftime(o_orderdate, '%Y')) as dest_table, 3 as state, "
+        "'SUCCESSFUL' as state_name, concat('loaded ', cast(count(*) as varchar), ' rows, 0 rejected') as state_info "
+        "from orders group by 1",
         "reject_limit_files": "with b as (select cast(year(o_orderdate) as int) as y, "
         "count(*) filter (where o_orderkey % 97 <> 0) as good, count(*) filter (where o_orderkey % 97 = 0) as bad "
         f"from orders group by 1) select y, case when bad <= {ORDERS_REJECT_LIMIT} then good else 0 end as loaded, "
