@@ -13,6 +13,7 @@ already shows finished, so a crash anywhere leaves no duplicates.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 import os
 import sys
 import time
@@ -173,6 +174,7 @@ def load_tasks(
     batch_id: int,
     profile="quoted",
     gen_time: dt.datetime | None = None,
+    parallel_families: int = 4,
 ) -> BatchResult:
     """Claim, load and record tasks (``task_key, event_type, data_path, content_ts``, ...).
 
@@ -213,13 +215,13 @@ def load_tasks(
     files = present.groupBy("family", "columns", "event_type", "data_path").count().collect()
     families = sorted({(r["family"], r["columns"], r["event_type"]) for r in files}, key=lambda x: (x[0], x[2]))
     clock.lap("families")
-    done_families = []
     members: dict[str, list[tuple[str, int]]] = {}
     for family, columns, event_type in families:
         members.setdefault(family, []).append((columns, event_type))
     # one target write and one reject write per family, whatever the number
     # of event types feeding it (each write replaces its own partitions)
-    for family, types in sorted(members.items()):
+    def load_family(family: str, types: list[tuple[str, int]]) -> list[DataFrame]:
+        out = []
         start = _now()
         goods, bads, cached, outcomes = [], [], [], []
         for columns, event_type in types:
@@ -229,7 +231,7 @@ def load_tasks(
                 schema = declared_schema(columns)
             except Exception as e:  # a bad registry row fails its tasks, not the batch
                 msg = "invalid registry columns: " + str(e).strip().splitlines()[0][:400]
-                finals.append(ledger_rows(fam_tasks, batch_id, FINAL_STEP, state=ERROR, state_info=msg,
+                out.append(ledger_rows(fam_tasks, batch_id, FINAL_STEP, state=ERROR, state_info=msg,
                                           gen_time=gen_time, exec_start=start, exec_end=_now()))
                 continue
             per_path = [r for r in files if (r["family"], r["event_type"]) == (family, event_type)]
@@ -278,14 +280,22 @@ def load_tasks(
                                 F.col("_rejects")),
             ).otherwise(F.format_string("reject limit %d exceeded: %d rejected", F.lit(prof.reject_limit or 0),
                                         F.col("_rejects")))
-            finals.append(
+            out.append(
                 ledger_rows(outcome, batch_id, FINAL_STEP,
                             state=F.when(F.col("_ok"), F.lit(SUCCESSFUL)).otherwise(F.lit(ERROR)),
                             state_info=info, gen_time=gen_time, exec_start=start, exec_end=end)
             )
         for rows in cached:
             rows.unpersist()
-        done_families.append(family)
+        return out
+
+    # different families load in parallel (separate targets and partitions),
+    # each one's event types one after another
+    ordered = sorted(members.items())
+    with ThreadPoolExecutor(max_workers=max(1, min(len(ordered), parallel_families))) as pool:
+        for fam_rows in pool.map(lambda kv: load_family(*kv), ordered):
+            finals.extend(fam_rows)
+    done_families = [f for f, _ in ordered]
     final = finals[0]
     for f in finals[1:]:
         final = final.unionByName(f)
