@@ -273,6 +273,9 @@ def assemble_records(spark: SparkSession, paths: list[str], profile: LoadProfile
         # does a record start at this split's first line?
         F.coalesce(~F.lag("_endp").over(in_order), F.lit(True)).alias("_fresh"),
     )
+    # one row per split, materialised once (pass 1 is not re-run by the size
+    # check and the join below)
+    splits = splits.checkpoint(eager=True)
     # pass 2: the scan joined to its split's start; a broadcast join keeps the
     # scan's order, any other join needs the order restored per partition
     if splits.limit(DEFAULT_MAX_BROADCAST_ROWS + 1).count() <= DEFAULT_MAX_BROADCAST_ROWS:
