@@ -140,7 +140,8 @@ def run_batch(
     bad_cmds = classified.filter(F.col("reason").isNotNull()).select(
         "cmd_file", "line_pos", "raw", "reason", F.lit(batch_id).cast("bigint").alias("batch_id")
     )
-    reject_sink(bad_cmds, layout.command_rejects)
+    if bad_cmds.limit(1).count():  # read from the cached lines; nothing to write otherwise
+        reject_sink(bad_cmds, layout.command_rejects)
     clock.lap("parse + command rejects")
     cmds = classified.filter(F.col("reason").isNull()).select(*PARSED_COLUMNS)
     if keep == "last":
@@ -224,6 +225,7 @@ def load_tasks(
         out = []
         start = _now()
         goods, bads, cached, outcomes = [], [], [], []
+        n_rejects = 0
         for columns, event_type in types:
             prof = _profile_for(profile, event_type, family)
             fam_tasks = present.filter((F.col("family") == family) & (F.col("event_type") == event_type))
@@ -242,6 +244,7 @@ def load_tasks(
             # one row per file; checkpointed so the ledger rows written after
             # ``rows`` is released do not recompute the scan
             stats = reject_limit(rows, prof.reject_limit).checkpoint(eager=True)
+            n_rejects += stats.agg(F.sum("rejects")).first()[0] or 0
             task_cols = ["task_key", "dest_table", "period"]
             fam_norm = fam_tasks.withColumn("_file", normalize_path(F.col("data_path")))
             task_table = fam_norm.join(stats, "_file", "left").select(
@@ -266,11 +269,12 @@ def load_tasks(
             for g in goods[1:]:
                 good = good.unionByName(g, allowMissingColumns=True)
             append_load(good.withColumn("batch_id", F.lit(batch_id).cast("bigint")), layout.target(family))
-            bad = bads[0]
-            for b in bads[1:]:
-                bad = bad.unionByName(b)
-            reject_sink(bad.select("*", F.lit(batch_id).cast("bigint").alias("batch_id"),
-                                   F.lit(family).alias("family")), layout.rejects)
+            if n_rejects:
+                bad = bads[0]
+                for b in bads[1:]:
+                    bad = bad.unionByName(b)
+                reject_sink(bad.select("*", F.lit(batch_id).cast("bigint").alias("batch_id"),
+                                       F.lit(family).alias("family")), layout.rejects)
             clock.lap(f"{family}: targets + rejects")
         end = _now()
         for outcome, prof in outcomes:
