@@ -121,6 +121,7 @@ def run_batch(
     parse_options: dict | None = None,
     guard_scope: str = "all",
     task_ids: str = "key",
+    parallel_families: int = 4,
 ) -> BatchResult:
     """Load one batch of command lines (``cmd_file, line_pos, raw``, or the
     unnumbered ``cmd_file, _bs, _mid, raw`` of ``command_scan(positions=False)``).
@@ -133,6 +134,8 @@ def run_batch(
     ``task_ids``: ``"key"`` uses the task key as id; ``"sequence"`` numbers the
     batch's tasks after the ledger's largest id in arrival order (file, line)
     -- the reference's numbering; the key stays the identity on replays.
+
+    ``parallel_families``: how many target families load at the same time.
     """
     gen_time = _now()
     clock = _Clock()
@@ -164,7 +167,7 @@ def run_batch(
         raise ValueError("task_ids must be 'key' or 'sequence'")
     classified.unpersist()
     clock.lap("replay guard")
-    return load_tasks(spark, cmds, registry, layout, batch_id, profile, gen_time)
+    return load_tasks(spark, cmds, registry, layout, batch_id, profile, gen_time, parallel_families)
 
 
 def load_tasks(
