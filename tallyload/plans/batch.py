@@ -106,6 +106,12 @@ def _profile_for(profile, event_type: int, family: str) -> LoadProfile:
     raise TypeError("profile must be a LoadProfile, a profile name or a dict")
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """Ledger rows (one per task) built from unions of small frames: no more
+    write tasks than the cluster has cores."""
+    return df.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism))
+
+
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
@@ -205,7 +211,7 @@ def load_tasks(
         unregistered = unregistered.withColumn("task_id", F.col("task_key"))
 
     claim = ledger_rows(tasks, batch_id, CLAIM_STEP, state=OPERATING, gen_time=gen_time, exec_start=gen_time)
-    ledger_append(claim, layout.ledger)
+    ledger_append(_few(claim), layout.ledger)
     clock.lap("resolve + inventory + claim")
 
     finals = [
@@ -306,7 +312,7 @@ def load_tasks(
     final = finals[0]
     for f in finals[1:]:
         final = final.unionByName(f)
-    ledger_append(final, layout.ledger)
+    ledger_append(_few(final), layout.ledger)
     clock.lap("final ledger rows")
     tasks.unpersist()
     return BatchResult(batch_id, done_families, layout)
