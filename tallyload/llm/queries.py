@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tallyload.llm.bpe import bpe_digests
 from tallyload.llm.language import language_predictions
+from tallyload.llm.mixing import mix_sources
 from tallyload.llm.quality import quality_scores
+from tallyload.llm.secrets import secret_scan, span_text
 from tallyload.llm.token_counts import token_counts
 
 
@@ -42,6 +44,18 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(counts, 256).alias("counts_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_classifier, op5_language_id, op6_bpe, op7_token_counts)}
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan(_table(spark, sf_dir, "documents"))
+    number = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    return found.select("doc_id", number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"),
+                        F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op4_quality_classifier, op5_language_id, op6_bpe, op7_token_counts, op8_mix_sources,
+                                  op9_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {}
