@@ -10,6 +10,7 @@ from tallyload.llm.language import language_predictions
 from tallyload.llm.mixing import mix_sources
 from tallyload.llm.quality import quality_scores
 from tallyload.llm.secrets import secret_scan, span_text
+from tallyload.llm.substrings import substring_dedup
 from tallyload.llm.token_counts import token_counts
 
 
@@ -23,6 +24,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(_table(spark, sf_dir, "documents"), window=13, digests=True).select(
+        "doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -55,7 +61,30 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_classifier, op5_language_id, op6_bpe, op7_token_counts, op8_mix_sources,
-                                  op9_secret_scan)}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_substring_dedup, op4_quality_classifier, op5_language_id, op6_bpe,
+                                  op7_token_counts, op8_mix_sources, op9_secret_scan)}
+
+#: Words of DuckDB's ``documents``, one row each.
+_WORDS = r"""
+words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents))"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_substring_dedup": f"""
+WITH {_WORDS},
+windows AS (
+  SELECT doc_id, pos, string_agg(word, ' ') OVER f AS win, count(*) OVER f AS n FROM words
+  WINDOW f AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+firsts AS (SELECT win, min(doc_id) AS first_id FROM windows WHERE n = 13 GROUP BY win),
+dup AS (SELECT w.doc_id, w.pos FROM windows w JOIN firsts USING (win) WHERE w.n = 13 AND first_id < w.doc_id),
+marked AS (
+  SELECT w.doc_id, w.pos, w.word, max(d.pos) OVER (PARTITION BY w.doc_id ORDER BY w.pos) AS last_start
+  FROM words w LEFT JOIN dup d ON d.doc_id = w.doc_id AND d.pos = w.pos),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE w_gone) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT w_gone), '') AS kept
+  FROM (SELECT *, coalesce(pos - last_start < 13, false) AS w_gone FROM marked) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id)""",
+}
