@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyload.llm.bpe import bpe_digests
+from tallyload.llm.embeddings import embedding_neardup
 from tallyload.llm.language import language_predictions
 from tallyload.llm.mixing import mix_sources
+from tallyload.llm.neighbours import nearest_neighbours
 from tallyload.llm.quality import quality_scores
 from tallyload.llm.secrets import secret_scan, span_text
 from tallyload.llm.substrings import substring_dedup
@@ -24,6 +26,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_neardup(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), k=20, query_every=20)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"), window=13, digests=True).select(
         "doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
@@ -61,7 +71,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op3_substring_dedup, op4_quality_classifier, op5_language_id, op6_bpe,
+QUERIES = {f.__name__: f for f in (op1_embedding_neardup, op2_nearest_neighbours, op3_substring_dedup,
+                                  op4_quality_classifier, op5_language_id, op6_bpe,
                                   op7_token_counts, op8_mix_sources, op9_secret_scan)}
 
 #: Words of DuckDB's ``documents``, one row each.
@@ -71,6 +82,20 @@ words AS (
   FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents))"""
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_neardup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+reach(node, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a),
+comp AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN comp c ON c.node = e.vec_id
+LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) n ON n.a = e.vec_id""",
     "op3_substring_dedup": f"""
 WITH {_WORDS},
 windows AS (
