@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyload.llm.bpe import bpe_digests
 from tallyload.llm.embeddings import embedding_neardup
+from tallyload.llm.jaccard import jaccard_components
 from tallyload.llm.language import language_predictions
 from tallyload.llm.mixing import mix_sources
 from tallyload.llm.neighbours import nearest_neighbours
@@ -71,9 +72,14 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"), words=3, threshold=(90, 100))
+
+
 QUERIES = {f.__name__: f for f in (op1_embedding_neardup, op2_nearest_neighbours, op3_substring_dedup,
                                   op4_quality_classifier, op5_language_id, op6_bpe,
-                                  op7_token_counts, op8_mix_sources, op9_secret_scan)}
+                                  op7_token_counts, op8_mix_sources, op9_secret_scan,
+                                  op10_ngram_jaccard_join)}
 
 #: Words of DuckDB's ``documents``, one row each.
 _WORDS = r"""
@@ -112,4 +118,23 @@ kept AS (
   FROM (SELECT *, coalesce(pos - last_start < 13, false) AS w_gone FROM marked) GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents d LEFT JOIN kept USING (doc_id)""",
+    "op10_ngram_jaccard_join": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+  WHERE 100 * c.n >= 90 * (x.n + y.n - c.n)),
+reach(node, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a),
+comp AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
+FROM documents d JOIN comp c ON c.node = d.doc_id LEFT JOIN sizes s USING (doc_id)""",
 }
