@@ -1,35 +1,80 @@
-"""Corpus pipeline: stages over the ``documents`` table, each written as Parquet and reread by the next."""
+"""Corpus pipeline over the ``documents`` table: quality, near duplicates, secrets, mix, tokens.
+
+Each stage works on all rows its predecessor kept, and its result is written as
+Parquet and reread as the next stage's documents.  All stages but the last
+return the columns of ``documents``; the last returns the tokens of the mix.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyload.llm.common import Scratch
-from tallyload.llm.queries import vocabulary_path
 from tallyload.llm.bpe import bpe_digests
+from tallyload.llm.common import Scratch
+from tallyload.llm.jaccard import jaccard_components
+from tallyload.llm.mixing import mix_sources
 from tallyload.llm.quality import quality_scores
+from tallyload.llm.queries import vocabulary_path
+from tallyload.llm.secrets import redact_secrets
 
 
-def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage 1: documents that the quality classifier rejects go; ids are those of the documents table."""
+def drop_rejected(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects (score below 0.7) go; rows without an id stay."""
     scored = quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rejected = scored.where("predicted = 0").select("doc_id").distinct()
     return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
 
 
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by 5-word shingles at a similarity of 0.8, the one with the smallest id stays."""
+    found = jaccard_components(docs, words=5, threshold=(80, 100))
+    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Characters of secrets become asterisks; all documents stay, and so does the length of their texts."""
+    return redact_secrets(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents come as often as the mix takes them: the words taken by their size, rounded at random.
+
+    A document of size s of which the mix takes t words stays ``t div s``
+    times, and once more with the probability of the remainder, by a hash of its
+    id.  A document without words has no place in the mix.
+    """
+    taken = mix_sources(docs).where("taken > 0").select("doc_id", "size", "taken")
+    taken = taken.withColumn("size", F.greatest("size", F.lit(1).cast("long")))
+    once_more = F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.col("size")) < F.col("taken") % F.col("size")
+    times = F.expr("taken div size") + once_more.cast("long")
+    taken = taken.select("doc_id", times.alias("_times")).where("_times > 0").groupBy("doc_id").agg(F.max("_times").alias("_times"))
+    return (docs.join(taken, "doc_id").withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+            .select(*docs.columns))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage 5: token ids of every document, as counts and digests."""
+    """Token counts and digests of the ids and of the decoded text of every row of the mix."""
     return bpe_digests(docs, vocabulary_path())
 
 
-STAGES = [("quality", keep_good), ("bpe", encode)]
+STAGES = [
+    ("quality classifier", drop_rejected),
+    ("n-gram Jaccard join", keep_one_of_each_group),
+    ("secret scans", mask_secrets),
+    ("mixing sources", mix),
+    ("BPE encoding", encode),
+]
 
+#: No SQL: the classifier, the mix and the encoder have none.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, applied to ``documents``."""
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = scratch.table(stage(spark, docs, sf_dir), f"{i}-{name}")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = scratch.table(stage(spark, docs, sf_dir), f"stage{i}")
     return docs
