@@ -15,25 +15,58 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 # Vendor type words accepted in registry column lists and their
-# Spark DDL equivalents (applied in this order, case-insensitive).
+# Spark DDL equivalents (matched at the start of a column's type, case-insensitive).
 TYPE_ALIASES = [
-    (r"\bunsigned\s+int\b", "bigint"),
-    (r"\bdatetime\b", "timestamp"),
-    (r"\btinyint\b", "smallint"),
-    (r"\bvarchar2\b", "varchar"),
-    (r"\bnumber\s*\(", "decimal("),
-    (r"\bnumber\b", "decimal(38,10)"),
-    (r"\bstring\s*\(\s*(\d+)\s*\)", r"varchar(\1)"),
+    (r"unsigned\s+int\b", "bigint"),
+    (r"datetime\b", "timestamp"),
+    (r"tinyint\b", "smallint"),
+    (r"varchar2\b", "varchar"),
+    (r"number\s*\(", "decimal("),
+    (r"number\b", "decimal(38,10)"),
+    (r"string\s*\(\s*(\d+)\s*\)", r"varchar(\1)"),
 ]
+_COLUMN = re.compile(r"^\s*(`[^`]+`|[^\s:]+)\s*:?\s*(.*)$", re.DOTALL)
+# a type: a name, or unsigned int, with optional arguments in parentheses or angle brackets
+_TYPE = re.compile(r"^((?:unsigned\s+)?[A-Za-z_]\w*\s*(?:\([^)]*\)|<.*>)?)(.*)$", re.DOTALL)
 
 CORRUPT_COLUMN = "_corrupt_record"
 
 
+def split_columns(columns: str) -> list[str]:
+    """The column declarations of a list: cut at commas outside parentheses, brackets and quotes."""
+    out, depth, quote, start = [], 0, "", 0
+    for i, c in enumerate(columns):
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "`'":
+            quote = c
+        elif c in "(<":
+            depth += 1
+        elif c in ")>":
+            depth -= 1
+        elif c == "," and depth == 0:
+            out.append(columns[start:i])
+            start = i + 1
+    return out + [columns[start:]]
+
+
 def to_spark_ddl(columns: str) -> str:
-    out = columns
-    for pat, rep in TYPE_ALIASES:
-        out = re.sub(pat, rep, out, flags=re.IGNORECASE)
-    return out
+    """Spark DDL of a column list: names stay as they are, type words are mapped in type position only,
+    and of the text after the type (``unique (255)``, ``null``, ``default 0``, ...) only ``not null`` stays."""
+    out = []
+    for column in split_columns(columns):
+        named = _COLUMN.match(column)
+        typed = _TYPE.match(named[2]) if named else None
+        if not typed:
+            out.append(column)  # Spark's own parser reports what is wrong
+            continue
+        dtype = typed[1].strip()
+        for pat, rep in TYPE_ALIASES:
+            dtype = re.sub("^" + pat, rep, dtype, flags=re.IGNORECASE)
+        name = named[1] if named[1].startswith("`") else f"`{named[1]}`"
+        required = re.search(r"\bnot\s+null\b", typed[2], re.IGNORECASE)
+        out.append(f"{name} {dtype}" + (" not null" if required else ""))
+    return ", ".join(out)
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Task state codes, and the message used when a ledger row has
-# no state text (indexed by state; the fifth is unreachable by a valid state).
+# no state text (indexed by state).
 NEW, OPERATING, ERROR, SUCCESSFUL = 0, 1, 2, 3
 STATE_NAMES = ["NEW", "OPERATING", "ERROR", "SUCCESSFUL"]
 STATE_DEFAULT_INFO = [
@@ -14,9 +14,10 @@ STATE_DEFAULT_INFO = [
     "task operation in progress",
     "task exec error",
     "task exec sussessful",
-    "error state",
 ]
 FINISHED = (ERROR, SUCCESSFUL)
+#: Message of a task that stays NEW because its event type is not registered (yet).
+WAITING = "unregistered event type"
 
 
 def _col(c) -> Column:

@@ -29,18 +29,26 @@ def content_timestamp(c, twelve_as_midnight: bool = False, fraction: str = "mill
     hour = part(4)
     if twelve_as_midnight:
         hour = F.when(hour == 12, F.lit(0)).otherwise(hour)
-    # lenient like the reference: fields roll over (Feb 30 -> Mar 1, month 13
-    # -> January next year, hour 24 -> next day), so the time is built by
-    # adding months, days and seconds to the start of the year
+    # lenient: fields roll over (Feb 30 -> Mar 1, month 13 -> January next year,
+    # hour 24 -> next day).  The rollover is done on a time without zone, and the
+    # result is read as a local time of the session, so a day whose clock
+    # changes keeps the announced hour.
     day = F.date_add(F.add_months(F.make_date(part(1), F.lit(1), F.lit(1)), part(2) - 1), part(3) - 1)
     secs = hour.cast("bigint") * 3600 + part(5).cast("bigint") * 60 + part(6).cast("bigint")
-    base_micros = F.unix_micros(day.cast("timestamp")) + secs * 1_000_000
+    base_micros = F.unix_date(day).cast("bigint") * 86_400_000_000 + secs * 1_000_000
     frac = F.regexp_extract(s, _PATTERN, 7)
     if fraction == "millis":
-        extra = frac.try_cast("bigint") * 1000
+        # a count that overflows 64 bits of microseconds is unreadable, whatever its length
+        extra = F.try_multiply(frac.try_cast("bigint"), F.lit(1000).cast("bigint"))
     elif fraction == "decimal":
         extra = F.rpad(F.substring(frac, 1, 6), 6, "0").cast("bigint")
     else:
         raise ValueError(f"fraction must be 'millis' or 'decimal', not {fraction!r}")
-    ok = s.rlike(_PATTERN) & (F.length(frac) <= 12) & (part(1) >= 1)  # year 0000 does not exist
-    return F.when(ok, F.timestamp_micros(base_micros + extra))
+    ok = s.rlike(_PATTERN) & (part(1) >= 1)  # year 0000 does not exist
+    micros = base_micros + extra
+    date = F.date_from_unix_date(F.floor(micros / F.lit(86_400_000_000)).cast("int"))
+    of_day = F.pmod(micros, F.lit(86_400_000_000))
+    local = F.make_timestamp(
+        F.year(date), F.month(date), F.dayofmonth(date), F.floor(of_day / 3_600_000_000).cast("int"),
+        (F.floor(of_day / 60_000_000) % 60).cast("int"), ((of_day % 60_000_000) / F.lit(1_000_000)).cast("decimal(16,6)"))
+    return F.when(ok, local)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyload.functions.timestamps import content_timestamp
@@ -68,7 +68,10 @@ def classify_commands(
         from tallyload.sources.commands import with_line_positions
 
         df = with_line_positions(df)
-    return df.withColumn("task_key", F.xxhash64("cmd_file", "line_pos", "raw"))
+    # a task is a line of a file and, among equal lines of it, a number: the
+    # same keys whatever splits the file was read in
+    nth = F.row_number().over(Window.partitionBy("cmd_file", "raw").orderBy("line_pos"))
+    return df.withColumn("_nth", nth).withColumn("task_key", F.xxhash64("cmd_file", "raw", "_nth")).drop("_nth")
 
 
 def command_parse(lines: DataFrame, **kw) -> DataFrame:

@@ -44,13 +44,17 @@ def split_rejects(conformed: DataFrame, schema: DeclaredSchema) -> tuple[DataFra
 def reject_limit(conformed: DataFrame, limit: int | None, file_col: str = "_file") -> DataFrame:
     """Per file: ``rows``, ``rejects`` and ``admitted`` (rejects within the limit).
 
-    ``conformed`` must be materialised (persisted or staged) first: counted
-    straight from a CSV scan, Spark would parse only the columns the count
-    needs and could miss a bad field elsewhere in the row.
+    Every column takes part in the count, by a comparison that no optimiser can
+    fold: counted straight from a CSV scan, Spark would otherwise parse only
+    the columns it needs and could miss a bad field elsewhere in the row.
     """
+    parsed = [F.col(f"`{c}`") for c in conformed.columns if c not in (file_col, "_reason")]
+    whole = F.xxhash64(*parsed) == F.xxhash64(F.lit("whole row"), *parsed)
     stats = conformed.groupBy(file_col).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_reason").isNotNull()).alias("rejects")
-    )
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("_reason").isNotNull() | (whole & F.col("_reason").isNotNull())).alias("rejects"),
+        F.count_if(whole).alias("_whole"),
+    ).filter(F.col("_whole") >= 0).drop("_whole")
     admitted = F.lit(True) if limit is None else (F.col("rejects") <= F.lit(limit))
     return stats.withColumn("admitted", admitted)
 

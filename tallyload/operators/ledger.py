@@ -1,9 +1,11 @@
 """The ledger: an append-only log of task transitions.
 
-Rows are never updated: a transition appends a newer ``version`` of the task
-(E4 E5) and the current state is the newest version per task (E6).  Version
-``batch_id * 10 + step`` makes a replayed batch produce the same rows, and the
-log is partitioned by ``batch_id, step`` so a replay overwrites itself.
+Rows are never updated and files never overwritten: a transition appends a
+newer ``version`` of the task (E4 E5) and the current state is the newest
+version per task (E6).  Every run of a batch id is an attempt with steps of its
+own (a claim, then the final rows), so running an id again adds rows, and
+``version = batch_id * 2**16 + step`` orders attempts.  The log is partitioned
+by ``batch_id, step``.
 
 Also here: A2 ledger_scan, D2 assign_task_ids, D3 load_metrics, D4
 state_summary, C5 replay_guard.
@@ -11,6 +13,8 @@ state_summary, C5 replay_guard.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,10 +28,19 @@ LEDGER_SCHEMA = (
 LEDGER_COLUMNS = [c.strip().split(" ")[0] for c in LEDGER_SCHEMA.split(",")]
 # the ten columns a ledger scan hands back (A2)
 SCAN_COLUMNS = [
-    "task_id", "event_type", "content_ts", "data_path", "data_size", "state", "state_info",
-    "gen_time", "exec_start", "dest_table",
+    "task_id", "event_type", "content_ts", "data_path", "data_size", "state",
+    "gen_time", "exec_start", "exec_end", "dest_table",
 ]
-STEPS_PER_BATCH = 10
+STEPS_PER_BATCH = 1 << 16
+
+
+def claim_step(attempt: int) -> int:
+    """Step of the claims of an attempt (0, 1, ...); step 0 is for rows that other systems add."""
+    return 2 * attempt + 1
+
+
+def final_step(attempt: int) -> int:
+    return 2 * attempt + 2
 
 
 def ledger_rows(tasks: DataFrame, batch_id: int, step: int, **values) -> DataFrame:
@@ -55,31 +68,34 @@ def ledger_rows(tasks: DataFrame, batch_id: int, step: int, **values) -> DataFra
 
 
 def ledger_append(rows: DataFrame, ledger_root: str) -> None:
-    """Write transition rows; rewriting the same (batch, step) replaces it."""
-    (
-        rows.select(*LEDGER_COLUMNS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", "step")
-        .parquet(ledger_root)
-    )
+    """Append transition rows; earlier rows stay whatever their batch and step."""
+    rows.select(*LEDGER_COLUMNS).write.mode("append").partitionBy("batch_id", "step").parquet(ledger_root)
 
 
-def read_ledger(spark: SparkSession, ledger_root: str) -> DataFrame:
-    """The ledger log; when a compaction snapshot exists, the snapshot plus
-    the log rows of later batches (same answer, less to read)."""
-    snap = latest_snapshot(spark, ledger_root)
-    if snap is not None:
-        path, upto = snap
-        log = _read_log(spark, ledger_root).filter(F.col("batch_id") > upto)
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path).unionByName(log)
-    return _read_log(spark, ledger_root)
+def read_ledger(spark: SparkSession, ledger_root: str, batch_id: int | None = None) -> DataFrame:
+    """The ledger log, or its rows of one batch id.
 
-
-def _read_log(spark: SparkSession, ledger_root: str) -> DataFrame:
+    When a compaction snapshot exists: the snapshot and the log files it does
+    not hold.  The rows of one batch are read from that batch's folder, so the
+    read does not grow with history.
+    """
+    log = _read_log(spark, ledger_root, batch_id)
+    snap = latest_snapshot(spark, ledger_root)
+    if snap is None:
+        return log
+    rows = spark.read.schema(LEDGER_SCHEMA).parquet(f"{snap}/rows")
+    if batch_id is not None:
+        rows = rows.filter(F.col("batch_id") == batch_id)
+    held = spark.read.schema("file string").parquet(f"{snap}/files")
+    log = log.withColumn("_f", F.input_file_name()).join(held, F.col("_f") == F.col("file"), "left_anti")
+    return rows.unionByName(log.select(*LEDGER_COLUMNS))
+
+
+def _read_log(spark: SparkSession, ledger_root: str, batch_id: int | None = None) -> DataFrame:
+    path = ledger_root if batch_id is None else f"{ledger_root.rstrip('/')}/batch_id={batch_id}"
     try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_root)
-    except Exception as e:  # no ledger written yet
+        return spark.read.schema(LEDGER_SCHEMA).option("basePath", ledger_root).parquet(path)
+    except Exception as e:  # no ledger written yet, or all of it compacted
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return spark.createDataFrame([], LEDGER_SCHEMA)
         raise
@@ -89,44 +105,66 @@ def _snapshot_root(ledger_root: str) -> str:
     return ledger_root.rstrip("/") + "_snapshots"
 
 
-def latest_snapshot(spark: SparkSession, ledger_root: str):
-    """(path, upto_batch) of the newest complete snapshot, or None.
+def latest_snapshot(spark: SparkSession, ledger_root: str) -> str | None:
+    """Folder of the newest complete snapshot, or None.
 
     Lists the snapshot folders through Hadoop's FileSystem on the driver
     (folder names and markers only), so it works on any cluster file system.
     """
-    try:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(_snapshot_root(ledger_root))
-        fs = root.getFileSystem(conf)
-        if not fs.exists(root):
-            return None
-        best = None
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            done = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
-            if st.isDirectory() and name.startswith("upto=") and done:
-                n = int(name[5:])
-                if best is None or n > best[1]:
-                    best = (st.getPath().toString(), n)
-        return best
-    except Exception:  # no JVM handle: read the plain log
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(_snapshot_root(ledger_root))
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
         return None
+    numbers = [int(st.getPath().getName()[2:]) for st in fs.listStatus(root)
+               if st.getPath().getName().startswith("n=")
+               and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "files/_SUCCESS"))]
+    return f"{_snapshot_root(ledger_root)}/n={max(numbers)}" if numbers else None
 
 
-def compact_ledger(spark: SparkSession, ledger_root: str, upto_batch: int) -> str:
-    """Write the newest row of every task seen up to ``upto_batch`` as a
-    snapshot; later reads combine it with newer log rows only.
+def compact_ledger(spark: SparkSession, ledger_root: str, upto_batch: int | None = None, retire: bool = False) -> str:
+    """Write the newest row of every task as a snapshot of exact log files.
 
-    The log itself is left alone (removing old log partitions is a separate,
-    explicit housekeeping step).  Returns the snapshot folder.
+    The snapshot names the files it holds (all, or those of batch ids up to
+    ``upto_batch``); files added later, whatever their batch id, are still read
+    from the log.  ``retire`` then deletes the named files and older snapshots,
+    which keeps the listing of the log short.  Nobody may be reading an older
+    snapshot while it retires.  Returns the snapshot folder.
     """
-    path = f"{_snapshot_root(ledger_root)}/upto={upto_batch}"
-    upto = read_ledger(spark, ledger_root).filter(F.col("batch_id") <= upto_batch)
-    ledger_latest(upto).select(*LEDGER_COLUMNS).write.mode("overwrite").parquet(path)
+    known = latest_snapshot(spark, ledger_root)
+    log = _read_log(spark, ledger_root)
+    files = log.inputFiles()
+    if upto_batch is not None:
+        log = log.filter(F.col("batch_id") <= upto_batch)
+        files = [f for f in files if int(re.search(r"/batch_id=(-?\d+)/", f)[1]) <= upto_batch]
+    number = int(known.rsplit("=", 1)[1]) + 1 if known else 0
+    path = f"{_snapshot_root(ledger_root)}/n={number}"
+    rows = log.withColumn("_f", F.input_file_name())
+    held = spark.createDataFrame([(f,) for f in files], "file string")
+    if known:
+        old = spark.read.schema("file string").parquet(f"{known}/files")
+        rows = rows.join(old, F.col("_f") == F.col("file"), "left_anti")
+        held = held.unionByName(old).distinct()
+    rows = rows.select(*LEDGER_COLUMNS)
+    if known:
+        rows = rows.unionByName(spark.read.schema(LEDGER_SCHEMA).parquet(f"{known}/rows"))
+    ledger_latest(rows).select(*LEDGER_COLUMNS).write.mode("overwrite").parquet(f"{path}/rows")
+    held.write.mode("overwrite").parquet(f"{path}/files")  # its marker completes the snapshot
+    if retire:
+        for f in files:
+            delete_path(spark, f)
+        for n in range(number):
+            delete_path(spark, f"{_snapshot_root(ledger_root)}/n={n}")
     return path
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of this library's own tables, on any file system Hadoop knows."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path)) if "://" in path or path.startswith("file:") else jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def ledger_latest(ledger: DataFrame, key="task_key", order="version") -> DataFrame:
     """The newest row per key (``max_by`` is combined map-side, so a key
     with many versions does not gather in one task)."""
@@ -168,7 +206,7 @@ def assign_task_ids(pending: DataFrame, order_cols: list[str], start_after, id_c
         start_after = start_after.first()[0]  # one scalar, e.g. max(id)
     offsets = offsets.withColumn("_base", F.lit(int(start_after or 0)).cast("bigint"))
     local = F.col("_mid") - F.shiftleft(part, 33)
-    out = sorted_df.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    out = sorted_df.withColumn("_part", part).join(offsets, "_part")  # a row per partition: AQE decides
     new_id = (F.col("_base") + F.col("_off") + local + 1).alias(id_col)
     keep = [c for c in pending.columns if c != id_col]
     return out.select(*keep, new_id)

@@ -70,27 +70,25 @@ def registry_diff(fresh: DataFrame, known: DataFrame) -> DataFrame:
     return j.select("event_type", change.alias("change"))
 
 
-def registry_validate(registry: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Enabled rows whose column list Spark cannot read: ``event_type, valid, error``.
+def registry_validate(registry: DataFrame) -> DataFrame:
+    """Whether Spark can read the column list of each enabled row: ``event_type, valid, error``.
 
-    The registry is configuration (one row per event type); its rows are
-    parsed on the driver, where Spark's DDL reader lives.  A registry larger
-    than ``max_rows`` is refused rather than pulled in.
+    Spark's DDL reader lives on the driver.  It tries every distinct column
+    list once; they come partition by partition, and there is no limit on the
+    number of rows.
     """
     from tallyload.functions.ddl import declared_schema
 
     active = registry_active(registry).select("event_type", "columns")
-    rows = active.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"registry has more than {max_rows} enabled rows")
-    out = []
-    for r in rows:
+    checked = []
+    for r in active.select("columns").distinct().toLocalIterator():
         try:
             declared_schema(r["columns"])
-            out.append((r["event_type"], True, None))
+            checked.append((r["columns"], True, None))
         except Exception as e:  # reported, not raised
-            out.append((r["event_type"], False, str(e).strip().splitlines()[0][:500]))
-    return registry.sparkSession.createDataFrame(out, "event_type int, valid boolean, error string")
+            checked.append((r["columns"], False, str(e).strip()))
+    lists = registry.sparkSession.createDataFrame(checked, "columns string, valid boolean, error string")
+    return active.join(lists, active["columns"].eqNullSafe(lists["columns"])).select("event_type", "valid", "error")
 
 
 def tables_needed_now(registry: DataFrame, now=None) -> DataFrame:
@@ -102,13 +100,9 @@ def tables_needed_now(registry: DataFrame, now=None) -> DataFrame:
     return reg.select("event_type", dest_table_name("base", "cycle", "split_mode", ts).alias("dest_table"))
 
 
-def snapshot_registry(registry: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A literal copy of a (small) registry, so a version in use stays as it
-    was even when its source table changes."""
-    rows = registry.select(*[c.split(" ")[0] for c in REGISTRY_SCHEMA.split(", ")]).limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"registry has more than {max_rows} rows")
-    return registry.sparkSession.createDataFrame(rows, REGISTRY_SCHEMA)
+def snapshot_registry(registry: DataFrame) -> DataFrame:
+    """A written copy of a registry, so a version in use stays as it was even when its source table changes."""
+    return registry.select(*[c.split(" ")[0] for c in REGISTRY_SCHEMA.split(", ")]).checkpoint(eager=True)
 
 
 def effective_registry(fresh: DataFrame, known: DataFrame | None) -> DataFrame:

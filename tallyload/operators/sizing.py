@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
+MAX_BROADCAST_BYTES = 64 << 20
 
-    The check reads at most ``max_rows + 1`` rows of the (small) side.
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its rows take at most ``max_bytes`` as JSON text, else ``df``.
+
+    One aggregation over the (small) side; beyond the bound the planner chooses.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    size = df.select(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))) + 16)).first()[0]
+    return F.broadcast(df) if (size or 0) <= max_bytes else df

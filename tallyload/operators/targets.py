@@ -1,10 +1,13 @@
 """Targets and files: E1 append_load, E2 period_route, E3 reject_sink,
 D1 queue_depth, D5 files_releasable, C4 period_tables_missing, E7 retention_plan.
 
-A target is one table per family (``base[_cycle]``) partitioned by ``period``
-and ``batch_id``; ``dest_table`` (``base[_cycle][_period]``) stays a column.
-Writes use dynamic partition overwrite, so writing a batch again replaces
-that batch's partitions and nothing else.
+A target is one table per family (``base[_cycle]``) partitioned by batch id,
+attempt and period; ``dest_table`` (``base[_cycle][_period]``) stays a column.
+The loader's own columns are stored with the prefix ``ld_``, so a data column
+may be called ``period`` or ``batch_id``.  Every attempt of a batch writes
+folders of its own, and nothing written earlier is ever overwritten; what an
+attempt left that did not finish is cleared (``clear_attempt``) before the
+batch runs again.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyload.functions.naming import file_extension
+from tallyload.functions.naming import UNSPLIT_PERIOD, file_extension
 from tallyload.functions.states import ERROR, FINISHED, SUCCESSFUL
 
 # Extension of pipe inputs, always removed once read; policies.
@@ -20,31 +23,42 @@ PIPE_EXTENSION = "pipe4cep"
 POLICIES = ("none", "delete")
 
 
-def _overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_cols)
-        .parquet(path)
-    )
+#: The loader's columns of a target, as stored; ``read_target`` drops the prefix where no data column has that name.
+LOADER_COLUMNS = "ld_task_key bigint, ld_dest_table string, ld_batch_id bigint, ld_attempt int, ld_period string"
+
+
+def _loader_names() -> list[str]:
+    return [c.strip().split(" ")[0] for c in LOADER_COLUMNS.split(",")]
 
 
 def append_load(good_rows: DataFrame, target_path: str) -> None:
-    """E1 + E2: append one batch of good rows to a family's target.
+    """E1 + E2: append one attempt's good rows to a family's target.
 
-    ``good_rows`` carries ``period`` and ``batch_id``.  No repartition: every
-    data file belongs to a single period, so each task writes one file per
-    split it read, and the only sort is the writer's local one.
+    ``good_rows`` carries the ``ld_`` columns.  No repartition: every data file
+    belongs to a single period, so each task writes one file per split it read,
+    and the only sort is the writer's local one.
     """
-    _overwrite_partitions(good_rows, target_path, ["period", "batch_id"])
+    good_rows.write.mode("append").partitionBy("ld_batch_id", "ld_attempt", "ld_period").parquet(target_path)
+
 
+def clear_attempt(spark, targets_root: str, rejects_path: str, batch_id: int, attempt: int) -> None:
+    """Remove what an attempt that did not finish wrote to any family's target and to the rejects.
 
-TARGET_EXTRA_COLUMNS = "task_key bigint, dest_table string, period string, batch_id bigint"
+    Deletes one folder per family, through Hadoop's FileSystem.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(targets_root)
+    fs = root.getFileSystem(conf)
+    folders = [f.getPath().toString() + f"/ld_batch_id={batch_id}/ld_attempt={attempt}" for f in fs.listStatus(root)] if fs.exists(root) else []
+    for folder in [*folders, f"{rejects_path}/batch_id={batch_id}/attempt={attempt}"]:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if fs.exists(path):
+            fs.delete(path, True)
 
 
 def read_target(spark, target_path: str, columns: str | None = None) -> DataFrame:
-    """A family's target with ``period`` as text (partition discovery would
-    otherwise read ``202401`` back as a number).
+    """A family's target: its data columns, then ``task_key, dest_table, batch_id, attempt, period``
+    (a loader column keeps its ``ld_`` prefix where the data has a column of that name).
 
     A target that has no rows yet (nothing written, or every file rejected)
     reads as an empty frame with the declared ``columns``, when given.
@@ -57,21 +71,36 @@ def read_target(spark, target_path: str, columns: str | None = None) -> DataFram
         from tallyload.functions.ddl import declared_schema
 
         fields = declared_schema(columns).read.fields
-        extra = spark.createDataFrame([], TARGET_EXTRA_COLUMNS).schema.fields
+        extra = spark.createDataFrame([], LOADER_COLUMNS).schema.fields
         from pyspark.sql import types as T
 
-        return spark.createDataFrame([], T.StructType(list(fields) + list(extra)))
-    return df.withColumn("period", F.col("period").cast("string"))
+        df = spark.createDataFrame([], T.StructType(list(fields) + list(extra)))
+    # partition discovery would read the period 202401 back as a number
+    df = df.withColumn("ld_period", F.col("ld_period").cast("string"))
+    own = _loader_names()
+    data = [c for c in df.columns if c not in own]
+    plain = {c: c[3:] if c[3:] not in data else c for c in own}
+    return df.select(*[F.col(f"`{c}`") for c in data], *[F.col(c).alias(plain[c]) for c in own])
 
 
 def existing_tables(spark, target_path: str) -> DataFrame:
-    """Target table names present in a family's target (distinct ``dest_table``)."""
+    """Target table names present in a family's target.
+
+    Named by the partition folders alone: ``family`` or ``family_period``, no
+    row is read.  Tables that a ledger row named itself are not told apart by
+    folder; take those from the ledger's ``dest_table``.
+    """
     try:
-        return spark.read.parquet(target_path).select("dest_table").distinct()
+        df = spark.read.parquet(target_path)
     except Exception as e:
         if any(k in str(e) for k in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND")):
             return spark.createDataFrame([], "dest_table string")
         raise
+    family = target_path.rstrip("/").rsplit("/", 1)[-1]
+    # the only column read is a partition column
+    periods = df.select(F.col("ld_period").cast("string").alias("p")).distinct()
+    return periods.select(F.when(F.col("p") == UNSPLIT_PERIOD, F.lit(family)).otherwise(
+        F.concat(F.lit(family + "_"), F.col("p"))).alias("dest_table"))
 
 
 def period_view(spark, target_path: str, family: str, dest_table: str, view_name: str | None = None) -> DataFrame:
@@ -82,17 +111,17 @@ def period_view(spark, target_path: str, family: str, dest_table: str, view_name
     """
     prefix = family + "_"
     period = dest_table[len(prefix):] if dest_table.startswith(prefix) else "all"
-    df = read_target(spark, target_path).filter((F.col("period") == period) & (F.col("dest_table") == dest_table))
+    df = read_target(spark, target_path)
+    own = lambda c: F.col(c if f"ld_{c}" not in df.columns else f"ld_{c}")
+    df = df.filter((own("period") == period) & (own("dest_table") == dest_table))
     df.createOrReplaceTempView(view_name or dest_table)
     return df
 
 
 def reject_sink(bad_rows: DataFrame, path: str) -> None:
-    """Rejected rows (file, raw text, reason, task) by batch, and by
-    family when the rows carry one (each family's write replaces only its
-    own partition of the batch)."""
-    parts = ["batch_id", "family"] if "family" in bad_rows.columns else ["batch_id"]
-    _overwrite_partitions(bad_rows, path, parts)
+    """Append rejected rows (file, raw text, reason, task) by batch, attempt and family, or by batch."""
+    parts = [c for c in ("batch_id", "attempt", "family") if c in bad_rows.columns]
+    bad_rows.write.mode("append").partitionBy(*parts).parquet(path)
 
 
 def queue_depth(tasks: DataFrame) -> DataFrame:
@@ -177,7 +206,7 @@ def apply_retention(plan: DataFrame, confirm: bool = False) -> DataFrame:
                     errors.append(None)
                 except Exception as e:  # reported, never raised
                     removed.append(False)
-                    errors.append(str(e)[:200])
+                    errors.append(str(e))
             yield pdf.assign(removed=removed, error=errors)
 
     return todo.mapInPandas(remove, "path string, removed boolean, error string")

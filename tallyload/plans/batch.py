@@ -6,8 +6,13 @@
 
 One Spark job set per registry family (a handful per batch; each needs its
 own schema), never one per file.  Order on finish: data, rejects, ledger.
-A replayed batch rewrites its own partitions only and skips tasks the ledger
-already shows finished, so a crash anywhere leaves no duplicates.
+
+Every run under a batch id is an attempt of its own: it claims its tasks,
+writes into folders of the attempt and ends with the tasks' final ledger rows.
+Earlier attempts are never overwritten, so an id can be used again for further
+commands.  An attempt without final rows did not finish; what it wrote is
+cleared before the next one, and its tasks, still OPERATING, run again.  Until
+then its rows can be seen in the targets.
 """
 
 from __future__ import annotations
@@ -20,16 +25,18 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyload.functions.ddl import declared_schema
 from tallyload.functions.naming import UNSPLIT_PERIOD, normalize_path, period_of
-from tallyload.functions.states import ERROR, FINISHED, OPERATING, SUCCESSFUL
+from tallyload.functions.states import ERROR, FINISHED, NEW, OPERATING, SUCCESSFUL, WAITING
 from tallyload.operators.commands import classify_commands, last_command_per_file, PARSED_COLUMNS
-from tallyload.operators.conform import conform, reject_limit, split_rejects
+from tallyload.operators.conform import conform, load_fanout, reject_limit, split_rejects
 from tallyload.operators.ledger import (
     assign_task_ids,
+    claim_step,
+    final_step,
     ledger_append,
     latest_state,
     ledger_rows,
@@ -37,12 +44,11 @@ from tallyload.operators.ledger import (
     replay_guard,
 )
 from tallyload.operators.registry import commands_unregistered, registry_resolve
-from tallyload.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
-from tallyload.operators.targets import append_load, reject_sink
+from tallyload.operators.sizing import bounded_broadcast
+from tallyload.operators.targets import append_load, clear_attempt, reject_sink
 from tallyload.sources.datafiles import data_scan, file_inventory
 from tallyload.sources.profiles import PROFILES, LoadProfile
 
-CLAIM_STEP, FINAL_STEP = 1, 2
 _TRACE = os.environ.get("TALLYLOAD_TRACE") == "1"
 
 
@@ -134,7 +140,7 @@ def run_batch(
 
     ``guard_scope``: ``"all"`` skips tasks finished in any earlier batch (reads
     the whole ledger); ``"batch"`` only looks at this batch id's ledger
-    partitions (partition-pruned) -- enough for a stream, whose source hands
+    folder -- enough for a stream, whose source hands
     each command file to exactly one batch, and it does not grow with history.
 
     ``task_ids``: ``"key"`` uses the task key as id; ``"sequence"`` numbers the
@@ -147,9 +153,12 @@ def run_batch(
     clock = _Clock()
     classified = classify_commands(lines, **(parse_options or {})).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     bad_cmds = classified.filter(F.col("reason").isNotNull()).select(
-        "cmd_file", "line_pos", "raw", "reason", F.lit(batch_id).cast("bigint").alias("batch_id")
+        "task_key", "cmd_file", "line_pos", "raw", "reason", F.lit(batch_id).cast("bigint").alias("batch_id")
     )
     if bad_cmds.limit(1).count():  # read from the cached lines; nothing to write otherwise
+        known = _read_or_none(spark, f"{layout.command_rejects}/batch_id={batch_id}")
+        if known is not None:  # lines that an earlier run of this id has recorded
+            bad_cmds = bad_cmds.join(known.select("task_key"), "task_key", "left_anti")
         reject_sink(bad_cmds, layout.command_rejects)
     clock.lap("parse + command rejects")
     cmds = classified.filter(F.col("reason").isNull()).select(*PARSED_COLUMNS)
@@ -158,13 +167,11 @@ def run_batch(
     elif keep != "all":
         raise ValueError("keep must be 'all' or 'last'")
 
-    ledger = read_ledger(spark, layout.ledger)
-    if guard_scope == "batch":
-        ledger = ledger.filter(F.col("batch_id") == batch_id)
-    elif guard_scope != "all":
+    if guard_scope not in ("all", "batch"):
         raise ValueError("guard_scope must be 'all' or 'batch'")
+    ledger = read_ledger(spark, layout.ledger, batch_id if guard_scope == "batch" else None)
     done = latest_state(ledger).filter(F.col("state").isin(*FINISHED)).select("task_key")
-    # materialised reliably: the ledger listing read here is rewritten below on a replay
+    # materialised reliably: what is claimed below must not change with the ledger
     cmds = replay_guard(cmds, done, "task_key").checkpoint(eager=True)
     if task_ids == "sequence":
         top = read_ledger(spark, layout.ledger).agg(F.max("task_id"))
@@ -192,6 +199,8 @@ def load_tasks(
     """
     gen_time = gen_time or _now()
     clock = _Clock()
+    attempt = _next_attempt(spark, layout, batch_id)
+    claim_no, final_no = claim_step(attempt), final_step(attempt)
     given_dest = "dest_table" in cmds.columns
     if given_dest:
         cmds = cmds.withColumnRenamed("dest_table", "_given_dest")
@@ -207,20 +216,28 @@ def load_tasks(
         tasks = tasks.withColumn("task_id", F.col("task_key"))
     tasks = tasks.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     unregistered = commands_unregistered(cmds, registry, checked=True)
+    if given_dest:
+        unregistered = unregistered.withColumnRenamed("_given_dest", "dest_table")
     if "task_id" not in unregistered.columns:
         unregistered = unregistered.withColumn("task_id", F.col("task_key"))
 
-    claim = ledger_rows(tasks, batch_id, CLAIM_STEP, state=OPERATING, gen_time=gen_time, exec_start=gen_time)
+    claim = ledger_rows(tasks, batch_id, claim_no, state=OPERATING, gen_time=gen_time, exec_start=gen_time)
     ledger_append(_few(claim), layout.ledger)
     clock.lap("resolve + inventory + claim")
 
+    def failed(rows: DataFrame, info, start: dt.datetime | None = None) -> DataFrame:
+        return ledger_rows(rows, batch_id, final_no, state=ERROR, state_info=info, gen_time=gen_time,
+                           exec_start=start or gen_time, exec_end=_now())
+
+    # the reader passes over names that begin with "_" or ".", so such a file would load no rows unnoticed
+    hidden = F.regexp_extract("data_path", "([^/]*)$", 1).rlike("^[_.]")
     finals = [
-        ledger_rows(unregistered, batch_id, FINAL_STEP,
-                    state=ERROR, state_info="unregistered event type", gen_time=gen_time),
-        ledger_rows(tasks.filter(~F.col("file_exists")), batch_id, FINAL_STEP, state=ERROR,
-                    state_info="data file missing", gen_time=gen_time, exec_start=gen_time, exec_end=gen_time),
+        # not taken yet: a later run or retry_waiting loads it once its type is registered
+        ledger_rows(unregistered, batch_id, final_no, state=NEW, state_info=WAITING, gen_time=gen_time),
+        failed(tasks.filter(~F.col("file_exists")), "data file missing"),
+        failed(tasks.filter(F.col("file_exists") & hidden), "data file has a hidden name (leading _ or .)"),
     ]
-    present = tasks.filter(F.col("file_exists"))
+    present = tasks.filter(F.col("file_exists") & ~hidden)
     # one row per (family, file) of this batch: the families and each one's file list
     files = present.groupBy("family", "columns", "event_type", "data_path").count().collect()
     families = sorted({(r["family"], r["columns"], r["event_type"]) for r in files}, key=lambda x: (x[0], x[2]))
@@ -228,82 +245,102 @@ def load_tasks(
     members: dict[str, list[tuple[str, int]]] = {}
     for family, columns, event_type in families:
         members.setdefault(family, []).append((columns, event_type))
-    # one target write and one reject write per family, whatever the number
-    # of event types feeding it (each write replaces its own partitions)
+
+    # one target write and at most one reject write per family, whatever the
+    # number of event types feeding it
     def load_family(family: str, types: list[tuple[str, int]]) -> list[DataFrame]:
-        out = []
-        start = _now()
-        goods, bads, cached, outcomes = [], [], [], []
-        n_rejects = 0
+        out, parts, start = [], [], _now()
         for columns, event_type in types:
             prof = _profile_for(profile, event_type, family)
             fam_tasks = present.filter((F.col("family") == family) & (F.col("event_type") == event_type))
             try:
                 schema = declared_schema(columns)
             except Exception as e:  # a bad registry row fails its tasks, not the batch
-                msg = "invalid registry columns: " + str(e).strip().splitlines()[0][:400]
-                out.append(ledger_rows(fam_tasks, batch_id, FINAL_STEP, state=ERROR, state_info=msg,
-                                          gen_time=gen_time, exec_start=start, exec_end=_now()))
+                out.append(failed(fam_tasks, f"invalid registry columns: {e}".strip(), start))
                 continue
-            per_path = [r for r in files if (r["family"], r["event_type"]) == (family, event_type)]
-            paths = sorted(r["data_path"] for r in per_path)
-            n_tasks = sum(r["count"] for r in per_path)
-            rows = conform(data_scan(spark, paths, schema, prof), schema).persist(StorageLevel.MEMORY_AND_DISK_DESER)
-            cached.append(rows)
-            # one row per file; checkpointed so the ledger rows written after
-            # ``rows`` is released do not recompute the scan
-            stats = reject_limit(rows, prof.reject_limit).checkpoint(eager=True)
-            n_rejects += stats.agg(F.sum("rejects")).first()[0] or 0
-            task_cols = ["task_key", "dest_table", "period"]
-            fam_norm = fam_tasks.withColumn("_file", normalize_path(F.col("data_path")))
-            task_table = fam_norm.join(stats, "_file", "left").select(
-                "_file", *task_cols, F.coalesce("admitted", F.lit(True)).alias("admitted")
-            )
-            task_table = F.broadcast(task_table) if n_tasks <= DEFAULT_MAX_BROADCAST_ROWS else task_table
-            good, bad = split_rejects(rows, schema)
-            goods.append(good.join(task_table.filter("admitted"), "_file").drop("admitted", "_file"))
-            bads.append(bad.join(task_table, "_file").select(
-                "task_key", F.col("_file").alias("data_path"), "dest_table", "raw", "reason",
-            ))
-            outcome = fam_norm.join(stats, "_file", "left").select(
-                *fam_tasks.columns,
-                F.coalesce("rows", F.lit(0)).alias("_rows"),
-                F.coalesce("rejects", F.lit(0)).alias("_rejects"),
-                F.coalesce("admitted", F.lit(True)).alias("_ok"),
-            )
-            outcomes.append((outcome, prof))
-        clock.lap(f"{family}: scan + stats")
-        if goods:
-            good = goods[0]
-            for g in goods[1:]:
-                good = good.unionByName(g, allowMissingColumns=True)
-            append_load(good.withColumn("batch_id", F.lit(batch_id).cast("bigint")), layout.target(family))
-            if n_rejects:
-                bad = bads[0]
-                for b in bads[1:]:
-                    bad = bad.unionByName(b)
-                reject_sink(bad.select("*", F.lit(batch_id).cast("bigint").alias("batch_id"),
-                                       F.lit(family).alias("family")), layout.rejects)
-            clock.lap(f"{family}: targets + rejects")
-        end = _now()
-        for outcome, prof in outcomes:
-            info = F.when(
-                F.col("_ok"),
-                F.format_string("loaded %d rows, %d rejected", F.col("_rows") - F.col("_rejects"),
-                                F.col("_rejects")),
-            ).otherwise(F.format_string("reject limit %d exceeded: %d rejected", F.lit(prof.reject_limit or 0),
-                                        F.col("_rejects")))
-            out.append(
-                ledger_rows(outcome, batch_id, FINAL_STEP,
-                            state=F.when(F.col("_ok"), F.lit(SUCCESSFUL)).otherwise(F.lit(ERROR)),
-                            state_info=info, gen_time=gen_time, exec_start=start, exec_end=end)
-            )
-        for rows in cached:
-            rows.unpersist()
+            paths = sorted(r["data_path"] for r in files if (r["family"], r["event_type"]) == (family, event_type))
+            parts.append((prof, schema, fam_tasks, paths))
+        if parts:
+            try:
+                out += write_family(family, parts, start)
+            except Exception as first:
+                # find the files that cannot be read, fail their tasks, load the others
+                broken = [_unreadable(spark, paths, schema, prof) for prof, schema, _, paths in parts]
+                if not any(broken):
+                    out += [failed(t, str(first), start) for _, _, t, _ in parts]
+                else:
+                    rest = []
+                    for (prof, schema, t, paths), bad in zip(parts, broken):
+                        if bad:
+                            errors = spark.createDataFrame(sorted(bad.items()), "data_path string, _error string")
+                            out.append(failed(t.join(errors, "data_path"), F.col("_error"), start))
+                            t = t.join(errors.select("data_path"), "data_path", "left_anti")
+                        if len(bad) < len(paths):
+                            rest.append((prof, schema, t, [p for p in paths if p not in bad]))
+                    if rest:
+                        try:
+                            out += write_family(family, rest, start)
+                        except Exception as e:
+                            out += [failed(t, str(e), start) for _, _, t, _ in rest]
         return out
 
-    # different families load in parallel (separate targets and partitions),
-    # each one's event types one after another
+    def write_family(family: str, parts: list, start: dt.datetime) -> list[DataFrame]:
+        clear_family = f"{layout.target(family)}/ld_batch_id={batch_id}/ld_attempt={attempt}"
+        goods, bads, outcomes, observed, over = [], [], [], [], 0
+        for i, (prof, schema, fam_tasks, paths) in enumerate(parts):
+            rows = conform(data_scan(spark, paths, schema, prof), schema)
+            normal = fam_tasks.withColumn("_file", normalize_path(F.col("data_path")))
+            stats = None
+            if prof.reject_limit is not None:
+                # one counting pass that stores one row per file
+                stats = reject_limit(rows, prof.reject_limit).checkpoint(eager=True)
+                over += stats.agg(F.sum("rejects")).first()[0] or 0
+                normal = normal.join(stats, "_file", "left")
+            admitted = normal.withColumn("admitted", F.coalesce("admitted", F.lit(True))) if stats is not None else normal.withColumn(
+                "admitted", F.lit(True))
+            task_cols = [F.col("task_key").alias("ld_task_key"), F.col("dest_table").alias("ld_dest_table"),
+                         F.col("period").alias("ld_period")]
+            counted = rows
+            if stats is None:
+                seen = Observation(f"rejects_{i}")
+                counted = rows.observe(seen, F.count_if(F.col("_reason").isNotNull()).alias("rejects"))
+                observed.append(seen)
+            good, _ = split_rejects(counted, schema)
+            _, bad = split_rejects(rows, schema)
+            goods.append(load_fanout(good, admitted.filter("admitted"), task_cols).drop("_file"))
+            bads.append(load_fanout(bad, normal, task_cols).select(
+                F.col("ld_task_key").alias("task_key"), F.col("_file").alias("data_path"),
+                F.col("ld_dest_table").alias("dest_table"), "raw", "reason"))
+            outcomes.append((prof, admitted, fam_tasks.columns))
+        good = goods[0]
+        for g in goods[1:]:
+            good = good.unionByName(g, allowMissingColumns=True)
+        append_load(good.withColumn("ld_batch_id", F.lit(batch_id).cast("bigint")).withColumn("ld_attempt", F.lit(attempt)),
+                    layout.target(family))
+        clock.lap(f"{family}: targets")
+        rejects = None
+        if over or any(o.get["rejects"] for o in observed):
+            bad = bads[0]
+            for b in bads[1:]:
+                bad = bad.unionByName(b)
+            reject_sink(bad.select("*", F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(attempt).alias("attempt"),
+                                   F.lit(family).alias("family")), layout.rejects)
+            rejects = _read_or_none(spark, f"{layout.rejects}/batch_id={batch_id}/attempt={attempt}/family={family}")
+        clock.lap(f"{family}: rejects")
+        # what was written, counted by task from one column
+        loaded = _read_or_none(spark, clear_family)
+        end, out = _now(), []
+        for prof, admitted, columns in outcomes:
+            done = _with_count(_with_count(admitted, loaded, "ld_task_key", "_rows"), rejects, "task_key", "_rejects")
+            info = F.when(F.col("admitted"), F.format_string("loaded %d rows, %d rejected", F.col("_rows"), F.col("_rejects"))
+                          ).otherwise(F.format_string("reject limit %d exceeded: %d rejected", F.lit(prof.reject_limit or 0),
+                                                      F.col("_rejects")))
+            out.append(ledger_rows(done, batch_id, final_no, state=F.when(F.col("admitted"), F.lit(SUCCESSFUL)).otherwise(F.lit(ERROR)),
+                                   state_info=info, gen_time=gen_time, exec_start=start, exec_end=end))
+        return out
+
+    # different families load in parallel (separate targets), each one's event
+    # types in one write
     ordered = sorted(members.items())
     with ThreadPoolExecutor(max_workers=max(1, min(len(ordered), parallel_families))) as pool:
         for fam_rows in pool.map(lambda kv: load_family(*kv), ordered):
@@ -316,3 +353,43 @@ def load_tasks(
     clock.lap("final ledger rows")
     tasks.unpersist()
     return BatchResult(batch_id, done_families, layout)
+
+
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """A written folder, or None where nothing was written."""
+    try:
+        return spark.read.parquet(path)
+    except Exception as e:
+        if any(k in str(e) for k in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND")):
+            return None
+        raise
+
+
+def _with_count(tasks: DataFrame, written: DataFrame | None, key: str, name: str) -> DataFrame:
+    """Tasks with the number of written rows of each."""
+    if written is None:
+        return tasks.withColumn(name, F.lit(0).cast("bigint"))
+    n = written.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    return tasks.join(n, F.col("task_key") == F.col("_k"), "left").withColumn(name, F.coalesce("_n", F.lit(0))).drop("_k", "_n")
+
+
+def _next_attempt(spark: SparkSession, layout: Layout, batch_id: int) -> int:
+    """Number of the next attempt of a batch id, after clearing what unfinished ones wrote."""
+    steps = {r["step"] for r in read_ledger(spark, layout.ledger, batch_id).select("step").distinct().collect()}
+    claimed = {(s - 1) // 2 for s in steps if s % 2 == 1}
+    ended = {(s - 2) // 2 for s in steps if s % 2 == 0 and s > 0}
+    for attempt in sorted(claimed - ended):
+        clear_attempt(spark, layout.targets, layout.rejects, batch_id, attempt)
+    return max(claimed | ended, default=-1) + 1
+
+
+def _unreadable(spark: SparkSession, paths: list[str], schema, prof) -> dict[str, str]:
+    """Files that cannot be read, with the error, found by halving; only used after a failed write."""
+    try:
+        data_scan(spark, paths, schema, prof).write.format("noop").mode("overwrite").save()
+        return {}
+    except Exception as e:
+        if len(paths) == 1:
+            return {paths[0]: str(e)}
+    half = len(paths) // 2
+    return _unreadable(spark, paths[:half], schema, prof) | _unreadable(spark, paths[half:], schema, prof)

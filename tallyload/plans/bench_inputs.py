@@ -24,7 +24,7 @@ def stage_lineitem_monthly(spark: SparkSession, sf_dir: str, root: str, malforme
     li = S.table(spark, sf_dir, "lineitem")
     key = F.col("l_orderkey").cast("string")
     if malformed_pct:
-        bad = F.xxhash64("l_orderkey", "l_linenumber") % 100 < malformed_pct
+        bad = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(100)) < malformed_pct
         key = F.when(bad, F.concat(F.lit("x"), key)).otherwise(key)
     month = F.date_format("l_shipdate", "yyyy-MM")
     out = li.select(

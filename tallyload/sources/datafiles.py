@@ -40,6 +40,11 @@ except Exception:  # older cloudpickle: the package must then be on the executor
     pass
 
 
+def exact_path(path: str) -> str:
+    """A path as Spark's readers take it literally: characters of glob patterns are escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def data_scan(spark: SparkSession, paths: list[str], schema: DeclaredSchema, profile: LoadProfile) -> DataFrame:
     if not paths:
         fields = list(schema.read_with_corrupt().fields) + [T.StructField("_file", T.StringType(), True)]
@@ -48,7 +53,7 @@ def data_scan(spark: SparkSession, paths: list[str], schema: DeclaredSchema, pro
         df = (
             spark.read.schema(schema.read_with_corrupt())
             .options(**profile.csv_options())
-            .csv(paths)
+            .csv([exact_path(p) for p in paths])
         )
         return df.select(*[F.col(f"`{n}`") for n in schema.names], CORRUPT_COLUMN,
                          normalize_path(F.col("_metadata.file_path"), decode=True).alias("_file"))
@@ -247,7 +252,7 @@ def assemble_records(spark: SparkSession, paths: list[str], profile: LoadProfile
     the scan and one window over the per-split table; only the pieces of
     records that cross a split boundary are shuffled.
     """
-    lines = spark.read.format("text").load(paths).select(
+    lines = spark.read.format("text").load([exact_path(p) for p in paths]).select(
         normalize_path(F.col("_metadata.file_path"), decode=True).alias("_file"),
         F.col("_metadata.file_block_start").alias("_bs"),
         F.monotonically_increasing_id().alias("_mid"),

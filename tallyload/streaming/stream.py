@@ -19,24 +19,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyload.functions.states import FINISHED, NEW, OPERATING
-from tallyload.operators.ledger import LEDGER_SCHEMA, latest_state, ledger_latest, read_ledger, replay_guard
-from tallyload.operators.registry import effective_registry, snapshot_registry
+from tallyload.functions.states import FINISHED, NEW, OPERATING, WAITING
+from tallyload.operators.ledger import LEDGER_SCHEMA, compact_ledger, ledger_latest, read_ledger, replay_guard
+from tallyload.operators.registry import effective_registry, registry_active, snapshot_registry
 from tallyload.plans.batch import Layout, load_tasks, run_batch
 
-# Batch id ranges: command stream from 0, ledger-poll stream from 2**40,
-# recovery runs from 2**50 (so a redo is always newer than the claim it redoes).
+# Batch id ranges: command stream from 0, ledger-poll stream from 2**40.  A
+# redo is a further attempt of the claim's own batch id.
 LEDGER_POLL_BATCH_BASE = 1 << 40
-RECOVERY_BATCH_BASE = 1 << 50
 
 
-def _maybe_compact(spark: SparkSession, layout: Layout, batch_id: int, epoch: int, every: int | None) -> None:
-    """Snapshot the ledger up to the previous batch every ``every`` batches,
-    so guards read a snapshot plus recent log rows instead of all history."""
+def _maybe_compact(spark: SparkSession, layout: Layout, epoch: int, every: int | None) -> None:
+    """Compact the ledger every ``every`` batches, so reads of it take a snapshot plus recent log files."""
     if every and epoch > 0 and epoch % every == 0:
-        from tallyload.operators.ledger import compact_ledger
-
-        compact_ledger(spark, layout.ledger, batch_id - 1)
+        compact_ledger(spark, layout.ledger)
 
 
 def stream_commands(
@@ -108,7 +104,7 @@ def stream_load(
         run_batch(spark, lines, registry, layout,
                   batch_base + epoch, profile=profile, keep=keep, parse_options=parse_options,
                   guard_scope="batch")
-        _maybe_compact(spark, layout, batch_base + epoch, epoch, compact_every)
+        _maybe_compact(spark, layout, epoch, compact_every)
 
     w = lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, processing_time).start()
@@ -132,17 +128,23 @@ def stream_ledger_poll(
     """
     new_rows = (
         spark.readStream.schema(LEDGER_SCHEMA).option("recursiveFileLookup", "false")
-        .parquet(layout.ledger).filter(F.col("state") == NEW)
+        .parquet(layout.ledger)
+        # tasks that wait for their type to be registered are left to retry_waiting
+        .filter((F.col("state") == NEW) & ~F.col("state_info").eqNullSafe(F.lit(WAITING)))
     )
 
     def claim_and_load(batch: DataFrame, epoch: int) -> None:
         s = batch.sparkSession
         tasks = ledger_latest(batch.select("task_key", "task_id", "event_type", "content_ts", "data_path",
                                            "dest_table", "version"))
-        done = latest_state(read_ledger(s, layout.ledger)).filter(F.col("state").isin(*FINISHED, OPERATING))
+        # finished, or claimed by another batch; this batch's own claims are a crashed attempt's
+        newest = read_ledger(s, layout.ledger).groupBy("task_key").agg(
+            F.max_by(F.struct("state", "batch_id"), "version").alias("r"))
+        done = newest.filter(F.col("r.state").isin(*FINISHED) | (
+            (F.col("r.state") == OPERATING) & (F.col("r.batch_id") != LEDGER_POLL_BATCH_BASE + epoch)))
         tasks = replay_guard(tasks.drop("version"), done.select("task_key"), "task_key").checkpoint(eager=True)
         load_tasks(s, tasks, registry_loader(), layout, LEDGER_POLL_BATCH_BASE + epoch, profile=profile)
-        _maybe_compact(s, layout, LEDGER_POLL_BATCH_BASE + epoch, epoch, compact_every)
+        _maybe_compact(s, layout, epoch, compact_every)
 
     w = new_rows.writeStream.foreachBatch(claim_and_load).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, processing_time).start()
@@ -153,21 +155,27 @@ def orphaned_tasks(spark: SparkSession, layout: Layout) -> DataFrame:
     return ledger_latest(read_ledger(spark, layout.ledger)).filter(F.col("state") == OPERATING)
 
 
-def recover(spark: SparkSession, layout: Layout, registry: DataFrame, batch_id: int | None = None,
-            profile="quoted"):
-    """redo orphaned tasks under a new batch id.
+def recover(spark: SparkSession, layout: Layout, registry: DataFrame, profile="quoted") -> list:
+    """redo orphaned tasks, each under the batch id that claimed it.
 
-    The id defaults to the next free one in the recovery range, above every
-    stream's range, so the redo's versions are newer than the orphaned
-    claims and no stream batch can ever reuse it.  Meant for tasks whose own
-    batch will not be replayed (batch runs, ledger-born tasks); a stream
-    replays its open batch itself from its checkpoint.
+    The crashed attempt's rows in targets and rejects are cleared first, so
+    nothing is loaded twice.  Meant for tasks whose own batch will not be
+    replayed (batch runs, ledger-born tasks) while nothing else is loading; a
+    stream replays its open batch itself from its checkpoint.
     """
-    if batch_id is None:
-        top = read_ledger(spark, layout.ledger).filter(F.col("batch_id") >= RECOVERY_BATCH_BASE).agg(
-            F.max("batch_id")).first()[0]
-        batch_id = RECOVERY_BATCH_BASE if top is None else top + 1
     tasks = orphaned_tasks(spark, layout).select(
-        "task_key", "task_id", "event_type", "content_ts", "data_path", "dest_table", "cmd_file"
+        "task_key", "task_id", "event_type", "content_ts", "data_path", "dest_table", "cmd_file", "batch_id"
     ).checkpoint(eager=True)
+    crashed = sorted(r["batch_id"] for r in tasks.select("batch_id").distinct().collect())  # one row a crashed batch
+    return [load_tasks(spark, tasks.filter(F.col("batch_id") == b).drop("batch_id"), registry, layout, b, profile=profile)
+            for b in crashed]
+
+
+def retry_waiting(spark: SparkSession, layout: Layout, registry: DataFrame, batch_id: int, profile="quoted"):
+    """Load the tasks that waited for their event type, now that ``registry`` has it."""
+    waiting = ledger_latest(read_ledger(spark, layout.ledger)).filter(
+        (F.col("state") == NEW) & F.col("state_info").eqNullSafe(F.lit(WAITING)))
+    known = registry_active(registry).select("event_type").distinct()
+    tasks = waiting.join(known, "event_type", "left_semi").select(
+        "task_key", "task_id", "event_type", "content_ts", "data_path", "dest_table", "cmd_file").checkpoint(eager=True)
     return load_tasks(spark, tasks, registry, layout, batch_id, profile=profile)
