@@ -40,6 +40,7 @@ from tallyload.operators import (
 from tallyload.operators.ledger import ledger_append, ledger_rows, read_ledger
 from tallyload.plans import scenario as S
 from tallyload.plans.batch import Layout, run_batch
+from tallyload.plans.checks import EXTRA_ON_PREFIX, EXTRA_QUERIES, EXTRA_SQL
 from tallyload.session import scratch_dir
 from tallyload.sources.commands import command_scan
 from tallyload.sources.datafiles import file_inventory
@@ -446,7 +447,8 @@ _ORDERS_TOTALS = (
     f"{_CENTS.format(x='o_totalprice')} as cents from orders group by 1"
 )
 
-ORACLE_SQL: dict[str, str] = {k: _PREFIX + v for k, v in _ON_PREFIX.items()}
+QUERIES.update(EXTRA_QUERIES)
+ORACLE_SQL: dict[str, str] = {k: _PREFIX + v for k, v in (_ON_PREFIX | EXTRA_ON_PREFIX).items()} | EXTRA_SQL
 ORACLE_SQL.update(
     {
         "file_extension": r"select page_id, regexp_extract(url, '\.([^.]+)$', 1) as extension from pages",
