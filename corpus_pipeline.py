@@ -77,4 +77,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         docs = scratch.table(stage(spark, docs, sf_dir), f"stage{i}")
+        if i:
+            scratch.drop(f"stage{i - 1}")
     return docs

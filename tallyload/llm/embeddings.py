@@ -131,6 +131,7 @@ def embedding_neardup(vectors: DataFrame, threshold: float = 0.9, tile_rows: int
     pairs = packed.withColumn("other", other).select("dim", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"),
                                                      "tile", "ids", "weights", "x")
     found = scratch.table(pairs.groupBy("dim", "a", "b").applyInPandas(_product(threshold), "node long, links long, root long"), "links")
+    scratch.drop("tiles")
     components = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), scratch)
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     classes = (reps.join(links, reps["rep"] == links["node"], "left").drop("node")

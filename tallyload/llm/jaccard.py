@@ -267,6 +267,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, in
     groups = texts.select(lot.alias("lot"), F.least("piece", "other").alias("a"), F.greatest("piece", "other").alias("b"), "comp", "node", "text")
     links = groups.groupBy("lot", "a", "b").applyInPandas(_verifier(words, num, den, lower), "a long, b long")
     linked = connected_components(links, scratch, "links").withColumnRenamed("component", "root")
+    for done in ("shared", "members"):
+        scratch.drop(done)
 
     ids = classes.select("node", "rep").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = ids.groupBy("root").agg(F.min("rep").alias("component_id"))
