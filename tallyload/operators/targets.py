@@ -183,24 +183,32 @@ def retention_plan(latest: DataFrame, success_policy: str = "none", failure_poli
 def apply_retention(plan: DataFrame, confirm: bool = False) -> DataFrame:
     """Remove the files a plan marks ``delete``; off unless ``confirm``.
 
-    Runs on the executors; returns ``path, removed, error``.
+    Runs on the executors, once, when called; returns ``path, removed, error``
+    of what was done.  A path without a scheme means the session's default file
+    system, as for the loader.  Paths on file systems that ``pyarrow`` does not
+    know are not removed and say so in ``error``.
     """
+    from tallyload.sources.datafiles import default_filesystem
+
     todo = plan.filter(F.col("action") == "delete").select("path")
     if not confirm:
         return todo.select("path", F.lit(False).alias("removed"), F.lit("not confirmed").alias("error"))
+    default_fs = default_filesystem(plan.sparkSession).rstrip("/")
 
     def remove(batches):
         import pyarrow.fs as pafs
 
-        local = pafs.LocalFileSystem()
         for pdf in batches:
             removed, errors = [], []
             for p in pdf["path"]:
                 try:
-                    if "://" in p and not p.startswith("file:"):
-                        fs, rel = pafs.FileSystem.from_uri(p)
+                    if "://" not in p and not p.startswith("file:") and not default_fs.startswith("file:"):
+                        p = default_fs + "/" + p.lstrip("/")
+                    if p.startswith("file:") or "://" not in p:
+                        fs, rel = pafs.LocalFileSystem(), "/" + p.removeprefix("file:").lstrip("/")
                     else:
-                        fs, rel = local, p.split(":", 1)[1] if p.startswith("file:") else p
+                        scheme, rest = p.split("://", 1)
+                        fs, rel = pafs.FileSystem.from_uri(("s3" if scheme in ("s3a", "s3n") else scheme) + "://" + rest)
                     fs.delete_file(rel)
                     removed.append(True)
                     errors.append(None)
@@ -209,4 +217,5 @@ def apply_retention(plan: DataFrame, confirm: bool = False) -> DataFrame:
                     errors.append(str(e))
             yield pdf.assign(removed=removed, error=errors)
 
-    return todo.mapInPandas(remove, "path string, removed boolean, error string")
+    # checkpointed, so that looking at the outcome again deletes nothing again
+    return todo.mapInPandas(remove, "path string, removed boolean, error string").checkpoint(eager=True)

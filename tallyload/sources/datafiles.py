@@ -237,9 +237,15 @@ def _record_pieces(joiner: str):
                         cur[5] = int(mids[prev])
                     cur[4].extend(values[prev:z])
                 cur[2] = int(inside_after[-1])
+            # only the open record is carried over to the next batch of lines
+            if out["_file"]:
+                yield pd.DataFrame(out)
+                for column in out:
+                    out[column] = []
         if cur is not None and cur[4]:
             emit(cur, False)
-        yield pd.DataFrame(out)
+        if out["_file"]:
+            yield pd.DataFrame(out)
 
     return pieces
 
@@ -316,11 +322,15 @@ def file_inventory(paths: DataFrame, path_col: str = "data_path") -> DataFrame:
     Sizes are looked up on the executors, a batch of paths per task; a missing
     path or anything that is not a regular file has size 0.  A path without a
     scheme is looked up on the session's default file system, as Spark would.
+    Where the lookup itself fails (a file system that only Hadoop knows, no
+    access) the file counts as present with a null size: Spark's reader then
+    finds out, and a file it cannot read fails its own task.
     """
     default_fs = default_filesystem(paths.sparkSession).rstrip("/")
     distinct = paths.select(F.col(path_col).alias("path")).distinct()
 
     def stat(batches):
+        import pandas as pd
         import pyarrow.fs as pafs
 
         local = pafs.LocalFileSystem()
@@ -347,12 +357,13 @@ def file_inventory(paths: DataFrame, path_col: str = "data_path") -> DataFrame:
                 try:
                     fs, rel = locate(p)
                     info = fs.get_file_info(rel)
+                except Exception:
+                    size, ok = None, True
+                else:
                     if info.type == pafs.FileType.File:
                         size, ok = int(info.size), True
-                except Exception:  # unreadable location counts as missing
-                    pass
                 sizes.append(size)
                 exists.append(ok)
-            yield pdf.assign(data_size=sizes, file_exists=exists)
+            yield pdf.assign(data_size=pd.array(sizes, dtype="Int64"), file_exists=exists)
 
     return distinct.mapInPandas(stat, "path string, data_size bigint, file_exists boolean")
