@@ -32,11 +32,13 @@ from pyspark.sql import functions as F
 from tallyload.llm.common import Scratch, pick
 from tallyload.llm.components import connected_components
 from tallyload.llm.forest import Forest
+from tallyload.llm.substrings import pack, unpack
 from tallyload.llm.wordhash import Powers, normalise, range_hash, window_hashes
 
 _TILE = 4096  # classes of a tile piece
 _PER_BLOCK = 1_000_000  # prefix entries of a block
 _GROUP = 2_000_000  # shingles of a group to verify
+_MOST_BROADCAST = 500_000  # rows of three longs and an integer, that is 14 MB
 
 
 def shingle_set(text: str | None, k: int, powers: Powers, lower: bool = True) -> np.ndarray:
@@ -136,39 +138,54 @@ def _signer(k: int, num: int, den: int, lower: bool):
 
 
 def _dealer(blocks: int):
-    """Prefix entries of a batch of classes, one packed row for each block (a range of the hash)."""
+    """Prefix entries of a batch of documents, one packed row for each block (a range of the hash).
+
+    Equal sets of a batch send their entries once.  A row holds the sorted
+    hashes as differences, the classes of the batch, and each entry's class by
+    its place among them.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cuts = np.array([(b << 64) // blocks for b in range(1, blocks)], np.uint64)
         for batch in batches:
+            batch = batch.drop_duplicates("node")
             lists = [np.frombuffer(p, np.uint64) for p in batch["prefix"]]
+            nodes = batch["node"].to_numpy()
             h = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
-            node = np.repeat(batch["node"].to_numpy(), [len(x) for x in lists])
+            place = np.repeat(np.arange(len(nodes)), [len(x) for x in lists])
             order = np.argsort(h, kind="stable")
-            h, node = h[order], node[order]
+            h, place = h[order], place[order]
             edges = np.concatenate(([0], np.searchsorted(h, cuts), [len(h)]))
-            rows = [(b, h[i:j].tobytes(), node[i:j].tobytes()) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if j > i]
-            yield pd.DataFrame(rows, columns=["block", "h", "node"])
+            rows = []
+            for b, (i, j) in enumerate(zip(edges[:-1], edges[1:])):
+                if j > i:
+                    used, at = np.unique(place[i:j], return_inverse=True)
+                    rows.append((b, pack(np.diff(h[i:j], prepend=np.uint64(0))), nodes[used].tobytes(), pack(at.astype(np.int64))))
+            yield pd.DataFrame(rows, columns=["block", "h", "nodes", "at"])
     return run
 
 
 def _shared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Entries of a block whose hash is in the prefix of two classes or more."""
-    h = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["h"]])
-    node = np.concatenate([np.frombuffer(x, np.int64) for x in rows["node"]])
-    order = np.argsort(h, kind="stable")
+    """Entries of a block whose hash is in the prefix of two classes or more; ``hot`` if of more than a tile piece."""
+    h = np.concatenate([np.cumsum(unpack(x, np.uint64), dtype=np.uint64) for x in rows["h"]])
+    node = np.concatenate([np.frombuffer(n, np.int64)[unpack(a, np.int64)] for n, a in zip(rows["nodes"], rows["at"])])
+    order = np.lexsort((node, h))
     h, node = h[order], node[order]
-    same = h[1:] == h[:-1]
-    keep = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-    return pd.DataFrame({"h": h[keep].view(np.int64), "node": node[keep]})
+    first = np.concatenate(([True], (h[1:] != h[:-1]) | (node[1:] != node[:-1])))  # copies in several batches
+    h, node = h[first], node[first]
+    starts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    sizes = np.diff(np.concatenate((starts, [len(h)])))
+    count = np.repeat(sizes, sizes)
+    keep = count > 1
+    return pd.DataFrame({"h": h[keep].view(np.int64), "node": node[keep], "hot": count[keep] > _TILE})
 
 
 def _tile_forest(num: int, den: int):
-    """Spanning forest of the candidates in the tiles of one block."""
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        one = rows.drop_duplicates("node").sort_values("node")
-        nodes = one["node"].to_numpy()
-        sizes = one["n"].to_numpy().astype(np.int64)
-        maps = Bitmaps([np.frombuffer(b, np.uint64) for b in one["bits"]])
+    """Spanning forest of the candidates in the tiles of one block, from its entries and the classes they name."""
+    def run(key: tuple, rows: pd.DataFrame, classes: pd.DataFrame) -> pd.DataFrame:
+        classes = classes.sort_values("class")
+        nodes = classes["class"].to_numpy()
+        sizes = classes["n"].to_numpy().astype(np.int64)
+        maps = Bitmaps([np.frombuffer(b, np.uint64) for b in classes["bits"]])
         at = np.searchsorted(nodes, rows["node"].to_numpy())
         tile = rows.groupby(["h", "band", "a", "b"], sort=False).ngroup().to_numpy()
         order = np.lexsort((sizes[at], tile))
@@ -229,28 +246,32 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, in
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = scratch.table(rows.mapInPandas(_signer(words, num, den, lower), "doc_id long, n long, node long, bits binary, prefix binary"),
                            "signed")
-    classes = scratch.table(signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")), "classes")
+    sets = signed.where("n > 0 AND doc_id IS NOT NULL")
+    classes = scratch.table(sets.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")),
+                            "classes")
 
     # prefix entries that classes share
-    entries = classes.agg(F.sum(F.length("prefix")).alias("n")).head()["n"] or 0
+    entries = sets.agg(F.sum(F.length("prefix")).alias("n")).head()["n"] or 0
     blocks = max(1, -(-entries // (8 * _PER_BLOCK)))
-    shared = scratch.table(classes.select("node", "prefix").mapInPandas(_dealer(blocks), "block int, h binary, node binary")
-                           .groupBy("block").applyInPandas(_shared, "h long, node long"), "shared")
+    shared = scratch.table(sets.select("node", "prefix").mapInPandas(_dealer(blocks), "block int, h binary, nodes binary, at binary")
+                           .groupBy("block").applyInPandas(_shared, "h long, node long, hot boolean"), "shared")
     # tiles; only hashes with many classes are cut into bands and pieces
+    no = F.lit(0)
+    cold = shared.where(~F.col("hot")).select("h", F.lit(-1).cast("long").alias("band"), no.alias("a"), no.alias("b"), "node")
     band = F.floor(F.log(F.col("n")) / F.lit(math.log(den / num) if num < den else 1e-9)).cast("long")
-    hot = shared.groupBy("h").agg(F.count("*").alias("count")).where(F.col("count") > _TILE)
-    placed = shared.join(classes.select("node", "n", "bits"), "node").join(hot, "h", "left")
-    no = F.lit(-1).cast("long")
-    bands = F.when(F.col("count").isNull(), F.array(no)).otherwise(F.array(band, band + 1))
-    placed = placed.withColumn("band", F.explode(bands)).drop("count")
-    full = (placed.where("band >= 0").groupBy("h", "band").agg(F.count("*").alias("count"))
-            .select("h", "band", F.ceil(F.col("count") / _TILE).cast("int").alias("pieces")).where("pieces > 1"))
-    placed = placed.join(full, ["h", "band"], "left").withColumn("piece", F.pmod(F.xxhash64("node"), F.coalesce("pieces", F.lit(1))).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)))
-    tiles = placed.select("h", "band", F.least("piece", "other").alias("a"), F.greatest("piece", "other").alias("b"), "node", "n", "bits",
-                          F.pmod(F.xxhash64("h", "band", F.least("piece", "other"), F.greatest("piece", "other")), F.lit(4 * blocks)).alias("block"))
-    candidates = tiles.groupBy("block").applyInPandas(_tile_forest(num, den), "a long, b long")
+    banded = (shared.where("hot").select("h", "node").join(classes.select("node", "n"), "node")
+              .select("h", "node", F.explode(F.array(band, band + 1)).alias("band")))
+    pieces = banded.groupBy("h", "band").agg(F.ceil(F.count("*") / _TILE).cast("int").alias("pieces"))
+    piece = F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")
+    banded = (banded.join(pieces, ["h", "band"]).withColumn("piece", piece)
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+              .select("h", "band", F.least("piece", "other").alias("a"), F.greatest("piece", "other").alias("b"), "node"))
+    block = F.pmod(F.xxhash64("h", "band", "a", "b"), F.lit(blocks)).cast("int")
+    tiles = cold.unionByName(banded).withColumn("block", block)
+    # a class sends its bitmap to a block once, however many of its hashes meet there
+    named = tiles.select(F.col("block").alias("to"), F.col("node").alias("class")).distinct()
+    named = named.join(classes.select("node", "n", "bits"), F.col("class") == F.col("node")).select("to", "class", "n", "bits")
+    candidates = tiles.groupBy("block").cogroup(named.groupBy("to")).applyInPandas(_tile_forest(num, den), "a long, b long")
     components = connected_components(candidates, scratch, "candidates").withColumnRenamed("component", "comp")
 
     # exact sets of the candidate components
@@ -259,7 +280,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, in
     total = weight.agg(F.sum("weight").alias("n")).head()["n"] or 0
     lots = max(1, -(-total // _GROUP))
     weight = weight.select("comp", F.ceil(F.col("weight") / _GROUP).cast("int").alias("pieces"))
-    asked = members.join(weight, "comp").select("rep", "node", "comp", "pieces")
+    asked = scratch.table(members.join(weight, "comp").select("rep", "node", "comp", "pieces"), "asked")
+    if asked.count() <= _MOST_BROADCAST:  # else the texts are shuffled to meet their rows
+        asked = F.broadcast(asked)
     texts = rows.join(asked, rows["doc_id"] == asked["rep"]).select("node", "comp", "pieces", "text")
     texts = texts.withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
@@ -267,7 +290,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, in
     groups = texts.select(lot.alias("lot"), F.least("piece", "other").alias("a"), F.greatest("piece", "other").alias("b"), "comp", "node", "text")
     links = groups.groupBy("lot", "a", "b").applyInPandas(_verifier(words, num, den, lower), "a long, b long")
     linked = connected_components(links, scratch, "links").withColumnRenamed("component", "root")
-    for done in ("shared", "members"):
+    for done in ("shared", "members", "asked"):
         scratch.drop(done)
 
     ids = classes.select("node", "rep").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
