@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyload.llm.common import WORD, Scratch
+from tallyload.llm.common import WORD, Scratch, shuffle_partitions
 
 SLOTS = 1024
 _CELLS = 4096
@@ -129,6 +129,8 @@ def mix_sources(docs: DataFrame, weights: list[int] = (5, 2, 1), share: float =
     drawn = (slots.withColumn("cell", F.least(F.floor(F.col("u") * _CELLS), F.lit(_CELLS - 1)))
              .join(cells, "cell").where("u >= lo AND u < hi").groupBy("source_no", "shard").agg(F.count("*").alias("n")))
     drawn = _before(drawn, "source_no", "shard", "n", "first").join(s.select("source_no", "blocks"), "source_no")
+    # a row becomes up to SLOTS rows: deal them out before, in as many parts as the session shuffles into
+    drawn = drawn.repartition(shuffle_partitions(spark), "source_no", "shard")
     taken = (drawn.select("source_no", "blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("k"))
              .where(F.col("k") < F.col("blocks") * cap)
              .select("source_no", "blocks", F.expr("k div blocks").alias("pass"), (F.col("k") % F.col("blocks")).alias("block")))
