@@ -36,7 +36,7 @@ from tallyload.llm.substrings import pack, unpack
 from tallyload.llm.wordhash import Powers, normalise, range_hash, window_hashes
 
 _TILE = 4096  # classes of a tile piece
-_PER_BLOCK = 1_000_000  # prefix entries of a block
+_PER_BLOCK = 250_000  # prefix entries of a block, more for very many: blocks times batches stay long rows
 _GROUP = 2_000_000  # shingles of a group to verify
 _MOST_BROADCAST = 500_000  # rows of three longs and an integer, that is 14 MB
 
@@ -165,7 +165,10 @@ def _dealer(blocks: int):
 
 
 def _shared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Entries of a block whose hash is in the prefix of two classes or more; ``hot`` if of more than a tile piece."""
+    """Entries of a block whose hash is in the prefix of two classes or more.
+
+    ``hot``: of more classes than a tile piece holds; ``lead``: the smallest of them.
+    """
     h = np.concatenate([np.cumsum(unpack(x, np.uint64), dtype=np.uint64) for x in rows["h"]])
     node = np.concatenate([np.frombuffer(n, np.int64)[unpack(a, np.int64)] for n, a in zip(rows["nodes"], rows["at"])])
     order = np.lexsort((node, h))
@@ -176,7 +179,8 @@ def _shared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     sizes = np.diff(np.concatenate((starts, [len(h)])))
     count = np.repeat(sizes, sizes)
     keep = count > 1
-    return pd.DataFrame({"h": h[keep].view(np.int64), "node": node[keep], "hot": count[keep] > _TILE})
+    lead = np.repeat(node[starts], sizes)
+    return pd.DataFrame({"h": h[keep].view(np.int64), "node": node[keep], "hot": count[keep] > _TILE, "lead": lead[keep]})
 
 
 def _tile_forest(num: int, den: int):
@@ -252,12 +256,14 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, in
 
     # prefix entries that classes share
     entries = sets.agg(F.sum(F.length("prefix")).alias("n")).head()["n"] or 0
-    blocks = max(1, -(-entries // (8 * _PER_BLOCK)))
+    entries //= 8
+    blocks = max(1, math.ceil(entries / max(_PER_BLOCK, math.sqrt(64 * entries))))
     shared = scratch.table(sets.select("node", "prefix").mapInPandas(_dealer(blocks), "block int, h binary, nodes binary, at binary")
-                           .groupBy("block").applyInPandas(_shared, "h long, node long, hot boolean"), "shared")
+                           .groupBy("block").applyInPandas(_shared, "h long, node long, hot boolean, lead long"), "shared")
     # tiles; only hashes with many classes are cut into bands and pieces
     no = F.lit(0)
-    cold = shared.where(~F.col("hot")).select("h", F.lit(-1).cast("long").alias("band"), no.alias("a"), no.alias("b"), "node")
+    cold = shared.where(~F.col("hot")).select("h", F.lit(-1).cast("long").alias("band"), no.alias("a"), no.alias("b"), "node",
+                                                 F.col("lead").alias("key"))
     band = F.floor(F.log(F.col("n")) / F.lit(math.log(den / num) if num < den else 1e-9)).cast("long")
     banded = (shared.where("hot").select("h", "node").join(classes.select("node", "n"), "node")
               .select("h", "node", F.explode(F.array(band, band + 1)).alias("band")))
@@ -265,10 +271,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, in
     piece = F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")
     banded = (banded.join(pieces, ["h", "band"]).withColumn("piece", piece)
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-              .select("h", "band", F.least("piece", "other").alias("a"), F.greatest("piece", "other").alias("b"), "node"))
-    block = F.pmod(F.xxhash64("h", "band", "a", "b"), F.lit(blocks)).cast("int")
-    tiles = cold.unionByName(banded).withColumn("block", block)
-    # a class sends its bitmap to a block once, however many of its hashes meet there
+              .select("h", "band", F.least("piece", "other").alias("a"), F.greatest("piece", "other").alias("b"), "node")
+              .withColumn("key", F.xxhash64("h", "band", "a", "b")))
+    # Near copies share many hashes, mostly with one leading class: by its number
+    # these tiles meet in one block, where each class sends its bitmap once.  A
+    # tile that is not hot is small, and a class leads no more than its prefix.
+    tiles = cold.unionByName(banded).withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")).drop("key")
     named = tiles.select(F.col("block").alias("to"), F.col("node").alias("class")).distinct()
     named = named.join(classes.select("node", "n", "bits"), F.col("class") == F.col("node")).select("to", "class", "n", "bits")
     candidates = tiles.groupBy("block").cogroup(named.groupBy("to")).applyInPandas(_tile_forest(num, den), "a long, b long")
