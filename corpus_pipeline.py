@@ -14,16 +14,14 @@ from tallyload.llm.bpe import bpe_digests
 from tallyload.llm.common import Scratch
 from tallyload.llm.jaccard import jaccard_components
 from tallyload.llm.mixing import mix_sources
-from tallyload.llm.quality import quality_scores
+from tallyload.llm.quality import keep_accepted
 from tallyload.llm.queries import vocabulary_path
 from tallyload.llm.secrets import redact_secrets
 
 
 def drop_rejected(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects (score below 0.7) go; rows without an id stay."""
-    scored = quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rejected = scored.where("predicted = 0").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that the quality classifier rejects (score below 0.7) go."""
+    return keep_accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -168,3 +169,24 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, i
     scored = measured.mapInPandas(run, "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(crc32_mod(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text",
+                  label_col: str = "quality") -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, with all their columns.
+
+    Each row is judged by its own text, also with a null or repeated id.  The
+    texts are measured a second time where they are scored, so no text is
+    shuffled to meet its score.
+    """
+    scratch = Scratch(docs.sparkSession, "accepted")
+    model = train(scratch.table(document_statistics(docs, id_col, text_col), "statistics"), labels, id_col, label_col)
+    scratch.drop("statistics")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                score = model.score(np.vstack([statistics(t) for t in batch.column(text_col).to_pylist()]))
+                yield batch.filter(pa.array(score >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -94,7 +94,7 @@ def test_stages_match_brute_force(spark, corpus, tmp_path):
     one = reread(P.drop_rejected(spark, docs, corpus), "one")
     assert one.columns == docs.columns
     scores = {r.doc_id: r.predicted for r in quality_scores(docs, spark.read.parquet(f"{corpus}/labels.parquet")).collect()}
-    kept = [r for r in docs.collect() if r.doc_id is None or scores[r.doc_id] == 1]
+    kept = [r for r in docs.collect() if scores[r.doc_id] == 1]
     assert sorted(one.collect(), key=key) == sorted(kept, key=key)
     good = [r.doc_id for r in kept if r.doc_id is not None and r.doc_id < 150]
     assert sum(i % 6 != 0 for i in good) >= 120 and sum(i % 6 == 0 for i in good) <= 2
