@@ -162,6 +162,7 @@ def search_shard(ids, x, proj, qid, q, qproj, bound, k: int, longest: float, fac
             keep = s >= edge - 1e-9 * max(1.0, abs(edge))
             r = r[keep]
         s = np.einsum("ij,j->i", x[r], q[i])
+        r, s = r[s >= bound[i]], s[s >= bound[i]]  # below it, k better ones are known already
         top = np.lexsort((ids[r], -s))[:k]
         out_q.append(np.full(len(top), qid[i]))
         out_r.append(ids[r[top]])
@@ -171,7 +172,7 @@ def search_shard(ids, x, proj, qid, q, qproj, bound, k: int, longest: float, fac
     return pd.DataFrame({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_r), "score": np.concatenate(out_s)})
 
 
-def nearest_neighbours(vectors: DataFrame, k: int = 20, query_every: int = 20, m: int = 8, p: float = 0.98, shard_rows: int = 8192,
+def nearest_neighbours(vectors: DataFrame, k: int = 20, query_every: int = 20, m: int = 8, p: float = 0.98, shard_rows: int = 4096,
                        query_rows: int = 4096, sample_rows: int = 16384, seed: int = 11, id_col: str = "vec_id",
                        vector_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k rows with the largest inner product found for each query.
