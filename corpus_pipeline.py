@@ -24,11 +24,30 @@ def drop_rejected(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def _keyed(spark: SparkSession, docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` written once with a number of its own for every row, and that column's name."""
+    key = "_row"
+    while key in docs.columns:
+        key = f"_{key}"
+    return Scratch(spark, name).table(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), key
+
+
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by 5-word shingles at a similarity of 0.8, the one with the smallest id stays."""
-    found = jaccard_components(docs, words=5, threshold=(80, 100))
-    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """Of rows linked by 5-word shingles at a similarity of 0.8, one with the smallest id stays.
+
+    Rows are judged one by one, by their own texts: of rows with the same id,
+    those with copies of a text count as copies, those with other texts stay.
+    As in operator 10, a row with a null id links with nothing and stays.
+    """
+    rows, key = _keyed(spark, docs, "groups")
+    named = rows.where("doc_id IS NOT NULL")
+    found = jaccard_components(named.select(key, "text"), words=5, threshold=(80, 100), id_col=key)
+    ids = named.select(F.col(key).alias("_key"), F.col("doc_id").alias("_id"))
+    found = Scratch(spark, "groups").table(
+        found.join(ids, found["doc_id"] == ids["_key"]).select("component_id", "_id", "_key"), "found")
+    first = found.groupBy("component_id").agg(F.min(F.struct("_id", "_key")).alias("first")).select("first._key")
+    copies = found.join(first, "_key", "left_anti").select(F.col("_key").alias(key))
+    return rows.join(copies, key, "left_anti").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,16 +58,18 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents come as often as the mix takes them: the words taken by their size, rounded at random.
 
-    A document of size s of which the mix takes t words stays ``t div s``
-    times, and once more with the probability of the remainder, by a hash of its
-    id.  A document without words has no place in the mix.
+    A row of size s of which the mix takes t words stays ``t div s`` times, and
+    once more with the probability of the remainder, by a hash of its id and
+    row.  Null and repeated ids are rows like all others.  A document without
+    words has no place in the mix.
     """
-    taken = mix_sources(docs).where("taken > 0").select("doc_id", "size", "taken")
+    rows, key = _keyed(spark, docs, "mix")
+    taken = mix_sources(rows, key_col=key).where("taken > 0").select("doc_id", "key", "size", "taken")
     taken = taken.withColumn("size", F.greatest("size", F.lit(1).cast("long")))
-    once_more = F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.col("size")) < F.col("taken") % F.col("size")
+    once_more = F.pmod(F.xxhash64(F.lit(8), "doc_id", "key"), F.col("size")) < F.col("taken") % F.col("size")
     times = F.expr("taken div size") + once_more.cast("long")
-    taken = taken.select("doc_id", times.alias("_times")).where("_times > 0").groupBy("doc_id").agg(F.max("_times").alias("_times"))
-    return (docs.join(taken, "doc_id").withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    taken = taken.select(F.col("key").alias(key), times.alias("_times")).where("_times > 0")
+    return (rows.join(taken, key).withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
             .select(*docs.columns))
 
 

@@ -86,19 +86,23 @@ def permuted(index: Column, n: Column, *key: Column) -> Column:
 
 
 def mix_sources(docs: DataFrame, weights: list[int] = (5, 2, 1), share: float = 1.5, cap: int = 2, block: int = 64,
-                seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``(doc_id, source, size, source_size, target, taken)`` for every row.
+                seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                key_col: str | None = None) -> DataFrame:
+    """``(doc_id, source, size, source_size, target, taken)`` for every row, with ``key_col`` also its ``key``.
 
     ``taken`` is the number of the document's words in the mix, repeats
     counted; at most ``cap`` times its size.  Null and empty texts have size 0
     and take nothing.  Null is a source of its own, last in order.  Null ids
-    are kept; repeated rows are separate documents.  Equal inputs give equal
-    results.  Empty tables give empty results.  Other columns are ignored.
+    are kept; repeated rows are separate documents, in the order of their
+    texts' hashes, and of ``key_col`` (a number of each row) if that is given.
+    Equal inputs give equal results.  Empty tables give empty results.  Other columns are ignored.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
+    key = F.col(f"`{key_col}`") if key_col else F.lit(None)
     sized = scratch.table(docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
+        F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), key.cast("long").alias("key"),
+        F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash"),
         F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sizes")
     sources = scratch.table(source_targets(
         sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_n")).drop("_n"),
@@ -140,18 +144,18 @@ def mix_sources(docs: DataFrame, weights: list[int] = (5, 2, 1), share: float =
     # first word of each document in its source
     buckets = max(1, -(-n_rows // 4096))
     d = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).drop(sources["source"])
-    d = d.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), F.lit(buckets)))
-    inside = Window.partitionBy("source_no", "bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", "text_hash"), F.lit(buckets)))
+    inside = Window.partitionBy("source_no", "bucket").orderBy("doc_id", "size", "text_hash", "key").rowsBetween(Window.unboundedPreceding, -1)
     base = _before(d.groupBy("source_no", "bucket").agg(F.sum("size").alias("_words")), "source_no", "bucket", "_words", "_start")
     d = (d.withColumn("_in", F.coalesce(F.sum("size").over(inside), F.lit(0)))
          .join(base.select("source_no", "bucket", "_start"), ["source_no", "bucket"])
          .withColumn("first", F.col("_start") + F.col("_in"))
-         .select("doc_id", "source", "source_no", "source_size", "target", "size", "first"))
+         .select("doc_id", "key", "source", "source_no", "source_size", "target", "size", "first"))
     full = d.where("size > 0").withColumn("block", F.explode(F.sequence(
         F.expr(f"first div {block}"), F.expr(f"(first + size - 1) div {block}"))))
     overlap = F.least(F.col("first") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("first"), F.col("block") * block)
     out = (full.join(times, ["source_no", "block"], "left")
-           .groupBy("source_no", "first", "doc_id", "source", "size", "source_size", "target")
+           .groupBy("source_no", "first", "doc_id", "key", "source", "size", "source_size", "target")
            .agg(F.sum(F.coalesce(F.col("times"), F.lit(0)) * overlap).alias("taken")))
-    cols = ["doc_id", "source", "size", "source_size", "target", "taken"]
+    cols = ["doc_id", *(["key"] if key_col else []), "source", "size", "source_size", "target", "taken"]
     return out.select(*cols).unionByName(d.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*cols))

@@ -132,6 +132,35 @@ def test_stages_match_brute_force(spark, corpus, tmp_path):
     assert sorted((str(r.doc_id), r.n_tokens, r.decoded_sha256) for r in five.collect()) == want
 
 
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_stages_judge_rows_not_ids(spark, tmp_path):
+    def stage(fn, rows, name):
+        spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/{name}")
+        return sorted((tuple(r) for r in fn(spark, spark.read.parquet(f"{tmp_path}/{name}"), "").collect()), key=str)
+
+    doc = lambda i, t, source="s": (i, t, "en", source, 0)
+    a, b, c = ("one two three four five six " * 3, "ab cd ef gh ij kl mn " * 3, "qr st uv wx yz " * 4)
+    rows = [doc(9, a), doc(9, b), doc(4, b), doc(7, c), doc(7, c), doc(7, c), doc(None, b), doc(None, b), doc(5, ""), doc(5, ""),
+            doc(6, None), doc(-3, a + "seven"), doc(9, a + "eight")]
+    label = brute_near({k: r[1] for k, r in enumerate(rows) if r[0] is not None})
+    first = {g: min((rows[k][0], k) for k in label if label[k] == g)[1] for g in set(label.values())}
+    want = [r for k, r in enumerate(rows) if r[0] is None or first[label[k]] == k]
+    got = stage(P.keep_one_of_each_group, rows, "near")
+    ids = lambda found: sorted((str(r[0]), brute_near({0: r[1], 1: a})[1] == 0) for r in found)
+    assert len(got) == len(want) and ids(got) == ids(want)
+    assert sum(r[1] == c for r in got) == 1 and sum(r[1] == b for r in got) == 3 and sum(r[0] == 4 for r in got) == 1
+
+    # every source is at least as large as its target, so all of a full source comes, null and repeated ids too
+    rows = [doc(None, f"n{i} " * 40, "a") for i in range(60)] + [doc(3, f"r{i} " * 40, "a") for i in range(60)]
+    rows += [doc(i, f"w{i} " * 40, "b") for i in range(400)]
+    got = stage(P.mix, rows, "mix")
+    words = lambda found: {k: sum(len(r[1].split()) for r in found if r[0] == k and r[3] == "a") for k in (None, 3)}
+    for k, n in words(rows).items():  # the source is at its cap of two passes
+        assert n < words(got)[k] <= 2 * n, (k, n, words(got))
+
+
 def test_pipeline_of_an_empty_table(spark, tmp_path):
     d = str(tmp_path)
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
