@@ -1,11 +1,15 @@
 """Operator 9: secret scans, in DataFrame functions only.
 
 Base kinds come from patterns.  Further candidates are long runs of
-characters of an encoding's alphabet.  Their encoding is inferred from the
-characters used, and a battery tests whether the characters are random over
+characters of an encoding's alphabet, their pieces between slashes and between
+slashes, underscores and hyphens, and hexadecimal digits in hyphenated groups.
+Their encoding is inferred from the characters used (the smallest alphabet that
+has them all), and a battery tests whether the characters are random over
 its alphabet: chi-squared uniformity over groups of the alphabet, a runs test
-about the alphabet's middle, and lag-one serial correlation.  The smallest
-p-value, times three, is evidence against randomness.  Candidates are many, so
+about the alphabet's middle, and lag-one serial correlation; where letters and
+digits mix, also the number of changes between the two, as names end in a
+number but keys scatter it.  The smallest p-value, times the number of tests, is
+evidence against randomness.  Candidates are many, so
 the evidence is weighted by length (a short run proves little) and held against
 a Benjamini-Hochberg threshold over all candidates of the corpus: those it
 rejects are ordinary text, the others are reported as ``random``.
@@ -27,6 +31,10 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+SEGMENT = r"[A-Za-z0-9+_-]{20,}"
+PIECE = r"[A-Za-z0-9+]{20,}"
+# groups of four hexadecimal digits or more, with a letter; too few digits are left out below
+GROUPED = (r"(?<![A-Za-z0-9])(?=[0-9-]*[a-fA-F])(?:[0-9a-f]{4,}(?:-[0-9a-f]{4,})+|[0-9A-F]{4,}(?:-[0-9A-F]{4,})+)(?![A-Za-z0-9])")
 KINDS = ("assign", "access", "hex", "random")
 
 _BINS = 400
@@ -62,23 +70,40 @@ def _normal_tail(z: Column) -> Column:
     return 1.0 / (1.0 + F.exp(1.5976 * z + 0.070565992 * z * z * z))
 
 
-def _alphabet(run: Column) -> Column:
-    """The inferred encoding's characters, in code order."""
-    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
-    return (F.when(run.rlike("^[0-9a-f]+$"), F.lit(digits + "abcdef")).when(run.rlike("^[0-9A-F]+$"), F.lit(digits + "ABCDEF"))
-            .when(run.rlike("^[A-Z2-7]+$"), F.lit(upper + "234567")).when(run.rlike("[_-]"), F.lit(upper + lower + digits + "-_+/"))
-            .otherwise(F.lit(upper + lower + digits + "+/-_")))
+_UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+#: Pattern, characters in code order, and whether changes between letters and digits are tested; the first that fits holds.
+ENCODINGS = (
+    ("^[0-9a-f]+$", _DIGITS + "abcdef", False), ("^[0-9A-F]+$", _DIGITS + "ABCDEF", False),
+    ("^(?=.*[2-7])[A-Z2-7]+$", _UPPER + "234567", True),
+    # shorter ones are hard to tell from names with a number
+    ("^(?=(?:.*[2-7]){2})[a-z2-7]{28,}$", _LOWER + "234567", True),
+    ("^(?=.*[0-9])[0-9A-V]+$", _DIGITS + _UPPER[:22], True), ("^(?=.*[0-9])[0-9a-v]+$", _DIGITS + _LOWER[:22], True),
+    ("^(?=.*[0-9])[0-9A-Z]+$", _DIGITS + _UPPER, True), ("^(?=.*[0-9])[0-9a-z]+$", _DIGITS + _LOWER, True),
+    ("^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[1-9A-HJ-NP-Za-km-z]+$",
+     "".join(c for c in _UPPER + _LOWER + _DIGITS if c not in "0OIl"), True),
+    ("^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[0-9A-Za-z]+$", _UPPER + _LOWER + _DIGITS, True),
+    ("[_-]", _UPPER + _LOWER + _DIGITS + "-_+/", False), ("", _UPPER + _LOWER + _DIGITS + "+/-_", False))
 
 
 def _coded(c: Column) -> Column:
-    """Candidate with its alphabet's size and the codes of its characters."""
-    alphabet = _alphabet(c["m"])
-    return F.struct(c["s"].alias("s"), c["e"].alias("e"), F.when(F.length(alphabet) > 64, F.lit(64)).otherwise(F.length(alphabet)).alias("k"),
-                    F.transform(F.split(c["m"], ""), lambda ch: F.least(F.instr(alphabet, ch) - 1, F.lit(63)).cast("double")).alias("x"))
+    """Candidate with its alphabet's size, the share of digits in it (0: not tested) and the codes of its characters."""
+    def of(value):
+        out = F.lit(value(ENCODINGS[-1]))
+        for e in ENCODINGS[-2::-1]:
+            out = F.when(c["m"].rlike(e[0]), F.lit(value(e))).otherwise(out)
+        return out
+
+    size = lambda e: min(64, len(e[1]))
+    q = of(lambda e: sum(x in _DIGITS for x in e[1]) / len(e[1]) if e[2] else 0.0)
+    codes = F.transform(F.array(of(lambda e: e[1])), lambda alphabet: F.transform(
+        F.split(c["m"], ""), lambda ch: F.least(F.instr(alphabet, ch) - 1, F.lit(63)).cast("double")))
+    digit = F.transform(F.split(c["m"], ""), lambda ch: ch.between("0", "9"))
+    return F.struct(c["s"].alias("s"), c["e"].alias("e"), of(size).alias("k"), q.alias("q"), F.element_at(codes, 1).alias("x"),
+                    digit.alias("d"))
 
 
 def _measured(c: Column) -> Column:
-    """Raw sums of the three tests over the codes."""
+    """Raw sums of the tests over the codes."""
     x, k = c["x"], c["k"]
     middle = (k - 1) / F.lit(2.0)
     groups = F.array(*[F.size(F.filter(x, _in_group(g, k))) for g in range(8)])
@@ -86,8 +111,11 @@ def _measured(c: Column) -> Column:
     head, tail = F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1)
     changes = F.aggregate(F.zip_with(head, tail, lambda a, b: ((a > middle) != (b > middle)).cast("double")), F.lit(0.0), lambda a, v: a + v)
     cross = F.aggregate(F.zip_with(head, tail, lambda a, b: (a - middle) * (b - middle)), F.lit(0.0), lambda a, v: a + v)
+    d = c["d"]
+    mixes = F.aggregate(F.zip_with(F.slice(d, 1, F.size(d) - 1), F.slice(d, 2, F.size(d) - 1), lambda a, b: (a != b).cast("double")),
+                        F.lit(0.0), lambda a, v: a + v)
     return F.struct(c["s"].alias("s"), c["e"].alias("e"), F.size(x).cast("double").alias("n"), k.cast("double").alias("k"),
-                    squares.alias("squares"), changes.alias("changes"), cross.alias("cross"))
+                    c["q"].alias("q"), mixes.alias("mixes"), squares.alias("squares"), changes.alias("changes"), cross.alias("cross"))
 
 
 def _tested(c: Column) -> Column:
@@ -97,9 +125,13 @@ def _tested(c: Column) -> Column:
     cube = (F.pow(F.greatest(chi, F.lit(0.0)) / 7.0, F.lit(1 / 3)) - (1 - 2 / 63)) / (2 / 63) ** 0.5  # Wilson and Hilferty, 7 degrees
     runs = F.abs(c["changes"] - (n - 1) / 2) / F.sqrt((n - 1) / 4)
     serial = F.abs(c["cross"]) / ((k * k - 1) / 12 * F.sqrt(n - 1))
-    p = F.least(_normal_tail(cube), 2 * _normal_tail(runs), 2 * _normal_tail(serial))
+    three = F.least(_normal_tail(cube), 2 * _normal_tail(runs), 2 * _normal_tail(serial))
+    both = c["q"] * (1 - c["q"])  # changes between letters and digits of independent characters
+    spread = (n - 1) * 2 * both * (1 - 2 * both) + 2 * (n - 2) * (both - 4 * both * both)
+    mixed = F.abs(c["mixes"] - (n - 1) * 2 * both) / F.sqrt(F.greatest(spread, F.lit(1e-9)))
+    p = F.when(c["q"] > 0, 4 * F.least(three, 2 * _normal_tail(mixed))).otherwise(3 * three)
     # evidence by length: a run of 32 characters counts in full, shorter ones less
-    return F.struct(c["s"].alias("s"), c["e"].alias("e"), F.least(3 * p * 32.0 / n, F.lit(1.0)).alias("p"))
+    return F.struct(c["s"].alias("s"), c["e"].alias("e"), F.least(p * 32.0 / n, F.lit(1.0)).alias("p"))
 
 
 def _threshold(scanned: DataFrame, rate: float) -> float:
@@ -134,22 +166,32 @@ def secret_scan(docs: DataFrame, rate: float = 0.05, id_col: str = "doc_id", tex
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")] if keep else []
     t = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), *row)
     row = ["_row"] if keep else []
-    for name, pattern in (("m0", ASSIGN), ("m1", ACCESS), ("m2", HEX), ("m3", CANDIDATE)):
+    for name, pattern in (("m0", ASSIGN), ("m1", ACCESS), ("m2", HEX), ("m3", CANDIDATE), ("m4", SEGMENT), ("m5", PIECE), ("m6", GROUPED)):
         t = t.withColumn(name, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
     value = F.when(F.size("m0") > 0, F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))).otherwise(F.array().cast("array<string>"))
     kept = F.zip_with(_positions(text, ASSIGN, F.col("m0")), value,
                       lambda x, v: F.when(F.length(v) >= 6, x))
     found = [F.filter(kept, lambda x: x.isNotNull()), _positions(text, ACCESS, F.col("m1")), _positions(text, HEX, F.col("m2"))]
     base = F.array_sort(F.concat(*[F.transform(a, _of_kind(k)) for k, a in enumerate(found)]))
-    runs = F.zip_with(_positions(text, CANDIDATE, F.col("m3")), F.col("m3"),
-                      lambda x, m: F.struct(x["s"].alias("s"), x["e"].alias("e"), m.alias("m")))
+    def runs(pattern, name):
+        return F.zip_with(_positions(text, pattern, F.col(name)), F.col(name),
+                          lambda x, m: F.struct(x["s"].alias("s"), x["e"].alias("e"), m.alias("m")))
+
+    digits = F.transform(runs(GROUPED, "m6"), lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), F.replace(c["m"], F.lit("-")).alias("m")))
+    # a whole run without separators is its own piece
+    runs = F.array_distinct(F.concat(runs(CANDIDATE, "m3"), runs(SEGMENT, "m4"), runs(PIECE, "m5"),
+                                     F.filter(digits, lambda c: F.length(c["m"]) >= 20)))
     t = t.select("doc_id", base.alias("base"), runs.alias("c"), *row)
     t = t.withColumn("c", F.filter("c", lambda c: ~F.exists("base", lambda b: (b["s"] <= c["s"]) & (c["e"] <= b["e"]))))
     t = t.select("doc_id", "base", F.transform(F.transform(F.transform("c", _coded), _measured), _tested).alias("candidates"),
                  *row)
     scanned = scratch.table(t, "scanned")
     limit = _threshold(scanned, rate)
-    random = F.transform(F.filter("candidates", lambda c: c["p"] > F.lit(limit)), _of_kind(3))
+    # of a run and its pieces, the longest that are random
+    longest = lambda found: F.filter(found, lambda c: ~F.exists(found, lambda o: (o["s"] <= c["s"]) & (c["e"] <= o["e"]) & (
+        o["e"] - o["s"] > c["e"] - c["s"])))
+    found = F.element_at(F.transform(F.array(F.filter("candidates", lambda c: c["p"] > F.lit(limit))), longest), 1)
+    random = F.array_distinct(F.transform(found, _of_kind(3)))
     return scanned.select("doc_id", "base", F.array_sort(F.concat("base", random)).alias("spans"), *row)
 
 

@@ -133,3 +133,37 @@ def test_span_text_and_masking(documents):
                 a = t.index(SECRET)
                 want[a:a + len(SECRET)] = "*" * len(SECRET)
             assert got[i] == "".join(want)
+
+
+def test_battery_recalls_keys_of_every_encoding(documents):
+    rng = random.Random(5)
+    digits, lower = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    sets = {"base36": digits + lower, "BASE36": digits + lower.upper(), "BASE32HEX": digits + lower.upper()[:22], "base32hex": digits + lower[:22],
+            "base58": "".join(c for c in digits + lower + lower.upper() if c not in "0OIl"), "base62": digits + lower + lower.upper()}
+    key = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    plain = ["electroencephalographically", "thisisjustaverylongword2024", "src/main/java/org/example/some_module-name", "getResponseFromServerVersion2",
+             "INTERNATIONALIZATION_CONSTANT_42", "docs/reference/configuration2/introduction", "very-long-hyphenated-identifier-of-words"]
+    rows, want = [], {}
+    for name, chars in sets.items():
+        for n in (24, 32, 40, 64):
+            for before in ("", "usr/local/share/some-long_path/to/keys/"):
+                for _ in range(12):
+                    want[len(rows)] = (name, n, before, key(chars, n))
+                    rows.append((len(rows), f"the key {before}{want[len(rows)][3]} ends"))
+    for _ in range(60):
+        groups = "-".join(key("0123456789abcdef", n) for n in (8, 4, 4, 4, 12))
+        want[len(rows)] = ("uuid", 32, "", groups)
+        rows.append((len(rows), f"id {groups}."))
+    rows += [(len(rows) + i, " ".join(rng.choice(plain) for _ in range(8))) for i in range(600)]
+    hits, wrong = {}, 0
+    for r in secret_scan(documents(rows)).collect():
+        text = rows[r.doc_id][1]
+        if r.doc_id not in want:
+            wrong += len(r.spans)
+            continue
+        name, n, before, secret = want[r.doc_id]
+        a = text.index(secret)
+        hits.setdefault((name, bool(before)), []).append(any(s.s <= a and a + len(secret) <= s.e for s in r.spans))
+    recall = {k: sum(v) / len(v) for k, v in hits.items()}
+    assert min(recall.values()) >= 0.8, recall
+    assert wrong == 0, wrong
