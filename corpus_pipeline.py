@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyload.llm.bpe import bpe_digests
 from tallyload.llm.common import Scratch
 from tallyload.llm.jaccard import jaccard_components
-from tallyload.llm.mixing import mix_sources
+from tallyload.llm.mixing import cut_words, mix_slots
 from tallyload.llm.quality import keep_accepted
 from tallyload.llm.queries import vocabulary_path
 from tallyload.llm.secrets import redact_secrets
@@ -56,21 +56,21 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents come as often as the mix takes them: the words taken by their size, rounded at random.
-
-    A row of size s of which the mix takes t words stays ``t div s`` times, and
-    once more with the probability of the remainder, by a hash of its id and
-    row.  Null and repeated ids are rows like all others.  A document without
-    words has no place in the mix.
+    """The words that the mix takes, as rows with their documents' columns: one row for each pass over a document.
+
+    A row's text is the words of the blocks that the pass took, in their order
+    and with their spaces; a pass that took all of a document leaves the text
+    as it is.  So the words by source are those of ``mix_sources``.  Other
+    columns, also counts of the whole text, stay as they are.  Null and
+    repeated ids are rows like all others.  A document without words has no
+    place in the mix.
     """
     rows, key = _keyed(spark, docs, "mix")
-    taken = mix_sources(rows, key_col=key).where("taken > 0").select("doc_id", "key", "size", "taken")
-    taken = taken.withColumn("size", F.greatest("size", F.lit(1).cast("long")))
-    once_more = F.pmod(F.xxhash64(F.lit(8), "doc_id", "key"), F.col("size")) < F.col("taken") % F.col("size")
-    times = F.expr("taken div size") + once_more.cast("long")
-    taken = taken.select(F.col("key").alias(key), times.alias("_times")).where("_times > 0")
-    return (rows.join(taken, key).withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
-            .select(*docs.columns))
+    taken = mix_slots(rows, key_col=key).groupBy("key", "pass").agg(
+        F.sort_array(F.collect_list(F.struct("start", "words"))).alias("_ranges"), F.sum("words").alias("_words"), F.max("size").alias("_size"))
+    taken = taken.select(F.col("key").alias(key), "_ranges", (F.col("_words") == F.col("_size")).alias("_whole"))
+    text = F.when(F.col("_whole"), F.col("text")).otherwise(cut_words(F.col("text"), F.col("_ranges")))
+    return rows.join(taken, key).select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

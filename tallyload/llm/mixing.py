@@ -85,18 +85,9 @@ def permuted(index: Column, n: Column, *key: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(_ROUNDS)), index, turn)
 
 
-def mix_sources(docs: DataFrame, weights: list[int] = (5, 2, 1), share: float = 1.5, cap: int = 2, block: int = 64,
-                seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                key_col: str | None = None) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, taken)`` for every row, with ``key_col`` also its ``key``.
-
-    ``taken`` is the number of the document's words in the mix, repeats
-    counted; at most ``cap`` times its size.  Null and empty texts have size 0
-    and take nothing.  Null is a source of its own, last in order.  Null ids
-    are kept; repeated rows are separate documents, in the order of their
-    texts' hashes, and of ``key_col`` (a number of each row) if that is given.
-    Equal inputs give equal results.  Empty tables give empty results.  Other columns are ignored.
-    """
+def _mix(docs: DataFrame, weights, share, cap, block, seed, id_col, text_col, source_col, key_col
+         ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Slots with their blocks, documents with their first words, and documents by block with the words of each there."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
     key = F.col(f"`{key_col}`") if key_col else F.lit(None)
@@ -129,17 +120,18 @@ def mix_sources(docs: DataFrame, weights: list[int] = (5, 2, 1), share: float =
     slot = F.col("id")
     in_shard = F.least(F.lit(SLOTS), F.lit(n_slots) - F.floor(slot / SLOTS) * SLOTS)
     slots = spark.range(n_slots).select(
-        F.floor(slot / SLOTS).alias("shard"), ((slot % SLOTS + _uniform(F.lit(seed), slot)) / in_shard).alias("u"))
+        F.floor(slot / SLOTS).alias("shard"), (slot % SLOTS).cast("int").alias("slot"), ((slot % SLOTS + _uniform(F.lit(seed), slot)) / in_shard).alias("u"))
     drawn = (slots.withColumn("cell", F.least(F.floor(F.col("u") * _CELLS), F.lit(_CELLS - 1)))
-             .join(cells, "cell").where("u >= lo AND u < hi").groupBy("source_no", "shard").agg(F.count("*").alias("n")))
+             .join(cells, "cell").where("u >= lo AND u < hi").groupBy("source_no", "shard")
+             .agg(F.count("*").alias("n"), F.sort_array(F.collect_list("slot")).alias("slots")))
     drawn = _before(drawn, "source_no", "shard", "n", "first").join(s.select("source_no", "blocks"), "source_no")
     # a row becomes up to SLOTS rows: deal them out before, in as many parts as the session shuffles into
     drawn = drawn.repartition(shuffle_partitions(spark), "source_no", "shard")
-    taken = (drawn.select("source_no", "blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("k"))
-             .where(F.col("k") < F.col("blocks") * cap)
-             .select("source_no", "blocks", F.expr("k div blocks").alias("pass"), (F.col("k") % F.col("blocks")).alias("block")))
+    slots = (drawn.select("shard", "source_no", "blocks", "first", F.posexplode("slots").alias("pos", "slot"))
+             .withColumn("k", F.col("first") + F.col("pos")).where(F.col("k") < F.col("blocks") * cap)
+             .select("shard", "slot", "source_no", "blocks", F.expr("k div blocks").alias("pass"), (F.col("k") % F.col("blocks")).alias("block")))
     image = permuted(F.col("block"), F.col("blocks"), F.lit(seed), F.col("source_no"), F.col("pass"))
-    times = taken.withColumn("block", image).groupBy("source_no", "block").agg(F.count("*").alias("times"))
+    slots = slots.withColumn("block", image).drop("blocks")
 
     # first word of each document in its source
     buckets = max(1, -(-n_rows // 4096))
@@ -153,9 +145,50 @@ def mix_sources(docs: DataFrame, weights: list[int] = (5, 2, 1), share: float =
          .select("doc_id", "key", "source", "source_no", "source_size", "target", "size", "first"))
     full = d.where("size > 0").withColumn("block", F.explode(F.sequence(
         F.expr(f"first div {block}"), F.expr(f"(first + size - 1) div {block}"))))
-    overlap = F.least(F.col("first") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("first"), F.col("block") * block)
+    start = F.greatest(F.col("block") * block - F.col("first"), F.lit(0)).cast("long")
+    end = F.least((F.col("block") + 1) * block - F.col("first"), F.col("size"))
+    return slots, d, full.withColumn("start", start).withColumn("words", end - start)
+
+
+def mix_sources(docs: DataFrame, weights: list[int] = (5, 2, 1), share: float = 1.5, cap: int = 2, block: int = 64,
+                seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                key_col: str | None = None) -> DataFrame:
+    """``(doc_id, source, size, source_size, target, taken)`` for every row, with ``key_col`` also its ``key``.
+
+    ``taken`` is the number of the document's words in the mix, repeats
+    counted; at most ``cap`` times its size.  Null and empty texts have size 0
+    and take nothing.  Null is a source of its own, last in order.  Null ids
+    are kept; repeated rows are separate documents, in the order of their
+    texts' hashes, and of ``key_col`` (a number of each row) if that is given.
+    Equal inputs give equal results.  Empty tables give empty results.  Other columns are ignored.
+    """
+    slots, d, full = _mix(docs, weights, share, cap, block, seed, id_col, text_col, source_col, key_col)
+    times = slots.groupBy("source_no", "block").agg(F.count("*").alias("times"))
     out = (full.join(times, ["source_no", "block"], "left")
            .groupBy("source_no", "first", "doc_id", "key", "source", "size", "source_size", "target")
-           .agg(F.sum(F.coalesce(F.col("times"), F.lit(0)) * overlap).alias("taken")))
+           .agg(F.sum(F.coalesce(F.col("times"), F.lit(0)) * F.col("words")).alias("taken")))
     cols = ["doc_id", *(["key"] if key_col else []), "source", "size", "source_size", "target", "taken"]
     return out.select(*cols).unionByName(d.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*cols))
+
+
+def mix_slots(docs: DataFrame, weights: list[int] = (5, 2, 1), share: float = 1.5, cap: int = 2, block: int = 64,
+              seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+              key_col: str | None = None) -> DataFrame:
+    """The mix: ``(shard, slot, source, pass, block, doc_id, key, size, start, words)``.
+
+    A row for every document that has words in the block of a slot: ``words``
+    words from word ``start`` of its ``size``.  A source's passes follow each
+    other, so only its last one is partial.  ``taken`` of ``mix_sources`` is the
+    sum of a document's ``words``.
+    """
+    slots, _, full = _mix(docs, weights, share, cap, block, seed, id_col, text_col, source_col, key_col)
+    return full.join(slots, ["source_no", "block"]).select("shard", "slot", "source", "pass", "block", "doc_id", "key", "size", "start", "words")
+
+
+def cut_words(text: Column, ranges: Column) -> Column:
+    """The words of ``ranges`` (an array of start and words, in order) with the space that follows each."""
+    space = r"[\x20\x09-\x0D]*"
+    lead = F.when(F.element_at(ranges, 1)["start"] == 0, F.regexp_extract(text, "^" + space, 0)).otherwise(F.lit(""))
+    cut = lambda pieces: F.array_join(F.transform(ranges, lambda r: F.array_join(
+        F.slice(pieces, r["start"].cast("int") + 1, r["words"].cast("int")), "")), "")
+    return F.concat(lead, F.element_at(F.transform(F.array(F.regexp_extract_all(text, F.lit(WORD + space), F.lit(0))), cut), 1))

@@ -16,7 +16,7 @@ import corpus_pipeline as P
 from oracle_compare import compare
 from tallyload.llm.components import connected_components
 from tallyload.llm.common import Scratch
-from tallyload.llm.mixing import mix_sources
+from tallyload.llm.mixing import mix_slots, mix_sources
 from tallyload.llm.quality import quality_scores
 from tallyload.llm.secrets import secret_scan
 
@@ -161,6 +161,30 @@ def test_stages_judge_rows_not_ids(spark, tmp_path):
         assert n < words(got)[k] <= 2 * n, (k, n, words(got))
 
 
+def test_mix_emits_the_taken_words(spark, tmp_path):
+    rows = [(i, " ".join(f"{i}w{k}" + " \n"[k % 7 == 0] for k in range(n)), "en", s, 0)
+            for i, (s, n) in enumerate([("long", 30_000), ("tiny", 700), *[("many", 90)] * 100])]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    taken = {r.doc_id: r.taken for r in mix_sources(docs).collect()}
+    assert taken[0] % 30_000
+    slots = mix_slots(docs).collect()
+    place = {}
+    for r in slots:
+        assert place.setdefault((r.shard, r.slot), (r.source, r["pass"], r.block)) == (r.source, r["pass"], r.block) and r.slot < 1024
+    assert len(set(place.values())) == len(place)
+    got, from_slots = dict.fromkeys(taken, 0), dict.fromkeys(taken, 0)
+    for r in slots:
+        from_slots[r.doc_id] += r.words
+    for r in P.mix(spark, docs, "").collect():
+        words = r.text.split()
+        at = [int(w.split("w")[1]) for w in words]
+        assert at == sorted(set(at)) and all(w.startswith(f"{r.doc_id}w") for w in words)
+        assert len(words) < len(rows[r.doc_id][1].split()) or r.text == rows[r.doc_id][1]
+        got[r.doc_id] += len(words)
+    assert got == taken == from_slots
+
+
 def test_pipeline_of_an_empty_table(spark, tmp_path):
     d = str(tmp_path)
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
