@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -29,10 +28,3 @@ def spark():
 @pytest.fixture()
 def tmp(tmp_path):
     return str(tmp_path)
-
-
-def write(path, text):
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        f.write(text)
-    return path

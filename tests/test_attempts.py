@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import write
+from files import write
 from tallyload.functions.ddl import declared_schema
 from tallyload.functions.timestamps import content_timestamp
 from tallyload.operators import ledger_latest, read_ledger, read_target

@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import write
+from files import write
 from tallyload.operators import ledger_latest, read_ledger, read_target
 from tallyload.operators.ledger import ledger_append, ledger_rows
 from tallyload.plans import scenario as S

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import write
+from files import write
 from tallyload.functions.timestamps import content_timestamp
 from tallyload.operators.commands import classify_commands, command_parse, command_rejects, last_command_per_file
 from tallyload.sources.commands import command_scan

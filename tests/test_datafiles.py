@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import write
+from files import write
 from tallyload.functions.ddl import declared_schema
 from tallyload.operators.conform import conform, reject_limit, split_rejects
 from tallyload.sources.datafiles import data_scan
