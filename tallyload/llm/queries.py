@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyload.llm.bpe import bpe_digests
+from tallyload.llm.byte_bpe import byte_bpe_digests
 from tallyload.llm.embeddings import embedding_neardup
 from tallyload.llm.jaccard import jaccard_components
 from tallyload.llm.language import language_predictions
@@ -76,10 +77,16 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), words=3, threshold=(90, 100))
 
 
+def op11_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe_digests(_table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+
+
 QUERIES = {f.__name__: f for f in (op1_embedding_neardup, op2_nearest_neighbours, op3_substring_dedup,
                                   op4_quality_classifier, op5_language_id, op6_bpe,
                                   op7_token_counts, op8_mix_sources, op9_secret_scan,
-                                  op10_ngram_jaccard_join)}
+                                  op10_ngram_jaccard_join, op11_byte_level_bpe)}
 
 #: Words of DuckDB's ``documents``, one row each.
 _WORDS = r"""
