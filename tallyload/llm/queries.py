@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyload.llm.bpe import bpe_digests
 from tallyload.llm.byte_bpe import byte_bpe_digests
+from tallyload.llm.common import crc32_mod
 from tallyload.llm.embeddings import embedding_neardup
 from tallyload.llm.jaccard import jaccard_components
 from tallyload.llm.language import language_predictions
+from tallyload.llm.merkle import merkle_manifest, verify_manifest
 from tallyload.llm.mixing import mix_sources
 from tallyload.llm.neighbours import nearest_neighbours
 from tallyload.llm.quality import quality_scores
@@ -83,10 +87,18 @@ def op11_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_digests(_table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth document (by the CRC-32 of its id) is tampered with: its text loses its capital letters."""
+    lower = lambda c: F.translate(c, string.ascii_uppercase, string.ascii_lowercase)
+    manifest = merkle_manifest(_table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], fanout=16,
+                               altered={"text": lower}, altered_where=lambda doc_id: crc32_mod(doc_id, 5) == 0)
+    return verify_manifest(manifest).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {f.__name__: f for f in (op1_embedding_neardup, op2_nearest_neighbours, op3_substring_dedup,
                                   op4_quality_classifier, op5_language_id, op6_bpe,
                                   op7_token_counts, op8_mix_sources, op9_secret_scan,
-                                  op10_ngram_jaccard_join, op11_byte_level_bpe)}
+                                  op10_ngram_jaccard_join, op11_byte_level_bpe, op13_merkle_manifest)}
 
 #: Words of DuckDB's ``documents``, one row each.
 _WORDS = r"""
@@ -94,6 +106,17 @@ words AS (
   SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
   FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents))"""
 
+#: CRC-32 of the decimal doc_id, before its last complement.
+_CRC32 = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
+
+
+def _leaf_text(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    return " || ".join(f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in fields)
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_embedding_neardup": """
 WITH RECURSIVE v AS (
@@ -144,4 +167,40 @@ reach(node, other) AS (
 comp AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
 FROM documents d JOIN comp c ON c.node = d.doc_id LEFT JOIN sizes s USING (doc_id)""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE rows_ AS (
+  SELECT doc_id, source, sha256({_leaf_text('text')}) AS leaf,
+         CASE WHEN xor({_CRC32}, 4294967295) % 5 = 0 THEN sha256({_leaf_text("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) END AS altered
+  FROM documents),
+sources AS (SELECT source, count(*) AS n, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM rows_ GROUP BY source),
+leaves AS (
+  SELECT doc_id, leaf, altered, tree, n, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx
+  FROM rows_ r JOIN sources s ON r.source IS NOT DISTINCT FROM s.source),
+nodes AS (
+  SELECT tree, 0 AS lvl, idx, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT tree, lvl + 1, idx // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY idx)) FROM nodes WHERE n > 1 GROUP BY tree, lvl, idx // 16, n),
+subroots AS (SELECT tree, lvl, h FROM nodes WHERE n = 1),
+uppers AS (
+  SELECT 0 AS lvl, tree AS idx, (SELECT count(*) FROM sources) AS n, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY idx)) FROM uppers WHERE n > 1 GROUP BY lvl, idx // 16, n),
+steps AS (
+  SELECT tree, lvl, idx // 16 AS run, list(h ORDER BY idx) AS hs FROM nodes WHERE n > 1 GROUP BY tree, lvl, idx // 16
+  UNION ALL
+  SELECT s.tree, s.lvl + u.lvl, u.run, u.hs
+  FROM subroots s JOIN (SELECT lvl, idx // 16 AS run, list(h ORDER BY idx) AS hs FROM uppers WHERE n > 1 GROUP BY lvl, idx // 16) u
+    ON u.run = s.tree // (16 ** (u.lvl + 1))::BIGINT),
+climb AS (
+  SELECT doc_id, leaf, altered, l.tree, s.lvl AS top, 0 AS lvl, CASE WHEN s.lvl = 0 THEN l.tree ELSE idx END AS pos, '' AS proof, coalesce(altered, leaf) AS folded
+  FROM leaves l JOIN subroots s ON s.tree = l.tree
+  UNION ALL
+  SELECT doc_id, leaf, altered, c.tree, top, c.lvl + 1, CASE WHEN c.lvl + 1 = top THEN c.tree ELSE pos // 16 END,
+         proof || array_to_string(hs[:pos % 16], '') || array_to_string(hs[pos % 16 + 2:], ''),
+         sha256(array_to_string(hs[:pos % 16], '') || folded || array_to_string(hs[pos % 16 + 2:], ''))
+  FROM climb c
+  JOIN steps s ON s.tree = c.tree AND s.lvl = c.lvl AND s.run = c.pos // 16)
+SELECT doc_id, leaf, (SELECT h FROM subroots s WHERE s.tree = c.tree) AS subroot, (SELECT h FROM uppers WHERE n = 1) AS root,
+       sha256(proof) AS proof_sha256, folded AS folded_root, folded = (SELECT h FROM uppers WHERE n = 1) AS verified
+FROM climb c WHERE lvl = top + (SELECT max(lvl) FROM uppers)""",
 }
