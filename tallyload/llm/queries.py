@@ -18,6 +18,7 @@ from tallyload.llm.mixing import mix_sources
 from tallyload.llm.neighbours import nearest_neighbours
 from tallyload.llm.quality import quality_scores
 from tallyload.llm.secrets import secret_scan, span_text
+from tallyload.llm.spelling import variant_groups
 from tallyload.llm.substrings import substring_dedup
 from tallyload.llm.token_counts import token_counts
 
@@ -87,6 +88,10 @@ def op11_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_digests(_table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_groups(_table(spark, sf_dir, "documents"), noise=199, min_length=6, min_count=5, ratio=5)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fifth document (by the CRC-32 of its id) is tampered with: its text loses its capital letters."""
     lower = lambda c: F.translate(c, string.ascii_uppercase, string.ascii_lowercase)
@@ -98,7 +103,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_embedding_neardup, op2_nearest_neighbours, op3_substring_dedup,
                                   op4_quality_classifier, op5_language_id, op6_bpe,
                                   op7_token_counts, op8_mix_sources, op9_secret_scan,
-                                  op10_ngram_jaccard_join, op11_byte_level_bpe, op13_merkle_manifest)}
+                                  op10_ngram_jaccard_join, op11_byte_level_bpe, op12_spelling_variants, op13_merkle_manifest)}
 
 #: Words of DuckDB's ``documents``, one row each.
 _WORDS = r"""
