@@ -30,6 +30,8 @@ _COLUMN = re.compile(r"^\s*(`[^`]+`|[^\s:]+)\s*:?\s*(.*)$", re.DOTALL)
 _TYPE = re.compile(r"^((?:unsigned\s+)?[A-Za-z_]\w*\s*(?:\([^)]*\)|<.*>)?)(.*)$", re.DOTALL)
 
 CORRUPT_COLUMN = "_corrupt_record"
+# the record as it stands in the file
+RAW_COLUMN = "_raw"
 
 
 def split_columns(columns: str) -> list[str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyload.functions.ddl import CORRUPT_COLUMN, DeclaredSchema
+from tallyload.functions.ddl import CORRUPT_COLUMN, RAW_COLUMN, DeclaredSchema
 from tallyload.functions.naming import normalize_path
 from tallyload.operators.sizing import bounded_broadcast
 
@@ -30,13 +30,19 @@ def conform(rows: DataFrame, schema: DeclaredSchema) -> DataFrame:
     return rows.withColumn("_reason", reason)
 
 
+def raw_text(conformed: DataFrame, schema: DeclaredSchema):
+    """The record as it was read: the scan's ``RAW_COLUMN``, else the corrupt record, else the fields written again."""
+    if RAW_COLUMN in conformed.columns:
+        return F.col(RAW_COLUMN)
+    return F.coalesce(F.col(CORRUPT_COLUMN), F.to_csv(F.struct(*[F.col(f"`{n}`") for n in schema.names])))
+
+
 def split_rejects(conformed: DataFrame, schema: DeclaredSchema) -> tuple[DataFrame, DataFrame]:
     """(good rows with declared columns + extras, reject rows ``_file, raw, reason`` + extras)."""
-    extras = [c for c in conformed.columns if c not in set(schema.names) | {CORRUPT_COLUMN, "_reason"}]
+    extras = [c for c in conformed.columns if c not in set(schema.names) | {CORRUPT_COLUMN, RAW_COLUMN, "_reason"}]
     good = conformed.filter(F.col("_reason").isNull()).select(*[F.col(f"`{n}`") for n in schema.names], *extras)
-    raw = F.coalesce(F.col(CORRUPT_COLUMN), F.to_csv(F.struct(*[F.col(f"`{n}`") for n in schema.names])))
     bad = conformed.filter(F.col("_reason").isNotNull()).select(
-        *extras, raw.alias("raw"), F.col("_reason").alias("reason")
+        *extras, raw_text(conformed, schema).alias("raw"), F.col("_reason").alias("reason")
     )
     return good, bad
 
@@ -44,17 +50,10 @@ def split_rejects(conformed: DataFrame, schema: DeclaredSchema) -> tuple[DataFra
 def reject_limit(conformed: DataFrame, limit: int | None, file_col: str = "_file") -> DataFrame:
     """Per file: ``rows``, ``rejects`` and ``admitted`` (rejects within the limit).
 
-    Every column takes part in the count, by a comparison that no optimiser can
-    fold: counted straight from a CSV scan, Spark would otherwise parse only
-    the columns it needs and could miss a bad field elsewhere in the row.
+    For rows of ``data_scan``, which parses whole records whatever columns are
+    used afterwards.  The loader itself counts the rejects that it has written.
     """
-    parsed = [F.col(f"`{c}`") for c in conformed.columns if c not in (file_col, "_reason")]
-    whole = F.xxhash64(*parsed) == F.xxhash64(F.lit("whole row"), *parsed)
-    stats = conformed.groupBy(file_col).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("_reason").isNotNull() | (whole & F.col("_reason").isNotNull())).alias("rejects"),
-        F.count_if(whole).alias("_whole"),
-    ).filter(F.col("_whole") >= 0).drop("_whole")
+    stats = conformed.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_reason").isNotNull()).alias("rejects"))
     admitted = F.lit(True) if limit is None else (F.col("rejects") <= F.lit(limit))
     return stats.withColumn("admitted", admitted)
 

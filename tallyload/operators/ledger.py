@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyload.functions.states import FINISHED, state_code, state_name, state_text
+from tallyload.operators.attempts import Files, claim_step, committed_names, final_step, settled  # noqa: F401  (steps are part of the ledger)
 
 LEDGER_SCHEMA = (
     "task_key bigint, task_id bigint, event_type int, content_ts timestamp, data_path string, "
@@ -34,15 +35,6 @@ SCAN_COLUMNS = [
 STEPS_PER_BATCH = 1 << 16
 
 
-def claim_step(attempt: int) -> int:
-    """Step of the claims of an attempt (0, 1, ...); step 0 is for rows that other systems add."""
-    return 2 * attempt + 1
-
-
-def final_step(attempt: int) -> int:
-    return 2 * attempt + 2
-
-
 def ledger_rows(tasks: DataFrame, batch_id: int, step: int, **values) -> DataFrame:
     """E5: transition rows for ``tasks`` with columns overridden by ``values``.
 
@@ -93,12 +85,14 @@ def read_ledger(spark: SparkSession, ledger_root: str, batch_id: int | None = No
 
 def _read_log(spark: SparkSession, ledger_root: str, batch_id: int | None = None) -> DataFrame:
     path = ledger_root if batch_id is None else f"{ledger_root.rstrip('/')}/batch_id={batch_id}"
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).option("basePath", ledger_root).parquet(path)
-    except Exception as e:  # no ledger written yet, or all of it compacted
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], LEDGER_SCHEMA)
-        raise
+    if not Files(spark, path).exists():  # no ledger written yet
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).option("basePath", ledger_root).parquet(path)
+
+
+def settled_ledger(spark: SparkSession, ledger_root: str, batch_id: int | None = None) -> DataFrame:
+    """``read_ledger`` without final rows of attempts that have not committed."""
+    return settled(spark, read_ledger(spark, ledger_root, batch_id), ledger_root.rstrip("/").rsplit("/", 1)[0])
 
 
 def _snapshot_root(ledger_root: str) -> str:
@@ -134,12 +128,23 @@ def compact_ledger(spark: SparkSession, ledger_root: str, upto_batch: int | None
     known = latest_snapshot(spark, ledger_root)
     log = _read_log(spark, ledger_root)
     files = log.inputFiles()
+    log = log.withColumn("_f", F.input_file_name())
+    # final rows of attempts that have not committed stay in the log: they may commit, or be cleared
+    root = ledger_root.rstrip("/").rsplit("/", 1)[0]
+    commits = committed_names(spark, root)
+    if commits is not None:
+        log = settled(spark, log, root)
+
+        def ended(f):
+            batch, step = (int(x) for x in re.search(r"/batch_id=(-?\d+)/step=(\d+)/", f).groups())
+            return step == 0 or step % 2 or (batch, step // 2 - 1) in commits
+        files = [f for f in files if ended(f)]
     if upto_batch is not None:
         log = log.filter(F.col("batch_id") <= upto_batch)
         files = [f for f in files if int(re.search(r"/batch_id=(-?\d+)/", f)[1]) <= upto_batch]
     number = int(known.rsplit("=", 1)[1]) + 1 if known else 0
     path = f"{_snapshot_root(ledger_root)}/n={number}"
-    rows = log.withColumn("_f", F.input_file_name())
+    rows = log
     held = spark.createDataFrame([(f,) for f in files], "file string")
     if known:
         old = spark.read.schema("file string").parquet(f"{known}/files")

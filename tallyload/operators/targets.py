@@ -5,9 +5,16 @@ A target is one table per family (``base[_cycle]``) partitioned by batch id,
 attempt and period; ``dest_table`` (``base[_cycle][_period]``) stays a column.
 The loader's own columns are stored with the prefix ``ld_``, so a data column
 may be called ``period`` or ``batch_id``.  Every attempt of a batch writes
-folders of its own, and nothing written earlier is ever overwritten; what an
-attempt left that did not finish is cleared (``clear_attempt``) before the
-batch runs again.
+folders of its own, and nothing written earlier is ever overwritten.  Readers
+see the attempts that committed (``operators.attempts``): the list of commits,
+made from file names alone, is joined to the partition columns, so other
+attempts' folders are pruned.  What an attempt left that did not finish is
+cleared (``clear_attempt``) before the batch runs again.
+
+An attempt writes its rejects in the same pass, into the period ``REJECTED`` of
+its target; they move on to the rejects before the attempt commits.  Tasks over
+the reject limit are named in the target's ``_refused`` folder, and their rows
+are left out by every reader.
 """
 
 from __future__ import annotations
@@ -17,6 +24,8 @@ from pyspark.sql import functions as F
 
 from tallyload.functions.naming import UNSPLIT_PERIOD, file_extension
 from tallyload.functions.states import ERROR, FINISHED, SUCCESSFUL
+from tallyload.operators.attempts import Files, committed_attempts
+from tallyload.operators.sizing import bounded_broadcast
 
 # Extension of pipe inputs, always removed once read; policies.
 PIPE_EXTENSION = "pipe4cep"
@@ -31,14 +40,40 @@ def _loader_names() -> list[str]:
     return [c.strip().split(" ")[0] for c in LOADER_COLUMNS.split(",")]
 
 
-def append_load(good_rows: DataFrame, target_path: str) -> None:
-    """E1 + E2: append one attempt's good rows to a family's target.
+#: Where an attempt's rejects wait, and what they carry; in good rows these columns are null.
+REJECTED = "__rejected__"
+REJECT_COLUMNS = ["ld_file", "ld_raw", "ld_reason"]
+_REFUSED_SCHEMA = "batch_id bigint, attempt int, task_key bigint"
 
-    ``good_rows`` carries the ``ld_`` columns.  No repartition: every data file
+
+def append_load(rows: DataFrame, target_path: str) -> None:
+    """E1 + E2: append one attempt's rows to a family's target.
+
+    ``rows`` carries the ``ld_`` columns.  No repartition: every data file
     belongs to a single period, so each task writes one file per split it read,
     and the only sort is the writer's local one.
     """
-    good_rows.write.mode("append").partitionBy("ld_batch_id", "ld_attempt", "ld_period").parquet(target_path)
+    rows.write.mode("append").partitionBy("ld_batch_id", "ld_attempt", "ld_period").parquet(target_path)
+
+
+def attempt_folder(batch_id: int, attempt: int) -> str:
+    return f"ld_batch_id={batch_id}/ld_attempt={attempt}"
+
+
+def drop_periods(spark, target_path: str, batch_id: int, attempt: int, periods: list[str]) -> None:
+    """Remove periods of an attempt that has not committed, and folders that are empty then."""
+    files, folder = Files(spark, target_path), attempt_folder(batch_id, attempt)
+    for period in periods:
+        files.delete(f"{folder}/ld_period={period}")
+    for empty in (folder, folder.split("/")[0]):
+        if files.exists(empty) and not files.names(empty):
+            files.delete(empty)
+
+
+def refuse_tasks(tasks: DataFrame, target_path: str, batch_id: int, attempt: int) -> None:
+    """Rows of these tasks (``task_key``) will never be read; to be called before the attempt commits."""
+    tasks.select(F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(attempt).cast("int").alias("attempt"), "task_key").write.mode(
+        "append").parquet(f"{target_path}/_refused")
 
 
 def clear_attempt(spark, targets_root: str, rejects_path: str, batch_id: int, attempt: int) -> None:
@@ -46,35 +81,57 @@ def clear_attempt(spark, targets_root: str, rejects_path: str, batch_id: int, at
 
     Deletes one folder per family, through Hadoop's FileSystem.
     """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(targets_root)
-    fs = root.getFileSystem(conf)
-    folders = [f.getPath().toString() + f"/ld_batch_id={batch_id}/ld_attempt={attempt}" for f in fs.listStatus(root)] if fs.exists(root) else []
-    for folder in [*folders, f"{rejects_path}/batch_id={batch_id}/attempt={attempt}"]:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        if fs.exists(path):
-            fs.delete(path, True)
+    targets, rejects = Files(spark, targets_root), Files(spark, rejects_path)
+    for family in targets.names(""):
+        targets.delete(f"{family}/{attempt_folder(batch_id, attempt)}")
+        if not targets.names(f"{family}/ld_batch_id={batch_id}"):
+            targets.delete(f"{family}/ld_batch_id={batch_id}")
+    rejects.delete(f"batch_id={batch_id}/attempt={attempt}")
+
+
+def _root_of(target_path: str) -> str:
+    """The deployment's root: a target is ``<root>/targets/<family>``."""
+    return target_path.rstrip("/").rsplit("/", 2)[0]
+
+
+def _has_rows(files: Files) -> bool:
+    return any(n.startswith("ld_batch_id=") for n in files.names(""))
+
+
+def committed_rows(spark, target_path: str) -> DataFrame:
+    """A target as stored, without attempts that have not committed, their rejects, and refused tasks."""
+    files = Files(spark, target_path)
+    df = spark.read.parquet(target_path)
+    df = df.where(F.col("ld_period").cast("string") != REJECTED).drop(*REJECT_COLUMNS)
+    commits = committed_attempts(spark, _root_of(target_path))
+    if commits is not None:
+        commits = bounded_broadcast(commits.select(F.col("batch_id").alias("_b"), F.col("attempt").alias("_a")).where("_a >= 0"))
+        df = df.join(commits, (F.col("ld_batch_id") == F.col("_b")) & (F.col("ld_attempt") == F.col("_a")), "left_semi")
+    if files.exists("_refused"):
+        refused = bounded_broadcast(spark.read.schema(_REFUSED_SCHEMA).parquet(f"{target_path}/_refused"))
+        df = df.join(refused, (F.col("ld_batch_id") == F.col("batch_id")) & (F.col("ld_attempt") == F.col("attempt"))
+                     & (F.col("ld_task_key") == refused["task_key"]), "left_anti")
+    return df
 
 
 def read_target(spark, target_path: str, columns: str | None = None) -> DataFrame:
     """A family's target: its data columns, then ``task_key, dest_table, batch_id, attempt, period``
     (a loader column keeps its ``ld_`` prefix where the data has a column of that name).
 
-    A target that has no rows yet (nothing written, or every file rejected)
-    reads as an empty frame with the declared ``columns``, when given.
+    Rows of committed attempts only.  A target that has no rows yet (nothing
+    written, or every file rejected) reads as an empty frame with the declared
+    ``columns``, when given.
     """
-    try:
-        df = spark.read.parquet(target_path)
-    except Exception as e:
-        if columns is None or not any(k in str(e) for k in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND")):
-            raise
+    if columns is not None and not _has_rows(Files(spark, target_path)):
+        from pyspark.sql import types as T
+
         from tallyload.functions.ddl import declared_schema
 
         fields = declared_schema(columns).read.fields
         extra = spark.createDataFrame([], LOADER_COLUMNS).schema.fields
-        from pyspark.sql import types as T
-
         df = spark.createDataFrame([], T.StructType(list(fields) + list(extra)))
+    else:
+        df = committed_rows(spark, target_path)
     # partition discovery would read the period 202401 back as a number
     df = df.withColumn("ld_period", F.col("ld_period").cast("string"))
     own = _loader_names()
@@ -84,23 +141,25 @@ def read_target(spark, target_path: str, columns: str | None = None) -> DataFram
 
 
 def existing_tables(spark, target_path: str) -> DataFrame:
-    """Target table names present in a family's target.
+    """Target table names present in a family's target: ``family`` or ``family_period``.
 
-    Named by the partition folders alone: ``family`` or ``family_period``, no
-    row is read.  Tables that a ledger row named itself are not told apart by
+    Taken from a listing of the committed attempts' folders; no data file is
+    opened.  Tables that a ledger row named itself are not told apart by
     folder; take those from the ledger's ``dest_table``.
     """
-    try:
-        df = spark.read.parquet(target_path)
-    except Exception as e:
-        if any(k in str(e) for k in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND")):
-            return spark.createDataFrame([], "dest_table string")
-        raise
+    if not _has_rows(Files(spark, target_path)):
+        return spark.createDataFrame([], "dest_table string")
     family = target_path.rstrip("/").rsplit("/", 1)[-1]
-    # the only column read is a partition column
-    periods = df.select(F.col("ld_period").cast("string").alias("p")).distinct()
-    return periods.select(F.when(F.col("p") == UNSPLIT_PERIOD, F.lit(family)).otherwise(
-        F.concat(F.lit(family + "_"), F.col("p"))).alias("dest_table"))
+    pattern = r"/ld_batch_id=(-?\d+)/ld_attempt=(\d+)/ld_period=([^/]+)/[^/]+$"
+    part = lambda i: F.regexp_extract("path", pattern, i)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(target_path)
+    folders = listed.select("path").where(F.col("path").rlike(pattern)).select(
+        part(1).cast("bigint").alias("batch_id"), part(2).cast("int").alias("attempt"), F.try_url_decode(part(3)).alias("p")).distinct()
+    commits = committed_attempts(spark, _root_of(target_path))
+    if commits is not None:
+        folders = folders.join(bounded_broadcast(commits), ["batch_id", "attempt"], "left_semi")
+    return folders.where(F.col("p") != REJECTED).select(F.when(F.col("p") == UNSPLIT_PERIOD, F.lit(family)).otherwise(
+        F.concat(F.lit(family + "_"), F.col("p"))).alias("dest_table")).distinct()
 
 
 def period_view(spark, target_path: str, family: str, dest_table: str, view_name: str | None = None) -> DataFrame:

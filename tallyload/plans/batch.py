@@ -2,17 +2,20 @@
 
     A1/F1 lines -> B1 B2 (B3) -> C1 C2 (B5 names) -> C5 replay guard
       -> E5 claim (OPERATING) -> A7 sizes -> per family: A4..A6 scan, B8 B9,
-      D6 admission, C6 fan-out -> E1/E2 targets, E3 rejects -> E4 final rows
+      C6 fan-out -> E1/E2 targets, E3 rejects, D6 admission -> E4 final rows
+      -> commit
 
 One Spark job set per registry family (a handful per batch; each needs its
-own schema), never one per file.  Order on finish: data, rejects, ledger.
-
-Every run under a batch id is an attempt of its own: it claims its tasks,
-writes into folders of the attempt and ends with the tasks' final ledger rows.
-Earlier attempts are never overwritten, so an id can be used again for further
-commands.  An attempt without final rows did not finish; what it wrote is
-cleared before the next one, and its tasks, still OPERATING, run again.  Until
-then its rows can be seen in the targets.
+own schema), never one per file.  Order on finish: data, rejects, ledger,
+commit.
+
+Every run under a batch id is an attempt of its own (``operators.attempts``):
+it claims its tasks against all running rivals, writes into folders of the
+attempt, ends with the tasks' final ledger rows and commits.  Earlier attempts
+are never overwritten, so an id can be used again for further commands.  Readers
+see committed attempts only.  An attempt that never committed is withdrawn and
+cleared by the next run of its batch id, and its tasks, still OPERATING, run
+again.
 """
 
 from __future__ import annotations
@@ -25,27 +28,35 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyload.functions.ddl import declared_schema
 from tallyload.functions.naming import UNSPLIT_PERIOD, normalize_path, period_of
 from tallyload.functions.states import ERROR, FINISHED, NEW, OPERATING, SUCCESSFUL, WAITING
+from tallyload.operators.attempts import Attempt, Files, claim_step, final_step
 from tallyload.operators.commands import classify_commands, last_command_per_file, PARSED_COLUMNS
-from tallyload.operators.conform import conform, load_fanout, reject_limit, split_rejects
+from tallyload.operators.conform import conform, load_fanout, raw_text
 from tallyload.operators.ledger import (
     assign_task_ids,
-    claim_step,
-    final_step,
     ledger_append,
     latest_state,
     ledger_rows,
     read_ledger,
     replay_guard,
+    settled_ledger,
 )
 from tallyload.operators.registry import commands_unregistered, registry_resolve
 from tallyload.operators.sizing import bounded_broadcast
-from tallyload.operators.targets import append_load, clear_attempt, reject_sink
+from tallyload.operators.targets import (
+    REJECTED,
+    append_load,
+    attempt_folder,
+    clear_attempt,
+    drop_periods,
+    refuse_tasks,
+    reject_sink,
+)
 from tallyload.sources.datafiles import data_scan, file_inventory
 from tallyload.sources.profiles import PROFILES, LoadProfile
 
@@ -134,6 +145,7 @@ def run_batch(
     guard_scope: str = "all",
     task_ids: str = "key",
     parallel_families: int = 4,
+    owner: str | None = None,
 ) -> BatchResult:
     """Load one batch of command lines (``cmd_file, line_pos, raw``, or the
     unnumbered ``cmd_file, _bs, _mid, raw`` of ``command_scan(positions=False)``).
@@ -148,15 +160,30 @@ def run_batch(
     -- the reference's numbering; the key stays the identity on replays.
 
     ``parallel_families``: how many target families load at the same time.
+
+    ``owner``: who runs this, e.g. a stream's checkpoint.  A run takes over its
+    owner's earlier attempts at once; other owners' attempts only after their
+    lease went stale.  Runs of different owners share a batch id safely.
     """
-    gen_time = _now()
+    if guard_scope not in ("all", "batch"):
+        raise ValueError("guard_scope must be 'all' or 'batch'")
+    if keep not in ("all", "last"):
+        raise ValueError("keep must be 'all' or 'last'")
+    if task_ids not in ("key", "sequence"):
+        raise ValueError("task_ids must be 'key' or 'sequence'")
+    with open_attempt(spark, layout, batch_id, owner) as attempt:
+        return _run(spark, lines, registry, layout, attempt, profile, keep, parse_options, guard_scope, task_ids, parallel_families)
+
+
+def _run(spark, lines, registry, layout, attempt, profile, keep, parse_options, guard_scope, task_ids, parallel_families) -> BatchResult:
+    gen_time, batch_id = _now(), attempt.batch_id
     clock = _Clock()
     classified = classify_commands(lines, **(parse_options or {})).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     bad_cmds = classified.filter(F.col("reason").isNotNull()).select(
         "task_key", "cmd_file", "line_pos", "raw", "reason", F.lit(batch_id).cast("bigint").alias("batch_id")
     )
     if bad_cmds.limit(1).count():  # read from the cached lines; nothing to write otherwise
-        known = _read_or_none(spark, f"{layout.command_rejects}/batch_id={batch_id}")
+        known = _written(spark, f"{layout.command_rejects}/batch_id={batch_id}")
         if known is not None:  # lines that an earlier run of this id has recorded
             bad_cmds = bad_cmds.join(known.select("task_key"), "task_key", "left_anti")
         reject_sink(bad_cmds, layout.command_rejects)
@@ -164,23 +191,30 @@ def run_batch(
     cmds = classified.filter(F.col("reason").isNull()).select(*PARSED_COLUMNS)
     if keep == "last":
         cmds = last_command_per_file(cmds)
-    elif keep != "all":
-        raise ValueError("keep must be 'all' or 'last'")
-
-    if guard_scope not in ("all", "batch"):
-        raise ValueError("guard_scope must be 'all' or 'batch'")
-    ledger = read_ledger(spark, layout.ledger, batch_id if guard_scope == "batch" else None)
+    # read after the attempt was opened: what others claim from here on is seen when this attempt claims
+    ledger = settled_ledger(spark, layout.ledger, batch_id if guard_scope == "batch" else None)
     done = latest_state(ledger).filter(F.col("state").isin(*FINISHED)).select("task_key")
     # materialised reliably: what is claimed below must not change with the ledger
     cmds = replay_guard(cmds, done, "task_key").checkpoint(eager=True)
     if task_ids == "sequence":
         top = read_ledger(spark, layout.ledger).agg(F.max("task_id"))
         cmds = assign_task_ids(cmds, ["cmd_file", "line_pos"], top)
-    elif task_ids != "key":
-        raise ValueError("task_ids must be 'key' or 'sequence'")
     classified.unpersist()
     clock.lap("replay guard")
-    return load_tasks(spark, cmds, registry, layout, batch_id, profile, gen_time, parallel_families)
+    return load_tasks(spark, cmds, registry, layout, batch_id, profile, gen_time, parallel_families, attempt)
+
+
+def open_attempt(spark: SparkSession, layout: Layout, batch_id: int, owner: str | None = None) -> Attempt:
+    """A new attempt of a batch id; what crashed ones left is withdrawn and cleared first."""
+    attempt = Attempt(spark, layout.root, batch_id, owner)
+    try:
+        for number in attempt.crashed():
+            Files(spark, layout.ledger).delete(f"batch_id={batch_id}/step={final_step(number)}")
+            clear_attempt(spark, layout.targets, layout.rejects, batch_id, number)
+    except BaseException:
+        attempt.close()
+        raise
+    return attempt
 
 
 def load_tasks(
@@ -192,37 +226,52 @@ def load_tasks(
     profile="quoted",
     gen_time: dt.datetime | None = None,
     parallel_families: int = 4,
+    attempt: Attempt | None = None,
 ) -> BatchResult:
     """Claim, load and record tasks (``task_key, event_type, data_path, content_ts``, ...).
 
     A ``dest_table`` already on a task (ledger-born tasks) is kept as given.
+    ``attempt`` is one that was opened before ``cmds`` was compared with the
+    ledger; without it one is opened here.  Tasks that a running rival has
+    claimed, or that one finished meanwhile, are left to it.
     """
+    if attempt is None:
+        with open_attempt(spark, layout, batch_id) as own:
+            return load_tasks(spark, cmds, registry, layout, batch_id, profile, gen_time, parallel_families, own)
     gen_time = gen_time or _now()
     clock = _Clock()
-    attempt = _next_attempt(spark, layout, batch_id)
-    claim_no, final_no = claim_step(attempt), final_step(attempt)
+    claim_no, final_no = claim_step(attempt.number), final_step(attempt.number)
     given_dest = "dest_table" in cmds.columns
     if given_dest:
         cmds = cmds.withColumnRenamed("dest_table", "_given_dest")
     registry = bounded_broadcast(registry)  # checked once for the whole batch
-    resolved = registry_resolve(cmds, registry, checked=True).withColumn(
-        "period", F.coalesce(period_of("split_mode", "content_ts"), F.lit(UNSPLIT_PERIOD))
-    )
-    if given_dest:
-        resolved = resolved.withColumn("dest_table", F.coalesce("_given_dest", "dest_table")).drop("_given_dest")
-    inv = file_inventory(resolved, "data_path").withColumnRenamed("path", "data_path")
-    tasks = resolved.join(inv, "data_path", "left")
-    if "task_id" not in tasks.columns:
-        tasks = tasks.withColumn("task_id", F.col("task_key"))
-    tasks = tasks.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    while True:
+        last, rivals = attempt.rivals()
+        for b, number in rivals:
+            claimed = spark.read.parquet(f"{layout.ledger}/batch_id={b}/step={claim_step(number)}")
+            cmds = cmds.join(claimed.select("task_key"), "task_key", "left_anti")
+        resolved = registry_resolve(cmds, registry, checked=True).withColumn(
+            "period", F.coalesce(period_of("split_mode", "content_ts"), F.lit(UNSPLIT_PERIOD))
+        )
+        if given_dest:
+            resolved = resolved.withColumn("dest_table", F.coalesce("_given_dest", "dest_table")).drop("_given_dest")
+        inv = file_inventory(resolved, "data_path").withColumnRenamed("path", "data_path")
+        tasks = resolved.join(inv, "data_path", "left")
+        if "task_id" not in tasks.columns:
+            tasks = tasks.withColumn("task_id", F.col("task_key"))
+        tasks = tasks.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+        claim = ledger_rows(tasks, batch_id, claim_no, state=OPERATING, gen_time=gen_time, exec_start=gen_time)
+        ledger_append(_few(claim), layout.ledger)
+        if attempt.claim(last + 1):
+            break
+        # a rival claimed in between: these rows never held
+        Files(spark, layout.ledger).delete(f"batch_id={batch_id}/step={claim_no}")
+        tasks.unpersist()
     unregistered = commands_unregistered(cmds, registry, checked=True)
     if given_dest:
         unregistered = unregistered.withColumnRenamed("_given_dest", "dest_table")
     if "task_id" not in unregistered.columns:
         unregistered = unregistered.withColumn("task_id", F.col("task_key"))
-
-    claim = ledger_rows(tasks, batch_id, claim_no, state=OPERATING, gen_time=gen_time, exec_start=gen_time)
-    ledger_append(_few(claim), layout.ledger)
     clock.lap("resolve + inventory + claim")
 
     def failed(rows: DataFrame, info, start: dt.datetime | None = None) -> DataFrame:
@@ -246,6 +295,8 @@ def load_tasks(
     for family, columns, event_type in families:
         members.setdefault(family, []).append((columns, event_type))
 
+    emptied: list[tuple[str, list[str]]] = []  # periods of refused files alone
+
     # one target write and at most one reject write per family, whatever the
     # number of event types feeding it
     def load_family(family: str, types: list[tuple[str, int]]) -> list[DataFrame]:
@@ -285,58 +336,56 @@ def load_tasks(
         return out
 
     def write_family(family: str, parts: list, start: dt.datetime) -> list[DataFrame]:
-        clear_family = f"{layout.target(family)}/ld_batch_id={batch_id}/ld_attempt={attempt}"
-        goods, bads, outcomes, observed, over = [], [], [], [], 0
-        for i, (prof, schema, fam_tasks, paths) in enumerate(parts):
+        target, folder = layout.target(family), attempt_folder(batch_id, attempt.number)
+        # one pass: good rows go to their periods, rejects with their text to a period of their own
+        written = None
+        for prof, schema, fam_tasks, paths in parts:
             rows = conform(data_scan(spark, paths, schema, prof), schema)
-            normal = fam_tasks.withColumn("_file", normalize_path(F.col("data_path")))
-            stats = None
-            if prof.reject_limit is not None:
-                # one counting pass that stores one row per file
-                stats = reject_limit(rows, prof.reject_limit).checkpoint(eager=True)
-                over += stats.agg(F.sum("rejects")).first()[0] or 0
-                normal = normal.join(stats, "_file", "left")
-            admitted = normal.withColumn("admitted", F.coalesce("admitted", F.lit(True))) if stats is not None else normal.withColumn(
-                "admitted", F.lit(True))
-            task_cols = [F.col("task_key").alias("ld_task_key"), F.col("dest_table").alias("ld_dest_table"),
-                         F.col("period").alias("ld_period")]
-            counted = rows
-            if stats is None:
-                seen = Observation(f"rejects_{i}")
-                counted = rows.observe(seen, F.count_if(F.col("_reason").isNotNull()).alias("rejects"))
-                observed.append(seen)
-            good, _ = split_rejects(counted, schema)
-            _, bad = split_rejects(rows, schema)
-            goods.append(load_fanout(good, admitted.filter("admitted"), task_cols).drop("_file"))
-            bads.append(load_fanout(bad, normal, task_cols).select(
-                F.col("ld_task_key").alias("task_key"), F.col("_file").alias("data_path"),
-                F.col("ld_dest_table").alias("dest_table"), "raw", "reason"))
-            outcomes.append((prof, admitted, fam_tasks.columns))
-        good = goods[0]
-        for g in goods[1:]:
-            good = good.unionByName(g, allowMissingColumns=True)
-        append_load(good.withColumn("ld_batch_id", F.lit(batch_id).cast("bigint")).withColumn("ld_attempt", F.lit(attempt)),
-                    layout.target(family))
+            bad = F.col("_reason").isNotNull()
+            rows = rows.select(
+                *[F.col(f"`{n}`") for n in schema.names], F.col("_file"), F.when(bad, F.col("_file")).alias("ld_file"),
+                F.when(bad, raw_text(rows, schema)).alias("ld_raw"), F.col("_reason").alias("ld_reason"))
+            task_cols = [F.col("task_key").alias("ld_task_key"), F.col("dest_table").alias("ld_dest_table"), F.col("period").alias("ld_period")]
+            rows = load_fanout(rows, fam_tasks, task_cols).drop("_file").withColumn(
+                "ld_period", F.when(F.col("ld_reason").isNull(), F.col("ld_period")).otherwise(F.lit(REJECTED)))
+            written = rows if written is None else written.unionByName(rows, allowMissingColumns=True)
+        append_load(written.withColumn("ld_batch_id", F.lit(batch_id).cast("bigint")).withColumn("ld_attempt", F.lit(attempt.number)), target)
         clock.lap(f"{family}: targets")
+        periods = [n.split("=", 1)[1] for n in Files(spark, target).names(folder) if n.startswith("ld_period=")]
         rejects = None
-        if over or any(o.get["rejects"] for o in observed):
-            bad = bads[0]
-            for b in bads[1:]:
-                bad = bad.unionByName(b)
-            reject_sink(bad.select("*", F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(attempt).alias("attempt"),
-                                   F.lit(family).alias("family")), layout.rejects)
-            rejects = _read_or_none(spark, f"{layout.rejects}/batch_id={batch_id}/attempt={attempt}/family={family}")
+        if REJECTED in periods:
+            waiting = spark.read.parquet(f"{target}/{folder}/ld_period={REJECTED}")
+            reject_sink(waiting.select(
+                F.col("ld_task_key").alias("task_key"), F.col("ld_file").alias("data_path"), F.col("ld_dest_table").alias("dest_table"),
+                F.col("ld_raw").alias("raw"), F.col("ld_reason").alias("reason"), F.lit(batch_id).cast("bigint").alias("batch_id"),
+                F.lit(attempt.number).alias("attempt"), F.lit(family).alias("family")), layout.rejects)
+            drop_periods(spark, target, batch_id, attempt.number, [REJECTED])
+            rejects = spark.read.parquet(f"{layout.rejects}/batch_id={batch_id}/attempt={attempt.number}/family={family}")
         clock.lap(f"{family}: rejects")
         # what was written, counted by task from one column
-        loaded = _read_or_none(spark, clear_family)
-        end, out = _now(), []
-        for prof, admitted, columns in outcomes:
-            done = _with_count(_with_count(admitted, loaded, "ld_task_key", "_rows"), rejects, "task_key", "_rejects")
-            info = F.when(F.col("admitted"), F.format_string("loaded %d rows, %d rejected", F.col("_rows"), F.col("_rejects"))
-                          ).otherwise(F.format_string("reject limit %d exceeded: %d rejected", F.lit(prof.reject_limit or 0),
-                                                      F.col("_rejects")))
-            out.append(ledger_rows(done, batch_id, final_no, state=F.when(F.col("admitted"), F.lit(SUCCESSFUL)).otherwise(F.lit(ERROR)),
+        loaded = spark.read.parquet(f"{target}/{folder}") if set(periods) - {REJECTED} else None
+        end, out, limited = _now(), [], []
+        for prof, _, fam_tasks, _ in parts:
+            done = _with_count(_with_count(fam_tasks, loaded, "ld_task_key", "_rows"), rejects, "task_key", "_rejects")
+            limit = F.lit(prof.reject_limit if rejects is not None else None).cast("bigint")
+            admitted = F.coalesce(F.col("_rejects") <= limit, F.lit(True))
+            info = F.when(admitted, F.format_string("loaded %d rows, %d rejected", F.col("_rows"), F.col("_rejects"))
+                          ).otherwise(F.format_string("reject limit %d exceeded: %d rejected", limit, F.col("_rejects")))
+            out.append(ledger_rows(done, batch_id, final_no, state=F.when(admitted, F.lit(SUCCESSFUL)).otherwise(F.lit(ERROR)),
                                    state_info=info, gen_time=gen_time, exec_start=start, exec_end=end))
+            if prof.reject_limit is not None and rejects is not None:
+                limited.append(done.where(~admitted).select("task_key"))
+        if limited:
+            refused = limited[0]
+            for r in limited[1:]:
+                refused = refused.unionByName(r)
+            refused = refused.checkpoint(eager=True)
+            if refused.limit(1).count():
+                refuse_tasks(refused, target, batch_id, attempt.number)
+                if loaded is not None:
+                    left = loaded.join(refused, F.col("ld_task_key") == F.col("task_key"), "left_anti").select("ld_period").distinct()
+                    kept = {str(r["ld_period"]) for r in left.collect()}  # a row a period of this batch
+                    emptied.append((target, sorted(set(periods) - {REJECTED} - kept)))
         return out
 
     # different families load in parallel (separate targets), each one's event
@@ -351,18 +400,16 @@ def load_tasks(
         final = final.unionByName(f)
     ledger_append(_few(final), layout.ledger)
     clock.lap("final ledger rows")
+    for target, periods in emptied:  # only now: the final rows counted what they hold
+        drop_periods(spark, target, batch_id, attempt.number, periods)
+    attempt.commit()  # from here on readers see the rows, and the ledger's final rows count
     tasks.unpersist()
     return BatchResult(batch_id, done_families, layout)
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """A written folder, or None where nothing was written."""
-    try:
-        return spark.read.parquet(path)
-    except Exception as e:
-        if any(k in str(e) for k in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND")):
-            return None
-        raise
+def _written(spark: SparkSession, path: str) -> DataFrame | None:
+    """A folder of written rows, or None where there is none."""
+    return spark.read.parquet(path) if Files(spark, path).exists() else None
 
 
 def _with_count(tasks: DataFrame, written: DataFrame | None, key: str, name: str) -> DataFrame:
@@ -373,16 +420,6 @@ def _with_count(tasks: DataFrame, written: DataFrame | None, key: str, name: str
     return tasks.join(n, F.col("task_key") == F.col("_k"), "left").withColumn(name, F.coalesce("_n", F.lit(0))).drop("_k", "_n")
 
 
-def _next_attempt(spark: SparkSession, layout: Layout, batch_id: int) -> int:
-    """Number of the next attempt of a batch id, after clearing what unfinished ones wrote."""
-    steps = {r["step"] for r in read_ledger(spark, layout.ledger, batch_id).select("step").distinct().collect()}
-    claimed = {(s - 1) // 2 for s in steps if s % 2 == 1}
-    ended = {(s - 2) // 2 for s in steps if s % 2 == 0 and s > 0}
-    for attempt in sorted(claimed - ended):
-        clear_attempt(spark, layout.targets, layout.rejects, batch_id, attempt)
-    return max(claimed | ended, default=-1) + 1
-
-
 def _unreadable(spark: SparkSession, paths: list[str], schema, prof) -> dict[str, str]:
     """Files that cannot be read, with the error, found by halving; only used after a failed write."""
     try:

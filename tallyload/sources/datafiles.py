@@ -1,11 +1,12 @@
 """Data-file scans by profile (A4 A5 A6, ``multiline``) and A7 file_inventory.
 
 Every scan returns the declared columns (typed, nullable), ``_corrupt_record``
-(the raw record when it did not fit the declaration) and ``_file`` (the file
-path in the same plain form as an announced path).
+(the raw record when it did not fit the declaration), ``_file`` (the file path
+in the same plain form as an announced path) and ``_raw`` (the record as it
+stands in the file; not for encodings other than UTF-8).
 
-``lines`` profiles use Spark's CSV reader, which splits files freely.  The
-``continued`` and ``multiline`` layouts must glue physical lines into records
+``lines`` profiles read lines, which splits files freely, and parse them with
+``from_csv``; other encodings go through Spark's CSV reader.  The ``continued`` and ``multiline`` layouts must glue physical lines into records
 without reading any file in one task and without shuffling the text.  Each
 line gets its effect on the "inside a quoted field" state (identity, flip or
 constant; regexes on the JVM side).  A split is read by one task in file
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyload.functions.ddl import CORRUPT_COLUMN, DeclaredSchema
+from tallyload.functions.ddl import CORRUPT_COLUMN, RAW_COLUMN, DeclaredSchema
 from tallyload.functions.naming import normalize_path
 from tallyload.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS
 from tallyload.sources.profiles import LoadProfile
@@ -47,9 +48,11 @@ def exact_path(path: str) -> str:
 
 def data_scan(spark: SparkSession, paths: list[str], schema: DeclaredSchema, profile: LoadProfile) -> DataFrame:
     if not paths:
-        fields = list(schema.read_with_corrupt().fields) + [T.StructField("_file", T.StringType(), True)]
+        fields = list(schema.read_with_corrupt().fields) + [T.StructField(c, T.StringType(), True) for c in ("_file", RAW_COLUMN)]
         return spark.createDataFrame([], T.StructType(fields))
-    if profile.layout == "lines":
+    utf8 = profile.encoding.replace("-", "").upper() == "UTF8"
+    if profile.layout == "lines" and not utf8:
+        # only the CSV reader knows other encodings; it keeps the text of malformed records alone
         df = (
             spark.read.schema(schema.read_with_corrupt())
             .options(**profile.csv_options())
@@ -57,18 +60,23 @@ def data_scan(spark: SparkSession, paths: list[str], schema: DeclaredSchema, pro
         )
         return df.select(*[F.col(f"`{n}`") for n in schema.names], CORRUPT_COLUMN,
                          normalize_path(F.col("_metadata.file_path"), decode=True).alias("_file"))
-    if profile.layout in ("continued", "multiline"):
-        if profile.encoding.replace("-", "").upper() != "UTF8":
+    if profile.layout == "lines":
+        # like the CSV reader, passes over lines of blanks
+        records = spark.read.format("text").load([exact_path(p) for p in paths]).where(F.col("value").rlike(r"[^\x00-\x20]")).select(
+            F.col("value").alias("_record"), normalize_path(F.col("_metadata.file_path"), decode=True).alias("_file"))
+    elif profile.layout in ("continued", "multiline"):
+        if not utf8:
             raise ValueError(f"layout {profile.layout!r} reads UTF-8 text only, not {profile.encoding}")
         records = assemble_records(spark, paths, profile)
-        opts = profile.csv_options()
-        for k in ("header", "encoding"):
-            opts.pop(k)
-        parsed = F.from_csv(F.col("_record"), _ddl(schema.read_with_corrupt()), opts)
-        return records.select(parsed.alias("_r"), "_file").select(
-            *[F.col(f"_r.`{n}`").alias(n) for n in schema.names], F.col(f"_r.{CORRUPT_COLUMN}"), "_file"
-        )
-    raise ValueError(f"unknown layout {profile.layout!r}")
+    else:
+        raise ValueError(f"unknown layout {profile.layout!r}")
+    opts = profile.csv_options()
+    for k in ("header", "encoding"):
+        opts.pop(k)
+    parsed = F.from_csv(F.col("_record"), _ddl(schema.read_with_corrupt()), opts)
+    return records.select(parsed.alias("_r"), "_file", F.col("_record").alias(RAW_COLUMN)).select(
+        *[F.col(f"_r.`{n}`").alias(n) for n in schema.names], F.col(f"_r.{CORRUPT_COLUMN}"), "_file", RAW_COLUMN
+    )
 
 
 def _ddl(schema: T.StructType) -> str:

@@ -2,9 +2,9 @@
 
 F1: the command folder is a file stream; each new file is read once (the
     source's own log remembers it), optionally cleaned up by the source.
-F2: each micro-batch runs :func:`run_batch` under the stream's batch id, so a
-    batch replayed after a crash rewrites its own partitions and skips tasks
-    the ledger already shows finished.
+F2: each micro-batch runs :func:`run_batch` under the stream's batch id.  A
+    batch replayed after a crash withdraws the crashed attempt, whose rows
+    nobody has seen, and skips tasks that a committed attempt finished.
 F3: the registry is read again inside every micro-batch.
 F4: NEW rows that other systems append to the ledger are claimed
     (OPERATING is written before loading) and loaded.
@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyload.functions.states import FINISHED, NEW, OPERATING, WAITING
-from tallyload.operators.ledger import LEDGER_SCHEMA, compact_ledger, ledger_latest, read_ledger, replay_guard
+from tallyload.operators.ledger import LEDGER_SCHEMA, compact_ledger, ledger_latest, replay_guard, settled_ledger
 from tallyload.operators.registry import effective_registry, registry_active, snapshot_registry
-from tallyload.plans.batch import Layout, load_tasks, run_batch
+from tallyload.plans.batch import Layout, load_tasks, open_attempt, run_batch
 
 # Batch id ranges: command stream from 0, ledger-poll stream from 2**40.  A
 # redo is a further attempt of the claim's own batch id.
@@ -103,7 +103,7 @@ def stream_load(
         in_use["registry"] = registry
         run_batch(spark, lines, registry, layout,
                   batch_base + epoch, profile=profile, keep=keep, parse_options=parse_options,
-                  guard_scope="batch")
+                  guard_scope="batch", owner=checkpoint)
         _maybe_compact(spark, layout, epoch, compact_every)
 
     w = lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
@@ -122,9 +122,10 @@ def stream_ledger_poll(
 ) -> StreamingQuery:
     """claim and load NEW tasks appended to the ledger by other writers.
 
-    Only one such query may run per ledger (claims are not arbitrated).  Its
-    guard reads the whole ledger (a NEW row may be claimed in any earlier
-    batch); ``compact_every`` keeps that read to a snapshot plus recent rows.
+    Several such queries may run on one ledger: of each task's claims one
+    holds.  The guard reads the whole ledger (a NEW row may be claimed in any
+    earlier batch); ``compact_every`` keeps that read to a snapshot plus recent
+    rows.
     """
     new_rows = (
         spark.readStream.schema(LEDGER_SCHEMA).option("recursiveFileLookup", "false")
@@ -137,13 +138,14 @@ def stream_ledger_poll(
         s = batch.sparkSession
         tasks = ledger_latest(batch.select("task_key", "task_id", "event_type", "content_ts", "data_path",
                                            "dest_table", "version"))
-        # finished, or claimed by another batch; this batch's own claims are a crashed attempt's
-        newest = read_ledger(s, layout.ledger).groupBy("task_key").agg(
-            F.max_by(F.struct("state", "batch_id"), "version").alias("r"))
-        done = newest.filter(F.col("r.state").isin(*FINISHED) | (
-            (F.col("r.state") == OPERATING) & (F.col("r.batch_id") != LEDGER_POLL_BATCH_BASE + epoch)))
-        tasks = replay_guard(tasks.drop("version"), done.select("task_key"), "task_key").checkpoint(eager=True)
-        load_tasks(s, tasks, registry_loader(), layout, LEDGER_POLL_BATCH_BASE + epoch, profile=profile)
+        with open_attempt(s, layout, LEDGER_POLL_BATCH_BASE + epoch, checkpoint) as attempt:
+            # finished, or claimed by another batch; claims of this batch are a crashed attempt's, or a rival's
+            newest = settled_ledger(s, layout.ledger).groupBy("task_key").agg(
+                F.max_by(F.struct("state", "batch_id"), "version").alias("r"))
+            done = newest.filter(F.col("r.state").isin(*FINISHED) | (
+                (F.col("r.state") == OPERATING) & (F.col("r.batch_id") != attempt.batch_id)))
+            tasks = replay_guard(tasks.drop("version"), done.select("task_key"), "task_key").checkpoint(eager=True)
+            load_tasks(s, tasks, registry_loader(), layout, attempt.batch_id, profile=profile, attempt=attempt)
         _maybe_compact(s, layout, epoch, compact_every)
 
     w = new_rows.writeStream.foreachBatch(claim_and_load).option("checkpointLocation", checkpoint)
@@ -152,16 +154,17 @@ def stream_ledger_poll(
 
 def orphaned_tasks(spark: SparkSession, layout: Layout) -> DataFrame:
     """Tasks whose newest ledger row is OPERATING (claimed, never finished)."""
-    return ledger_latest(read_ledger(spark, layout.ledger)).filter(F.col("state") == OPERATING)
+    return ledger_latest(settled_ledger(spark, layout.ledger)).filter(F.col("state") == OPERATING)
 
 
 def recover(spark: SparkSession, layout: Layout, registry: DataFrame, profile="quoted") -> list:
     """redo orphaned tasks, each under the batch id that claimed it.
 
-    The crashed attempt's rows in targets and rejects are cleared first, so
-    nothing is loaded twice.  Meant for tasks whose own batch will not be
-    replayed (batch runs, ledger-born tasks) while nothing else is loading; a
-    stream replays its open batch itself from its checkpoint.
+    The crashed attempt is withdrawn and its rows in targets and rejects are
+    cleared first, so nothing is loaded twice; tasks of attempts that still run
+    are left to them.  Meant for tasks whose own batch will not be replayed
+    (batch runs, ledger-born tasks); a stream replays its open batch itself from
+    its checkpoint.
     """
     tasks = orphaned_tasks(spark, layout).select(
         "task_key", "task_id", "event_type", "content_ts", "data_path", "dest_table", "cmd_file", "batch_id"
@@ -173,7 +176,7 @@ def recover(spark: SparkSession, layout: Layout, registry: DataFrame, profile="q
 
 def retry_waiting(spark: SparkSession, layout: Layout, registry: DataFrame, batch_id: int, profile="quoted"):
     """Load the tasks that waited for their event type, now that ``registry`` has it."""
-    waiting = ledger_latest(read_ledger(spark, layout.ledger)).filter(
+    waiting = ledger_latest(settled_ledger(spark, layout.ledger)).filter(
         (F.col("state") == NEW) & F.col("state_info").eqNullSafe(F.lit(WAITING)))
     known = registry_active(registry).select("event_type").distinct()
     tasks = waiting.join(known, "event_type", "left_semi").select(
