@@ -13,7 +13,8 @@ then its parent's path.
 
 Numbers come from a range sort and the counts of its partitions, never from a
 window over a group, and all keys hold the node's number, so a group with a
-third of the rows spreads like any other.  Digests travel as 32 bytes; wherever
+third of the rows spreads like any other.  The joins of rows are merge joins at
+every size: what is shuffled grows with the rows.  Digests travel as 32 bytes; wherever
 one is hashed again it is written as lowercase hex.
 """
 
@@ -67,7 +68,7 @@ def _levels(nodes: DataFrame, most: int, fanout: int, scratch: Scratch, name: st
         sent = nodes.where("n > 1").select(
             F.col("tree").alias("_tree"), F.col("idx").alias("_from"), F.col("node").alias("_node"),
             F.explode(F.filter(others, lambda i: i != F.col("idx"))).alias("_to"))
-        met = nodes.join(sent, (F.col("tree") == F.col("_tree")) & (F.col("idx") == F.col("_to")), "left").groupBy("tree", "idx").agg(
+        met = nodes.join(sent.hint("merge"), (F.col("tree") == F.col("_tree")) & (F.col("idx") == F.col("_to")), "left").groupBy("tree", "idx").agg(
             *[F.first(c).alias(c) for c in ("n", "node", "row")],
             F.sort_array(F.collect_list(F.when(F.col("_from").isNotNull(), F.struct(F.col("_from").alias("i"), F.col("_node").alias("d"))))).alias("_s"))
         side = lambda keep: F.unhex(F.array_join(F.transform(F.filter("_s", keep), lambda x: F.hex(x["d"])), ""))
@@ -101,7 +102,7 @@ def _paths(levels: list[DataFrame], tops: DataFrame, fanout: int, scratch: Scrat
         root = rows.where("n = 1").join(tops, "tree").select("tree", "idx", "node", "row", F.col("top").alias("path"), *extra)
         if above is not None:
             up = above.select(F.col("tree").alias("_tree"), F.col("idx").alias("_idx"), F.col("path").alias("_path"), *extra)
-            inner = rows.where("n > 1").join(up, (F.col("tree") == F.col("_tree")) & (F.floor(F.col("idx") / fanout) == F.col("_idx")))
+            inner = rows.where("n > 1").join(up.hint("merge"), (F.col("tree") == F.col("_tree")) & (F.floor(F.col("idx") / fanout) == F.col("_idx")))
             root = root.unionByName(inner.select("tree", "idx", "node", "row", F.concat(own, F.col("_path")).alias("path"), *extra))
         # the lowest level is read once; the others by every level below
         above = root if level == 0 else scratch.table(root, f"{name}{level}")
@@ -161,7 +162,7 @@ def merkle_manifest(rows: DataFrame, fields: list[str], group_col: str = "source
     if not size[1]:
         return table.select("key", "grp", "leaf", "altered", F.col("leaf").alias("subroot"), F.col("leaf").alias("root"),
                              F.lit(None).cast(_PATH).alias("path")).withColumnsRenamed({"key": order_col, "grp": group_col})
-    placed = table.join(parts.join(trees.select("g", "tree"), "g"), ["_p", "g"]).select(
+    placed = table.join(parts.join(trees.select("g", "tree"), "g").hint("merge"), ["_p", "g"]).select(
         "tree", (F.col("_before") + F.col("_m") - F.col("_first")).alias("idx"), "n", F.col("leaf").alias("node"),
         F.struct("key", "grp", "altered").alias("row"))
     levels = _levels(placed, size[0], fanout, scratch, "level")
