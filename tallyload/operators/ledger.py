@@ -64,6 +64,12 @@ def ledger_append(rows: DataFrame, ledger_root: str) -> None:
     rows.select(*LEDGER_COLUMNS).write.mode("append").partitionBy("batch_id", "step").parquet(ledger_root)
 
 
+def ledger_write(rows: DataFrame, ledger_root: str, batch_id: int, step: int) -> None:
+    """E4 for the rows of one step, into that step's own folder, so that runs at the same time do not meet."""
+    plain = [c for c in LEDGER_COLUMNS if c not in ("batch_id", "step")]
+    rows.select(*plain).write.mode("append").parquet(f"{ledger_root}/batch_id={batch_id}/step={step}")
+
+
 def read_ledger(spark: SparkSession, ledger_root: str, batch_id: int | None = None) -> DataFrame:
     """The ledger log, or its rows of one batch id.
 

@@ -43,7 +43,7 @@ def _loader_names() -> list[str]:
 #: Where an attempt's rejects wait, and what they carry; in good rows these columns are null.
 REJECTED = "__rejected__"
 REJECT_COLUMNS = ["ld_file", "ld_raw", "ld_reason"]
-_REFUSED_SCHEMA = "batch_id bigint, attempt int, task_key bigint"
+_REFUSED_SCHEMA = "task_key bigint, batch_id bigint, attempt int"
 
 
 def append_load(rows: DataFrame, target_path: str) -> None:
@@ -56,6 +56,11 @@ def append_load(rows: DataFrame, target_path: str) -> None:
     rows.write.mode("append").partitionBy("ld_batch_id", "ld_attempt", "ld_period").parquet(target_path)
 
 
+def attempt_load(rows: DataFrame, target_path: str, batch_id: int, attempt: int) -> None:
+    """``append_load`` of one attempt, into the attempt's own folder, so that runs at the same time do not meet."""
+    rows.write.mode("append").partitionBy("ld_period").parquet(f"{target_path}/{attempt_folder(batch_id, attempt)}")
+
+
 def attempt_folder(batch_id: int, attempt: int) -> str:
     return f"ld_batch_id={batch_id}/ld_attempt={attempt}"
 
@@ -72,8 +77,7 @@ def drop_periods(spark, target_path: str, batch_id: int, attempt: int, periods:
 
 def refuse_tasks(tasks: DataFrame, target_path: str, batch_id: int, attempt: int) -> None:
     """Rows of these tasks (``task_key``) will never be read; to be called before the attempt commits."""
-    tasks.select(F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(attempt).cast("int").alias("attempt"), "task_key").write.mode(
-        "append").parquet(f"{target_path}/_refused")
+    tasks.select("task_key").write.mode("append").parquet(f"{target_path}/_refused/batch_id={batch_id}/attempt={attempt}")
 
 
 def clear_attempt(spark, targets_root: str, rejects_path: str, batch_id: int, attempt: int) -> None:
@@ -84,6 +88,7 @@ def clear_attempt(spark, targets_root: str, rejects_path: str, batch_id: int, at
     targets, rejects = Files(spark, targets_root), Files(spark, rejects_path)
     for family in targets.names(""):
         targets.delete(f"{family}/{attempt_folder(batch_id, attempt)}")
+        targets.delete(f"{family}/_refused/batch_id={batch_id}/attempt={attempt}")
         if not targets.names(f"{family}/ld_batch_id={batch_id}"):
             targets.delete(f"{family}/ld_batch_id={batch_id}")
     rejects.delete(f"batch_id={batch_id}/attempt={attempt}")
@@ -107,7 +112,7 @@ def committed_rows(spark, target_path: str) -> DataFrame:
     if commits is not None:
         commits = bounded_broadcast(commits.select(F.col("batch_id").alias("_b"), F.col("attempt").alias("_a")).where("_a >= 0"))
         df = df.join(commits, (F.col("ld_batch_id") == F.col("_b")) & (F.col("ld_attempt") == F.col("_a")), "left_semi")
-    if files.exists("_refused"):
+    if files.names("_refused"):
         refused = bounded_broadcast(spark.read.schema(_REFUSED_SCHEMA).parquet(f"{target_path}/_refused"))
         df = df.join(refused, (F.col("ld_batch_id") == F.col("batch_id")) & (F.col("ld_attempt") == F.col("attempt"))
                      & (F.col("ld_task_key") == refused["task_key"]), "left_anti")
@@ -177,10 +182,10 @@ def period_view(spark, target_path: str, family: str, dest_table: str, view_name
     return df
 
 
-def reject_sink(bad_rows: DataFrame, path: str) -> None:
-    """Append rejected rows (file, raw text, reason, task) by batch, attempt and family, or by batch."""
-    parts = [c for c in ("batch_id", "attempt", "family") if c in bad_rows.columns]
-    bad_rows.write.mode("append").partitionBy(*parts).parquet(path)
+def reject_sink(bad_rows: DataFrame, path: str, **partition) -> None:
+    """Append rejected rows (file, raw text, reason, task) to the folder of a partition (batch, attempt, family)."""
+    folder = "/".join([path.rstrip("/"), *[f"{k}={v}" for k, v in partition.items()]])
+    bad_rows.drop(*partition).write.mode("append").parquet(folder)
 
 
 def queue_depth(tasks: DataFrame) -> DataFrame:

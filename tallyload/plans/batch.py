@@ -39,9 +39,9 @@ from tallyload.operators.commands import classify_commands, last_command_per_fil
 from tallyload.operators.conform import conform, load_fanout, raw_text
 from tallyload.operators.ledger import (
     assign_task_ids,
-    ledger_append,
     latest_state,
     ledger_rows,
+    ledger_write,
     read_ledger,
     replay_guard,
     settled_ledger,
@@ -50,8 +50,8 @@ from tallyload.operators.registry import commands_unregistered, registry_resolve
 from tallyload.operators.sizing import bounded_broadcast
 from tallyload.operators.targets import (
     REJECTED,
-    append_load,
     attempt_folder,
+    attempt_load,
     clear_attempt,
     drop_periods,
     refuse_tasks,
@@ -186,7 +186,7 @@ def _run(spark, lines, registry, layout, attempt, profile, keep, parse_options,
         known = _written(spark, f"{layout.command_rejects}/batch_id={batch_id}")
         if known is not None:  # lines that an earlier run of this id has recorded
             bad_cmds = bad_cmds.join(known.select("task_key"), "task_key", "left_anti")
-        reject_sink(bad_cmds, layout.command_rejects)
+        reject_sink(bad_cmds, layout.command_rejects, batch_id=batch_id)
     clock.lap("parse + command rejects")
     cmds = classified.filter(F.col("reason").isNull()).select(*PARSED_COLUMNS)
     if keep == "last":
@@ -248,7 +248,7 @@ def load_tasks(
     while True:
         last, rivals = attempt.rivals()
         for b, number in rivals:
-            claimed = spark.read.parquet(f"{layout.ledger}/batch_id={b}/step={claim_step(number)}")
+            claimed = spark.read.schema("task_key bigint").parquet(f"{layout.ledger}/batch_id={b}/step={claim_step(number)}")
             cmds = cmds.join(claimed.select("task_key"), "task_key", "left_anti")
         resolved = registry_resolve(cmds, registry, checked=True).withColumn(
             "period", F.coalesce(period_of("split_mode", "content_ts"), F.lit(UNSPLIT_PERIOD))
@@ -261,7 +261,7 @@ def load_tasks(
             tasks = tasks.withColumn("task_id", F.col("task_key"))
         tasks = tasks.persist(StorageLevel.MEMORY_AND_DISK_DESER)
         claim = ledger_rows(tasks, batch_id, claim_no, state=OPERATING, gen_time=gen_time, exec_start=gen_time)
-        ledger_append(_few(claim), layout.ledger)
+        ledger_write(_few(claim), layout.ledger, batch_id, claim_no)
         if attempt.claim(last + 1):
             break
         # a rival claimed in between: these rows never held
@@ -349,7 +349,7 @@ def load_tasks(
             rows = load_fanout(rows, fam_tasks, task_cols).drop("_file").withColumn(
                 "ld_period", F.when(F.col("ld_reason").isNull(), F.col("ld_period")).otherwise(F.lit(REJECTED)))
             written = rows if written is None else written.unionByName(rows, allowMissingColumns=True)
-        append_load(written.withColumn("ld_batch_id", F.lit(batch_id).cast("bigint")).withColumn("ld_attempt", F.lit(attempt.number)), target)
+        attempt_load(written, target, batch_id, attempt.number)
         clock.lap(f"{family}: targets")
         periods = [n.split("=", 1)[1] for n in Files(spark, target).names(folder) if n.startswith("ld_period=")]
         rejects = None
@@ -357,8 +357,8 @@ def load_tasks(
             waiting = spark.read.parquet(f"{target}/{folder}/ld_period={REJECTED}")
             reject_sink(waiting.select(
                 F.col("ld_task_key").alias("task_key"), F.col("ld_file").alias("data_path"), F.col("ld_dest_table").alias("dest_table"),
-                F.col("ld_raw").alias("raw"), F.col("ld_reason").alias("reason"), F.lit(batch_id).cast("bigint").alias("batch_id"),
-                F.lit(attempt.number).alias("attempt"), F.lit(family).alias("family")), layout.rejects)
+                F.col("ld_raw").alias("raw"), F.col("ld_reason").alias("reason")), layout.rejects,
+                batch_id=batch_id, attempt=attempt.number, family=family)
             drop_periods(spark, target, batch_id, attempt.number, [REJECTED])
             rejects = spark.read.parquet(f"{layout.rejects}/batch_id={batch_id}/attempt={attempt.number}/family={family}")
         clock.lap(f"{family}: rejects")
@@ -398,7 +398,7 @@ def load_tasks(
     final = finals[0]
     for f in finals[1:]:
         final = final.unionByName(f)
-    ledger_append(_few(final), layout.ledger)
+    ledger_write(_few(final), layout.ledger, batch_id, final_no)
     clock.lap("final ledger rows")
     for target, periods in emptied:  # only now: the final rows counted what they hold
         drop_periods(spark, target, batch_id, attempt.number, periods)
