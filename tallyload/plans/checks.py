@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyload.functions.ddl import CORRUPT_COLUMN, declared_schema
 from tallyload.functions.naming import normalize_path
 from tallyload.functions.timestamps import content_timestamp
-from tallyload.operators import command_parse, ledger_latest, ledger_scan, read_target
+from tallyload.operators import command_parse, existing_tables, ledger_latest, ledger_scan, read_target
 from tallyload.operators.conform import conform, load_fanout
 from tallyload.operators.ledger import claim_step, delete_path, final_step, ledger_append, ledger_rows, read_ledger
 from tallyload.operators.registry import effective_registry
@@ -96,6 +96,71 @@ def q_ledger_poll_replay(spark, d):
     return _rows(spark, layout)
 
 
+def q_read_before_redo(spark, d):
+    """Readers between a crash and its redo see none of the attempt's rows; afterwards they see all."""
+    from tallyload.operators.attempts import Files, control_root
+
+    cmds, layout = _crash(spark, d, "orders-before-redo")
+    Files(spark, control_root(layout.root)).delete("commits/b5.a0")  # the crash came before the commit, too
+    seen = _rows(spark, layout).withColumn("after_redo", F.lit(False))
+    seen = seen.checkpoint(eager=True)  # read now, not after the redo
+    run_batch(spark, _lines(spark, cmds), S.orders_registry(spark), layout, 5)
+    return seen.unionByName(_rows(spark, layout).withColumn("after_redo", F.lit(True)))
+
+
+def _at_once(*jobs) -> None:
+    """Run jobs at the same time; the first error is raised."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(j) for j in jobs]:
+            done.result()
+
+
+def q_two_runs_one_id(spark, d):
+    """E5: two runs of one batch id at the same time load every file once."""
+    _, cmds, layout = _stage(spark, d, "orders-two-runs")
+    run = lambda: run_batch(spark, _lines(spark, cmds), S.orders_registry(spark), layout, 9)
+    _at_once(run, run)
+    return _rows(spark, layout)
+
+
+def q_two_poll_streams(spark, d):
+    """two poll streams on one ledger at the same time load every announced file once."""
+    from tallyload.streaming import stream_ledger_poll
+
+    root, cmds, layout = _stage(spark, d, "orders-two-polls")
+    ledger_append(ledger_rows(_tasks(spark, cmds), -1, 0, state=0), layout.ledger)
+    poll = lambda i: stream_ledger_poll(spark, layout, lambda: S.orders_registry(spark), f"{root}/checkpoint{i}",
+                                        available_now=True).awaitTermination()
+    _at_once(lambda: poll(0), lambda: poll(1))
+    return _rows(spark, layout)
+
+
+def q_reject_raw_lines(spark, d):
+    """The text of a reject is the line of the data file, with its quotes and blanks, whatever rule it broke."""
+    root = scratch_dir(spark, "orders-raw")
+    o = S.table(spark, d, "orders")
+    key = F.col("o_orderkey").cast("string")
+    long = F.when(F.col("o_orderkey") % 3 == 0, F.lit('too ""long"" ')).otherwise(F.col("o_orderstatus"))
+    line = F.concat(key, F.lit(',"'), long, F.lit('",'), F.col("o_orderpriority"), F.when(F.col("o_orderkey") % 7 == 0, F.lit(' ," more  ')).otherwise(F.lit(" ")))
+    o.select(line).write.text(f"{root}/data")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(f"{root}/data").select(
+        F.concat(F.lit(f"src,{S.ORDERS_EVENT_TYPE},"), normalize_path(F.col("path"), decode=True), F.lit(",2000-01-01 00:00:00.0,t,60")).alias("raw"))
+    S.write_commands(files, f"{root}/cmds")
+    layout = Layout(f"{root}/warehouse")
+    registry = S.registry_rows(spark, [(S.ORDERS_EVENT_TYPE, "orders", "k bigint, s varchar(3), p string", "", 3, 1)])
+    run_batch(spark, _lines(spark, f"{root}/cmds"), registry, layout, 0)
+    return spark.read.parquet(layout.rejects).select("raw", "reason")
+
+
+def q_existing_tables_listed(spark, d):
+    """C4: the tables of a load, from folder names and commits alone."""
+    _, cmds, layout = _stage(spark, d, "orders-listed")
+    run_batch(spark, _lines(spark, cmds), _by_month(spark), layout, 0)
+    return existing_tables(spark, layout.target("orders"))
+
+
 def q_late_registration(spark, d):
     """Commands come before their type is registered, and load afterwards."""
     from tallyload.streaming import retry_waiting
@@ -195,6 +260,13 @@ EXTRA_SQL = {
     "recover_after_write": _ORDERS,
     "ledger_poll_replay": _ORDERS,
     "late_registration": _ORDERS,
+    "read_before_redo": f"select {_FIELDS}, dest_table, true as after_redo from ({_ORDERS}) o",
+    "two_runs_one_id": _ORDERS,
+    "two_poll_streams": _ORDERS,
+    "reject_raw_lines": """with l as (select o_orderkey, concat(o_orderkey, ',"', case when o_orderkey % 3 = 0 then 'too ""long"" '
+  else o_orderstatus end, '",', o_orderpriority, case when o_orderkey % 7 = 0 then ' ," more  ' else ' ' end) as raw from orders)
+select raw, case when o_orderkey % 7 = 0 then 'malformed' else 'too_long:s' end as reason from l where o_orderkey % 7 = 0 or o_orderkey % 3 = 0""",
+    "existing_tables_listed": "select distinct concat('orders_', strftime(o_orderdate, '%Y'), '01') as dest_table from orders",
     "replay_after_crash": f"select {_FIELDS}, concat('orders_', strftime(o_orderdate, '%Y'), '01') as dest_table from orders",
     "mixed_bad_files": "select 'state 3' as what, count(distinct year(o_orderdate)) as n, true as told from orders union all "
     "select 'state 2', 1, true union all "

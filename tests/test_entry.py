@@ -16,6 +16,7 @@ FAST = [
     "ledger_compacted", "stream_ledger_poll", "load_orders", "split_rejects", "reject_limit_files", "ledger_after_load",
     "recover_orphans", "load_multiline", "load_continued", "stream_load_orders", "load_orders_rows", "same_batch_twice",
     "replay_after_crash", "recover_after_write", "ledger_poll_replay", "late_registration", "mixed_bad_files", "file_inventory_years",
+    "read_before_redo", "two_runs_one_id", "two_poll_streams", "reject_raw_lines", "existing_tables_listed",
 ]
 
 
