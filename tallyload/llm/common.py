@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import types
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,19 +37,44 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         base = ensure_checkpoint_dir(spark).rstrip("/")
         self.spark, self.root = spark, f"{base}/tallyload-{name}-{uuid.uuid4().hex[:12]}"
+        for kept in _scopes:
+            kept.append(self)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        """Delete a table that no later step reads."""
+    def drop(self, name: str = "") -> None:
+        """Delete a table that no later step reads, or all of them."""
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_scopes: list[list[Scratch]] = []
+
+
+@contextlib.contextmanager
+def dropped_after() -> Iterator[None]:
+    """Deletes, at its end, all intermediate tables that operators began inside it; their results must be written by then."""
+    _scopes.append(opened := [])
+    try:
+        yield
+    finally:
+        _scopes.remove(opened)
+        for scratch in opened:
+            scratch.drop()
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with underscores before it until no column of ``taken`` has it."""
+    lower = {c.lower() for c in taken}
+    while name in lower:
+        name = f"_{name}"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

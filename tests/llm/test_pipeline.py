@@ -210,3 +210,20 @@ def test_components(spark):
     assert got == {x: label[x] for x in real}
     assert connected_components(df.where(F.lit(False)), Scratch(spark, "test")).collect() == []
     assert re.match("tallyload-", Scratch(spark, "x").root.rsplit("/", 1)[1])
+
+
+def test_stages_take_clashing_columns_and_leave_no_tables(spark, corpus, tmp_path):
+    names = ["_row", "_cut", "_ranges", "_whole", "_key", "_id", "key", "pass", "Words"]
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    wide = docs.select("*", *[F.lit(n).alias(n) for n in names])
+    for stage in (P.keep_one_of_each_group, P.mask_secrets, P.mix):
+        got = stage(spark, wide, corpus)
+        plain = stage(spark, docs, corpus)
+        assert got.columns == wide.columns
+        assert got.select(*docs.columns).exceptAll(plain).count() == plain.exceptAll(got.select(*docs.columns)).count() == 0
+        assert got.where(" OR ".join(f"`{n}` <> '{n}'" for n in names)).count() == 0
+    base = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(base))
+    rows = P.run(spark, corpus).count()
+    left = {n for n in set(os.listdir(base)) - before if n.startswith("tallyload-")}
+    assert rows and [n.rsplit("-", 1)[0] for n in left] == ["tallyload-pipeline"]
