@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyload.llm.bpe import bpe_digests
-from tallyload.llm.common import Scratch
+from tallyload.llm.common import Scratch, dropped_after, free_name
 from tallyload.llm.jaccard import jaccard_components
 from tallyload.llm.mixing import cut_words, mix_slots
 from tallyload.llm.quality import keep_accepted
@@ -26,9 +26,7 @@ def drop_rejected(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def _keyed(spark: SparkSession, docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``docs`` written once with a number of its own for every row, and that column's name."""
-    key = "_row"
-    while key in docs.columns:
-        key = f"_{key}"
+    key = free_name("_row", docs.columns)
     return Scratch(spark, name).table(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), key
 
 
@@ -47,7 +45,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         found.join(ids, found["doc_id"] == ids["_key"]).select("component_id", "_id", "_key"), "found")
     first = found.groupBy("component_id").agg(F.min(F.struct("_id", "_key")).alias("first")).select("first._key")
     copies = found.join(first, "_key", "left_anti").select(F.col("_key").alias(key))
-    return rows.join(copies, key, "left_anti").select(*docs.columns)
+    return rows.join(copies.hint("merge"), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,11 +64,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     place in the mix.
     """
     rows, key = _keyed(spark, docs, "mix")
+    cut = free_name("_cut", rows.columns)
     taken = mix_slots(rows, key_col=key).groupBy("key", "pass").agg(
-        F.sort_array(F.collect_list(F.struct("start", "words"))).alias("_ranges"), F.sum("words").alias("_words"), F.max("size").alias("_size"))
-    taken = taken.select(F.col("key").alias(key), "_ranges", (F.col("_words") == F.col("_size")).alias("_whole"))
-    text = F.when(F.col("_whole"), F.col("text")).otherwise(cut_words(F.col("text"), F.col("_ranges")))
-    return rows.join(taken, key).select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+        F.sort_array(F.collect_list(F.struct("start", "words"))).alias("ranges"), F.sum("words").alias("words"), F.max("size").alias("size"))
+    taken = taken.select(F.col("key").alias(key), F.struct("ranges", (F.col("words") == F.col("size")).alias("whole")).alias(cut))
+    text = F.when(F.col(cut)["whole"], F.col("text")).otherwise(cut_words(F.col("text"), F.col(cut)["ranges"]))
+    return rows.join(taken.hint("merge"), key).select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -95,7 +94,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
-        docs = scratch.table(stage(spark, docs, sf_dir), f"stage{i}")
+        with dropped_after():  # what the stage kept on the way goes once its rows are written
+            docs = scratch.table(stage(spark, docs, sf_dir), f"stage{i}")
         if i:
             scratch.drop(f"stage{i - 1}")
     return docs
