@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tallyload.functions.states import FINISHED, state_code, state_name, state_text
 from tallyload.operators.attempts import Files, claim_step, committed_names, final_step, settled  # noqa: F401  (steps are part of the ledger)
+from tallyload.operators.sizing import bounded_broadcast
 
 LEDGER_SCHEMA = (
     "task_key bigint, task_id bigint, event_type int, content_ts timestamp, data_path string, "
@@ -33,6 +34,9 @@ SCAN_COLUMNS = [
     "gen_time", "exec_start", "exec_end", "dest_table",
 ]
 STEPS_PER_BATCH = 1 << 16
+# rows of a snapshot's bucket when buckets are dealt, and when they are dealt anew
+_BUCKET_ROWS, _BUCKET_MOST = 1 << 14, 1 << 16
+_BUCKET_SCHEMA = "key_bucket int, gen int, n bigint, buckets int"
 
 
 def ledger_rows(tasks: DataFrame, batch_id: int, step: int, **values) -> DataFrame:
@@ -81,12 +85,10 @@ def read_ledger(spark: SparkSession, ledger_root: str, batch_id: int | None = No
     snap = latest_snapshot(spark, ledger_root)
     if snap is None:
         return log
-    rows = spark.read.schema(LEDGER_SCHEMA).parquet(f"{snap}/rows")
+    rows = snapshot_rows(spark, snap).select(*LEDGER_COLUMNS)
     if batch_id is not None:
         rows = rows.filter(F.col("batch_id") == batch_id)
-    held = spark.read.schema("file string").parquet(f"{snap}/files")
-    log = log.withColumn("_f", F.input_file_name()).join(held, F.col("_f") == F.col("file"), "left_anti")
-    return rows.unionByName(log.select(*LEDGER_COLUMNS))
+    return rows.unionByName(_tail(spark, log, snap).select(*LEDGER_COLUMNS))
 
 
 def _read_log(spark: SparkSession, ledger_root: str, batch_id: int | None = None) -> DataFrame:
@@ -122,14 +124,51 @@ def latest_snapshot(spark: SparkSession, ledger_root: str) -> str | None:
     return f"{_snapshot_root(ledger_root)}/n={max(numbers)}" if numbers else None
 
 
+def _tail(spark: SparkSession, log: DataFrame, snap: str) -> DataFrame:
+    """Rows of the log files that a snapshot does not hold."""
+    held = spark.read.schema("file string").parquet(f"{snap}/files")
+    return log.withColumn("_f", F.input_file_name()).join(held, F.col("_f") == F.col("file"), "left_anti").drop("_f")
+
+
+def _data_root(snap: str) -> str:
+    return snap.rsplit("/", 1)[0] + "/data"
+
+
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64("task_key"), F.lit(buckets)).cast("int").alias("key_bucket")
+
+
+def _buckets(spark: SparkSession, snap: str) -> DataFrame:
+    return spark.read.schema(_BUCKET_SCHEMA).parquet(f"{snap}/buckets")
+
+
+def snapshot_rows(spark: SparkSession, snap: str) -> DataFrame:
+    """The newest row of every task that a snapshot holds, with its ``key_bucket``.
+
+    The snapshot's list of buckets is joined to the partition columns, so
+    folders of older generations are pruned.
+    """
+    root = _data_root(snap)
+    if not Files(spark, root).exists():
+        return spark.createDataFrame([], f"{LEDGER_SCHEMA}, key_bucket int")
+    data = spark.read.schema(f"{LEDGER_SCHEMA}, key_bucket int, gen int").parquet(root)
+    valid = bounded_broadcast(_buckets(spark, snap).select("key_bucket", "gen").where("gen >= 0"))
+    return data.join(valid, ["key_bucket", "gen"], "left_semi").drop("gen")
+
+
 def compact_ledger(spark: SparkSession, ledger_root: str, upto_batch: int | None = None, retire: bool = False) -> str:
-    """Write the newest row of every task as a snapshot of exact log files.
+    """Write the newest row of every task as a snapshot of exact log files; returns its folder.
 
     The snapshot names the files it holds (all, or those of batch ids up to
     ``upto_batch``); files added later, whatever their batch id, are still read
-    from the log.  ``retire`` then deletes the named files and older snapshots,
-    which keeps the listing of the log short.  Nobody may be reading an older
-    snapshot while it retires.  Returns the snapshot folder.
+    from the log.  Its rows lie in buckets of the task key, one file each, in
+    key order.  Only buckets of tasks that changed since the last snapshot are
+    read, merged and written again, as a new generation; the others are taken
+    over by name.  When buckets have grown beyond ``_BUCKET_MOST`` rows all are
+    dealt anew into more.  ``retire`` deletes the named files, older snapshots
+    and bucket files that are no longer used, which keeps listings short.
+    Nobody may be reading an older snapshot while it retires, and only one
+    compaction may run at a time.
     """
     known = latest_snapshot(spark, ledger_root)
     log = _read_log(spark, ledger_root)
@@ -150,25 +189,74 @@ def compact_ledger(spark: SparkSession, ledger_root: str, upto_batch: int | None
         files = [f for f in files if int(re.search(r"/batch_id=(-?\d+)/", f)[1]) <= upto_batch]
     number = int(known.rsplit("=", 1)[1]) + 1 if known else 0
     path = f"{_snapshot_root(ledger_root)}/n={number}"
-    rows = log
     held = spark.createDataFrame([(f,) for f in files], "file string")
+    delta = log.join(held.withColumnRenamed("file", "_held"), F.col("_f") == F.col("_held"), "left_semi")
     if known:
         old = spark.read.schema("file string").parquet(f"{known}/files")
-        rows = rows.join(old, F.col("_f") == F.col("file"), "left_anti")
+        delta = delta.join(old, F.col("_f") == F.col("file"), "left_anti")
         held = held.unionByName(old).distinct()
-    rows = rows.select(*LEDGER_COLUMNS)
+    delta = ledger_latest(delta.select(*LEDGER_COLUMNS)).checkpoint(eager=True)  # read by the choice of buckets and by the merge
+    before = _buckets(spark, known).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.max("buckets").alias("b")).first() if known else (0, None)
+    most, buckets = before[0] + delta.count(), before[1] or 1
+    rewrite = most > buckets * _BUCKET_MOST
+    while most > buckets * _BUCKET_ROWS and rewrite:
+        buckets *= 2
+    rows = delta.select("*", _bucket(buckets))
     if known:
-        rows = rows.unionByName(spark.read.schema(LEDGER_SCHEMA).parquet(f"{known}/rows"))
-    ledger_latest(rows).select(*LEDGER_COLUMNS).write.mode("overwrite").parquet(f"{path}/rows")
+        earlier = snapshot_rows(spark, known)
+        if rewrite:
+            earlier = earlier.select(*LEDGER_COLUMNS, _bucket(buckets))
+        else:
+            changed = bounded_broadcast(rows.select("key_bucket").distinct()).where("key_bucket >= 0")
+            earlier = earlier.join(changed, "key_bucket", "left_semi")
+        rows = ledger_latest(rows.unionByName(earlier))
+    data = _data_root(path)
+    rows.select(*LEDGER_COLUMNS, "key_bucket", F.lit(number).alias("gen")).repartition("key_bucket").sortWithinPartitions(
+        "key_bucket", "task_key").write.mode("append").option("parquet.bloom.filter.enabled#task_key", "true").option(
+        "parquet.bloom.filter.expected.ndv#task_key", str(_BUCKET_MOST)).partitionBy("key_bucket", "gen").parquet(data)
+    now = spark.createDataFrame([], _BUCKET_SCHEMA)
+    if Files(spark, data).exists():
+        written = spark.read.schema("task_key bigint, key_bucket int, gen int").parquet(data).where(F.col("gen") == number)
+        now = written.groupBy("key_bucket", "gen").agg(F.count(F.lit(1)).alias("n")).withColumn("buckets", F.lit(buckets))
+    if known and not rewrite:
+        kept = _buckets(spark, known)
+        now = now.unionByName(kept.join(now.select("key_bucket"), "key_bucket", "left_anti").select(*now.columns))
+    now.coalesce(1).write.mode("overwrite").parquet(f"{path}/buckets")  # a row a bucket
     held.write.mode("overwrite").parquet(f"{path}/files")  # its marker completes the snapshot
     if retire:
         for f in files:
             delete_path(spark, f)
+        if known:
+            for r in _buckets(spark, known).join(_buckets(spark, path), ["key_bucket", "gen"], "left_anti").toLocalIterator():
+                delete_path(spark, f"{data}/key_bucket={r['key_bucket']}/gen={r['gen']}")
         for n in range(number):
             delete_path(spark, f"{_snapshot_root(ledger_root)}/n={n}")
     return path
 
 
+def latest_of(spark: SparkSession, ledger_root: str, keys: DataFrame) -> DataFrame:
+    """``task_key, state, batch_id`` of the newest settled row of each task of ``keys`` that the ledger knows.
+
+    ``keys`` (a batch's tasks) is handed to the snapshot, where only buckets of
+    these keys are read, and to the log files written since: what is read
+    depends on the batch and on how often the ledger is compacted, not on
+    history.
+    """
+    snap = latest_snapshot(spark, ledger_root)
+    log = _read_log(spark, ledger_root)
+    columns = ["task_key", "state", "batch_id", "version"]
+    wanted = keys.select("task_key").distinct()
+    if snap is not None:
+        log = _tail(spark, log, snap)
+    found = settled(spark, log, ledger_root.rstrip("/").rsplit("/", 1)[0]).join(bounded_broadcast(wanted), "task_key", "left_semi").select(*columns)
+    if snap is not None:
+        buckets = _buckets(spark, snap).agg(F.max("buckets")).first()[0] or 1
+        at = bounded_broadcast(wanted.select("task_key", _bucket(buckets))).where("key_bucket >= 0")
+        found = found.unionByName(snapshot_rows(spark, snap).join(at, ["key_bucket", "task_key"], "left_semi").select(*columns))
+    newest = found.groupBy("task_key").agg(F.max_by(F.struct("state", "batch_id"), "version").alias("r"))
+    return newest.select("task_key", "r.state", "r.batch_id")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder of this library's own tables, on any file system Hadoop knows."""
     jvm = spark.sparkContext._jvm

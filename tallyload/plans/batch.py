@@ -39,6 +39,7 @@ from tallyload.operators.commands import classify_commands, last_command_per_fil
 from tallyload.operators.conform import conform, load_fanout, raw_text
 from tallyload.operators.ledger import (
     assign_task_ids,
+    latest_of,
     latest_state,
     ledger_rows,
     ledger_write,
@@ -151,7 +152,7 @@ def run_batch(
     unnumbered ``cmd_file, _bs, _mid, raw`` of ``command_scan(positions=False)``).
 
     ``guard_scope``: ``"all"`` skips tasks finished in any earlier batch (reads
-    the whole ledger); ``"batch"`` only looks at this batch id's ledger
+    the snapshot's buckets of this batch's keys and the log since); ``"batch"`` only looks at this batch id's ledger
     folder -- enough for a stream, whose source hands
     each command file to exactly one batch, and it does not grow with history.
 
@@ -192,8 +193,11 @@ def _run(spark, lines, registry, layout, attempt, profile, keep, parse_options,
     if keep == "last":
         cmds = last_command_per_file(cmds)
     # read after the attempt was opened: what others claim from here on is seen when this attempt claims
-    ledger = settled_ledger(spark, layout.ledger, batch_id if guard_scope == "batch" else None)
-    done = latest_state(ledger).filter(F.col("state").isin(*FINISHED)).select("task_key")
+    if guard_scope == "all":
+        done = latest_of(spark, layout.ledger, cmds)
+    else:
+        done = latest_state(settled_ledger(spark, layout.ledger, batch_id))
+    done = done.filter(F.col("state").isin(*FINISHED)).select("task_key")
     # materialised reliably: what is claimed below must not change with the ledger
     cmds = replay_guard(cmds, done, "task_key").checkpoint(eager=True)
     if task_ids == "sequence":

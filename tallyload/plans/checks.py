@@ -10,7 +10,18 @@ from tallyload.functions.naming import normalize_path
 from tallyload.functions.timestamps import content_timestamp
 from tallyload.operators import command_parse, existing_tables, ledger_latest, ledger_scan, read_target
 from tallyload.operators.conform import conform, load_fanout
-from tallyload.operators.ledger import claim_step, delete_path, final_step, ledger_append, ledger_rows, read_ledger
+from tallyload.operators.ledger import (
+    claim_step,
+    compact_ledger,
+    delete_path,
+    final_step,
+    latest_of,
+    latest_snapshot,
+    ledger_append,
+    ledger_rows,
+    read_ledger,
+    snapshot_rows,
+)
 from tallyload.operators.registry import effective_registry
 from tallyload.plans import scenario as S
 from tallyload.plans.batch import Layout, run_batch
@@ -161,6 +172,30 @@ def q_existing_tables_listed(spark, d):
     return existing_tables(spark, layout.target("orders"))
 
 
+def _ledger_in_batches(spark, d, name):
+    """The events' ledger, one batch for each transition, compacted after every batch."""
+    root = scratch_dir(spark, name) + "/ledger"
+    log = S.events_ledger(spark, d).withColumn("batch_id", F.col("step").cast("bigint"))
+    for step in range(3):
+        ledger_append(log.filter(F.col("step") == step), root)
+        compact_ledger(spark, root)
+    return root
+
+
+def q_ledger_incremental(spark, d):
+    """The newest row of every task, merged batch by batch into the buckets that changed."""
+    root = _ledger_in_batches(spark, d, "ledger-incremental")
+    latest = snapshot_rows(spark, latest_snapshot(spark, root))
+    return latest.select(F.col("task_id").alias("id"), F.col("event_type").alias("eventtype"), "state", F.col("data_path").alias("path"), "exec_end")
+
+
+def q_guard_by_keys(spark, d):
+    """Of the tasks of event types 1 to 3, those that the ledger shows as finished, by a lookup of their keys."""
+    root = _ledger_in_batches(spark, d, "ledger-guard")
+    keys = S.events_ledger(spark, d).filter("event_type <= 3 AND step = 0").select("task_key")
+    return latest_of(spark, root, keys).filter(F.col("state") >= 2).select(F.col("task_key").alias("id"), "state")
+
+
 def q_late_registration(spark, d):
     """Commands come before their type is registered, and load afterwards."""
     from tallyload.streaming import retry_waiting
@@ -246,6 +281,9 @@ _ORDERS = f"select {_FIELDS}, concat('orders_', strftime(o_orderdate, '%Y')) as
 
 #: On the prefix of the catalogue's SQL (cfg, reg, cmd).
 EXTRA_ON_PREFIX = {
+    "ledger_incremental": "select k.id, k.eventtype, k.state, k.path, case when k.state >= 2 then k.content_ts + "
+    "to_seconds(k.id % 60 + k.id % 7) end as exec_end from cmd k",
+    "guard_by_keys": "select id, state from cmd where state >= 2 and eventtype <= 3",
     "ledger_scan_columns": "select k.id as task_id, k.eventtype as event_type, k.content_ts, k.path as data_path, "
     "cast(round(k.value * 100) as bigint) as data_size, 3 as state, k.content_ts as gen_time, "
     "k.content_ts + to_seconds(k.id % 60) as exec_start, k.content_ts + to_seconds(k.id % 60 + k.id % 7) as exec_end, "

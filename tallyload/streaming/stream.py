@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyload.functions.states import FINISHED, NEW, OPERATING, WAITING
-from tallyload.operators.ledger import LEDGER_SCHEMA, compact_ledger, ledger_latest, replay_guard, settled_ledger
+from tallyload.operators.ledger import LEDGER_SCHEMA, compact_ledger, latest_of, ledger_latest, replay_guard, settled_ledger
 from tallyload.operators.registry import effective_registry, registry_active, snapshot_registry
 from tallyload.plans.batch import Layout, load_tasks, open_attempt, run_batch
 
@@ -123,9 +123,9 @@ def stream_ledger_poll(
     """claim and load NEW tasks appended to the ledger by other writers.
 
     Several such queries may run on one ledger: of each task's claims one
-    holds.  The guard reads the whole ledger (a NEW row may be claimed in any
-    earlier batch); ``compact_every`` keeps that read to a snapshot plus recent
-    rows.
+    holds.  The guard (a NEW row may be claimed in any earlier batch) reads the
+    snapshot's buckets of the polled keys and the log since the snapshot, so
+    with ``compact_every`` a poll costs the same however long the history is.
     """
     new_rows = (
         spark.readStream.schema(LEDGER_SCHEMA).option("recursiveFileLookup", "false")
@@ -140,10 +140,9 @@ def stream_ledger_poll(
                                            "dest_table", "version"))
         with open_attempt(s, layout, LEDGER_POLL_BATCH_BASE + epoch, checkpoint) as attempt:
             # finished, or claimed by another batch; claims of this batch are a crashed attempt's, or a rival's
-            newest = settled_ledger(s, layout.ledger).groupBy("task_key").agg(
-                F.max_by(F.struct("state", "batch_id"), "version").alias("r"))
-            done = newest.filter(F.col("r.state").isin(*FINISHED) | (
-                (F.col("r.state") == OPERATING) & (F.col("r.batch_id") != attempt.batch_id)))
+            newest = latest_of(s, layout.ledger, tasks)
+            done = newest.filter(F.col("state").isin(*FINISHED) | (
+                (F.col("state") == OPERATING) & (F.col("batch_id") != attempt.batch_id)))
             tasks = replay_guard(tasks.drop("version"), done.select("task_key"), "task_key").checkpoint(eager=True)
             load_tasks(s, tasks, registry_loader(), layout, attempt.batch_id, profile=profile, attempt=attempt)
         _maybe_compact(s, layout, epoch, compact_every)
