@@ -25,6 +25,8 @@ from tallyload.llm.components import connected_components
 from tallyload.llm.forest import Forest
 
 _ROWS = 512  # rows of a tile multiplied at a time
+_PAIRS = 65_536  # pairs computed again at a time
+_ROUNDING = 1e-9  # far above the rounding of a product of unit vectors
 _SLACK = 1e-6  # far above the rounding of the bound itself
 
 
@@ -55,8 +57,28 @@ def products(qa: np.ndarray, qb: np.ndarray) -> np.ndarray:
     return sum((qa[:, i:i + 1024] @ qb[:, i:i + 1024].T).astype(np.float64) for i in range(0, qa.shape[1], 1024))
 
 
-def tile_links(ids: np.ndarray, weights: np.ndarray, u: np.ndarray, first: int, threshold: float) -> pd.DataFrame:
-    """Link counts and forest of a tile pair: rows before ``first`` against those after it (all pairs if it is 0)."""
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings them near 1: exact, and safe from overflow."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
+def cosines(x: np.ndarray, norm: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Dot product over the product of lengths of each pair of rows, in double precision."""
+    out = np.empty(len(a))
+    for i in range(0, len(a), _PAIRS):
+        p, q = a[i:i + _PAIRS], b[i:i + _PAIRS]
+        out[i:i + _PAIRS] = np.einsum("ij,ij->i", x[p], x[q]) / (norm[p] * norm[q])
+    return out
+
+
+def tile_links(ids: np.ndarray, weights: np.ndarray, x: np.ndarray, first: int, threshold: float) -> pd.DataFrame:
+    """Link counts and forest of a tile pair: rows before ``first`` against those after it (all pairs if it is 0).
+
+    Whatever the tile, a pair at the threshold is decided by ``cosines`` of the
+    vectors as they are, up to a power of two.
+    """
+    u, x = unit(x), scaled(x)
+    norm = np.sqrt(np.einsum("ij,ij->i", x, x))
     q, scale, err = quantised(u)
     links, forest = np.zeros(len(ids), np.int64), Forest(len(ids))
     b0 = first  # with one tile, b0 = 0 and only j > i counts
@@ -68,14 +90,16 @@ def tile_links(ids: np.ndarray, weights: np.ndarray, u: np.ndarray, first: int,
         near = products(q[i:j], q[lo:]) * (scale[i:j, None] * scale[None, lo:]) >= threshold - bound - _SLACK
         if not first:
             near &= np.arange(lo, len(ids))[None, :] > np.arange(i, j)[:, None]
-        if near.mean() > 0.02:
-            near &= u[i:j] @ u[lo:].T >= threshold
-            a, b = np.nonzero(near)
+        if near.mean() > 0.02:  # many: a product of the tile decides those that its rounding cannot reach
+            over = u[i:j] @ u[lo:].T - threshold
+            sure = near & (over > _ROUNDING)
+            near &= np.abs(over) <= _ROUNDING
+            sa, sb = np.nonzero(sure)
         else:
-            a, b = np.nonzero(near)
-            keep = np.einsum("ij,ij->i", u[i + a], u[lo + b]) >= threshold
-            a, b = a[keep], b[keep]
-        a, b = a + i, b + lo
+            sa = sb = np.zeros(0, np.int64)
+        a, b = np.nonzero(near)
+        keep = cosines(x, norm, a + i, b + lo) >= threshold
+        a, b = np.concatenate([sa, a[keep]]) + i, np.concatenate([sb, b[keep]]) + lo
         links += np.bincount(a, weights[b], len(ids)).astype(np.int64) + np.bincount(b, weights[a], len(ids)).astype(np.int64)
         forest.add(a, b)
     hit = links > 0
@@ -100,7 +124,7 @@ def _product(threshold: float):
         if a != b and len(tiles) < 2:
             return pd.DataFrame({"node": ids[0][:0], "links": ids[0][:0], "root": ids[0][:0]})
         first = len(ids[0]) if a != b else 0
-        return tile_links(np.concatenate(ids), np.concatenate(weights).astype(np.float64), unit(np.vstack(x)), first, threshold)
+        return tile_links(np.concatenate(ids), np.concatenate(weights).astype(np.float64), np.vstack(x), first, threshold)
     return run
 
 
@@ -138,7 +162,10 @@ def embedding_neardup(vectors: DataFrame, threshold: float = 0.9, tile_rows: int
                .join(components, F.col("rep") == components["node"], "left")
                .select(F.col("embedding").alias("e"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"),
                        F.coalesce("component", "rep").alias("component")))
-    joined = v.withColumn("key", F.when(taking, F.col("embedding"))).join(classes, F.col("key") == F.col("e"), "left")
     component = F.coalesce("component", "vec_id")
-    return joined.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
-                         F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+    linked = v.where(taking).join(classes, F.col("embedding") == F.col("e")).select(
+        "vec_id", F.col("links").cast("long").alias("n_links"), component.alias("component_id"))
+    # rows that take no part meet no class, so they share no key either
+    others = v.where(~taking).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return linked.unionByName(others).select("vec_id", "n_links", "component_id", F.coalesce(
+        F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))

@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from tallyload.llm.embeddings import embedding_neardup, quantised, unit
+from tallyload.llm.embeddings import embedding_neardup, quantised, tile_links, unit
 from tallyload.llm.forest import Forest
 from tallyload.llm.neighbours import Splits, chi_square_quantile, kd_cells, nearest_neighbours
 
@@ -62,6 +62,40 @@ def test_neardup_repeated_rows_and_empty_table(vectors):
     assert embedding_neardup(vectors([(1, None)])).collect()[0].component_id == 1
 
 
+def exactly_at(n=400, seed=5):
+    """Pairs of integer vectors whose cosine is 0.9 exactly: dot and lengths are integers."""
+    rng, out = np.random.default_rng(seed), []
+    vectors = rng.integers(0, 10, (4000, 4))
+    whole = [(v, math.isqrt(int(v @ v))) for v in vectors if v.any() and math.isqrt(int(v @ v)) ** 2 == int(v @ v)]
+    for i, (a, p) in enumerate(whole):
+        for b, q in whole[i + 1:]:
+            if 10 * int(a @ b) == 9 * p * q:
+                out.append((a, b))
+                if len(out) == n:
+                    return out
+    return out
+
+
+@pytest.mark.parametrize("dense", [False, True])
+def test_pairs_exactly_at_the_threshold_link_in_every_tile(vectors, dense):
+    found = exactly_at() + [(np.array([1, 0, 0, 0]), np.array([9, 3, 3, 1])), (np.array([0, 1, 2, 2]), np.array([1, 7, 5, 5]))]
+    assert len(found) > 100
+    for k, (a, b) in enumerate(found[::40] + found[-2:]):
+        a, b = a.astype(np.float64), b.astype(np.float64)
+        x = np.vstack([a, b, *([a] * 60 if dense else [])])
+        x[2:] += np.linspace(1e-4, 1e-3, len(x) - 2)[:, None]  # in the dense tile most pairs are near
+        ids, ones = np.arange(len(x)), np.ones(len(x))
+        links = lambda y, t: int((tile_links(ids, ones, y, 0, t)["links"].to_numpy()[:1]).sum())
+        assert tile_links(ids, ones, x, 0, 0.9)["node"].tolist()[:2] == [0, 1]
+        base = links(x, 0.9)
+        assert links(x, np.nextafter(0.9, 1)) == base - 1  # the next threshold above loses that pair alone
+        assert links(x, np.nextafter(0.9, 0)) == base
+        assert links(x * np.ldexp(1.0, 900), 0.9) == base  # and no length matters
+    rows = [(2 * i + k, [float(c) for c in v]) for i, pair in enumerate(found[-2:]) for k, v in enumerate(pair)]
+    got = {r.vec_id: r.n_links for r in embedding_neardup(vectors(rows), 0.9).collect()}
+    assert got[0] >= 1 and got[1] >= 1 and got[2] >= 1 and got[3] >= 1
+
+
 def test_quantisation_error_bound_holds():
     u = unit(np.random.default_rng(0).normal(size=(200, 48)))
     q, scale, err = quantised(u)
