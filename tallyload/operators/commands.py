@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import re
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyload.functions.timestamps import content_timestamp
+from tallyload.operators.sizing import MAX_BROADCAST_BYTES
 
 # Command layout (field count, delimiter) and reject reasons.
 COMMAND_FIELDS = 6
@@ -64,14 +66,34 @@ def classify_commands(
     # with the whole parse inlined into it, computing it twice; a predicate on
     # a generator's output stays above the generator, so it is computed once.
     df = df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+    seen = lines.select(F.xxhash64("cmd_file", "raw").alias("_line"))
     if "line_pos" not in df.columns:
         from tallyload.sources.commands import with_line_positions
 
         df = with_line_positions(df)
-    # a task is a line of a file and, among equal lines of it, a number: the
-    # same keys whatever splits the file was read in
+    return _numbered(df, seen)
+
+
+def _numbered(df: DataFrame, seen: DataFrame) -> DataFrame:
+    """Add ``task_key``: a task is a line of a file and, among equal lines of it, a number.
+
+    So the keys are the same whatever splits the file was read in.  Only lines
+    that may occur more than once in their file are brought together to be
+    numbered; ``seen`` has a hash of every line, and hashes alone are counted.
+    All other lines stay where they were read.
+    """
+    key = F.xxhash64("cmd_file", "raw", "_nth")
+    again = seen.groupBy("_line").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_line").persist(StorageLevel.MEMORY_AND_DISK)
+    size = again.count()  # kept for the joins below
+    first = df.withColumn("_nth", F.lit(1))
+    if not size:
+        again.unpersist()
+        return first.withColumn("task_key", key).drop("_nth")
+    again = F.broadcast(again) if size <= MAX_BROADCAST_BYTES // 16 else again
+    on = F.xxhash64("cmd_file", "raw") == F.col("_line")
     nth = F.row_number().over(Window.partitionBy("cmd_file", "raw").orderBy("line_pos"))
-    return df.withColumn("_nth", nth).withColumn("task_key", F.xxhash64("cmd_file", "raw", "_nth")).drop("_nth")
+    repeated = df.join(again, on, "left_semi").withColumn("_nth", nth)
+    return first.join(again, on, "left_anti").unionByName(repeated).withColumn("task_key", key).drop("_nth")
 
 
 def command_parse(lines: DataFrame, **kw) -> DataFrame:

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A registry, a per-split or per-file table of one batch, and similar lookup
-# sides stay far below this; above it the join is left to the planner
-# (sort-merge, or an AQE broadcast if the runtime size turns out small).
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
-
+# Rows of 25 bytes, one for each split of a batch: 2 PB in splits of 128 MB.
+# Above it the join is left to the planner.
+DEFAULT_MAX_BROADCAST_ROWS = 16_000_000
 
 MAX_BROADCAST_BYTES = 64 << 20
 
