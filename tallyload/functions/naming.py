@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,15 +60,18 @@ def file_extension(path, default: str = "") -> Column:
     return F.when(ext == "", F.lit(default)).otherwise(ext)
 
 
-def normalize_path(path, decode: bool = False) -> Column:
+def normalize_path(path, decode: bool = False, default_fs: str = "") -> Column:
     """Comparable form of a file path.
 
     ``_metadata.file_path`` is a URI (``file:/x/a%20b.csv``); an announced path
     is usually plain (``/x/a b.csv``).  The local scheme is dropped on both;
     ``decode=True`` (for URI inputs) turns ``%XX`` escapes back into characters
-    while leaving ``+`` alone.
+    while leaving ``+`` alone.  A path without a scheme means the session's
+    default file system, so that one's name (``default_fs``) is dropped, too.
     """
     p = F.regexp_replace(_col(path), r"^file:(//)?(?=/)", "")
+    if default_fs and not default_fs.startswith("file:"):
+        p = F.regexp_replace(p, "^" + re.escape(default_fs.rstrip("/")) + "(?=/)", "")
     if decode:
         p = F.coalesce(F.try_url_decode(F.regexp_replace(p, r"\+", "%2B")), p)
     return p

@@ -52,7 +52,7 @@ class Files:
 
     def __init__(self, spark: SparkSession, root: str):
         self.jvm = spark.sparkContext._jvm
-        self.root = root.rstrip("/")
+        self.root = root.rstrip("/") or "/"
         self.fs = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         self.local = self.fs.getUri().getScheme() == "file"
 
@@ -74,6 +74,10 @@ class Files:
         found = {f.getPath().getName(): (f.getLen(), now - f.getModificationTime() / 1000) for f in self.fs.listStatus(path)}
         return {k: v for k, v in found.items() if not k.startswith((".", "_"))}
 
+    def lengths(self) -> list[tuple[str, int]]:
+        """Path and length of the files in the folder itself."""
+        return [(f.getPath().toString(), f.getLen()) for f in self.fs.listStatus(self._path("")) if f.isFile()]
+
     def create(self, name: str, text: str = "") -> bool:
         """Create a file with its whole content; False if it exists already."""
         folder = name.rsplit("/", 1)[0]

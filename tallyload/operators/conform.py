@@ -64,5 +64,7 @@ def load_fanout(rows: DataFrame, tasks: DataFrame, task_cols: list[str], path_co
     ``tasks`` is one micro-batch's task list (one row per task), broadcast
     when its size is within bounds; the data side is never shuffled then.
     """
-    t = tasks.select(normalize_path(F.col(path_col)).alias("_file"), *task_cols)
+    from tallyload.sources.datafiles import default_filesystem
+
+    t = tasks.select(normalize_path(F.col(path_col), default_fs=default_filesystem(rows.sparkSession)).alias("_file"), *task_cols)
     return rows.join(bounded_broadcast(t), "_file", "inner")

@@ -43,6 +43,8 @@ def _loader_names() -> list[str]:
 #: Where an attempt's rejects wait, and what they carry; in good rows these columns are null.
 REJECTED = "__rejected__"
 REJECT_COLUMNS = ["ld_file", "ld_raw", "ld_reason"]
+#: When a row was loaded, in milliseconds; the load times of its file come from it.
+TIME_COLUMN = "ld_time"
 _REFUSED_SCHEMA = "task_key bigint, batch_id bigint, attempt int"
 
 
@@ -107,7 +109,7 @@ def committed_rows(spark, target_path: str) -> DataFrame:
     """A target as stored, without attempts that have not committed, their rejects, and refused tasks."""
     files = Files(spark, target_path)
     df = spark.read.parquet(target_path)
-    df = df.where(F.col("ld_period").cast("string") != REJECTED).drop(*REJECT_COLUMNS)
+    df = df.where(F.col("ld_period").cast("string") != REJECTED).drop(*REJECT_COLUMNS, TIME_COLUMN)
     commits = committed_attempts(spark, _root_of(target_path))
     if commits is not None:
         commits = bounded_broadcast(commits.select(F.col("batch_id").alias("_b"), F.col("attempt").alias("_a")).where("_a >= 0"))

@@ -51,6 +51,7 @@ from tallyload.operators.registry import commands_unregistered, registry_resolve
 from tallyload.operators.sizing import bounded_broadcast
 from tallyload.operators.targets import (
     REJECTED,
+    TIME_COLUMN,
     attempt_folder,
     attempt_load,
     clear_attempt,
@@ -287,8 +288,8 @@ def load_tasks(
     finals = [
         # not taken yet: a later run or retry_waiting loads it once its type is registered
         ledger_rows(unregistered, batch_id, final_no, state=NEW, state_info=WAITING, gen_time=gen_time),
-        failed(tasks.filter(~F.col("file_exists")), "data file missing"),
-        failed(tasks.filter(F.col("file_exists") & hidden), "data file has a hidden name (leading _ or .)"),
+        failed(tasks.filter(~F.col("file_exists") & ~hidden), "data file missing"),
+        failed(tasks.filter(hidden), "data file has a hidden name (leading _ or .)"),
     ]
     present = tasks.filter(F.col("file_exists") & ~hidden)
     # one row per (family, file) of this batch: the families and each one's file list
@@ -348,7 +349,9 @@ def load_tasks(
             bad = F.col("_reason").isNotNull()
             rows = rows.select(
                 *[F.col(f"`{n}`") for n in schema.names], F.col("_file"), F.when(bad, F.col("_file")).alias("ld_file"),
-                F.when(bad, raw_text(rows, schema)).alias("ld_raw"), F.col("_reason").alias("ld_reason"))
+                F.when(bad, raw_text(rows, schema)).alias("ld_raw"), F.col("_reason").alias("ld_reason"),
+                # the clock of the task that loads the row
+                F.java_method(F.lit("java.lang.System"), F.lit("currentTimeMillis")).cast("bigint").alias(TIME_COLUMN))
             task_cols = [F.col("task_key").alias("ld_task_key"), F.col("dest_table").alias("ld_dest_table"), F.col("period").alias("ld_period")]
             rows = load_fanout(rows, fam_tasks, task_cols).drop("_file").withColumn(
                 "ld_period", F.when(F.col("ld_reason").isNull(), F.col("ld_period")).otherwise(F.lit(REJECTED)))
@@ -366,17 +369,19 @@ def load_tasks(
             drop_periods(spark, target, batch_id, attempt.number, [REJECTED])
             rejects = spark.read.parquet(f"{layout.rejects}/batch_id={batch_id}/attempt={attempt.number}/family={family}")
         clock.lap(f"{family}: rejects")
-        # what was written, counted by task from one column
+        # what was written, counted by task from two columns
         loaded = spark.read.parquet(f"{target}/{folder}") if set(periods) - {REJECTED} else None
         end, out, limited = _now(), [], []
         for prof, _, fam_tasks, _ in parts:
-            done = _with_count(_with_count(fam_tasks, loaded, "ld_task_key", "_rows"), rejects, "task_key", "_rejects")
+            done = _with_count(_with_times(fam_tasks, loaded), rejects, "task_key", "_rejects")
             limit = F.lit(prof.reject_limit if rejects is not None else None).cast("bigint")
             admitted = F.coalesce(F.col("_rejects") <= limit, F.lit(True))
             info = F.when(admitted, F.format_string("loaded %d rows, %d rejected", F.col("_rows"), F.col("_rejects"))
                           ).otherwise(F.format_string("reject limit %d exceeded: %d rejected", limit, F.col("_rejects")))
+            # a file's own times; the family's for files of which no row was loaded
             out.append(ledger_rows(done, batch_id, final_no, state=F.when(admitted, F.lit(SUCCESSFUL)).otherwise(F.lit(ERROR)),
-                                   state_info=info, gen_time=gen_time, exec_start=start, exec_end=end))
+                                   state_info=info, gen_time=gen_time, exec_start=F.coalesce("_began", F.lit(start)),
+                                   exec_end=F.coalesce("_ended", F.lit(end))))
             if prof.reject_limit is not None and rejects is not None:
                 limited.append(done.where(~admitted).select("task_key"))
         if limited:
@@ -416,6 +421,16 @@ def _written(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if Files(spark, path).exists() else None
 
 
+def _with_times(tasks: DataFrame, loaded: DataFrame | None) -> DataFrame:
+    """Tasks with their number of loaded rows and the times of the first and the last."""
+    if loaded is None:
+        none = F.lit(None).cast("timestamp")
+        return tasks.withColumn("_rows", F.lit(0).cast("bigint")).withColumn("_began", none).withColumn("_ended", none)
+    n = loaded.groupBy(F.col("ld_task_key").alias("_k")).agg(
+        F.count(F.lit(1)).alias("_n"), F.timestamp_millis(F.min(TIME_COLUMN)).alias("_began"), F.timestamp_millis(F.max(TIME_COLUMN)).alias("_ended"))
+    return tasks.join(n, F.col("task_key") == F.col("_k"), "left").withColumn("_rows", F.coalesce("_n", F.lit(0))).drop("_k", "_n")
+
+
 def _with_count(tasks: DataFrame, written: DataFrame | None, key: str, name: str) -> DataFrame:
     """Tasks with the number of written rows of each."""
     if written is None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyload.functions.ddl import CORRUPT_COLUMN, declared_schema
 from tallyload.functions.naming import normalize_path
 from tallyload.functions.timestamps import content_timestamp
-from tallyload.operators import command_parse, existing_tables, ledger_latest, ledger_scan, read_target
+from tallyload.operators import command_parse, existing_tables, ledger_latest, ledger_scan, load_metrics, read_target
 from tallyload.operators.conform import conform, load_fanout
 from tallyload.operators.ledger import (
     claim_step,
@@ -196,6 +196,37 @@ def q_guard_by_keys(spark, d):
     return latest_of(spark, root, keys).filter(F.col("state") >= 2).select(F.col("task_key").alias("id"), "state")
 
 
+def q_load_times(spark, d):
+    """D3: every file of a load has times of its own, within those of the batch."""
+    _, cmds, layout = _stage(spark, d, "orders-times", one_file_per_year=True)
+    run_batch(spark, _lines(spark, cmds), S.orders_registry(spark), layout, 0)
+    latest = ledger_latest(read_ledger(spark, layout.ledger))
+    starts = latest.agg(F.count_distinct("exec_start", "exec_end")).first()[0]  # one scalar
+    return latest.select("dest_table", ((F.col("gen_time") <= F.col("exec_start")) & (F.col("exec_start") <= F.col("exec_end"))).alias("in_order"),
+                         F.lit(starts > 1).alias("own_times"))
+
+
+def q_load_metrics_spread(spark, d):
+    """D3: mean and 95th percentile of the seconds of a load, by event type."""
+    latest = ledger_latest(S.events_ledger(spark, d)).filter(F.col("state") == 3)
+    return load_metrics(latest, by=["event_type"]).select(F.col("event_type").alias("eventtype"), "avg_secs", "p95_secs")
+
+
+def q_registry_change_in_stream(spark, d):
+    """the registry changes while a stream runs; each batch goes by the version of its time."""
+    from tallyload.streaming import stream_commands, stream_load
+
+    root, cmds, layout = _stage(spark, d, "orders-registry", one_file_per_year=True)
+    spark.read.text(cmds).repartitionByRange(3, "value").write.text(f"{root}/spread")
+    versions = [_by_month(spark), S.orders_registry(spark)]
+    lines = stream_commands(spark, f"{root}/spread", name_regex=S.STAGED_COMMAND_REGEX, max_files_per_trigger=1)
+    stream_load(lines, lambda: versions.pop() if len(versions) > 1 else versions[0], layout, f"{root}/checkpoint",
+                available_now=True).awaitTermination()
+    rows = _rows(spark, layout)
+    kinds = rows.agg(F.count_distinct(F.length("dest_table"))).first()[0]  # one scalar: tables by year, and by month
+    return rows.select(*ORDER_FIELDS, F.lit(kinds == 2).alias("both_versions"))
+
+
 def q_late_registration(spark, d):
     """Commands come before their type is registered, and load afterwards."""
     from tallyload.streaming import retry_waiting
@@ -281,6 +312,7 @@ _ORDERS = f"select {_FIELDS}, concat('orders_', strftime(o_orderdate, '%Y')) as
 
 #: On the prefix of the catalogue's SQL (cfg, reg, cmd).
 EXTRA_ON_PREFIX = {
+    "load_metrics_spread": "select eventtype, avg(id % 7) as avg_secs, quantile_disc(id % 7, 0.95) as p95_secs from cmd where state = 3 group by eventtype",
     "ledger_incremental": "select k.id, k.eventtype, k.state, k.path, case when k.state >= 2 then k.content_ts + "
     "to_seconds(k.id % 60 + k.id % 7) end as exec_end from cmd k",
     "guard_by_keys": "select id, state from cmd where state >= 2 and eventtype <= 3",
@@ -298,6 +330,8 @@ EXTRA_SQL = {
     "recover_after_write": _ORDERS,
     "ledger_poll_replay": _ORDERS,
     "late_registration": _ORDERS,
+    "load_times": "select distinct concat('orders_', strftime(o_orderdate, '%Y')) as dest_table, true as in_order, true as own_times from orders",
+    "registry_change_in_stream": f"select {_FIELDS}, true as both_versions from orders",
     "read_before_redo": f"select {_FIELDS}, dest_table, true as after_redo from ({_ORDERS}) o",
     "two_runs_one_id": _ORDERS,
     "two_poll_streams": _ORDERS,

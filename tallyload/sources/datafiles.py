@@ -59,11 +59,11 @@ def data_scan(spark: SparkSession, paths: list[str], schema: DeclaredSchema, pro
             .csv([exact_path(p) for p in paths])
         )
         return df.select(*[F.col(f"`{n}`") for n in schema.names], CORRUPT_COLUMN,
-                         normalize_path(F.col("_metadata.file_path"), decode=True).alias("_file"))
+                         normalize_path(F.col("_metadata.file_path"), True, default_filesystem(spark)).alias("_file"))
     if profile.layout == "lines":
         # like the CSV reader, passes over lines of blanks
         records = spark.read.format("text").load([exact_path(p) for p in paths]).where(F.col("value").rlike(r"[^\x00-\x20]")).select(
-            F.col("value").alias("_record"), normalize_path(F.col("_metadata.file_path"), decode=True).alias("_file"))
+            F.col("value").alias("_record"), normalize_path(F.col("_metadata.file_path"), True, default_filesystem(spark)).alias("_file"))
     elif profile.layout in ("continued", "multiline"):
         if not utf8:
             raise ValueError(f"layout {profile.layout!r} reads UTF-8 text only, not {profile.encoding}")
@@ -267,7 +267,7 @@ def assemble_records(spark: SparkSession, paths: list[str], profile: LoadProfile
     records that cross a split boundary are shuffled.
     """
     lines = spark.read.format("text").load([exact_path(p) for p in paths]).select(
-        normalize_path(F.col("_metadata.file_path"), decode=True).alias("_file"),
+        normalize_path(F.col("_metadata.file_path"), True, default_filesystem(spark)).alias("_file"),
         F.col("_metadata.file_block_start").alias("_bs"),
         F.monotonically_increasing_id().alias("_mid"),
         F.col("value"),
@@ -333,51 +333,42 @@ def default_filesystem(spark: SparkSession) -> str:
 def file_inventory(paths: DataFrame, path_col: str = "data_path") -> DataFrame:
     """``path, data_size, file_exists`` for each distinct announced path.
 
-    Sizes are looked up on the executors, a batch of paths per task; a missing
-    path or anything that is not a regular file has size 0.  A path without a
+    Spark's ``binaryFile`` source lists the announced files' folders and what
+    is below them, on any file system that Spark reads; no content is read.  A
+    missing path, anything that is not a regular file and a name that Spark's
+    readers pass over (leading ``_`` or ``.``) has size 0.  A path without a
     scheme is looked up on the session's default file system, as Spark would.
-    Where the lookup itself fails (a file system that only Hadoop knows, no
-    access) the file counts as present with a null size: Spark's reader then
-    finds out, and a file it cannot read fails its own task.
     """
-    default_fs = default_filesystem(paths.sparkSession).rstrip("/")
-    distinct = paths.select(F.col(path_col).alias("path")).distinct()
+    from tallyload.operators.attempts import Files
 
-    def stat(batches):
-        import pandas as pd
-        import pyarrow.fs as pafs
-
-        local = pafs.LocalFileSystem()
-        remote = {}
-
-        def locate(p):
-            if "://" not in p and not p.startswith("file:"):
-                p = p if default_fs.startswith("file:") else default_fs + "/" + p.lstrip("/")
-            if p.startswith("file:") or "://" not in p:
-                rel = p[5:] if p.startswith("file:") else p
-                return local, "/" + rel.lstrip("/")
-            scheme, rest = p.split("://", 1)
-            uri = ("s3" if scheme in ("s3a", "s3n") else scheme) + "://" + rest
-            base = uri.split("/", 3)
-            root = "/".join(base[:3])
-            if root not in remote:
-                remote[root] = pafs.FileSystem.from_uri(root)[0]
-            return remote[root], pafs.FileSystem.from_uri(uri)[1]
+    spark = paths.sparkSession
+    default_fs = default_filesystem(spark)
+    distinct = paths.select(F.col(path_col).alias("path")).distinct()
+    folder = F.regexp_replace(normalize_path(F.col("path"), default_fs=default_fs), "/[^/]*$", "")
+    roots: list[str] = []
+    for r in sorted(r[0] for r in distinct.where(F.col("path").contains("/")).select(folder.alias("f")).distinct().toLocalIterator()):  # a row a folder
+        covered = roots and roots[-1] and (r + "/").startswith(roots[-1] + "/")
+        if not covered and _listable(spark, r):
+            roots.append(r)
+    # of a file system's own root, which holds everything, only the files in it
+    listed = spark.createDataFrame(Files(spark, "/").lengths() if "" in roots else [], "path string, length bigint")
+    folders = [exact_path(r) for r in roots if r]
+    if folders:
+        listed = listed.unionByName(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders).select("path", "length"))
+    listed = listed.select(normalize_path(F.col("path"), default_fs=default_fs).alias("_found"), F.col("length").alias("_length"))
+    return distinct.join(listed, normalize_path(F.col("path"), default_fs=default_fs) == F.col("_found"), "left").select(
+        "path", F.coalesce("_length", F.lit(0)).alias("data_size"), F.col("_found").isNotNull().alias("file_exists"))
+
+
+def _listable(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder is there, on a file system that this session knows."""
+    from py4j.protocol import Py4JJavaError
+
+    from tallyload.operators.attempts import Files
 
-        for pdf in batches:
-            sizes, exists = [], []
-            for p in pdf["path"]:
-                size, ok = 0, False
-                try:
-                    fs, rel = locate(p)
-                    info = fs.get_file_info(rel)
-                except Exception:
-                    size, ok = None, True
-                else:
-                    if info.type == pafs.FileType.File:
-                        size, ok = int(info.size), True
-                sizes.append(size)
-                exists.append(ok)
-            yield pdf.assign(data_size=pd.array(sizes, dtype="Int64"), file_exists=exists)
-
-    return distinct.mapInPandas(stat, "path string, data_size bigint, file_exists boolean")
+    try:
+        return Files(spark, folder).exists()
+    except Py4JJavaError as e:
+        if "No FileSystem for scheme" in str(e):
+            return False
+        raise

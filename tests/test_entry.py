@@ -17,7 +17,7 @@ FAST = [
     "recover_orphans", "load_multiline", "load_continued", "stream_load_orders", "load_orders_rows", "same_batch_twice",
     "replay_after_crash", "recover_after_write", "ledger_poll_replay", "late_registration", "mixed_bad_files", "file_inventory_years",
     "read_before_redo", "two_runs_one_id", "two_poll_streams", "reject_raw_lines", "existing_tables_listed",
-    "ledger_incremental", "guard_by_keys",
+    "ledger_incremental", "guard_by_keys", "load_times", "load_metrics_spread", "registry_change_in_stream",
 ]
 
 
