@@ -16,8 +16,9 @@ Words longer than ``_CUT`` bytes are cut beforehand between two bytes that
 stand next to each other in no token, where nothing ever merges.
 
 The documents stay where they are: a task bundles them into rows of distinct
-words and word numbers, Spark folds the words of each bundle, and the same task
-puts the documents together again.  Nothing is shuffled, and a lost executor
+words (as symbols of their bytes) and word numbers, Spark folds the words of
+each bundle, and the same task puts the documents' ids together again, and the
+binary pieces of their tokens.  Nothing is shuffled, and a lost executor
 costs its running tasks only.
 """
 
@@ -26,11 +27,14 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +43,6 @@ from tallyload.llm.common import pick
 
 # The White_Space characters, which the library's \s means.
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_LATIN = "".join(map(chr, range(256)))
 _BUCKETS = 8192  # small maps of the rank map
 _EDGE = "\ue000"  # beyond every symbol
 _CUT, _LONG = 48, 256
@@ -87,52 +90,28 @@ def unreached(ranks: dict[bytes, int]) -> set[bytes]:
 
 
 class RankTables:
-    """The literals of the fold, made from a rank file."""
+    """The literal of the fold, made from a rank file."""
 
     def __init__(self, ranks: dict[bytes, int]):
         merges: list[dict[str, str]] = [{} for _ in range(_BUCKETS)]
-        pieces: list[str | None] = [None] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
-            pieces[rank] = token.decode("latin-1")
             for i in range(1, len(token)):
                 a, b = ranks.get(token[:i]), ranks.get(token[i:])
                 if a is not None and b is not None:
                     key = _symbol(a) + _symbol(b)
                     merges[zlib.crc32(key.encode()) % _BUCKETS][key] = _symbol(rank)
-        # the library takes a word that is a token as it is, also where its merges end elsewhere
-        alone = {t.decode("latin-1"): _symbol(ranks[t]) for t in unreached(ranks)}
-        self._json = json.dumps({"merges": merges, "pieces": pieces, "alone": alone}, ensure_ascii=False, separators=(",", ":"))
-        self._bytes = "".join(_symbol(ranks[bytes([b])]) for b in range(256))
+        self._json = json.dumps({"merges": merges}, ensure_ascii=False, separators=(",", ":"))
 
     def words(self, words: Column) -> Column:
-        """Ids and decoded bytes of each word of an array of binaries.
+        """The tokens, as symbols, of each word of an array of symbols of bytes.
 
         The literal is parsed once for each array.  It depends on the array, so
         that it is not folded into the plan, where every task would have to
         read all its entries as objects.
         """
-        tables = F.from_json(F.when(words.isNotNull(), F.lit(self._json)),
-                             "merges array<map<string,string>>, pieces array<string>, alone map<string,string>")
-        return _let(tables, lambda t: F.transform(
-            self.symbols(words, t), lambda s: F.struct(_ids(s).alias("ids"), _decoded(s, t["pieces"]).alias("piece"))))
-
-    def symbols(self, words: Column, tables: Column) -> Column:
-        """The symbols of each word of an array of binaries, as strings."""
-        merges = tables["merges"]
-        # a lambda evaluates what it does not take as its argument anew for every element, so each step has one
-        latin = F.transform(words, lambda w: F.decode(w, "ISO-8859-1"))
-        texts = F.transform(latin, lambda x: F.translate(x, _LATIN, self._bytes))
-        out = F.transform(texts, lambda x: F.when(F.length(x) < 2, x).when(F.length(x) <= _LONG, _fold(x, merges)).otherwise(_rounds(x, merges)))
-        return F.zip_with(latin, out, lambda x, y: F.coalesce(F.try_element_at(tables["alone"], x), y))
-
-
-def _ids(symbols: Column) -> Column:
-    return F.transform(F.split(symbols, ""), lambda c: F.ascii(c) - 1)
-
-
-def _decoded(symbols: Column, pieces: Column) -> Column:
-    """The binary pieces of the tokens, concatenated."""
-    return F.encode(F.array_join(F.transform(F.split(symbols, ""), lambda c: F.get(pieces, F.ascii(c) - 1)), ""), "ISO-8859-1")
+        tables = F.from_json(F.when(words.isNotNull(), F.lit(self._json)), "merges array<map<string,string>>")
+        return _let(tables["merges"], lambda m: F.transform(
+            words, lambda x: F.when(F.length(x) < 2, x).when(F.length(x) <= _LONG, _fold(x, m)).otherwise(_rounds(x, m))))
 
 
 def _merged(pair: Column, merges: Column) -> Column:
@@ -143,18 +122,16 @@ def _merged(pair: Column, merges: Column) -> Column:
 def _fold(text: Column, ranks: Column) -> Column:
     # an _EDGE at both ends gives every pair two neighbours; merges[i] is what the pair at i merges to, or _EDGE
     def step(state: Column, _: Column) -> Column:
-        def spliced(x: Column) -> Column:
-            s, at = x["s"], x["at"]
-            pairs = F.array(F.substring(s, at - 1, F.lit(2)), F.substring(s, at, F.lit(2)))
-            made = F.array_join(F.transform(pairs, lambda p: F.coalesce(_merged(p, ranks), F.lit(_EDGE))), "")
-            return F.struct(s.alias("s"), F.overlay(state["merges"], made, at - 1, F.lit(3)).alias("merges"))
+        def merge(low: Column, at: Column) -> Column:
+            def spliced(s: Column) -> Column:
+                pairs = F.array(F.substring(s, at - 1, F.lit(2)), F.substring(s, at, F.lit(2)))
+                made = F.array_join(F.transform(pairs, lambda p: F.coalesce(_merged(p, ranks), F.lit(_EDGE))), "")
+                return F.struct(s.alias("s"), F.overlay(state["merges"], made, at - 1, F.lit(3)).alias("merges"))
 
-        def merge(x: Column) -> Column:
-            placed = F.struct(F.overlay(state["s"], x["low"], x["at"], F.lit(2)).alias("s"), x["at"].alias("at"))
-            return F.when(x["low"] == _EDGE, state).otherwise(_let(placed, spliced))
+            return _let(F.overlay(state["s"], low, at, F.lit(2)), spliced)
 
-        found = F.array_min(F.split(state["merges"], ""))
-        return _let(found, lambda low: _let(F.struct(low.alias("low"), F.instr(state["merges"], low).alias("at")), merge))
+        lowest = F.array_min(F.split(state["merges"], ""))
+        return _let(lowest, lambda low: F.when(low == _EDGE, state).otherwise(_let(F.instr(state["merges"], low), lambda at: merge(low, at))))
 
     def fold(s: Column) -> Column:
         merges = F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: F.coalesce(_merged(F.substring(s, i, F.lit(2)), ranks), F.lit(_EDGE)))
@@ -199,8 +176,8 @@ def _rounds(text: Column, ranks: Column) -> Column:
 
 
 _BUNDLE = pa.schema([("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("codes", pa.list_(pa.int32())),
-                     ("words", pa.list_(pa.binary()))])
-_BUNDLE_DDL = "doc_ids array<bigint>, lengths array<int>, codes array<int>, words array<binary>"
+                     ("words", pa.list_(pa.string()))])
+_BUNDLE_DDL = "doc_ids array<bigint>, lengths array<int>, codes array<int>, words array<string>"
 
 
 def _cutter(ranks: dict[bytes, int], whole: set[bytes]):
@@ -220,10 +197,27 @@ def _cutter(ranks: dict[bytes, int], whole: set[bytes]):
     return cut
 
 
-def _bundles(ranks: dict[bytes, int], whole: set[bytes], pattern: str):
+def _bundles(ranks: dict[bytes, int], alone: set[bytes], pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, cut = library_pattern(pattern).findall, _cutter(ranks, whole)
-        doc_ids, lengths, codes, known, words, n_codes = [], [], [], {}, [], 0
+        find = library_pattern(pattern).findall
+        # a space before another character always begins a word of its own, so what is between is split by itself, once
+        spaced = re.compile(f" (?=[^{_WHITE}])").split
+        cut = _cutter(ranks, alone)
+        symbols = {b: _symbol(ranks[bytes([b])]) for b in range(256)}
+        doc_ids, lengths, codes, heads, tails, known, words, n_codes = [], [], [], {}, {}, {}, [], 0
+
+        def learn(piece: str) -> list[int]:
+            found = []
+            for token in find(piece):
+                at = known.get(token)
+                if at is None:
+                    word = token.encode("utf-8", "replace")
+                    # the library takes a word that is a token as it is, also where its merges end elsewhere
+                    parts = [_symbol(ranks[word])] if word in alone else [x.decode("latin-1").translate(symbols) for x in cut(word)]
+                    at = known[token] = range(len(words), len(words) + len(parts))
+                    words.extend(parts)
+                found.extend(at)
+            return found
 
         def bundle() -> pa.RecordBatch:
             flat = np.concatenate(codes) if codes else np.zeros(0, np.int32)
@@ -232,37 +226,41 @@ def _bundles(ranks: dict[bytes, int], whole: set[bytes], pattern: str):
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                tokens = find(text.as_py() or "")
-                found = []
-                for token in tokens:
-                    at = known.get(token)
-                    if at is None:
-                        parts = cut(token.encode("utf-8", "replace"))
-                        at = known[token] = tuple(range(len(words), len(words) + len(parts)))
-                        words.extend(parts)
-                    found.extend(at)
+                first, *rest = spaced(text.as_py() or "")
+                if first not in heads:
+                    heads[first] = learn(first)
+                for piece in set(rest).difference(tails):
+                    tails[piece] = learn(" " + piece)
+                found = np.fromiter(chain(heads[first], chain.from_iterable(map(tails.__getitem__, rest))), np.int32)
                 doc_ids.append(doc_id)
                 lengths.append(len(found))
-                codes.append(np.array(found, np.int32))
+                codes.append(found)
                 n_codes += len(found)
                 if len(words) > _WORDS or n_codes > _CODES:
                     yield bundle()
-                    doc_ids, lengths, codes, known, words, n_codes = [], [], [], {}, [], 0
+                    doc_ids, lengths, codes, heads, tails, known, words, n_codes = [], [], [], {}, {}, {}, [], 0
         if doc_ids:
             yield bundle()
     return run
 
 
-def _documents(digests: bool, schema: pa.Schema):
+def _documents(ranks: dict[bytes, int], digests: bool, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token_bytes = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            token_bytes[rank] = token
         for batch in batches:
             for i in range(batch.num_rows):
                 doc_ids, lengths, codes, coded = (batch.column(c)[i].values for c in range(4))
-                ids, pieces = coded.field("ids"), coded.field("piece").to_pylist()
-                ends = ids.offsets.to_numpy()
-                counts, flat = np.diff(ends), ids.values.to_numpy()
+                # symbols are characters of one code unit each, a rank and one
+                sizes = pc.utf8_length(coded).to_numpy(zero_copy_only=False).astype(np.int64)
+                flat = np.frombuffer("".join(coded.to_pylist()).encode("utf-16-le"), "<u2").astype(np.int32) - 1
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                each = [flat[a:b].tolist() for a, b in zip(ends, ends[1:])]
+                pieces = [b"".join([token_bytes[t] for t in x]) for x in each]
+                counts = sizes
                 codes, at = codes.to_numpy(), np.concatenate([[0], np.cumsum(lengths.to_numpy(), dtype=np.int64)])
-                names = [" ".join(map(str, flat[a:b].tolist())) for a, b in zip(ends, ends[1:])] if digests else None
+                names = [" ".join(map(str, x)) for x in each] if digests else None
                 n_tokens, first, second = [], [], []
                 for a, b in zip(at, at[1:]):
                     mine = codes[a:b].tolist()
@@ -283,12 +281,12 @@ def _run(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col:
     ranks = read_ranks(ranks_path)
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     bundles = rows.mapInArrow(_bundles(ranks, unreached(ranks), pattern), _BUNDLE_DDL)
-    coded = bundles.select("doc_ids", "lengths", "codes", RankTables(ranks).words(F.col("words")).alias("coded"))
+    coded = bundles.select("doc_ids", "lengths", "codes", RankTables(ranks).words(F.col("words")).alias("tokens"))
     kinds = [("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] if digests else [
         ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())]
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), *kinds])
     ddl = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded binary"
-    return coded.mapInArrow(_documents(digests, schema), f"doc_id long, n_tokens long, {ddl}")
+    return coded.mapInArrow(_documents(ranks, digests, schema), f"doc_id long, n_tokens long, {ddl}")
 
 
 def byte_bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
