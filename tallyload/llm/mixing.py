@@ -1,18 +1,19 @@
 """Operator 8: mixing sources to target weights, in DataFrame functions only.
 
 Each source's words, document after document, are packed into blocks of a
-fixed number of words.  The output is a row of shards of ``SLOTS`` slots; every
-slot draws its source, so a shard's source counts are multinomial (with one
-uniform number in each of the shard's equal strata, which keeps totals close to
-their targets).  A source numbers its slots through all shards, and slot k
-takes block ``permutation(k mod blocks)``, with another pseudorandom
-permutation for each pass over the source.  Drawn blocks and documents meet in
-an equi-join on (source, block).
+fixed number of words.  The output is a row of shards of ``SLOTS`` slots.  A
+source draws as many blocks as its target needs, rounded; one pseudorandom
+permutation shuffles the draws of all sources over all slots.  So a shard's
+source counts are multinomial under the condition that totals meet the targets,
+and a shard's slots are in random order.  A source's k-th draw takes block
+``permutation(k mod blocks)``, with another pseudorandom permutation for each
+pass over the source.  Drawn blocks and documents meet in an equi-join on
+(source, block).
 
 No source is handled by one task: documents are numbered inside hashed buckets
-whose sums are added up, slot numbers come from sums over shards and groups of
-shards, and blocks spread over all partitions.  The driver reads one row of
-totals.
+whose sums are added up, draws come from a range of numbers, and blocks spread
+over all partitions.  The driver reads one row of totals; sums over sources run
+over one row for each.
 """
 
 from __future__ import annotations
@@ -20,18 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyload.llm.common import WORD, Scratch, shuffle_partitions
+from tallyload.llm.common import WORD, Scratch
 
 SLOTS = 1024
 _CELLS = 4096
 _ROUNDS = 8
 
 
-def _uniform(*parts) -> Column:
-    """A pseudorandom number in [0, 1) from a hash of its arguments."""
-    return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") * F.lit(2.0**-53)
-
-
 def source_targets(sizes: DataFrame, weights: list[int], share: float, cap: float) -> DataFrame:
     """``(source, source_no, source_size, target)`` of each source; ``sizes``: source, source_size.
 
@@ -101,37 +97,24 @@ def _mix(docs: DataFrame, weights, share, cap, block, seed, id_col, text_col, so
     blocks = F.ceil(F.col("source_size") / block).cast("long")
     s = sources.select("source_no", blocks.alias("blocks"),
                        F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0)).alias("r")).withColumn(
-        "want", F.col("r") * F.col("blocks"))
-    totals = s.agg(F.sum("want").alias("want")).head()
+        "n", F.least(F.round(F.col("r") * F.col("blocks")), F.col("blocks") * cap).cast("long"))
+    totals = s.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("sources")).head()
     n_rows = sized.count()
-    total = totals["want"] or 0.0
-    n_slots = round(total)
+    n_slots, n_cells = totals["n"], _CELLS + 4 * totals["sources"]
 
-    # a source's share of [0, 1), cut where a cell ends, so that slots find it by an equi-join
+    # a source has a range of draws, cut where a cell ends, so that draws find it by an equi-join
     upto = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    shares = s.where("want > 0").withColumn("hi", F.sum("want").over(upto) / F.lit(total or 1.0)).withColumn(
-        "lo", F.col("hi") - F.col("want") / F.lit(total or 1.0))
-    last = F.row_number().over(Window.orderBy(F.desc("source_no"))) == 1
-    shares = shares.withColumn("hi", F.when(last, F.lit(2.0)).otherwise(F.col("hi")))
-    shares = shares.withColumn("lo", F.coalesce(F.lag("hi").over(Window.orderBy("source_no")), F.lit(0.0)))
-    cells = shares.select("source_no", "lo", "hi", F.explode(F.sequence(
-        F.floor(F.col("lo") * _CELLS), F.least(F.floor(F.col("hi") * _CELLS), F.lit(_CELLS - 1)))).alias("cell"))
-
-    slot = F.col("id")
-    in_shard = F.least(F.lit(SLOTS), F.lit(n_slots) - F.floor(slot / SLOTS) * SLOTS)
-    slots = spark.range(n_slots).select(
-        F.floor(slot / SLOTS).alias("shard"), (slot % SLOTS).cast("int").alias("slot"), ((slot % SLOTS + _uniform(F.lit(seed), slot)) / in_shard).alias("u"))
-    drawn = (slots.withColumn("cell", F.least(F.floor(F.col("u") * _CELLS), F.lit(_CELLS - 1)))
-             .join(cells, "cell").where("u >= lo AND u < hi").groupBy("source_no", "shard")
-             .agg(F.count("*").alias("n"), F.sort_array(F.collect_list("slot")).alias("slots")))
-    drawn = _before(drawn, "source_no", "shard", "n", "first").join(s.select("source_no", "blocks"), "source_no")
-    # a row becomes up to SLOTS rows: deal them out before, in as many parts as the session shuffles into
-    drawn = drawn.repartition(shuffle_partitions(spark), "source_no", "shard")
-    slots = (drawn.select("shard", "source_no", "blocks", "first", F.posexplode("slots").alias("pos", "slot"))
-             .withColumn("k", F.col("first") + F.col("pos")).where(F.col("k") < F.col("blocks") * cap)
-             .select("shard", "slot", "source_no", "blocks", F.expr("k div blocks").alias("pass"), (F.col("k") % F.col("blocks")).alias("block")))
+    shares = s.where("n > 0").withColumn("hi", F.sum("n").over(upto)).withColumn("lo", F.col("hi") - F.col("n"))
+    cells = shares.select("source_no", "blocks", "lo", "hi", F.explode(F.sequence(
+        F.expr(f"lo * {n_cells} div {max(n_slots, 1)}"), F.expr(f"(hi - 1) * {n_cells} div {max(n_slots, 1)}"))).alias("cell"))
+    draws = spark.range(n_slots).withColumn("cell", F.expr(f"id * {n_cells} div {max(n_slots, 1)}"))
+    draws = draws.join(cells, "cell").where("id >= lo AND id < hi").withColumn("k", F.col("id") - F.col("lo"))
+    # all draws are shuffled over all slots
+    place = permuted(F.col("id"), F.lit(n_slots), F.lit(seed), F.lit(-1).cast("long"))
+    draws = draws.select("source_no", "blocks", F.expr("k div blocks").alias("pass"), (F.col("k") % F.col("blocks")).alias("block"), place.alias("place"))
     image = permuted(F.col("block"), F.col("blocks"), F.lit(seed), F.col("source_no"), F.col("pass"))
-    slots = slots.withColumn("block", image).drop("blocks")
+    slots = draws.select(F.expr(f"place div {SLOTS}").alias("shard"), (F.col("place") % SLOTS).cast("int").alias("slot"), "source_no", "pass",
+                         image.alias("block"))
 
     # first word of each document in its source
     buckets = max(1, -(-n_rows // 4096))

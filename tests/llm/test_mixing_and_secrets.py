@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from tallyload.llm.mixing import mix_sources, permuted
+from tallyload.llm.mixing import SLOTS, mix_slots, mix_sources, permuted
 from tallyload.llm.secrets import ASSIGN, KINDS, redact_secrets, secret_scan, span_text
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -68,6 +68,31 @@ def test_mix_edges(documents):
     assert one.target == 6.0 and one.taken == 6
 
 
+def test_many_tiny_sources_meet_their_targets_and_shards_are_mixed(documents):
+    """With the production block: 300 sources of 1 to 10 blocks, at their cap, beside a large one."""
+    rows = [(i, "w " * 2000, None, "big") for i in range(400)]
+    rows += [(1000 + i, "w " * (64 * (i % 10 + 1)), None, f"s{i:03}") for i in range(300)]
+    got = mix_sources(documents(rows)).collect()
+    taken, target = {}, {}
+    for r in got:
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source] = r.target
+        assert r.taken <= 2 * r.size
+    assert all(abs(taken[s] - target[s]) <= 64 for s in target)
+    slots = mix_slots(documents(rows)).select("shard", "slot", "source").distinct().collect()
+    assert len({(r.shard, r.slot) for r in slots}) == max(r.shard * SLOTS + r.slot for r in slots) + 1  # every slot once
+    by_shard = {}
+    for r in slots:
+        by_shard.setdefault(r.shard, {})[r.slot] = r.source
+    share = sum(r.source == "big" for r in slots) / len(slots)
+    for shard in list(by_shard.values())[:-1]:
+        order = [shard[i] for i in range(SLOTS)]
+        big = sum(x == "big" for x in order) / SLOTS
+        assert abs(big - share) < 0.08
+        changes = sum((a == "big") != (b == "big") for a, b in zip(order, order[1:]))
+        assert abs(changes - 2 * SLOTS * big * (1 - big)) < 0.25 * SLOTS * big * (1 - big) * 2
+
+
 def test_permutation_is_a_bijection(spark):
     for n in (1, 2, 7, 64, 1000):
         got = spark.range(n).select(permuted(F.col("id"), F.lit(n).cast("long"), F.lit(9)).alias("x")).collect()
