@@ -15,11 +15,13 @@ an array of small maps by CRC-32, because Spark looks a map up linearly).
 Words longer than ``_CUT`` bytes are cut beforehand between two bytes that
 stand next to each other in no token, where nothing ever merges.
 
-The documents stay where they are: a task bundles them into rows of distinct
-words (as symbols of their bytes) and word numbers, Spark folds the words of
-each bundle, and the same task puts the documents' ids together again, and the
-binary pieces of their tokens.  Nothing is shuffled, and a lost executor
-costs its running tasks only.
+The documents stay where they are: a task bundles them into rows of numbers of
+the pieces between spaces, of the pieces that it has not sent before (as numbers
+of words) and of such words (as symbols of their bytes, with what each pair of
+bytes merges to), Spark folds the words of each bundle, and the same task puts
+the documents' ids together again, and the bytes of their tokens.  Both ends of
+a task forget words and pieces together, once there are too many.  Nothing is
+shuffled, and a lost executor costs its running tasks only.
 """
 
 from __future__ import annotations
@@ -43,10 +45,14 @@ from tallyload.llm.common import pick
 
 # The White_Space characters, which the library's \s means.
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_BUCKETS = 8192  # small maps of the rank map
+_BUCKETS = 65536  # small maps of the rank map, a power of two
 _EDGE = "\ue000"  # beyond every symbol
 _CUT, _LONG = 48, 256
-_WORDS, _CODES = 250_000, 4_000_000  # distinct words and word numbers of a bundle
+_WORDS, _CODES = 200_000, 4_000_000  # new words (and half the new pieces) and piece numbers of a bundle
+_KNOWN = 1_200_000  # words and pieces that a task remembers
+# The pattern under which letters, with a mark at their end, are split without a search.
+_MARKS = (",", ".", "!", "?")
+_LETTERS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -103,7 +109,7 @@ class RankTables:
         self._json = json.dumps({"merges": merges}, ensure_ascii=False, separators=(",", ":"))
 
     def words(self, words: Column) -> Column:
-        """The tokens, as symbols, of each word of an array of symbols of bytes.
+        """The tokens, as symbols, of each word of an array of ``(s, merges)``: symbols of bytes, and what their pairs merge to.
 
         The literal is parsed once for each array.  It depends on the array, so
         that it is not folded into the plan, where every task would have to
@@ -111,21 +117,26 @@ class RankTables:
         """
         tables = F.from_json(F.when(words.isNotNull(), F.lit(self._json)), "merges array<map<string,string>>")
         return _let(tables["merges"], lambda m: F.transform(
-            words, lambda x: F.when(F.length(x) < 2, x).when(F.length(x) <= _LONG, _fold(x, m)).otherwise(_rounds(x, m))))
+            words, lambda x: F.when(F.length(x["s"]) < 4, _inner(x["s"])).when(F.length(x["s"]) <= _LONG + 2, _fold(x, m))
+            .otherwise(_rounds(_inner(x["s"]), m))))
+
+
+def _inner(s: Column) -> Column:
+    return F.substring(s, F.lit(2), F.length(s) - 2)
 
 
 def _merged(pair: Column, merges: Column) -> Column:
     """The symbol that a pair of symbols merges to, or null; symbols order like ranks."""
-    return F.try_element_at(F.get(merges, (F.crc32(pair.cast("binary")) % _BUCKETS).cast("int")), pair)
+    return F.try_element_at(F.get(merges, F.crc32(pair.cast("binary")).bitwiseAND(_BUCKETS - 1).cast("int")), pair)
 
 
-def _fold(text: Column, ranks: Column) -> Column:
+def _fold(word: Column, ranks: Column) -> Column:
     # an _EDGE at both ends gives every pair two neighbours; merges[i] is what the pair at i merges to, or _EDGE
     def step(state: Column, _: Column) -> Column:
         def merge(low: Column, at: Column) -> Column:
             def spliced(s: Column) -> Column:
                 pairs = F.array(F.substring(s, at - 1, F.lit(2)), F.substring(s, at, F.lit(2)))
-                made = F.array_join(F.transform(pairs, lambda p: F.coalesce(_merged(p, ranks), F.lit(_EDGE))), "")
+                made = F.array_join(F.transform(pairs, lambda p: _merged(p, ranks)), "", _EDGE)
                 return F.struct(s.alias("s"), F.overlay(state["merges"], made, at - 1, F.lit(3)).alias("merges"))
 
             return _let(F.overlay(state["s"], low, at, F.lit(2)), spliced)
@@ -133,12 +144,7 @@ def _fold(text: Column, ranks: Column) -> Column:
         lowest = F.array_min(F.split(state["merges"], ""))
         return _let(lowest, lambda low: F.when(low == _EDGE, state).otherwise(_let(F.instr(state["merges"], low), lambda at: merge(low, at))))
 
-    def fold(s: Column) -> Column:
-        merges = F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: F.coalesce(_merged(F.substring(s, i, F.lit(2)), ranks), F.lit(_EDGE)))
-        start = F.struct(s.alias("s"), F.array_join(merges, "").alias("merges"))
-        return F.aggregate(F.sequence(F.lit(4), F.length(s)), start, step, lambda x: F.substring(x["s"], F.lit(2), F.length(x["s"]) - 2))
-
-    return _let(F.concat(F.lit(_EDGE), text, F.lit(_EDGE)), fold)
+    return F.aggregate(F.sequence(F.lit(4), F.length(word["s"])), word, step, lambda x: _inner(x["s"]))
 
 
 def _rounds(text: Column, ranks: Column) -> Column:
@@ -175,9 +181,22 @@ def _rounds(text: Column, ranks: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(2), F.length(text)), start, step, lambda state: state["s"])
 
 
-_BUNDLE = pa.schema([("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("codes", pa.list_(pa.int32())),
-                     ("words", pa.list_(pa.string()))])
-_BUNDLE_DDL = "doc_ids array<bigint>, lengths array<int>, codes array<int>, words array<string>"
+_INTS = pa.list_(pa.int32())
+_BUNDLE = pa.schema([("doc_ids", pa.list_(pa.int64())), ("lengths", _INTS), ("codes", _INTS), ("piece_lengths", _INTS), ("piece_words", _INTS),
+                     ("words", pa.list_(pa.struct([("s", pa.string()), ("merges", pa.string())]))), ("forgotten", pa.bool_())])
+_BUNDLE_DDL = ("doc_ids array<bigint>, lengths array<int>, codes array<int>, piece_lengths array<int>, piece_words array<int>, "
+               "words array<struct<s: string, merges: string>>, forgotten boolean")
+
+
+class _Numbers(dict):
+    """Numbers of pieces; one that is looked up for the first time is learnt."""
+
+    def __init__(self, learn):
+        self._learn = learn
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = at = self._learn(piece)
+        return at
 
 
 def _cutter(ranks: dict[bytes, int], whole: set[bytes]):
@@ -197,80 +216,143 @@ def _cutter(ranks: dict[bytes, int], whole: set[bytes]):
     return cut
 
 
+def _starts(ranks: dict[bytes, int]):
+    """From words of bytes to the states that their folds begin with: symbols, and what each pair merges to."""
+    edge = ord(_EDGE)
+    symbols = np.array([ranks[bytes([b])] + 1 for b in range(256)] + [edge], "<u4")
+    merges = np.full((257, 257), edge, "<u4")
+    for token, rank in ranks.items():
+        if len(token) == 2:
+            merges[token[0], token[1]] = rank + 1
+
+    def starts(words: list[bytes]) -> list[pa.Array]:
+        ends = np.cumsum([1 + len(w) for w in words], dtype=np.int64)
+        x = np.zeros(ends[-1] + 1 if words else 1, np.int16)
+        x[1:] = np.frombuffer(b"".join([w + b"\0" for w in words]), np.uint8)
+        x[0] = x[ends] = 256  # the edges
+        s, m = symbols[x].tobytes().decode("utf-32-le"), merges[x[:-1], x[1:]].tobytes().decode("utf-32-le")
+        at = [0, *ends.tolist()]
+        return [[s[a:b + 1] for a, b in zip(at, at[1:])], [m[a:b] for a, b in zip(at, at[1:])]]
+    return starts
+
+
 def _bundles(ranks: dict[bytes, int], alone: set[bytes], pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = library_pattern(pattern).findall
+        find, letters = library_pattern(pattern).findall, pattern == _LETTERS
         # a space before another character always begins a word of its own, so what is between is split by itself, once
         spaced = re.compile(f" (?=[^{_WHITE}])").split
-        cut = _cutter(ranks, alone)
-        symbols = {b: _symbol(ranks[bytes([b])]) for b in range(256)}
-        doc_ids, lengths, codes, heads, tails, known, words, n_codes = [], [], [], {}, {}, {}, [], 0
-
-        def learn(piece: str) -> list[int]:
-            found = []
-            for token in find(piece):
-                at = known.get(token)
-                if at is None:
-                    word = token.encode("utf-8", "replace")
+        cut, starts = _cutter(ranks, alone), _starts(ranks)
+        known, words, whole, n_words = {}, [], {}, 0
+        piece_lengths, piece_words, n_pieces = [], [], 0
+        doc_ids, lengths, codes, n_codes, forgotten = [], [], [], 0, True
+
+        def number(token: str) -> tuple[int, ...]:
+            nonlocal n_words
+            at = known.get(token)
+            if at is None:
+                word = token.encode("utf-8", "replace")
+                if word in alone:
                     # the library takes a word that is a token as it is, also where its merges end elsewhere
-                    parts = [_symbol(ranks[word])] if word in alone else [x.decode("latin-1").translate(symbols) for x in cut(word)]
-                    at = known[token] = range(len(words), len(words) + len(parts))
-                    words.extend(parts)
-                found.extend(at)
-            return found
+                    whole[len(words)] = _symbol(ranks[word])
+                    parts = [b""]
+                else:
+                    parts = cut(word)
+                at = known[token] = tuple(range(n_words, n_words + len(parts)))
+                words.extend(parts)
+                n_words += len(parts)
+            return at
+
+        def learn(space: str, piece: str) -> int:
+            nonlocal n_pieces
+            if letters and piece.isalpha():
+                at = number(space + piece)
+            elif letters and piece[-1:] in _MARKS and piece[:-1].isalpha():
+                at = number(space + piece[:-1]) + number(piece[-1])
+            else:
+                at = tuple(chain.from_iterable(map(number, find(space + piece))))
+            piece_lengths.append(len(at))
+            piece_words.extend(at)
+            n_pieces += 1
+            return n_pieces - 1
+
+        heads, tails = _Numbers(lambda piece: learn("", piece)), _Numbers(lambda piece: learn(" ", piece))
 
         def bundle() -> pa.RecordBatch:
-            flat = np.concatenate(codes) if codes else np.zeros(0, np.int32)
-            row = [[doc_ids], [lengths], [flat], [words]]
-            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, _BUNDLE)], schema=_BUNDLE)
+            s, merges = starts(words)
+            for at, symbol in whole.items():
+                s[at], merges[at] = _EDGE + symbol + _EDGE, _EDGE + _EDGE
+            pairs = pa.StructArray.from_arrays([pa.array(s, pa.string()), pa.array(merges, pa.string())], ["s", "merges"])
+            lists = [doc_ids, lengths, np.concatenate(codes), piece_lengths, piece_words]
+            row = [pa.array([x], f.type) for x, f in zip(lists, _BUNDLE)]
+            return pa.RecordBatch.from_arrays([*row, pa.ListArray.from_arrays([0, len(words)], pairs), pa.array([forgotten])], schema=_BUNDLE)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 first, *rest = spaced(text.as_py() or "")
-                if first not in heads:
-                    heads[first] = learn(first)
-                for piece in set(rest).difference(tails):
-                    tails[piece] = learn(" " + piece)
-                found = np.fromiter(chain(heads[first], chain.from_iterable(map(tails.__getitem__, rest))), np.int32)
+                found = np.empty(1 + len(rest), np.int32)
+                found[0] = heads[first]
+                found[1:] = np.fromiter(map(tails.__getitem__, rest), np.int32, len(rest))
                 doc_ids.append(doc_id)
                 lengths.append(len(found))
                 codes.append(found)
                 n_codes += len(found)
-                if len(words) > _WORDS or n_codes > _CODES:
+                if len(words) > _WORDS or len(piece_lengths) > 2 * _WORDS or n_codes > _CODES:
                     yield bundle()
-                    doc_ids, lengths, codes, heads, tails, known, words, n_codes = [], [], [], {}, {}, {}, [], 0
+                    doc_ids, lengths, codes, n_codes, forgotten = [], [], [], 0, False
+                    words, whole, piece_lengths, piece_words = [], {}, [], []
+                    if n_words + n_pieces > _KNOWN:
+                        n_words = n_pieces = 0
+                        forgotten = True
+                        for numbers in (known, heads, tails):
+                            numbers.clear()
         if doc_ids:
             yield bundle()
     return run
 
 
+def _ends(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+
+
 def _documents(ranks: dict[bytes, int], digests: bool, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token_bytes = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             token_bytes[rank] = token
+        token_names = [f"{t} " for t in range(len(token_bytes))]
         for batch in batches:
             for i in range(batch.num_rows):
-                doc_ids, lengths, codes, coded = (batch.column(c)[i].values for c in range(4))
+                doc_ids, lengths, codes, piece_lengths, piece_words, coded = (batch.column(c)[i].values for c in range(6))
+                if batch.column(6)[i].as_py():
+                    # of words: numbers of ids, their bytes, and the ids as text or as array; the same of pieces
+                    word_sizes, word_bytes, word_ids = np.zeros(0, np.int64), [], []
+                    sizes, pieces, ids = np.zeros(0, np.int64), [], []
                 # symbols are characters of one code unit each, a rank and one
-                sizes = pc.utf8_length(coded).to_numpy(zero_copy_only=False).astype(np.int64)
+                new = pc.utf8_length(coded).to_numpy(zero_copy_only=False).astype(np.int64)
                 flat = np.frombuffer("".join(coded.to_pylist()).encode("utf-16-le"), "<u2").astype(np.int32) - 1
-                ends = np.concatenate([[0], np.cumsum(sizes)])
-                each = [flat[a:b].tolist() for a, b in zip(ends, ends[1:])]
-                pieces = [b"".join([token_bytes[t] for t in x]) for x in each]
-                counts = sizes
-                codes, at = codes.to_numpy(), np.concatenate([[0], np.cumsum(lengths.to_numpy(), dtype=np.int64)])
-                names = [" ".join(map(str, x)) for x in each] if digests else None
+                ends, listed = _ends(new).tolist(), flat.tolist()
+                each = [listed[a:b] for a, b in zip(ends, ends[1:])]
+                word_sizes = np.concatenate([word_sizes, new])
+                word_bytes += [b"".join([token_bytes[t] for t in x]) for x in each]
+                word_ids += ["".join([token_names[t] for t in x]) for x in each] if digests else [flat[a:b] for a, b in zip(ends, ends[1:])]
+                join = "".join if digests else lambda x: np.concatenate([flat[:0], *x])
+                at = piece_words.to_numpy()
+                ends, total, at = _ends(piece_lengths.to_numpy()), _ends(word_sizes[at]), at.tolist()
+                sizes = np.concatenate([sizes, np.diff(total[ends])])
+                ends = ends.tolist()
+                for of_words, of_pieces, joined in ((word_bytes, pieces, b"".join), (word_ids, ids, join)):
+                    of_pieces += [of_words[at[a]] if b - a == 1 else joined([of_words[w] for w in at[a:b]]) for a, b in zip(ends, ends[1:])]
+                codes, at = codes.to_numpy(), _ends(lengths.to_numpy()).tolist()
                 n_tokens, first, second = [], [], []
                 for a, b in zip(at, at[1:]):
                     mine = codes[a:b].tolist()
-                    n_tokens.append(int(counts[codes[a:b]].sum()))
-                    text = b"".join([pieces[c] for c in mine])
+                    n_tokens.append(int(sizes[codes[a:b]].sum()))
+                    text, named = b"".join(map(pieces.__getitem__, mine)), join(map(ids.__getitem__, mine))
                     if digests:
-                        first.append(hashlib.sha256(" ".join([names[c] for c in mine]).encode()).hexdigest())
+                        first.append(hashlib.sha256(named[:-1].encode()).hexdigest())
                         second.append(hashlib.sha256(text).hexdigest())
                     else:
-                        first.append(np.concatenate([flat[ends[c]:ends[c + 1]] for c in mine]) if mine else flat[:0])
+                        first.append(named)
                         second.append(text)
                 columns = [doc_ids, n_tokens, first, second]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
@@ -281,7 +363,7 @@ def _run(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col:
     ranks = read_ranks(ranks_path)
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     bundles = rows.mapInArrow(_bundles(ranks, unreached(ranks), pattern), _BUNDLE_DDL)
-    coded = bundles.select("doc_ids", "lengths", "codes", RankTables(ranks).words(F.col("words")).alias("tokens"))
+    coded = bundles.select("doc_ids", "lengths", "codes", "piece_lengths", "piece_words", RankTables(ranks).words(F.col("words")).alias("tokens"), "forgotten")
     kinds = [("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] if digests else [
         ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())]
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), *kinds])

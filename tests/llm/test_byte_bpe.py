@@ -4,8 +4,10 @@ import base64
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
+from tallyload.llm import byte_bpe
 from tallyload.llm.byte_bpe import byte_bpe_digests, byte_bpe_encode, library_pattern, read_ranks
 
 tiktoken = pytest.importorskip("tiktoken")
@@ -58,3 +60,28 @@ def test_white_space_is_that_of_the_library():
     find = library_pattern(PATTERN).findall
     assert find("a\x1cb") == ["a", "\x1c", "b"]
     assert find("a \x85 b") == ["a", " \x85", " b"]
+
+
+def test_a_task_sends_every_word_to_the_fold_once_until_it_forgets(documents, monkeypatch):
+    lib, ranks = library(RANKS), read_ranks(RANKS)
+    texts = EDGES[:15] + noise(7, 60, "abc deT  \n.,!?é日0123 '", 80) + ["été naïve, déjà! x² it's. ªb cd?! ,", "same words here."] * 40
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())})
+    monkeypatch.setattr(byte_bpe, "_CODES", 20)
+    bundles = list(byte_bpe._bundles(ranks, set(), PATTERN)(iter([batch])))
+    sent = [w["s"] for b in bundles for w in b.column("words")[0].as_py()]
+    assert len(bundles) > 10 and len(sent) == len(set(sent))
+    assert [b.column("forgotten")[0].as_py() for b in bundles] == [True] + [False] * (len(bundles) - 1)
+    monkeypatch.setattr(byte_bpe, "_KNOWN", 60)
+    bundles = list(byte_bpe._bundles(ranks, set(), PATTERN)(iter([batch])))
+    assert 2 < sum(b.column("forgotten")[0].as_py() for b in bundles) < len(bundles)
+    got = {r.doc_id: (list(r.ids), bytes(r.decoded)) for r in byte_bpe_encode(documents(list(enumerate(texts))).coalesce(1), RANKS, PATTERN).collect()}
+    assert got == {i: (lib.encode_ordinary(t or ""), (t or "").encode()) for i, t in enumerate(texts)}
+
+
+def test_letters_and_marks_are_split_as_by_the_pattern(documents):
+    texts = ["a", "a.", " a,", "é!? b", "a..", ".a", "a.b", "日本. ٣.", "ǅ! ʰ, ª. x̂.", "   a.", "a. \n b", "　a, \x1ca."]
+    other = PATTERN + "|$"  # the same words, found by a search
+    want = library(RANKS)
+    for pattern in (PATTERN, other):
+        got = {r.doc_id: list(r.ids) for r in byte_bpe_encode(documents(list(enumerate(texts))), RANKS, pattern).collect()}
+        assert got == {i: want.encode_ordinary(t) for i, t in enumerate(texts)}
