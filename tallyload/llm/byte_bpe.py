@@ -31,7 +31,8 @@ import hashlib
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -48,8 +49,8 @@ _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _BUCKETS = 65536  # small maps of the rank map, a power of two
 _EDGE = "\ue000"  # beyond every symbol
 _CUT, _LONG = 48, 256
-_WORDS, _CODES = 200_000, 4_000_000  # new words (and half the new pieces) and piece numbers of a bundle
-_KNOWN = 1_200_000  # words and pieces that a task remembers
+_WORDS, _CODES = 150_000, 3_000_000  # new words (and half the new pieces) and piece numbers of a bundle
+_KNOWN = 800_000  # words and pieces that a task remembers
 # The pattern under which letters, with a mark at their end, are split without a search.
 _MARKS = (",", ".", "!", "?")
 _LETTERS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -243,37 +244,46 @@ def _bundles(ranks: dict[bytes, int], alone: set[bytes], pattern: str):
         spaced = re.compile(f" (?=[^{_WHITE}])").split
         cut, starts = _cutter(ranks, alone), _starts(ranks)
         known, words, whole, n_words = {}, [], {}, 0
-        piece_lengths, piece_words, n_pieces = [], [], 0
+        # word numbers of all remembered pieces, their ends, and how many pieces and numbers have been sent
+        piece_words, piece_ends, sent = array("i"), array("i", [0]), (0, 0)
         doc_ids, lengths, codes, n_codes, forgotten = [], [], [], 0, True
 
-        def number(token: str) -> tuple[int, ...]:
+        def new(token: str) -> range:
             nonlocal n_words
-            at = known.get(token)
-            if at is None:
-                word = token.encode("utf-8", "replace")
-                if word in alone:
-                    # the library takes a word that is a token as it is, also where its merges end elsewhere
-                    whole[len(words)] = _symbol(ranks[word])
-                    parts = [b""]
-                else:
-                    parts = cut(word)
-                at = known[token] = tuple(range(n_words, n_words + len(parts)))
-                words.extend(parts)
+            word = token.encode("utf-8", "replace")
+            if word in alone:
+                # the library takes a word that is a token as it is, also where its merges end elsewhere
+                whole[len(words)] = _symbol(ranks[word])
+                words.append(b"")
+            elif len(word) <= _CUT:
+                words.append(word)
+            else:
+                words.extend(parts := cut(word))
                 n_words += len(parts)
-            return at
+                return range(n_words - len(parts), n_words)
+            n_words += 1
+            return range(n_words - 1, n_words)
+
+        def number(token: str) -> Sequence[int]:
+            if letters:
+                # letters are remembered as a piece only
+                at = heads[token] if token.isalpha() else tails[token[1:]] if token[0] == " " and token[1:].isalpha() else None
+                if at is not None:
+                    return piece_words[piece_ends[at]:piece_ends[at + 1]]
+            if token not in known:
+                known[token] = new(token)
+            return known[token]
 
         def learn(space: str, piece: str) -> int:
-            nonlocal n_pieces
             if letters and piece.isalpha():
-                at = number(space + piece)
+                at = new(space + piece)
             elif letters and piece[-1:] in _MARKS and piece[:-1].isalpha():
-                at = number(space + piece[:-1]) + number(piece[-1])
+                at = [*number(space + piece[:-1]), *number(piece[-1])]
             else:
-                at = tuple(chain.from_iterable(map(number, find(space + piece))))
-            piece_lengths.append(len(at))
+                at = [*chain.from_iterable(map(number, find(space + piece)))]
             piece_words.extend(at)
-            n_pieces += 1
-            return n_pieces - 1
+            piece_ends.append(len(piece_words))
+            return len(piece_ends) - 2
 
         heads, tails = _Numbers(lambda piece: learn("", piece)), _Numbers(lambda piece: learn(" ", piece))
 
@@ -282,7 +292,7 @@ def _bundles(ranks: dict[bytes, int], alone: set[bytes], pattern: str):
             for at, symbol in whole.items():
                 s[at], merges[at] = _EDGE + symbol + _EDGE, _EDGE + _EDGE
             pairs = pa.StructArray.from_arrays([pa.array(s, pa.string()), pa.array(merges, pa.string())], ["s", "merges"])
-            lists = [doc_ids, lengths, np.concatenate(codes), piece_lengths, piece_words]
+            lists = [doc_ids, lengths, np.concatenate(codes), np.diff(piece_ends[sent[0]:]), np.array(piece_words[sent[1]:], np.int32)]
             row = [pa.array([x], f.type) for x, f in zip(lists, _BUNDLE)]
             return pa.RecordBatch.from_arrays([*row, pa.ListArray.from_arrays([0, len(words)], pairs), pa.array([forgotten])], schema=_BUNDLE)
 
@@ -296,15 +306,14 @@ def _bundles(ranks: dict[bytes, int], alone: set[bytes], pattern: str):
                 lengths.append(len(found))
                 codes.append(found)
                 n_codes += len(found)
-                if len(words) > _WORDS or len(piece_lengths) > 2 * _WORDS or n_codes > _CODES:
+                if len(words) > _WORDS or len(piece_ends) - sent[0] > 2 * _WORDS or n_codes > _CODES:
                     yield bundle()
-                    doc_ids, lengths, codes, n_codes, forgotten = [], [], [], 0, False
-                    words, whole, piece_lengths, piece_words = [], {}, [], []
-                    if n_words + n_pieces > _KNOWN:
-                        n_words = n_pieces = 0
-                        forgotten = True
+                    doc_ids, lengths, codes, n_codes, words, whole, forgotten = [], [], [], 0, [], {}, False
+                    if n_words + len(piece_ends) > _KNOWN:
+                        piece_words, piece_ends, n_words, forgotten = array("i"), array("i", [0]), 0, True
                         for numbers in (known, heads, tails):
                             numbers.clear()
+                    sent = len(piece_ends) - 1, len(piece_words)
         if doc_ids:
             yield bundle()
     return run
