@@ -49,8 +49,8 @@ _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _BUCKETS = 65536  # small maps of the rank map, a power of two
 _EDGE = "\ue000"  # beyond every symbol
 _CUT, _LONG = 48, 256
-_WORDS, _CODES = 150_000, 3_000_000  # new words (and half the new pieces) and piece numbers of a bundle
-_KNOWN = 600_000  # words and pieces that a task remembers
+_WORDS, _CODES = 100_000, 2_000_000  # new words (and half the new pieces) and piece numbers of a bundle
+_KNOWN = 400_000  # words and pieces that a task remembers
 # The pattern under which letters, with a mark at their end, are split without a search.
 _MARKS = (",", ".", "!", "?")
 _LETTERS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
